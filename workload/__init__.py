@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["silver"]
+MODULES = ["relational", "silver"]
 
 
 def load_all() -> None:
