@@ -30,13 +30,13 @@ def with_flag(parent: DataFrame, flags: DataFrame, key: str, name: str) -> DataF
 
 
 def who_did(parent: DataFrame, events: DataFrame, key: str) -> DataFrame:
-    """Parent rows with at least one event."""
-    return parent.join(events.select(key), key, "left_semi")
+    """Parent rows with at least one event. Events are cut to one row per key first."""
+    return parent.join(events.select(key).distinct(), key, "left_semi")
 
 
 def who_never_did(parent: DataFrame, events: DataFrame, key: str) -> DataFrame:
     """Parent rows without any event."""
-    return parent.join(events.select(key), key, "left_anti")
+    return parent.join(events.select(key).distinct(), key, "left_anti")
 
 
 def when_first_did(parent: DataFrame, events: DataFrame, key: str, ts: str, name: str) -> DataFrame:

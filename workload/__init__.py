@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["relational", "silver"]
+MODULES = ["relational", "silver", "cleaning", "activation"]
 
 
 def load_all() -> None:
