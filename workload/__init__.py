@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["relational", "silver", "cleaning", "activation"]
+MODULES = ["relational", "silver", "cleaning", "activation", "evaluation"]
 
 
 def load_all() -> None:
