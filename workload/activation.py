@@ -68,14 +68,14 @@ def rule_based_audience(spark, sf):
 
 @query(
     f"WITH {ctes.USERS_CTE}, {_LABELLED_SQL}, early AS (SELECT domain_userid, count(DISTINCT domain_sessionidx) AS sessions "
-    "FROM views WHERE start_tstamp < TIMESTAMP '2024-01-02' GROUP BY 1), "
+    "FROM views WHERE start_tstamp < TIMESTAMP '2024-01-01 12:00:00' GROUP BY 1), "
     "src AS (SELECT domain_userid, mkt_medium FROM user_table) SELECT domain_userid, sessions, mkt_medium, propensity_label "
     "FROM early JOIN src USING (domain_userid) JOIN scores USING (domain_userid) WHERE sessions = 1 AND mkt_medium IS NULL AND propensity_label = 'High'"
 )
 def first_time_high_propensity_audience(spark, sf):
     views = staged(inputs.views(spark, sf), "page_views")
-    first_day = views.where(F.col("start_tstamp") < F.lit("2024-01-02").cast("timestamp_ntz"))
-    parent = S.users(first_day).select("domain_userid", "sessions", "mkt_medium")
+    first_half_day = views.where(F.col("start_tstamp") < F.lit("2024-01-01 12:00:00").cast("timestamp_ntz"))
+    parent = S.users(first_half_day).select("domain_userid", "sessions", "mkt_medium")
     scores = _labelled(spark, sf).select("domain_userid", "propensity_label")
     return A.rule_audience(parent, scores, "domain_userid", A.awareness_rule())
 
