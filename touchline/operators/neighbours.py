@@ -141,8 +141,7 @@ def k_nearest(
     share = min(1.0, min(MAX_SAMPLE, 64 * cells) / max(n, 1))
     # A bounded sample sets the cuts; they only steer the work, not the result.
     picked = points.select("cont").sample(share, seed=1).limit(MAX_SAMPLE).collect() if cells > 1 else []
-    sample = np.array([row["cont"] for row in picked]).reshape(len(picked), -1)
-    tree, cells = build_cells(sample, cells) if len(picked) else (Split(cell=0), 1)
+    tree, cells = build_cells(np.array([row["cont"] for row in picked]), cells) if picked else (Split(cell=0), 1)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
