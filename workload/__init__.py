@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["relational", "silver", "cleaning", "activation", "evaluation", "modelling"]
+MODULES = ["relational", "silver", "cleaning", "activation", "evaluation", "modelling", "streams"]
 
 
 def load_all() -> None:
