@@ -126,9 +126,9 @@ class DummyColumns(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
     limit = Param(Params._dummy(), "limit", "most values per column", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, columns: Sequence[str] | None = None, limit: int = 1000):
+    def __init__(self, *, columns: Sequence[str] | None = None, limit: int = 500):
         super().__init__()
-        self._setDefault(limit=1000)
+        self._setDefault(limit=500)
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> DummyColumnsModel:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.operators.joins import join_unique
 from touchline.session import cut_lineage
 
 
@@ -18,7 +19,7 @@ def latest_login(events: DataFrame, device: str, login: str, order: Sequence[str
 
 def stitch(rows: DataFrame, mapping: DataFrame, device: str) -> DataFrame:
     """Rows with their customer id: the mapped login, else the device itself."""
-    return rows.join(mapping, device, "left").withColumn(
+    return join_unique(rows, mapping, device, "left").withColumn(
         "stitched_user_id", F.coalesce("stitched_user_id", F.col(device))
     )
 
@@ -31,7 +32,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Connect the larger neighbours of each node to the smallest of its neighbourhood."""
     both = _both_ways(edges)
     smallest = both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("low"))
-    linked = both.where("other > node").join(smallest, "node")
+    linked = join_unique(both.where("other > node"), smallest, "node")
     return linked.select(F.col("other").alias("a"), F.col("low").alias("b")).distinct()
 
 
@@ -39,7 +40,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """Connect each node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other")).where("node <> other")
     smallest = down.groupBy("node").agg(F.min("other").alias("low"))
-    others = down.join(smallest, "node").where("other <> low").select(F.col("other").alias("a"), F.col("low").alias("b"))
+    others = join_unique(down, smallest, "node").where("other <> low").select(F.col("other").alias("a"), F.col("low").alias("b"))
     own = smallest.select(F.col("node").alias("a"), F.col("low").alias("b"))
     return others.union(own).distinct()
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.times import MICROS, epoch_micros
+from touchline.operators.joins import join_unique
 from touchline.operators.sessions import session_bounds
 
 
@@ -25,8 +26,8 @@ def refresh(
 ) -> DataFrame:
     """The table with the keys of the new events rebuilt, all other rows kept."""
     touched = new_events.select(key).distinct()
-    rebuilt = build(events.join(touched, key, "left_semi"))
-    return table.join(touched, key, "left_anti").unionByName(rebuilt)
+    rebuilt = build(join_unique(events, touched, key, "left_semi"))
+    return join_unique(table, touched, key, "left_anti").unionByName(rebuilt)
 
 
 def refresh_sessions(
@@ -40,7 +41,7 @@ def refresh_sessions(
     """
     gap_us = gap_s * MICROS
     earliest = new_events.groupBy(user).agg(F.min(epoch_micros(new_events, ts)).alias("_new_us"))
-    marked = old.join(earliest, user, "left")
+    marked = join_unique(old, earliest, user, "left")
     closed = F.col("_new_us").isNull() | (F.col("end_us") + gap_us <= F.col("_new_us"))
     kept = marked.where(closed).select(old.columns)
     reopened = (
@@ -54,7 +55,7 @@ def refresh_sessions(
     start = earliest.join(reopened, user, "left").select(
         user, F.least("_new_us", "_open_us").alias("_from_us"), F.coalesce("_kept", F.lit(0)).alias("_kept")
     )
-    again = events.join(start, user).where(epoch_micros(events, ts) >= F.col("_from_us")).select(events.columns)
-    rebuilt = session_bounds(again, user, ts, gap_s).join(start.select(user, "_kept"), user)
+    again = join_unique(events, start, user).where(epoch_micros(events, ts) >= F.col("_from_us")).select(events.columns)
+    rebuilt = join_unique(session_bounds(again, user, ts, gap_s), start.select(user, "_kept"), user)
     renumbered = rebuilt.withColumn("domain_sessionidx", F.col("domain_sessionidx") + F.col("_kept")).select(old.columns)
     return kept.unionByName(renumbered)

@@ -18,6 +18,37 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
+def heavy_keys(df: DataFrame, key: str, share: float = 0.001) -> list:
+    """Keys that hold more than ``share`` of the rows; there can be no more than 1 / share.
+
+    One pass with a frequent-items sketch of fixed size: nothing is shuffled by key.
+    """
+    most = int(1 / share)
+    row = (
+        df.select(F.col(key).alias("_key"))
+        .where("_key IS NOT NULL")
+        .agg(F.expr(f"approx_top_k(_key, {most}, {10 * most})").alias("top"), F.count(F.lit(1)).alias("n"))
+        .first()
+    )
+    return [item["item"] for item in row["top"] if item["count"] > share * row["n"]]
+
+
+def join_unique(rows: DataFrame, unique: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join with a table that holds a key at most once, when some keys may hold very many rows.
+
+    Rows of heavy keys stay where they are and meet a broadcast of those keys
+    alone, which the definition of heavy bounds to about a thousand rows. All
+    other rows take the usual shuffled join. For inner, left, left_semi and
+    left_anti joins. ``rows`` is read once more to find the heavy keys.
+    """
+    heavy = heavy_keys(rows, key)
+    if not heavy:
+        return rows.join(unique, key, how)
+    is_heavy = F.coalesce(F.col(key).isin(heavy), F.lit(False))
+    hot = rows.where(is_heavy).join(F.broadcast(unique.where(is_heavy)), key, how)
+    return hot.unionByName(rows.where(~is_heavy).join(unique.where(~is_heavy), key, how))
+
+
 def with_related(parent: DataFrame, related: DataFrame, key: str) -> DataFrame:
     """The parent rows with the columns of a related table, null where there is none."""
     return parent.join(related, key, "left")
@@ -86,4 +117,4 @@ def range_lookup(
         .where("_range IS NULL AND _v <= _latest._high")
         .select("_v", *[F.col(f"_latest.{c}").alias(c) for c in carried])
     )
-    return rows.join(found, F.col(value) == F.col("_v"), "left").drop("_v")
+    return join_unique(rows, found.withColumnRenamed("_v", value), value, "left").select(*rows.columns, *carried)

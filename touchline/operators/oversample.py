@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.scores import hash_fraction
+from touchline.operators.joins import join_unique
 from touchline.operators.neighbours import k_nearest
 from touchline.operators.ordering import hash_slice, ordinals
 from touchline.sources.tables import staged
@@ -96,8 +97,7 @@ def smote_nc(
     dealt = ordinals(cut, [], "_cut", ["_hash", "_key"], "_position")
     times = F.lit(needed // few) + (F.col("_position") <= needed % few).cast("int")
     drawn = (
-        dealt.where(times > 0)
-        .join(pools, "point_id")
+        join_unique(dealt.where(times > 0), pools, "point_id")
         .withColumn("_no", F.explode(F.sequence(F.lit(1).cast("bigint"), times)))
         .withColumn("_id", F.concat_ws("~", "_key", F.col("_no").cast("string")))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions import web
+from touchline.operators.joins import join_unique
 
 # The accepted lawful bases for processing.
 LAWFUL_BASES = ["consent", "contract", "legalObligation", "vitalInterests", "publicTask", "legitimateInterests"]
@@ -49,18 +50,18 @@ def deduplicate(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
 def without_bots(df: DataFrame, agent: str, bots: DataFrame | None = None) -> DataFrame:
     """Rows whose agent neither looks like a bot nor is on the list of known bots."""
     people = df.where(~web.is_bot(F.col(agent)))
-    return people if bots is None else people.join(bots.select(agent).distinct(), agent, "left_anti")
+    return people if bots is None else join_unique(people, bots.select(agent).distinct(), agent, "left_anti")
 
 
 def classify_referrer(df: DataFrame, host: str, hosts: DataFrame, own_hosts: Sequence[str] = ()) -> DataFrame:
     """Add ``refr_medium``: direct without a host, internal for own hosts, else from the host list."""
-    known = hosts.select(F.col("host").alias(host), F.col("medium").alias("_medium"))
+    known = hosts.groupBy(F.col("host").alias(host)).agg(F.min("medium").alias("_medium"))
     medium = (
         F.when(F.col(host).isNull(), "direct")
         .when(F.col(host).isin(list(own_hosts)), "internal")
         .otherwise(F.coalesce("_medium", F.lit("unknown")))
     )
-    return df.join(known, host, "left").withColumn("refr_medium", medium).drop("_medium")
+    return join_unique(df, known, host, "left").withColumn("refr_medium", medium).drop("_medium")
 
 
 def latest_consent(consents: DataFrame, user: str, order: Sequence[str]) -> DataFrame:
@@ -73,7 +74,7 @@ def with_lawful_basis(events: DataFrame, consents: DataFrame, user: str, order:
     """Events of users whose last consent state is granted, on an accepted basis."""
     latest = latest_consent(consents, user, order)
     allowed = latest.where((F.col("state") == "granted") & F.col("basis").isin(LAWFUL_BASES))
-    return events.join(allowed.select(user), user, "left_semi")
+    return join_unique(events, allowed.select(user), user, "left_semi")
 
 
 def column_counters(df: DataFrame, columns: Sequence[str]) -> DataFrame:

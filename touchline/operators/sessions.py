@@ -52,7 +52,7 @@ def page_views(
             F.min("collector_tstamp").alias("start_tstamp"),
             F.max("collector_tstamp").alias("end_tstamp"),
             (F.count(F.lit(1)) * heartbeat_s).alias("engaged_time_in_s"),
-            F.floor((F.max("_us") - F.min("_us")) / MICROS).alias("absolute_time_in_s"),
+            F.expr(f"(max(_us) - min(_us)) div {MICROS}").alias("absolute_time_in_s"),
             F.max("vertical_percentage").alias("vertical_percentage_scrolled"),
             F.max("horizontal_percentage").alias("horizontal_percentage_scrolled"),
         )
@@ -72,9 +72,10 @@ def session_cells(
         raise ValueError("a cell must not be wider than the gap")
     width = cell_s * MICROS
     placed = rows.withColumn("_us", epoch_micros(rows, ts))
-    placed = placed.withColumn("_cell", F.floor(F.col("_us") / width))
+    placed = placed.withColumn("_cell", F.expr(f"(_us - pmod(_us, {width})) div {width}"))
     by_time = Window.partitionBy("_user").orderBy("_in_cell")
-    cells = placed.groupBy(F.col(user).alias("_user"), F.col("_cell").alias("_in_cell")).agg(
+    known = placed.where(F.col(user).isNotNull() & F.col("_us").isNotNull())
+    cells = known.groupBy(F.col(user).alias("_user"), F.col("_cell").alias("_in_cell")).agg(
         F.min("_us").alias("_first_us"), F.max("_us").alias("_last_us"), F.count(F.lit(1)).alias("_n")
     )
     idle = F.col("_first_us") - F.lag("_last_us").over(by_time)
@@ -99,17 +100,18 @@ def sessionize(
     """Add the session number per user, a session id and the position in the session.
 
     The rows are shuffled once, by (user, cell). That one partitioning serves
-    the position within the cell and the join with the cell table.
+    the position within the cell and the join with the cell table. Rows without
+    a user or a time stay in the result, without session.
     """
     placed, cells = session_cells(rows, user, ts, gap_s, cell_s)
     in_cell = Window.partitionBy(user, "_cell").orderBy("_us", tie)
     local = placed.withColumn("_local", F.row_number().over(in_cell))
     slim = cells.select("_user", "_in_cell", "domain_sessionidx", "_before")
-    joined = local.join(slim, (F.col(user) == F.col("_user")) & (F.col("_cell") == F.col("_in_cell")))
+    joined = local.join(slim, (F.col(user) == F.col("_user")) & (F.col("_cell") == F.col("_in_cell")), "left")
     return joined.select(
         *rows.columns,
         F.col("domain_sessionidx").cast("bigint").alias("domain_sessionidx"),
-        F.concat_ws("-", F.col(user).cast("string"), F.col("domain_sessionidx").cast("string")).alias(
+        F.concat(F.col(user).cast("string"), F.lit("-"), F.col("domain_sessionidx").cast("string")).alias(
             "domain_sessionid"
         ),
         (F.col("_before") + F.col("_local")).cast("bigint").alias(index_name),

@@ -69,18 +69,22 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def wide_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per event; geography comes from the customer's nation."""
+    """One row per event, without geography."""
     raw = read(spark, sf_dir, "events").selectExpr(
         "*", "CAST(get_json_object(props, '$.k') AS INT) AS k"
     )
-    wide = raw.selectExpr(*[f"{text} AS {name}" for name, text in WIDE.items()])
+    return raw.selectExpr(*[f"{text} AS {name}" for name, text in WIDE.items()])
+
+
+def with_geography(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Add country and region from the customer's nation; apply it to as few rows as possible."""
     geography = (
         read(spark, sf_dir, "customer")
         .join(read(spark, sf_dir, "nation"), _same("c_nationkey", "n_nationkey"))
         .join(read(spark, sf_dir, "region"), _same("n_regionkey", "r_regionkey"))
-        .selectExpr("c_custkey", "n_name AS geo_country", "r_name AS geo_region")
+        .selectExpr("c_custkey AS customer_key", "n_name AS geo_country", "r_name AS geo_region")
     )
-    return wide.join(geography, _same("customer_key", "c_custkey"), "left").drop("c_custkey")
+    return rows.join(geography, "customer_key", "left")
 
 
 def _same(left: str, right: str) -> Column:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.scores import flag
+from touchline.sources.tables import write_table
 
 FIRST_VIEW_COLUMNS = [
     "absolute_time_in_s", "vertical_percentage_scrolled", "geo_country", "geo_region",
@@ -62,3 +63,17 @@ def first_touch_raw(users: DataFrame, views: DataFrame, converted: DataFrame) ->
         .withColumn("converted_user", F.coalesce("converted", F.lit(False)))
     )
     return joined.select(*columns)
+
+
+def create_gold_view(
+    spark: SparkSession, users: str, page_views: str, converted: str, view: str = "gold_view"
+) -> DataFrame:
+    """The gold table over three catalogue tables, as a temporary view."""
+    gold = first_touch(spark.read.table(users), spark.read.table(page_views), spark.read.table(converted))
+    gold.createOrReplaceTempView(view)
+    return gold
+
+
+def build_gold_table(spark: SparkSession, users: str, page_views: str, converted: str, target: str) -> None:
+    """Build the gold table from catalogue tables and replace the stored one."""
+    write_table(create_gold_view(spark, users, page_views, converted), target)

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.operators.joins import join_unique
+
 
 @dataclass
 class Upsert:
@@ -39,7 +41,7 @@ class Upsert:
         all_fields = [*batch.schema.fields, T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType())]
         stored = spark.read.schema(T.StructType(all_fields)).parquet(f"{self.root}/raw")
         stored = stored.where((F.col("batch") <= batch_id) & F.col("bucket").isin(self._folders(touched)))
-        again = stored.join(touched, ["bucket", self.key], "left_semi").select(batch.columns)
+        again = join_unique(stored, touched.select(self.key), self.key, "left_semi").select(batch.columns)
         self.build(again).write.mode("overwrite").parquet(f"{self.root}/derived/batch={batch_id}")
 
     def _folders(self, touched: DataFrame) -> list[int]:
@@ -56,4 +58,5 @@ class Upsert:
         fields = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
         written = self.spark.read.schema(fields).parquet(f"{self.root}/derived")
         last = written.groupBy(self.key).agg(F.max("batch").alias("batch"))
-        return written.join(last, [self.key, "batch"], "left_semi").drop("batch")
+        newest = last.withColumnRenamed("batch", "_last")
+        return join_unique(written, newest, self.key).where("batch = _last").select([f.name for f in schema])

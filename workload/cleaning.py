@@ -146,7 +146,7 @@ _COUNTED = ["domain_userid", "login_id", "mkt_medium", "refr_urlhost", "geo_coun
     )
 )
 def column_quality_counters(spark, sf):
-    return quality.column_counters(inputs.wide(spark, sf), _COUNTED)
+    return quality.column_counters(inputs.located(spark, sf), _COUNTED)
 
 
 @query(
@@ -246,7 +246,7 @@ def refresh_page_views(spark, sf):
     late = F.col("collector_tstamp") >= F.lit("2024-01-28").cast("timestamp_ntz")
 
     def build(events):
-        built = S.sessionize(S.page_views(events), gap_s=B.SESSION_GAP_S)
+        built = S.sessionize(inputs.page_views(events, spark, sf), gap_s=B.SESSION_GAP_S)
         return built.select("domain_userid", "page_view_id", "domain_sessionidx", "engaged_time_in_s")
 
     old = staged(build(wide.where(~late)), "page_views")

@@ -50,7 +50,7 @@ def dummy_columns(spark, sf):
     "SELECT event_id, CASE WHEN geo_country IN (SELECT geo_country FROM top) THEN geo_country ELSE 'Other' END AS geo_country FROM wide"
 )
 def keep_top_categories(spark, sf):
-    wide = inputs.wide(spark, sf).select("event_id", "geo_country")
+    wide = inputs.located(spark, sf).select("event_id", "geo_country")
     train, _ = X.hash_split(wide, "event_id", 80)
     return X.TopKCategories(columns=["geo_country"], k=6).fit(train).transform(wide)
 

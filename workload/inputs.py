@@ -16,8 +16,19 @@ def wide(spark: SparkSession, sf: str) -> DataFrame:
     return B.wide_events(spark, sf)
 
 
+def located(spark: SparkSession, sf: str) -> DataFrame:
+    return B.with_geography(wide(spark, sf), spark, sf)
+
+
+def page_views(events: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """Page views with geography looked up once per view, not per event."""
+    carried = [c for c in S.PAGE_VIEW_FIRST if not c.startswith("geo_")]
+    rolled = S.page_views(events, carried=[*carried, "customer_key"])
+    return B.with_geography(rolled, spark, sf).drop("customer_key")
+
+
 def views(spark: SparkSession, sf: str) -> DataFrame:
-    return S.sessionize(S.page_views(wide(spark, sf)), gap_s=B.SESSION_GAP_S)
+    return S.sessionize(page_views(wide(spark, sf), spark, sf), gap_s=B.SESSION_GAP_S)
 
 
 def gold(spark: SparkSession, sf: str) -> DataFrame:

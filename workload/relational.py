@@ -247,7 +247,7 @@ def column_mean(spark, sf):
     "FROM counted QUALIFY rank <= 4"
 )
 def most_frequent_values(spark, sf):
-    return A.top_values(inputs.wide(spark, sf), ["mkt_campaign", "geo_country"], 4)
+    return A.top_values(inputs.located(spark, sf), ["mkt_campaign", "geo_country"], 4)
 
 
 @query(
