@@ -177,7 +177,7 @@ def identifier_mapping(spark, sf):
 def stitched_sessions(spark, sf):
     wide = inputs.wide(spark, sf)
     mapping = identity.latest_login(wide, "domain_userid", "login_id", ["collector_tstamp", "event_id"])
-    table = S.sessions(inputs.views(spark, sf))
+    table = staged(S.sessions(inputs.views(spark, sf)), "sessions")
     return identity.stitch(table, mapping, "domain_userid").select("domain_sessionid", "page_views", "stitched_user_id")
 
 
