@@ -34,10 +34,10 @@ def stream_bronze_load(spark, sf):
     f"< {B.SESSION_GAP_S * 1000000} THEN 0 ELSE 1 END AS opens FROM events), "
     "numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS idx FROM gaps), "
     "closed AS (SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) AS end_us, count(*) AS events FROM numbered GROUP BY user_id, idx) "
-    f"SELECT * FROM closed WHERE end_us + {B.SESSION_GAP_S * 1000000} <= (SELECT (epoch_us(max(ts)) // 1000 - 3600000) * 1000 FROM events)"
+    f"SELECT * FROM closed WHERE end_us + {B.SESSION_GAP_S * 1000000 - 1} <= (SELECT (epoch_us(max(ts)) // 1000 - 3600000) * 1000 FROM events)"
 )
 def stream_closed_sessions(spark, sf):
-    closed = R.stream_sessions(event_stream(spark, sf), "user_id", f"{B.SESSION_GAP_S} seconds")
+    closed = R.stream_sessions(event_stream(spark, sf), "user_id", B.SESSION_GAP_S)
     written = E.run_to_table(closed, "sessions")
     return written.select(
         "user_id", F.unix_micros("start_tstamp").alias("start_us"), F.unix_micros("end_tstamp").alias("end_us"), "events"
