@@ -14,7 +14,7 @@ from workload.registry import query
 # A stand-in for a model score that SQL can compute too: mean spend, squashed to (0, 1).
 _SCORES_SQL = (
     "spend AS (SELECT CAST(o_custkey AS VARCHAR) AS domain_userid, "
-    "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) / 600000 AS propensity_score FROM orders GROUP BY o_custkey)"
+    "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) / 654321 AS propensity_score FROM orders GROUP BY o_custkey)"
 )
 _LABELLED_SQL = (
     f"{_SCORES_SQL}, edges AS (SELECT quantile_cont(propensity_score, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e FROM spend), "
@@ -27,7 +27,7 @@ _LABELLED_SQL = (
 def _scored(spark, sf):
     orders = inputs.read(spark, sf, "orders")
     total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
-    mean = (total / F.count(F.lit(1)) / 600000).alias("propensity_score")
+    mean = (total / F.count(F.lit(1)) / 654321).alias("propensity_score")
     return orders.groupBy(F.col("o_custkey").cast("string").alias("domain_userid")).agg(mean)
 
 

@@ -75,6 +75,12 @@ def train_test_by_hash(spark, sf):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+@query()
+def train_test_at_random(spark, sf):
+    train, test = X.random_split(inputs.read(spark, sf, "customer").select("c_custkey"), [0.85, 0.15], seed=1)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
 @query(
     "SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY o_totalprice, o_orderkey) <= count(*) OVER () // 10 * 8 "
     "THEN 'train' ELSE 'test' END AS part FROM orders"

@@ -68,7 +68,7 @@ def scan_parquet(spark, sf):
 @query("SELECT n_regionkey, r_name, count(*) AS nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY ALL")
 def local_rows(spark, sf):
     # The five regions go through the driver, as a stand-in for a hand-made lookup table.
-    regions = inputs.read(spark, sf, "region").limit(100).toPandas()
+    regions = inputs.read(spark, sf, "region").toPandas()
     lookup = spark.createDataFrame(regions).withColumnRenamed("r_regionkey", "n_regionkey")
     joined = inputs.read(spark, sf, "nation").join(lookup, "n_regionkey")
     return joined.groupBy("n_regionkey", "r_name").agg(F.count(F.lit(1)).alias("nations"))
