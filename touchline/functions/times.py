@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,14 @@ def epoch_micros(df: DataFrame, name: str) -> Column:
     return F.unix_micros(col)
 
 
+def at_micros(df: DataFrame, name: str, micros: int) -> Column:
+    """A constant of the column's own kind, which a scan can use to skip files."""
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        moment = datetime(1970, 1, 1) + timedelta(microseconds=micros)
+        return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.timestamp_micros(F.lit(micros))
+
+
 def hour_of_day(ts: Column) -> Column:
     return F.hour(ts)
 

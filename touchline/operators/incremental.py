@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.times import MICROS, epoch_micros
+from touchline.functions.times import MICROS, at_micros, epoch_micros
 from touchline.operators.joins import join_unique
 from touchline.operators.sessions import session_bounds
+from touchline.sources.tables import staged
 
 
 def after_mark(events: DataFrame, arrival: str, mark) -> DataFrame:
@@ -37,11 +38,14 @@ def refresh_sessions(
 
     A late event can lengthen a session or join two. Sessions that ended a gap
     or more before a user's earliest new event cannot change: they are kept,
-    and only events from the first changeable session on are read again.
+    and only events from the first changeable session on are read again. The
+    oldest such time is a plain filter on the events, which skips older files.
+    ``old`` is read twice: pass a written table.
     """
     gap_us = gap_s * MICROS
     earliest = new_events.groupBy(user).agg(F.min(epoch_micros(new_events, ts)).alias("_new_us"))
-    marked = join_unique(old, earliest, user, "left")
+    # A user has few sessions, however many events: joins on the session level need no care.
+    marked = old.join(earliest, user, "left")
     closed = F.col("_new_us").isNull() | (F.col("end_us") + gap_us <= F.col("_new_us"))
     kept = marked.where(closed).select(old.columns)
     reopened = (
@@ -52,10 +56,17 @@ def refresh_sessions(
             F.max(F.when(closed, F.col("domain_sessionidx"))).alias("_kept"),
         )
     )
-    start = earliest.join(reopened, user, "left").select(
-        user, F.least("_new_us", "_open_us").alias("_from_us"), F.coalesce("_kept", F.lit(0)).alias("_kept")
+    start = staged(
+        earliest.join(reopened, user, "left").select(
+            user, F.least("_new_us", "_open_us").alias("_from_us"), F.coalesce("_kept", F.lit(0)).alias("_kept")
+        ),
+        "changed_users",
     )
-    again = join_unique(events, start, user).where(epoch_micros(events, ts) >= F.col("_from_us")).select(events.columns)
-    rebuilt = join_unique(session_bounds(again, user, ts, gap_s), start.select(user, "_kept"), user)
+    oldest = start.agg(F.min("_from_us")).first()[0]
+    if oldest is None:
+        return old
+    recent = events.where(F.col(ts) >= at_micros(events, ts, oldest))
+    again = join_unique(recent, start, user).where(epoch_micros(events, ts) >= F.col("_from_us")).select(events.columns)
+    rebuilt = session_bounds(again, user, ts, gap_s).join(start.select(user, "_kept"), user)
     renumbered = rebuilt.withColumn("domain_sessionidx", F.col("domain_sessionidx") + F.col("_kept")).select(old.columns)
     return kept.unionByName(renumbered)

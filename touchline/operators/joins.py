@@ -117,4 +117,5 @@ def range_lookup(
         .where("_range IS NULL AND _v <= _latest._high")
         .select("_v", *[F.col(f"_latest.{c}").alias(c) for c in carried])
     )
-    return join_unique(rows, found.withColumnRenamed("_v", value), value, "left").select(*rows.columns, *carried)
+    # Both sides come straight from a shuffle, so adaptive execution splits a value that many rows share.
+    return rows.join(found, F.col(value) == F.col("_v"), "left").select(*rows.columns, *carried)

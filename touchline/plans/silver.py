@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from touchline.operators import sessions as S
+from touchline.sources.tables import staged
 
 
 @dataclass
@@ -19,8 +20,9 @@ class Silver:
 def silver(events: DataFrame, gap_s: int = 1800, cell_s: int | None = None) -> Silver:
     """All three silver tables of a wide event table.
 
-    On a cluster write ``page_views`` first (``sources.tables.write_table``) and
-    build the other two from the written table.
+    Page views are written before and after they are put into sessions, as
+    several steps read them: each event is read and rolled up once.
     """
-    views = S.sessionize(S.page_views(events), gap_s=gap_s, cell_s=cell_s)
+    rolled = staged(S.page_views(events), "page_views")
+    views = staged(S.sessionize(rolled, gap_s=gap_s, cell_s=cell_s), "sessionized")
     return Silver(views, S.sessions(views), S.users(views))

@@ -12,18 +12,15 @@ from touchline.session import work_path
 
 def read_stream(
     spark: SparkSession,
-    folder: str,
+    path: str,
     schema: T.StructType,
-    pattern: str | None = None,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """New Parquet files of a folder as a stream; a bounded number of files per batch."""
+    """New Parquet files of a folder (or path pattern) as a stream; a bounded number of files per batch."""
     reader = spark.readStream.schema(schema)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
-    return reader.parquet(folder)
+    return reader.parquet(path)
 
 
 def with_event_time(stream: DataFrame, ts: str, name: str = "event_time") -> DataFrame:

@@ -236,7 +236,7 @@ def refresh_sessions(spark, sf):
     events = inputs.read(spark, sf, "events").select("event_id", "user_id", "ts", "props")
     # Arrived later: everything after the mark, and some older events that were held back.
     late = (F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")) | F.col("props").contains('7}')
-    old = S.session_bounds(events.where(~late), "user_id", "ts", B.SESSION_GAP_S)
+    old = staged(S.session_bounds(events.where(~late), "user_id", "ts", B.SESSION_GAP_S), "sessions")
     return incremental.refresh_sessions(old, events, events.where(late), "user_id", "ts", B.SESSION_GAP_S)
 
 
@@ -246,7 +246,7 @@ def refresh_page_views(spark, sf):
     late = F.col("collector_tstamp") >= F.lit("2024-01-28").cast("timestamp_ntz")
 
     def build(events):
-        built = S.sessionize(inputs.page_views(events, spark, sf), gap_s=B.SESSION_GAP_S)
+        built = S.sessionize(staged(inputs.page_views(events, spark, sf), "page_views"), gap_s=B.SESSION_GAP_S)
         return built.select("domain_userid", "page_view_id", "domain_sessionidx", "engaged_time_in_s")
 
     old = staged(build(wide.where(~late)), "page_views")

@@ -28,10 +28,12 @@ def page_views(events: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
 
 
 def views(spark: SparkSession, sf: str) -> DataFrame:
-    return S.sessionize(page_views(wide(spark, sf), spark, sf), gap_s=B.SESSION_GAP_S)
+    """Sessionized page views. Sessions read the views twice, so these are written first."""
+    rolled = staged(page_views(wide(spark, sf), spark, sf), "page_views")
+    return S.sessionize(rolled, gap_s=B.SESSION_GAP_S)
 
 
 def gold(spark: SparkSession, sf: str) -> DataFrame:
     """Gold on top of page views written once, as users and first views both read them."""
-    written = staged(views(spark, sf), "page_views")
+    written = staged(views(spark, sf), "sessionized")
     return first_touch(S.users(written), written, B.converted_users(spark, sf))

@@ -18,7 +18,8 @@ from workload.registry import query
 
 def event_stream(spark, sf):
     schema = inputs.read(spark, sf, "events").schema
-    return E.with_event_time(E.read_stream(spark, sf, schema, "events.parquet"), "ts")
+    # As a pattern the path may name one file or a folder of files.
+    return E.with_event_time(E.read_stream(spark, f"{sf}/events.parque[t]", schema), "ts")
 
 
 @query("SELECT event_id, user_id, event_type, value FROM events")
