@@ -13,7 +13,8 @@ def skewed(spark):
 
 
 def test_heavy_keys(spark):
-    assert J.heavy_keys(skewed(spark), "k", 0.01) == ["hot"]
+    hot = spark.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]
+    assert J.heavy_keys(skewed(spark), "k", 0.01) == [hot]
     assert J.heavy_keys(skewed(spark).where("false"), "k") == []
 
 
@@ -25,6 +26,12 @@ def test_join_unique_equals_plain_join(spark):
         assert rows(got, "id") == rows(want, "id"), how
 
 
+def test_join_unique_with_another_integer_type(spark):
+    big = spark.range(300).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    unique = spark.createDataFrame([(7, "seven"), (9, "nine")], "k int, x string")
+    assert rows(J.join_unique(big, unique, "k"), "id") == rows(big.join(unique, "k"), "id")
+
+
 def test_heavy_rows_are_not_shuffled(spark):
     unique = spark.range(5).select(F.col("id").cast("string").alias("k"))
     plan = J.join_unique(skewed(spark), unique, "k")._jdf.queryExecution().simpleString()

@@ -18,8 +18,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def heavy_keys(df: DataFrame, key: str, share: float = 0.001) -> list:
-    """Keys that hold more than ``share`` of the rows; there can be no more than 1 / share.
+def heavy_keys(df: DataFrame, key: str, share: float = 0.001) -> list[int]:
+    """Hashes of the keys that hold more than ``share`` of the rows: no more than 1 / share of them.
 
     One pass with a frequent-items sketch of fixed size: nothing is shuffled by key.
     """
@@ -27,24 +27,33 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.001) -> list:
     row = (
         df.select(F.col(key).alias("_key"))
         .where("_key IS NOT NULL")
-        .agg(F.expr(f"approx_top_k(_key, {most}, {10 * most})").alias("top"), F.count(F.lit(1)).alias("n"))
+        .agg(F.expr(f"approx_top_k(xxhash64(_key), {most}, {10 * most})").alias("top"), F.count(F.lit(1)).alias("n"))
         .first()
     )
     return [item["item"] for item in row["top"] if item["count"] > share * row["n"]]
 
 
-def join_unique(rows: DataFrame, unique: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def join_unique(
+    rows: DataFrame, unique: DataFrame, key: str, how: str = "inner", small_rows: int | None = None
+) -> DataFrame:
     """Join with a table that holds a key at most once, when some keys may hold very many rows.
 
     Rows of heavy keys stay where they are and meet a broadcast of those keys
     alone, which the definition of heavy bounds to about a thousand rows. All
     other rows take the usual shuffled join. For inner, left, left_semi and
     left_anti joins. ``rows`` is read once more to find the heavy keys.
+
+    With ``small_rows`` the size of ``unique`` is checked first, and up to that
+    many rows it is broadcast whole. That suits lookup lists, which are cheap
+    to count.
     """
+    if small_rows is not None and unique.limit(small_rows + 1).count() <= small_rows:
+        return rows.join(F.broadcast(unique), key, how)
     heavy = heavy_keys(rows, key)
     if not heavy:
         return rows.join(unique, key, how)
-    is_heavy = F.coalesce(F.col(key).isin(heavy), F.lit(False))
+    # The hash depends on the type, so both sides hash the type of ``rows``.
+    is_heavy = F.col(key).isNotNull() & F.xxhash64(F.col(key).cast(rows.schema[key].dataType)).isin(heavy)
     hot = rows.where(is_heavy).join(F.broadcast(unique.where(is_heavy)), key, how)
     return hot.unionByName(rows.where(~is_heavy).join(unique.where(~is_heavy), key, how))
 

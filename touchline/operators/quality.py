@@ -14,6 +14,9 @@ from touchline.operators.joins import join_unique
 # The accepted lawful bases for processing.
 LAWFUL_BASES = ["consent", "contract", "legalObligation", "vitalInterests", "publicTask", "legitimateInterests"]
 
+# Lists of bots or hosts up to this length are broadcast.
+LIST_ROWS = 100_000
+
 _CORRUPT = "_corrupt_record"
 
 
@@ -50,7 +53,7 @@ def deduplicate(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
 def without_bots(df: DataFrame, agent: str, bots: DataFrame | None = None) -> DataFrame:
     """Rows whose agent neither looks like a bot nor is on the list of known bots."""
     people = df.where(~web.is_bot(F.col(agent)))
-    return people if bots is None else join_unique(people, bots.select(agent).distinct(), agent, "left_anti")
+    return people if bots is None else join_unique(people, bots.select(agent).distinct(), agent, "left_anti", LIST_ROWS)
 
 
 def classify_referrer(df: DataFrame, host: str, hosts: DataFrame, own_hosts: Sequence[str] = ()) -> DataFrame:
@@ -61,7 +64,7 @@ def classify_referrer(df: DataFrame, host: str, hosts: DataFrame, own_hosts: Seq
         .when(F.col(host).isin(list(own_hosts)), "internal")
         .otherwise(F.coalesce("_medium", F.lit("unknown")))
     )
-    return join_unique(df, known, host, "left").withColumn("refr_medium", medium).drop("_medium")
+    return join_unique(df, known, host, "left", LIST_ROWS).withColumn("refr_medium", medium).drop("_medium")
 
 
 def latest_consent(consents: DataFrame, user: str, order: Sequence[str]) -> DataFrame:

@@ -1,8 +1,8 @@
 """How the given tables stand in for a web-event feed.
 
 ``events`` becomes the wide event table, ``customer``/``nation``/``region``
-give the geography. All expressions are plain ANSI SQL, so that the same text
-describes the input to Spark and to the checking engine.
+give the geography. The columns are SQL text that, but for ``pick``, reads the
+same to Spark and to the checking engine.
 """
 
 from __future__ import annotations
@@ -24,42 +24,52 @@ AGENTS = [
 ]
 
 
-def pick(index: str, values: list[str | None]) -> str:
-    """ANSI text that picks a value by ``index % len(values)``."""
+def pick(index: str, values: list[str | None], engine: str = "spark") -> str:
+    """SQL text that picks a value by ``index % len(values)``.
+
+    In Spark the index is worked out once (``elt``), which matters when the
+    optimizer puts the expression into a filter.
+    """
+    if engine == "spark":
+        entries = ", ".join("CAST(NULL AS STRING)" if v is None else f"'{v}'" for v in values)
+        return f"elt({index} % {len(values)} + 1, {entries})"
     arms = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values) if v is not None)
     return f"CASE {index} % {len(values)} {arms} END"
 
 
-WIDE = {
-    "event_id": "event_id",
-    "collector_tstamp": "ts",
-    "domain_userid": "CAST(user_id AS STRING)",
-    "customer_key": "user_id",
-    "event_type": "event_type",
-    "k": "k",
-    "app_id": "CASE WHEN k < 80 THEN 'website' ELSE 'mobile' END",
-    "login_id": "CASE WHEN event_type = 'signup' THEN 'u' || CAST(user_id % 97 AS STRING) END",
-    "page_view_id": (
-        "CAST(user_id AS STRING) || '-' || CAST(year(ts) * 1000000 + month(ts) * 10000 "
-        "+ day(ts) * 100 + hour(ts) - hour(ts) % 2 AS STRING)"
-    ),
-    "page_title": pick("k", ["Home", "Pricing", "Get Started", "Blog", "Docs"]),
-    "page_urlpath": pick("k", ["/", "/pricing/", "/get-started/", "/blog/", "/docs/"])
-    + " || CASE WHEN k % 2 = 0 THEN 'a' ELSE 'b' END",
-    "refr_urlhost": pick("k", ["search.example.com", "social.example.com", None]),
-    "refr_medium": pick("k", ["Search", "Social", None]),
-    "mkt_medium": pick("k", ["CPC", None, "Email", None]),
-    "mkt_source": "CASE WHEN k % 2 = 0 THEN " + pick("k", ["google", "newsletter", "partner"]) + " END",
-    "mkt_campaign": "CASE WHEN k % 2 = 0 THEN 'camp-' || CAST(k % 7 AS STRING) END",
-    "mkt_term": "CASE WHEN k % 4 = 0 THEN 'term-' || CAST(k % 6 AS STRING) END",
-    "br_lang": pick("k", ["en", "de", "fr", "es"]),
-    "device_family": pick("k", ["iPhone", "Windows PC", "Mac"]),
-    "os_family": pick("k", ["iOS", "Windows", "macOS"]),
-    "useragent": pick("k", AGENTS),
-    "vertical_percentage": "k",
-    "horizontal_percentage": "(k * 7) % 101",
-    "ip": "(user_id * 2654435761 + k * 40503) % 4294967296",
-}
+def wide_columns(engine: str = "spark") -> dict[str, str]:
+    """Name and SQL text of each column of the wide event table."""
+    return {
+        "event_id": "event_id",
+        "collector_tstamp": "ts",
+        "domain_userid": "CAST(user_id AS STRING)",
+        "customer_key": "user_id",
+        "event_type": "event_type",
+        "k": "k",
+        "app_id": "CASE WHEN k < 80 THEN 'website' ELSE 'mobile' END",
+        "login_id": "CASE WHEN event_type = 'signup' THEN 'u' || CAST(user_id % 97 AS STRING) END",
+        "page_view_id": (
+            "CAST(user_id AS STRING) || '-' || CAST(year(ts) * 1000000 + month(ts) * 10000 "
+            "+ day(ts) * 100 + hour(ts) - hour(ts) % 2 AS STRING)"
+        ),
+        "page_title": pick("k", ["Home", "Pricing", "Get Started", "Blog", "Docs"], engine),
+        "page_urlpath": pick("k", ["/", "/pricing/", "/get-started/", "/blog/", "/docs/"], engine)
+        + " || CASE WHEN k % 2 = 0 THEN 'a' ELSE 'b' END",
+        "refr_urlhost": pick("k", ["search.example.com", "social.example.com", None], engine),
+        "refr_medium": pick("k", ["Search", "Social", None], engine),
+        "mkt_medium": pick("k", ["CPC", None, "Email", None], engine),
+        "mkt_source": "CASE WHEN k % 2 = 0 THEN " + pick("k", ["google", "newsletter", "partner"], engine) + " END",
+        "mkt_campaign": "CASE WHEN k % 2 = 0 THEN 'camp-' || CAST(k % 7 AS STRING) END",
+        "mkt_term": "CASE WHEN k % 4 = 0 THEN 'term-' || CAST(k % 6 AS STRING) END",
+        "br_lang": pick("k", ["en", "de", "fr", "es"], engine),
+        "device_family": pick("k", ["iPhone", "Windows PC", "Mac"], engine),
+        "os_family": pick("k", ["iOS", "Windows", "macOS"], engine),
+        "useragent": pick("k", AGENTS, engine),
+        "vertical_percentage": "k",
+        "horizontal_percentage": "(k * 7) % 101",
+        "ip": "(user_id * 2654435761 + k * 40503) % 4294967296",
+    }
+
 
 TARGET_URL = "https://console.example.com/"
 
@@ -73,7 +83,7 @@ def wide_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = read(spark, sf_dir, "events").selectExpr(
         "*", "CAST(get_json_object(props, '$.k') AS INT) AS k"
     )
-    return raw.selectExpr(*[f"{text} AS {name}" for name, text in WIDE.items()])
+    return raw.selectExpr(*[f"{text} AS {name}" for name, text in wide_columns().items()])
 
 
 def with_geography(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,7 +118,7 @@ _BASES = [*quality.LAWFUL_BASES, "curiosity", "other"]
 
 @query(
     f"WITH {ctes.RAW}, c AS (SELECT user_id, ts, event_id, CASE event_type WHEN 'signup' THEN 'granted' ELSE 'withdrawn' END AS state, "
-    f"{B.pick('k', _BASES)} AS basis FROM raw WHERE event_type IN ('signup', 'error')), "
+    f"{B.pick('k', _BASES, 'duckdb')} AS basis FROM raw WHERE event_type IN ('signup', 'error')), "
     "latest AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1) "
     "SELECT event_id, user_id FROM events WHERE user_id IN (SELECT user_id FROM latest WHERE state = 'granted' "
     "AND basis IN ('consent', 'contract', 'legalObligation', 'vitalInterests', 'publicTask', 'legitimateInterests'))"

@@ -1,8 +1,8 @@
 """Checking SQL shared by several queries, as WITH clauses for DuckDB."""
 
-from touchline.plans.bindings import PURCHASES_TO_CONVERT, SESSION_GAP_S, TARGET_URL, WIDE
+from touchline.plans.bindings import PURCHASES_TO_CONVERT, SESSION_GAP_S, TARGET_URL, wide_columns
 
-_WIDE_COLUMNS = ",\n    ".join(f"{text} AS {name}" for name, text in WIDE.items())
+_WIDE_COLUMNS = ",\n    ".join(f"{text} AS {name}" for name, text in wide_columns("duckdb").items())
 
 RAW = """raw AS (
   SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)"""
