@@ -34,6 +34,17 @@ def test_restart_reads_only_what_is_new_and_drops_copies(spark):
     assert rows(spark.read.parquet(target), "event_id") == [(1,), (2,), (3,)]
 
 
+def test_running_stream_picks_up_new_files(spark):
+    source, target = work_path(spark, "in"), work_path(spark, "out")
+    write(spark, source, (1, "a", 0))
+    query = E.start_stream(stream_of(spark, source).select("event_id"), target, work_path(spark, "state"), "1 second")
+    query.processAllAvailable()
+    write(spark, source, (2, "a", 1))
+    query.processAllAvailable()
+    query.stop()
+    assert rows(spark.read.parquet(target), "event_id") == [(1,), (2,)]
+
+
 def test_stream_sessions_equal_batch_once_closed(spark):
     source = work_path(spark, "in")
     entries = [(i, u, s) for i, (u, s) in enumerate([("a", 0), ("a", 1000), ("a", 2800), ("b", 100), ("b", 5000), ("end", 90_000)])]

@@ -15,7 +15,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.operators.ordering import running_totals, value_summary
+from touchline.operators.ordering import SLICES, running_totals, value_summary
 
 
 def _score_counts(df: DataFrame, label: str, score: str, slices: int) -> DataFrame:
@@ -27,7 +27,7 @@ def _score_counts(df: DataFrame, label: str, score: str, slices: int) -> DataFra
     return running_totals(counted, "_score", ["pos", "n"], bounds, descending=True)
 
 
-def average_precision(df: DataFrame, label: str, score: str, slices: int = 64) -> DataFrame:
+def average_precision(df: DataFrame, label: str, score: str, slices: int = SLICES) -> DataFrame:
     """Step-wise area under the precision-recall curve, without interpolation."""
     steps = _score_counts(df, label, score, slices)
     precision = F.col("cum_pos").cast("double") / F.col("cum_n").cast("double")
@@ -35,7 +35,7 @@ def average_precision(df: DataFrame, label: str, score: str, slices: int = 64) -
     return steps.agg(area.alias("average_precision"))
 
 
-def area_under_roc(df: DataFrame, label: str, score: str, slices: int = 64) -> DataFrame:
+def area_under_roc(df: DataFrame, label: str, score: str, slices: int = SLICES) -> DataFrame:
     """Area under the ROC curve; equal scores count half."""
     steps = _score_counts(df, label, score, slices)
     negatives = (F.col("n") - F.col("pos")).cast("double")

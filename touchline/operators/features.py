@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from touchline.functions.scores import hash_percent
 from touchline.operators.aggregates import class_ratio, top_values
-from touchline.operators.ordering import ordinals, value_summary, with_slice
+from touchline.operators.ordering import SLICES, ordinals, value_summary, with_slice
 
 # The feature groups of the propensity model.
 REFERRAL = ["refr_urlhost", "refr_medium"]
@@ -176,7 +176,7 @@ def random_split(df: DataFrame, fractions: Sequence[float], seed: int | None = N
     return df.randomSplit(list(fractions), seed)
 
 
-def ordered_split(df: DataFrame, order: str, tie: str, tenths: int = 8, slices: int = 64) -> tuple[DataFrame, DataFrame]:
+def ordered_split(df: DataFrame, order: str, tie: str, tenths: int = 8, slices: int = SLICES) -> tuple[DataFrame, DataFrame]:
     """The first ``tenths`` tenths of the rows by ``order``, and the rest.
 
     Like taking the first ``n // 10 * tenths`` rows, but with an order of its

@@ -16,6 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SLICES = 512
 MAX_SLICES = 4096
 
 
@@ -102,7 +103,7 @@ def ordinals(
     return joined.select(*df.columns, (F.col("_local") + F.col("_before")).cast("bigint").alias(name))
 
 
-def exact_quantiles(df: DataFrame, name: str, probs: Sequence[float], slices: int = 64) -> list[float]:
+def exact_quantiles(df: DataFrame, name: str, probs: Sequence[float], slices: int = SLICES) -> list[float]:
     """Exact quantiles with linear interpolation, without one task holding the column.
 
     Values are counted first, then ranked by running totals; only the rows at
@@ -123,7 +124,7 @@ def exact_quantiles(df: DataFrame, name: str, probs: Sequence[float], slices: in
     return [at[floor(p)] + (at[ceil(p)] - at[floor(p)]) * (p - floor(p)) for p in positions]
 
 
-def decile_edges(df: DataFrame, score: str, bins: int = 10, slices: int = 64) -> list[float]:
+def decile_edges(df: DataFrame, score: str, bins: int = 10, slices: int = SLICES) -> list[float]:
     """The inner edges that cut a score column into equally filled bins."""
     return exact_quantiles(df, score, [i / bins for i in range(1, bins)], slices)
 

@@ -48,6 +48,9 @@ def wide_columns(engine: str = "spark") -> dict[str, str]:
         "k": "k",
         "app_id": "CASE WHEN k < 80 THEN 'website' ELSE 'mobile' END",
         "login_id": "CASE WHEN event_type = 'signup' THEN 'u' || CAST(user_id % 97 AS STRING) END",
+        "domain_sessionid": (
+            "CAST(user_id AS STRING) || '-' || CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS STRING)"
+        ),
         "page_view_id": (
             "CAST(user_id AS STRING) || '-' || CAST(year(ts) * 1000000 + month(ts) * 10000 "
             "+ day(ts) * 100 + hour(ts) - hour(ts) % 2 AS STRING)"

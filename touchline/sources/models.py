@@ -11,6 +11,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,14 +32,13 @@ class ModelStore:
     def _append(self, table: str, rows: list[tuple], schema: str) -> None:
         self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.root}/{table}")
 
-    def _exists(self, table: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
-
     def _read(self, table: str, schema: str) -> DataFrame:
-        if not self._exists(table):
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
 
     def versions(self, name: str) -> DataFrame:
         """One row per version with its current stage."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from touchline.functions.times import epoch_micros
 from touchline.session import work_path
@@ -42,12 +43,21 @@ def deduplicated(stream: DataFrame, key: str, event_time: str = "event_time", de
     return marked.dropDuplicatesWithinWatermark([key])
 
 
+def start_stream(
+    stream: DataFrame, target: str, checkpoint: str, every: str = "1 minute", partition_by: list[str] | None = None
+) -> StreamingQuery:
+    """Keep appending to a Parquet folder, one batch per interval; the query is returned running."""
+    return _writer(stream, checkpoint, partition_by).trigger(processingTime=every).start(target)
+
+
 def write_stream(stream: DataFrame, target: str, checkpoint: str, partition_by: list[str] | None = None) -> None:
     """Append what is there now to a Parquet folder, then stop. Run it again for what came since."""
+    _writer(stream, checkpoint, partition_by).trigger(availableNow=True).start(target).awaitTermination()
+
+
+def _writer(stream: DataFrame, checkpoint: str, partition_by: list[str] | None) -> DataStreamWriter:
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.trigger(availableNow=True).start(target).awaitTermination()
+    return writer.partitionBy(*partition_by) if partition_by else writer
 
 
 def run_to_table(stream: DataFrame, label: str) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from touchline.operators import aggregates
 from touchline.operators import audiences as A
 from touchline.operators import evaluate as V
 from touchline.operators import features as X
@@ -17,7 +18,7 @@ from touchline.plans import training
 from touchline.session import work_path
 from touchline.sources.models import ModelStore
 from touchline.sources.tables import staged
-from workload import inputs
+from workload import ctes, inputs
 from workload.registry import query
 
 LABEL = "converted_user"
@@ -167,6 +168,16 @@ def oversample_minority(spark, sf):
     return oversample.smote_nc(cut, "domain_userid", LABEL, CONTINUOUS, CATEGORICAL)
 
 
+@query(
+    f"WITH {ctes.GOLD_CTE}, t AS (SELECT coalesce(converted_user, 0) AS converted_user FROM customer "
+    "LEFT JOIN gold ON domain_userid = CAST(c_custkey AS VARCHAR) "
+    f"WHERE {ctes.HASH_PERCENT.format('c_custkey')} < 67), c AS (SELECT converted_user, count(*) AS n FROM t GROUP BY 1) "
+    "SELECT converted_user, max(n) OVER () AS count FROM c"
+)
+def class_sizes_after_oversampling(spark, sf):
+    return aggregates.class_counts(oversample_minority(spark, sf), LABEL)
+
+
 @query()
 def quantile_regression(spark, sf):
     lines = inputs.read(spark, sf, "lineitem").select(

@@ -206,7 +206,7 @@ def daily_users_and_events(spark, sf):
 
 @query(
     f"WITH {ctes.NESTED_CTE} SELECT contexts_ua[1].device_family AS device_family, "
-    "contexts_ua[1].useragent AS browser_family, count(DISTINCT page_view_id) AS number_of_sessions "
+    "contexts_ua[1].useragent AS browser_family, count(DISTINCT domain_sessionid) AS number_of_sessions "
     f"FROM nested WHERE unstruct_link_click.target_url = '{B.TARGET_URL}' AND app_id = 'website' "
     "GROUP BY 1, 2 ORDER BY 3 DESC, 1 NULLS FIRST, 2 NULLS FIRST LIMIT 10"
 )
@@ -215,9 +215,9 @@ def top_devices_by_sessions(spark, sf):
     keyed = B.nested_events(spark, sf).where(clicked).select(
         F.get("contexts_ua.device_family", F.lit(0)).alias("device_family"),
         F.get("contexts_ua.useragent", F.lit(0)).alias("browser_family"),
-        "page_view_id",
+        "domain_sessionid",
     )
-    counted = A.distinct_per_group(keyed, ["device_family", "browser_family"], "page_view_id", "number_of_sessions")
+    counted = A.distinct_per_group(keyed, ["device_family", "browser_family"], "domain_sessionid", "number_of_sessions")
     return A.largest(counted, "number_of_sessions", 10, "device_family", "browser_family")
 
 
