@@ -104,6 +104,10 @@ def test_store_versions_stages_and_scoring(spark, people, tmp_path):
     table = training.score_and_label(people, store, "p")
     assert table.count() == people.count()
     assert {r[0] for r in rows(table.select("propensity_label").distinct())} <= {"Low", "Medium", "High"}
+    training.save_scores(people, store, "p", "propensity_scores")
+    assert spark.table("propensity_scores").columns == ["domain_userid", "propensity_score", "propensity_decile", "propensity_label"]
+    training.save_high_propensity(people, store, "p", "high_propensity")
+    assert {r[0] for r in rows(spark.table("high_propensity").select("propensity_prediction").distinct())} == {1.0}
     with pytest.raises(ValueError):
         store.transform("p", people.drop("signal"))
     with pytest.raises(ValueError):

@@ -112,10 +112,10 @@ def classification_statistics(df: DataFrame, label: str, prediction: str, score:
         _ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"),
         _ratio(tp, tp + fp).alias("precision"),
         _ratio(tp, tp + fn).alias("recall"),
-        F.lit(1).alias("_one"),
     )
-    area = area_under_roc(df, label, score).withColumn("_one", F.lit(1))
-    return rates.join(area, "_one").drop("_one")
+    # Two one-row tables with different columns, folded into one row.
+    both = rates.unionByName(area_under_roc(df, label, score), allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def regression_statistics(df: DataFrame, label: str, prediction: str) -> DataFrame:

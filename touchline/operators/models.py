@@ -58,8 +58,8 @@ def dummy_featurizer(train: DataFrame, categorical: Sequence[str], continuous: S
 
 
 def boosted_trees(label: str, **params) -> GBTClassifier:
-    """Boosted trees with logistic loss."""
-    return GBTClassifier(labelCol=label, featuresCol="features", seed=SEED, **params)
+    """Boosted trees with logistic loss. Bins must outnumber the values of every category."""
+    return GBTClassifier(labelCol=label, featuresCol="features", seed=SEED, **{"maxBins": 64, **params})
 
 
 def boosted_trees_with_stop(label: str, validation: str, tolerance: float = 0.01, **params) -> GBTClassifier:

@@ -11,9 +11,9 @@ from touchline.operators import evaluate as V
 from touchline.operators import features as X
 from touchline.operators import models as M
 from touchline.operators import tuning as U
-from touchline.operators.audiences import score_table
+from touchline.operators.audiences import high_propensity, score_table
 from touchline.sources.models import ModelStore
-from touchline.sources.tables import staged
+from touchline.sources.tables import staged, write_table
 
 
 def train_and_register(
@@ -59,3 +59,13 @@ def score_users(gold: DataFrame, store: ModelStore, name: str, key: str = "domai
 def score_and_label(gold: DataFrame, store: ModelStore, name: str, key: str = "domain_userid") -> DataFrame:
     """The score table. Scores are written once, as deciles need several passes over them."""
     return score_table(staged(score_users(gold, store, name, key), "scores"), key)
+
+
+def save_scores(gold: DataFrame, store: ModelStore, name: str, target: str, key: str = "domain_userid") -> None:
+    """Replace the score table with scores of the production model."""
+    write_table(score_and_label(gold, store, name, key), target)
+
+
+def save_high_propensity(gold: DataFrame, store: ModelStore, name: str, target: str, key: str = "domain_userid") -> None:
+    """Replace the table of users whom the production model expects to convert."""
+    write_table(high_propensity(score_users(gold, store, name, key), key, "prediction"), target)

@@ -40,10 +40,6 @@ def write_table(df: DataFrame, name: str, path: str | None = None, partition_by:
     writer.saveAsTable(name)
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def make_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from touchline.functions import privacy, scores, times, web
 from touchline.operators import aggregates as A
+from touchline.operators import features as X
 from touchline.operators import joins as J
 from touchline.operators import ordering as O
 from touchline.operators import sessions as S
 from touchline.plans import bindings as B
 from touchline.plans.gold import first_views
+from touchline.sources.tables import first_rows
 from workload import ctes, inputs
 from workload.registry import query
 
@@ -20,7 +22,7 @@ from workload.registry import query
 
 @query("SELECT * FROM events ORDER BY event_id LIMIT 10")
 def first_events(spark, sf):
-    return inputs.read(spark, sf, "events").orderBy("event_id").limit(10)
+    return first_rows(inputs.read(spark, sf, "events"), 10, "event_id")
 
 
 @query(
@@ -93,9 +95,7 @@ def add_computed_column(spark, sf):
 @query("SELECT o_orderstatus, o_orderpriority, o_totalprice FROM orders")
 def choose_columns_by_type(spark, sf):
     orders = inputs.read(spark, sf, "orders").drop("o_orderkey", "o_custkey")
-    texts = [f.name for f in orders.schema if f.dataType.simpleString() == "string"]
-    numbers = [f.name for f in orders.schema if f.dataType.simpleString() == "double"]
-    return orders.select(*texts, *numbers)
+    return orders.select(*X.string_columns(orders), *X.other_columns(orders, ["o_orderdate"]))
 
 
 @query(
