@@ -18,7 +18,10 @@ def latest_login(events: DataFrame, device: str, login: str, order: Sequence[str
 
 
 def stitch(rows: DataFrame, mapping: DataFrame, device: str) -> DataFrame:
-    """Rows with their customer id: the mapped login, else the device itself."""
+    """Rows with their customer id: the mapped login, else the device itself.
+
+    ``rows`` is read twice: pass a written table.
+    """
     return join_unique(rows, mapping, device, "left").withColumn(
         "stitched_user_id", F.coalesce("stitched_user_id", F.col(device))
     )

@@ -25,7 +25,10 @@ def refresh(
     key: str,
     build: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """The table with the keys of the new events rebuilt, all other rows kept."""
+    """The table with the keys of the new events rebuilt, all other rows kept.
+
+    ``table`` and ``events`` are read twice: pass written tables.
+    """
     touched = new_events.select(key).distinct()
     rebuilt = build(join_unique(events, touched, key, "left_semi"))
     return join_unique(table, touched, key, "left_anti").unionByName(rebuilt)

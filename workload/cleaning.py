@@ -214,8 +214,9 @@ def flatten_entities(spark, sf):
     "UNION ALL SELECT 'user', '5', min(start_tstamp), arg_min(page_title, start_tstamp) FROM views WHERE domain_userid = '5'"
 )
 def user_drill_down(spark, sf):
-    views = inputs.views(spark, sf)
-    mine = S.user_journey(views, "5")
+    # Sessions never cross users, so the user's events are enough, and the filter reaches the scan.
+    events = inputs.wide(spark, sf).where("customer_key = 5")
+    mine = S.user_journey(inputs.views(spark, sf, events), "5")
     per_view = mine.select(F.lit("view").alias("level"), F.col("page_view_id").alias("id"), "start_tstamp", F.col("page_title").alias("title"))
     per_session = S.sessions(mine).select(F.lit("session"), "domain_sessionid", "start_tstamp", "first_page_title")
     per_user = S.users(mine).select(F.lit("user"), "domain_userid", "start_tstamp", "first_page_title")

@@ -27,9 +27,9 @@ def page_views(events: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
     return B.with_geography(rolled, spark, sf).drop("customer_key")
 
 
-def views(spark: SparkSession, sf: str) -> DataFrame:
+def views(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
     """Sessionized page views. Sessions read the views twice, so these are written first."""
-    rolled = staged(page_views(wide(spark, sf), spark, sf), "page_views")
+    rolled = staged(page_views(wide(spark, sf) if events is None else events, spark, sf), "page_views")
     return S.sessionize(rolled, gap_s=B.SESSION_GAP_S)
 
 
