@@ -10,7 +10,7 @@ of one row per (group, slice), added by a join.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, floor
+from math import ceil, floor, isfinite
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -32,7 +32,7 @@ def value_summary(df: DataFrame, name: str, slices: int) -> tuple[int, list[floa
         F.count(name).alias("n"),
         F.percentile_approx(F.col(name).cast("double"), probs, 20 * slices).alias("bounds"),
     ).first()
-    return row["n"], sorted(set(row["bounds"] or []))
+    return row["n"], sorted({b for b in row["bounds"] or [] if isfinite(b)})
 
 
 def with_slice(df: DataFrame, name: str, bounds: list[float], slice_name: str = "_slice") -> DataFrame:
@@ -107,9 +107,9 @@ def exact_quantiles(df: DataFrame, name: str, probs: Sequence[float], slices: in
     """Exact quantiles with linear interpolation, without one task holding the column.
 
     Values are counted first, then ranked by running totals; only the rows at
-    the wanted ranks (two per quantile) reach the driver. Nulls are left out.
+    the wanted ranks (two per quantile) reach the driver. Null and NaN are left out.
     """
-    values = df.select(F.col(name).cast("double").alias("_v")).where("_v IS NOT NULL")
+    values = df.select(F.col(name).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
     n, bounds = value_summary(values, "_v", slices)
     if n == 0:
         return []
@@ -130,11 +130,11 @@ def decile_edges(df: DataFrame, score: str, bins: int = 10, slices: int = SLICES
 
 
 def bin_code(score: Column, edges: Sequence[float]) -> Column:
-    """Number of edges below the score: bins closed on the right, from 0. Null stays null."""
+    """Number of edges below the score: bins closed on the right, from 0. Null and NaN give null."""
     total = F.lit(0)
     for edge in edges:
         total = total + F.when(score > F.lit(float(edge)), 1).otherwise(0)
-    return F.when(score.isNotNull(), total)
+    return F.when(score.isNotNull() & ~F.isnan(score.cast("double")), total)
 
 
 def hash_slice(key: Column, digits: int = 2) -> Column:
