@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.llm.decontaminate import find_leaks
+from touchline.llm.fingerprint import document_fingerprints
+from touchline.llm.langid import identify, language_model
 from touchline.llm.near_dedup import near_dedup
+from touchline.llm.packing import pack
 from touchline.llm.substring_dedup import substring_dedup
 from touchline.llm.suffix_dedup import suffix_dedup
+from touchline.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +38,13 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file lies; the package is installed wherever tasks run."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query()
 def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of each document without passages of 50 words that an earlier document holds."""
@@ -40,6 +52,33 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query()
+def op4_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of each document and of an edited copy, and how alike they are."""
+    found = document_fingerprints(documents(spark, sf))
+    return found.withColumn("edited_sha256", F.sha2(F.col("edited_text").cast("binary"), 256)).drop("edited_text")
+
+
+@query()
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """The probability that a document is toxic, learned from the labels of three quarters of the ids."""
+    return toxicity(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
+@query()
+def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """The language of each document, learned from four fifths of the ids."""
+    docs = documents(spark, sf)
+    return identify(docs, language_model(docs))
+
+
+@query()
+def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Training sequences of at most 2048 tokens, as pieces of documents."""
+    found = pack(documents(spark, sf), tokenizer_path("byte_bpe_50k.json"), limit=2048)
+    return found.drop("ids")
+
+
 @query()
 def op8_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of each document without strings of 50 bytes that an earlier document holds."""
@@ -57,3 +96,9 @@ def op8_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op9_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Groups of documents whose sets of five-word shingles have a similarity of 0.85 or more along links."""
     return near_dedup(documents(spark, sf), percent=85)
+
+
+@query()
+def op10_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that hold a test item, reordered or not."""
+    return find_leaks(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))

@@ -85,8 +85,8 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
 class Words:
     """The words of a text column: byte positions, hashes, and each document's first word."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        solid = ~SEPARATOR[data]
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR):
+        solid = ~separator[data]
         edge = np.zeros(len(data) + 1, dtype=bool)
         edge[offsets] = True
         edge = edge[1 : len(data)]
