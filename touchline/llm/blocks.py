@@ -52,10 +52,12 @@ class Layout:
         return cls(blocks, min(16_384, max(1, math.ceil(blocks / 4))))
 
 
-def in_blocks(docs: DataFrame, doc_id: str, text: str, carried: Sequence[str] = ()) -> tuple[DataFrame, Layout]:
+def in_blocks(
+    docs: DataFrame, doc_id: str, text: str, carried: Sequence[str] = (), block_mb: float = 4.0
+) -> tuple[DataFrame, Layout]:
     """(block, id, text, row) with the carried columns in the struct ``row``. Reads the text's size first."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    layout = Layout.of(size)
+    layout = Layout.of(size, block_mb)
     row = [F.struct(*[F.col(c) for c in carried]).alias("row")] if carried else []
     block = F.pmod(F.xxhash64(doc_id, text), F.lit(layout.blocks)).cast("long")
     return docs.select(block.alias("block"), F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), *row), layout

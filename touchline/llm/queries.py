@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from touchline.llm.decontaminate import find_leaks
 from touchline.llm.fingerprint import document_fingerprints
 from touchline.llm.langid import identify, language_model
+from touchline.llm.license_scan import NOTICES, license_scan
+from touchline.llm.lm import score_documents
 from touchline.llm.near_dedup import near_dedup
 from touchline.llm.packing import pack
 from touchline.llm.substring_dedup import substring_dedup
@@ -52,6 +54,18 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query()
+def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Licence notices in documents."""
+    return license_scan(documents(spark, sf), NOTICES)
+
+
+@query()
+def op3_language_model(spark: SparkSession, sf: str) -> DataFrame:
+    """Log probabilities of all documents, learned from four fifths of the ids."""
+    return score_documents(documents(spark, sf))
+
+
 @query()
 def op4_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprints of each document and of an edited copy, and how alike they are."""
