@@ -7,33 +7,70 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.llm.decontaminate import find_leaks
+from touchline.llm.langid import UNKNOWN, identify, language_model
 from touchline.llm.near_dedup import near_dedup
+from touchline.llm.packing import pack
+from touchline.llm.queries import tokenizer_path
 from touchline.llm.substring_dedup import substring_dedup
 from touchline.sources.tables import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: A document stays if one language explains this share of its letters.
+LEAST_LANGUAGE_SHARE = 0.4
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the smallest id."""
-    found = near_dedup(docs, carried=docs.columns)
-    return found.where("kept").select("row.*")
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with letters, most of them in one known language.
 
-def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of 50 words that an earlier document holds; unchanged where there is none."""
-    found = substring_dedup(docs, carried=docs.columns)
+    Null and empty texts go, and so do texts without letters. An empty table
+    stays empty.
+    """
+    found = identify(docs, language_model(docs), carried=docs.columns)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SHARE)).select("row.*")
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the smallest id.
+
+    Rows that share the smallest id all stay if they are equal; texts without
+    words stay.
+    """
+    return near_dedup(docs, carried=docs.columns).where("kept").select("row.*")
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of 50 words that an earlier document holds; as they were where there is none.
+
+    A document of which nothing is left goes, as does nothing else.
+    """
+    found = substring_dedup(docs, carried=docs.columns).where("n_removed = 0 OR n_removed < n_words")
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("row.text"))
-    changed = found.select(F.col("row").withField("text", text).alias("row")).select("row.*")
-    return changed.withColumn("n_chars", F.length("text").cast("long"))
+    size = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("row.n_chars"))
+    return found.select(F.col("row").withField("text", text).withField("n_chars", size).alias("row")).select("row.*")
+
+
+def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no test item. A null id stands for all rows without one."""
+    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("_leak")).distinct()
+    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences of at most 2048 tokens, as pieces of documents with their token ids."""
+    return pack(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("near_dedup", near_duplicates),
-    ("substring_dedup", repeated_passages),
+    ("language_id", known_language),
+    ("near_dedup", one_of_near_copies),
+    ("substring_dedup", without_repeats),
+    ("decontamination", without_test_items),
+    ("packing", packed),
 ]
 
-#: The stages learn from the data or run to a fixed point, which SQL cannot say.
+#: Fitted models, near copies by reachability and tokens are beyond SQL; tests compare with brute force.
 ORACLE_SQL: str | None = None
 
 
