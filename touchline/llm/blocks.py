@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
@@ -72,11 +73,16 @@ def _mail(table: pa.Table) -> list[Mail]:
     return list(zip(*[table.column(n).to_pylist() for n in ("shard", "block", "kind", "payload")]))
 
 
+def _ordered(table: pa.Table) -> pa.Table:
+    """The block's rows in one order, whichever way the shuffle delivered them, so that all passes agree."""
+    return table.take(pc.sort_indices(table, [("id", "ascending"), ("text", "ascending")]))
+
+
 def send(blocks: DataFrame, work: Callable[[int, pa.Table], list[Mail]]) -> DataFrame:
     """Messages of each block."""
 
     def run(table: pa.Table) -> pa.Table:
-        return _table(work(table.column("block")[0].as_py(), table))
+        return _table(work(table.column("block")[0].as_py(), _ordered(table)))
 
     return blocks.groupBy("block").applyInArrow(run, MAIL)
 
@@ -94,7 +100,7 @@ def reply(blocks: DataFrame, mail: DataFrame, work: Callable[[int, pa.Table, lis
     """Messages of each block, given its answers."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _table(work(left.column("block")[0].as_py(), left, _mail(right)) if left.num_rows else [])
+        return _table(work(left.column("block")[0].as_py(), _ordered(left), _mail(right)) if left.num_rows else [])
 
     return blocks.groupBy("block").cogroup(mail.groupBy("block")).applyInArrow(run, MAIL)
 
@@ -108,7 +114,7 @@ def finish(
     empty = to_arrow_schema(schema).empty_table()
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return work(left, _mail(right)) if left.num_rows else empty
+        return work(_ordered(left), _mail(right)) if left.num_rows else empty
 
     return blocks.groupBy("block").cogroup(mail.groupBy("block")).applyInArrow(run, schema)
 
