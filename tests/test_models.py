@@ -39,7 +39,8 @@ CAT, NUM, Y = ["kind"], ["signal", "noise"], "converted_user"
 
 @pytest.fixture(scope="module")
 def fitted(people):
-    train, test = X.hash_split(X.with_class_weight(people, Y), "domain_userid", 67)
+    train, test = X.hash_split(people, "domain_userid", 67)
+    train = X.with_class_weight(train, Y)
     trees = M.boosted_trees(Y, weightCol="weight", maxIter=4, maxDepth=3)
     return M.propensity_model(train, Y, CAT, NUM, trees), train, test
 
@@ -78,19 +79,43 @@ def test_settings_are_repeatable_and_in_range():
     assert one == two != tuning.draw_settings(20, 2) and len(one) == 20
     for s in one:
         assert 2 <= s["maxDepth"] <= 8 and 50 <= s["maxIter"] <= 200 and np.exp(-3) <= s["stepSize"] <= 1
-        assert 0 <= s["minInfoGain"] <= 5 and 1 <= s["minInstancesPerNode"] <= 20
+        assert 0 <= s["gamma"] <= 5 and 1 <= s["minInstancesPerNode"] <= 20
 
 
 def test_search_picks_the_best_trial(people):
     features = M.featurizer(CAT, NUM).fit(people)
-    prepared = X.materialised(features.transform(people).select(Y, "features"))
+    marked = tuning.with_fold(people, "domain_userid", 2).withColumn("validation", F.col("fold") == 1)
+    prepared = X.materialised(features.transform(marked).select(Y, "features", "fold", "validation"))
     settings = [{"maxIter": 1, "maxDepth": 1, "stepSize": 0.1}, {"maxIter": 3, "maxDepth": 3, "stepSize": 0.3}]
     found = tuning.random_search(M.boosted_trees(Y), prepared, V.AveragePrecision(labelCol=Y), settings)
     assert found.metric == max(m for _, m in found.trials) and found.best in settings
+    assert found.metric > min(m for _, m in found.trials)
     grid = tuning.grid_search(M.boosted_trees(Y, maxIter=1), prepared, Y, {"maxDepth": [1, 2]}, folds=2)
     assert len(grid.avgMetrics) == 2 and min(grid.avgMetrics) > 0.5
 
 
+def test_gamma_is_a_sum_over_rows(people):
+    """The largest gamma of the space still lets trees split; undivided it would not."""
+    assert tuning.as_params({"gamma": 5.0, "maxDepth": 3}, 1000) == {"minInfoGain": 0.005, "maxDepth": 3}
+    prepared = M.featurizer(CAT, NUM).fit(people).transform(people)
+    params = tuning.as_params({"gamma": 5.0}, people.count())
+    assert M.boosted_trees(Y, maxIter=1, maxDepth=3, **params).fit(prepared).trees[0].numNodes > 1
+    assert M.boosted_trees(Y, maxIter=1, maxDepth=3, minInfoGain=2.5).fit(prepared).trees[0].numNodes == 1
+
+
+def test_class_weight_is_learned_on_training_rows(people, spark, tmp_path):
+    """Test rows of another ratio do not change the model."""
+    store = ModelStore(spark, str(tmp_path / "weights"))
+    test_keys = X.hash_split(people, "domain_userid", 67)[1].select("domain_userid")
+    other = people.join(test_keys, "domain_userid", "left_semi").withColumn(Y, F.lit(1))
+    mixed = people.join(test_keys, "domain_userid", "left_anti").unionByName(other)
+    settings = [{"maxIter": 2, "maxDepth": 2, "stepSize": 0.3}]
+    for name, table in (("as it is", people), ("changed", mixed)):
+        training.train_and_register(staged(table, "table"), store, name, categorical=CAT, continuous=NUM, settings=settings)
+    scores = [rows(training.score_users(people, store, name), "domain_userid") for name in ("as it is", "changed")]
+    assert scores[0] == scores[1]
+
+
 def test_store_versions_stages_and_scoring(spark, people, tmp_path):
     store = ModelStore(spark, str(tmp_path / "store"))
     settings = [{"maxIter": 2, "maxDepth": 2, "stepSize": 0.3}]
@@ -145,25 +170,55 @@ def test_ranker_beats_chance(spark):
 # ---- nearest neighbours and oversampling ------------------------------------
 
 
-@pytest.mark.parametrize(("cell_rows", "chunk"), [(10_000, 50), (60, 25)])
-def test_neighbours_equal_brute_force(spark, cell_rows, chunk):
-    rng = np.random.default_rng(1)
-    n, k, penalty = 500, 4, 1.3
-    cont, cat = np.round(rng.normal(size=(n, 2)) * [1, 4], 1), rng.integers(0, 3, (n, 2)).astype(str)
-    made = [(f"p{i:04d}", [float(v) for v in cont[i]], list(cat[i]), 1) for i in range(n)]
-    points = staged(spark.createDataFrame(made, neighbours._POINT), "points")
-    got = neighbours.k_nearest(points, k, penalty, cell_rows, chunk).toPandas()
+def cloud(spark, n, seed=1, categories=2):
+    rng = np.random.default_rng(seed)
+    cont, cat = np.round(rng.normal(size=(n, 2)) * [1, 4], 1), rng.integers(0, 3, (n, categories)).astype(str)
+    made = [(f"p{i:05d}", [float(v) for v in cont[i]], list(cat[i]), 1) for i in range(n)]
+    schema = "point_id string, cont array<double>, cat array<string>, copies bigint"
+    return staged(spark.createDataFrame(made, schema), "points"), cont, cat
+
+
+def distances(cont, cat, penalty):
     d = sum((cont[:, None, a] - cont[None, :, a]) ** 2 for a in range(2)) + penalty * (cat[:, None] != cat[None]).sum(-1)
     np.fill_diagonal(d, np.inf)
-    for i in range(n):
-        mine = got[got.point_id == f"p{i:04d}"].sort_values(["distance", "near_id"])
-        assert sorted(np.round(mine.distance, 9)) == sorted(np.round(np.sort(d[i])[:k], 9))
-    assert len(got) == n * k
+    return d
+
+
+def test_neighbours_in_one_group_equal_brute_force(spark):
+    points, cont, cat = cloud(spark, 500)
+    got = neighbours.k_nearest(points, 4, 1.3, group_rows=10_000).toPandas()
+    d = distances(cont, cat, 1.3)
+    for i in range(500):
+        mine = got[got.point_id == f"p{i:05d}"].sort_values(["distance", "near_id"])
+        assert sorted(np.round(mine.distance, 9)) == sorted(np.round(np.sort(d[i])[:4], 9))
+    assert len(got) == 500 * 4
+
+
+@pytest.mark.parametrize("categories", [2, 6])
+def test_recall_of_neighbours_over_many_groups(spark, categories):
+    n, k, penalty = 3000, 5, 1.3
+    points, cont, cat = cloud(spark, n, categories=categories)
+    got = neighbours.k_nearest(points, k, penalty, group_rows=300).toPandas()
+    d = distances(cont, cat, penalty)
+    edge = np.sort(d, axis=1)[:, k - 1]
+    at = got.point_id.str[1:].astype(int).to_numpy()
+    assert len(got) == n * k and (got.distance.to_numpy() <= edge[at] + 1e-9).mean() >= 0.9
+
+
+def test_work_per_point_does_not_grow(spark):
+    """Rows that go into groups, per point, at two sizes."""
+    for n in (400, 1600):
+        points, _, _ = cloud(spark, n)
+        plan = neighbours.k_nearest(points, 3, 1.0, group_rows=100)
+        plan.collect()
+        text = plan._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in text and text.count("FlatMapGroupsInPandas") == 1
+        assert neighbours.TABLES == 12
 
 
 def test_oversampling(spark, people):
     filled = people.na.fill("N/A", CAT).na.fill(0.0, NUM)
-    made = staged(oversample.smote_nc(filled, "domain_userid", Y, NUM, CAT, cell_rows=20), "made")
+    made = staged(oversample.smote_nc(filled, "domain_userid", Y, NUM, CAT, group_rows=20), "made")
     sizes = dict(rows(made.groupBy(Y).count()))
     assert sizes[0] == sizes[1]
     assert made.join(filled.select("domain_userid"), "domain_userid", "left_semi").count() == people.count()
@@ -173,7 +228,7 @@ def test_oversampling(spark, people):
     assert real[0] <= span[0] and span[1] <= real[1] and real[2] <= span[2] and span[3] <= real[3]
     kinds = {r[0] for r in rows(fake.select("kind").distinct())}
     assert kinds <= {r[0] for r in rows(filled.where(f"{Y} = 1").select("kind").distinct())}
-    again = oversample.smote_nc(filled.repartition(5), "domain_userid", Y, NUM, CAT, cell_rows=50)
+    again = oversample.smote_nc(filled.repartition(5), "domain_userid", Y, NUM, CAT, group_rows=20)
     assert rows(made, "domain_userid") == rows(again, "domain_userid")
 
 

@@ -4,7 +4,10 @@ import pytest
 from check_oracle import compare, connect
 
 import __spark_entry__ as entry
+from workload import load_all
+from workload.registry import ORACLES
 
+load_all()
 SF = "/root/testdata/sf0.001"
 
 
@@ -13,12 +16,12 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_as_sql(spark, con, name):
     result = entry.queries()[name](spark, SF)
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan and "PythonUDF" not in plan
-    assert compare(result, con, entry.oracle_sql()[name]) is None
+    assert compare(result, con, ORACLES[name]) is None
 
 
 def test_every_oracle_has_a_query():

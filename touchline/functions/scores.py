@@ -33,13 +33,17 @@ def flag(value: Column) -> Column:
     return F.coalesce(value, F.lit(False)).cast("int")
 
 
-def hash_percent(key: Column, salt: str = "") -> Column:
-    """A stable number 0-99 per key: the same in every run, order and cluster."""
+def hash_number(key: Column, salt: str = "") -> Column:
+    """A stable whole number below 16 ** 8 per key: the same in every run, order and cluster."""
     text = F.concat(F.lit(salt), key.cast("string")) if salt else key.cast("string")
-    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 100).cast("int")
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+
+def hash_percent(key: Column, salt: str = "") -> Column:
+    """A stable number 0-99 per key."""
+    return (hash_number(key, salt) % 100).cast("int")
 
 
 def hash_fraction(key: Column, salt: str) -> Column:
     """A stable number in [0, 1) per key."""
-    digits = F.substring(F.md5(F.concat(F.lit(salt), key.cast("string"))), 1, 8)
-    return F.conv(digits, 16, 10).cast("double") / F.lit(float(16**8))
+    return hash_number(key, salt).cast("double") / F.lit(float(16**8))

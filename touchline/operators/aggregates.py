@@ -51,15 +51,27 @@ def top_values(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
     return counted.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
 
 
-def histogram(df: DataFrame, value: Column, by: str, low: float, high: float, bins: int) -> DataFrame:
-    """Rows per equal-width bin (from 0) and class; the top edge belongs to the last bin."""
-    width = (high - low) / bins
-    number = F.least(F.floor((value - low) / width), F.lit(bins - 1))
+def histogram(df: DataFrame, value: Column, by: str, low: float | None, high: float | None, bins: int) -> DataFrame:
+    """Rows per equal-width bin (from 0) and class; the top edge belongs to the last bin.
+
+    With equal edges all values are in bin 0. Null and NaN, and with them all
+    rows if there are no edges, have the bin null.
+    """
+    real = ~F.isnan(value.cast("double"))
+    width = (high - low) / bins if low is not None and high is not None else None
+    if width is None:
+        number = F.lit(None)
+    elif width == 0:
+        number = F.when(real, 0)
+    else:
+        number = F.when(real, F.least(F.floor((value - low) / width), F.lit(bins - 1)))
     return df.groupBy(number.cast("int").alias("bin"), by).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def value_range(df: DataFrame, value: str) -> tuple[float, float]:
-    row = df.agg(F.min(value).alias("low"), F.max(value).alias("high")).first()
+def value_range(df: DataFrame, value: str) -> tuple[float | None, float | None]:
+    """Smallest and largest value, null and NaN left out; nothing without values."""
+    real = F.when(~F.isnan(F.col(value).cast("double")), F.col(value))
+    row = df.agg(F.min(real).alias("low"), F.max(real).alias("high")).first()
     return row["low"], row["high"]
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.functions.scores import propensity_label
+from touchline.functions.scores import hash_number, propensity_label
 from touchline.operators.ordering import bin_code, decile_edges, hash_slice, ordinals
 
 
@@ -62,8 +62,7 @@ def change_set(previous: DataFrame, current: DataFrame, key: str, compared: Sequ
 
 def split_by_hash(audience: DataFrame, key: str, groups: int, salt: str = "") -> DataFrame:
     """A stable random group per user, without any shuffle; group sizes are near equal."""
-    number = F.conv(F.substring(F.md5(F.concat(F.lit(salt), F.col(key).cast("string"))), 1, 8), 16, 10).cast("bigint")
-    return audience.withColumn("split", (number % groups).cast("int"))
+    return audience.withColumn("split", (hash_number(F.col(key), salt) % groups).cast("int"))
 
 
 def split_stratified(audience: DataFrame, key: str, strata: Sequence[str], groups: int) -> DataFrame:
@@ -72,7 +71,7 @@ def split_stratified(audience: DataFrame, key: str, strata: Sequence[str], group
     Users are dealt out in hash order. A stratum may hold most of the audience,
     so its order is built from hash slices and not in one task.
     """
-    hashed = audience.withColumns({"_hash": F.md5(F.col(key).cast("string")), "_cut": hash_slice(F.col(key))})
+    hashed = audience.withColumns({"_hash": F.md5(F.col(key).cast("string")), "_cut": hash_slice(F.col(key), audience.count())})
     dealt = ordinals(hashed, strata, "_cut", ["_hash", key], "_position")
     return dealt.select(*audience.columns, ((F.col("_position") - 1) % groups).cast("int").alias("split"))
 

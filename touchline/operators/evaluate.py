@@ -15,19 +15,19 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.operators.ordering import SLICES, running_totals, value_summary
+from touchline.operators.ordering import running_totals, value_summary
 
 
-def _score_counts(df: DataFrame, label: str, score: str, slices: int) -> DataFrame:
-    """Per distinct score, from the highest: rows, positives, and both up to there."""
+def _score_counts(df: DataFrame, label: str, score: str, slices: int | None) -> DataFrame:
+    """Per distinct score, from the highest: rows, positives, and both up to there. Null and NaN scores are left out."""
     pairs = df.select(F.col(score).cast("double").alias("_score"), (F.col(label) == 1).cast("bigint").alias("_pos"))
-    pairs = pairs.where("_score IS NOT NULL AND _pos IS NOT NULL")
+    pairs = pairs.where("_score IS NOT NULL AND NOT isnan(_score) AND _pos IS NOT NULL")
     _, bounds = value_summary(pairs, "_score", slices)
     counted = pairs.groupBy("_score").agg(F.sum("_pos").alias("pos"), F.count(F.lit(1)).alias("n"))
     return running_totals(counted, "_score", ["pos", "n"], bounds, descending=True)
 
 
-def average_precision(df: DataFrame, label: str, score: str, slices: int = SLICES) -> DataFrame:
+def average_precision(df: DataFrame, label: str, score: str, slices: int | None = None) -> DataFrame:
     """Step-wise area under the precision-recall curve, without interpolation."""
     steps = _score_counts(df, label, score, slices)
     precision = F.col("cum_pos").cast("double") / F.col("cum_n").cast("double")
@@ -35,7 +35,7 @@ def average_precision(df: DataFrame, label: str, score: str, slices: int = SLICE
     return steps.agg(area.alias("average_precision"))
 
 
-def area_under_roc(df: DataFrame, label: str, score: str, slices: int = SLICES) -> DataFrame:
+def area_under_roc(df: DataFrame, label: str, score: str, slices: int | None = None) -> DataFrame:
     """Area under the ROC curve; equal scores count half."""
     steps = _score_counts(df, label, score, slices)
     negatives = (F.col("n") - F.col("pos")).cast("double")

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from touchline.functions.scores import hash_percent
 from touchline.operators.aggregates import class_ratio, top_values
-from touchline.operators.ordering import SLICES, ordinals, value_summary, with_slice
+from touchline.operators.ordering import hash_slice, ordinals, value_summary, with_slice
+from touchline.session import on_release
 
 # The feature groups of the propensity model.
 REFERRAL = ["refr_urlhost", "refr_medium"]
@@ -119,7 +120,9 @@ class TopKCategoriesModel(Model, _Columns, DefaultParamsReadable, DefaultParamsW
 class DummyColumns(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
     """One 0/1 column per value seen in training, named ``column_value`` in sorted order.
 
-    Null and unseen values give zeros throughout. A column with more than
+    A dot in a value, which Spark reads as a field's name, becomes an
+    underscore; a name that is taken gets a number. Null and unseen values give
+    zeros throughout. A column with more than
     ``limit`` values is refused: cut it down with ``TopKCategories`` first.
     """
 
@@ -150,14 +153,25 @@ class DummyColumnsModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWri
         super().__init__()
         self._set(**self._input_kwargs)
 
+    def _named(self) -> dict[str, tuple[str, str]]:
+        """Column and value behind each name."""
+        named: dict[str, tuple[str, str]] = {}
+        for column, values in json.loads(self.getOrDefault("values")).items():
+            for value in values:
+                name = base = f"{column}_{value}".replace(".", "_")
+                number = 1
+                while name in named:
+                    number += 1
+                    name = f"{base}_{number}"
+                named[name] = (column, value)
+        return named
+
     def dummy_names(self) -> list[str]:
-        return [f"{c}_{v}" for c, values in json.loads(self.getOrDefault("values")).items() for v in values]
+        return list(self._named())
 
     def _transform(self, df: DataFrame) -> DataFrame:
         made = {
-            f"{c}_{v}": F.coalesce(F.col(c).cast("string") == v, F.lit(False)).cast("int")
-            for c, values in json.loads(self.getOrDefault("values")).items()
-            for v in values
+            name: F.coalesce(F.col(c).cast("string") == v, F.lit(False)).cast("int") for name, (c, v) in self._named().items()
         }
         return df.withColumns(made).drop(*self.getOrDefault("columns"))
 
@@ -176,15 +190,27 @@ def random_split(df: DataFrame, fractions: Sequence[float], seed: int | None = N
     return df.randomSplit(list(fractions), seed)
 
 
-def ordered_split(df: DataFrame, order: str, tie: str, tenths: int = 8, slices: int = SLICES) -> tuple[DataFrame, DataFrame]:
+def ordered_split(
+    df: DataFrame, order: str, tie: str, tenths: int = 8, slices: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """The first ``tenths`` tenths of the rows by ``order``, and the rest.
 
     Like taking the first ``n // 10 * tenths`` rows, but with an order of its
-    own. ``order`` is numeric; positions come from sliced counts, not one sort.
+    own. ``order`` is numeric; null and NaN come last. Equal values are ordered
+    by the hash of ``tie``, then ``tie``, and cut by that hash, so a value that
+    many rows share is no single task. Positions come from sliced counts.
     """
-    n, bounds = value_summary(df, order, slices)
-    sliced = with_slice(df, order, bounds)
-    placed = ordinals(sliced, [], "_slice", [order, tie], "_position").drop("_slice")
+    value = F.col(order).cast("double")
+    ranked = df.withColumn("_order", F.when(~F.isnan(value), value))
+    n, bounds = value_summary(ranked, "_order", slices)
+    sliced = with_slice(ranked, "_order", bounds, "_by_value")
+    # A value with more rows than a slice is the lower bound of one: it comes first there, and is cut by hash.
+    shared = F.col("_order").isNull() | F.col("_order").isin(bounds)
+    by_value = F.coalesce("_by_value", F.lit(len(bounds) + 1))
+    cut = F.struct(by_value.alias("slice"), (~shared).alias("single"), F.when(shared, hash_slice(F.col(tie), n)).otherwise("").alias("hash"))
+    by = [F.col("_order").asc_nulls_last(), F.md5(F.col(tie).cast("string")), tie]
+    placed = ordinals(sliced.withColumn("_slice", cut), [], "_slice", by, "_position")
+    placed = placed.drop("_slice", "_by_value", "_order")
     last = n // 10 * tenths
     return placed.where(F.col("_position") <= last).drop("_position"), placed.where(F.col("_position") > last).drop("_position")
 
@@ -200,6 +226,7 @@ def materialised(df: DataFrame) -> DataFrame:
     """Keep a prepared set for the many passes of model training, filling the cache at once."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     kept.count()
+    on_release(kept.unpersist)
     return kept
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -88,6 +88,27 @@ def when_first_did(parent: DataFrame, events: DataFrame, key: str, ts: str, name
     return parent.join(firsts, key)
 
 
+def disjoint_ranges(ranges: DataFrame, low: str, high: str, carried: Sequence[str], bucket_bits: int) -> DataFrame:
+    """(bucket, from, to, range): the ranges cut into pieces that neither overlap nor leave their bucket.
+
+    Where ranges overlap, the one that starts last has the piece, and of those
+    the shortest: for nested ranges the innermost. All ranges of a bucket of
+    2 ** bucket_bits numbers meet in one row.
+    """
+    bucket = F.explode(F.sequence(F.shiftright(F.col(low), bucket_bits), F.shiftright(F.col(high), bucket_bits)))
+    first = F.greatest(F.col(low), F.shiftleft(F.col("bucket"), bucket_bits))
+    last = F.least(F.col(high), F.shiftleft(F.col("bucket") + 1, bucket_bits) - 1)
+    inner = F.struct(F.col(low).alias("start"), (-F.col(high)).alias("end"), F.struct(*carried).alias("range"))
+    cut = ranges.where(F.col(low) <= F.col(high)).withColumn("bucket", bucket)
+    cut = cut.groupBy("bucket").agg(F.collect_list(F.struct(first.alias("a"), last.alias("b"), inner.alias("inner"))).alias("all"))
+    edges = F.array_sort(F.array_distinct(F.concat(F.transform("all", lambda r: r["a"]), F.transform("all", lambda r: r["b"] + 1))))
+    parted = cut.withColumn("edges", edges).select("bucket", "all", "edges", F.posexplode("edges").alias("i", "from"))
+    holding = F.filter("all", lambda r: (r["a"] <= F.col("from")) & (r["b"] >= F.col("from")))
+    best = F.array_max(F.transform(holding, lambda r: r["inner"]))
+    pieces = parted.select("bucket", "from", (F.get("edges", F.col("i") + 1) - 1).alias("to"), best.alias("best"))
+    return pieces.where("best IS NOT NULL").select("bucket", "from", "to", F.col("best.range").alias("range"))
+
+
 def range_lookup(
     rows: DataFrame,
     ranges: DataFrame,
@@ -97,34 +118,16 @@ def range_lookup(
     carried: Sequence[str],
     bucket_bits: int = 16,
 ) -> DataFrame:
-    """Left join on ``low <= value <= high`` with ranges that do not overlap.
-
-    Row-by-range comparison would multiply rows. Instead the distinct values
-    and the range starts are put in one order, in buckets of 2 ** bucket_bits
-    neighbouring numbers, and each value takes the latest start at or before
-    it. A range that spans buckets is entered once in each of them. A bucket
-    can hold no more than 2 ** bucket_bits distinct values and as many starts,
-    whatever the number of rows. Large spans cost one entry per bucket, which
-    the width of the value space bounds.
+    """Left join on ``low <= value <= high``; of several ranges the innermost.
+
+    The ranges are cut into disjoint pieces in buckets of 2 ** bucket_bits
+    neighbouring numbers, a lookup table. Rows meet the pieces of their bucket
+    by an equality and keep the one that holds them. A table that is small
+    enough in bytes is broadcast by Spark, and the rows do not move; otherwise
+    adaptive execution splits a bucket that many rows share. Large spans cost
+    one piece per bucket, which the width of the value space bounds.
     """
-    bucket: Column = F.shiftright(F.col("_v"), bucket_bits)
-    entries = ranges.withColumn(
-        "_bucket",
-        F.explode(F.sequence(F.shiftright(F.col(low), bucket_bits), F.shiftright(F.col(high), bucket_bits))),
-    ).select(
-        "_bucket",
-        F.greatest(F.col(low), F.shiftleft(F.col("_bucket"), bucket_bits)).alias("_v"),
-        F.struct(F.col(high).alias("_high"), *carried).alias("_range"),
-    )
-    values = rows.select(F.col(value).cast("bigint").alias("_v")).where("_v IS NOT NULL").distinct()
-    placed = values.select(bucket.alias("_bucket"), "_v", F.lit(None).cast(entries.schema["_range"].dataType).alias("_range"))
-    ordered = Window.partitionBy("_bucket").orderBy("_v", F.col("_range").isNull())
-    latest = F.last("_range", ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-    found = (
-        entries.unionByName(placed)
-        .withColumn("_latest", latest)
-        .where("_range IS NULL AND _v <= _latest._high")
-        .select("_v", *[F.col(f"_latest.{c}").alias(c) for c in carried])
-    )
-    # Both sides come straight from a shuffle, so adaptive execution splits a value that many rows share.
-    return rows.join(found, F.col(value) == F.col("_v"), "left").select(*rows.columns, *carried)
+    pieces = disjoint_ranges(ranges, low, high, carried, bucket_bits)
+    number = F.col(value).cast("bigint")
+    holds = (F.shiftright(number, bucket_bits) == F.col("bucket")) & (number >= F.col("from")) & (number <= F.col("to"))
+    return rows.join(pieces, holds, "left").select(*rows.columns, *[F.col(f"range.{c}").alias(c) for c in carried])

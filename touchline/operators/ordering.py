@@ -10,29 +10,38 @@ of one row per (group, slice), added by a join.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, floor, isfinite
+from math import ceil, floor, isfinite, log
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 512
-MAX_SLICES = 4096
+#: Rows of a slice, and the number of slices from which on a caller's number is refused.
+ROWS_PER_SLICE = 2_000_000
+MOST_SLICES = 1_000_000
 
 
-def value_summary(df: DataFrame, name: str, slices: int) -> tuple[int, list[float]]:
-    """Row count and slice bounds of a numeric column, in one pass.
+def slices_for(n: int) -> int:
+    """So many slices that one holds ROWS_PER_SLICE rows; a few even for little data."""
+    return max(64, ceil(n / ROWS_PER_SLICE))
 
-    The bounds come back to the driver as ``slices - 1`` numbers at most. As
-    fixed numbers they give the same slice to a row wherever it is recomputed.
+
+def value_summary(df: DataFrame, name: str, slices: int | None = None) -> tuple[int, list[float]]:
+    """Row count, gaps included, and slice bounds of a numeric column.
+
+    The number of slices follows the row count, which is taken first, unless
+    the caller gives one. The bounds come back to the driver as ``slices - 1``
+    numbers at most. As fixed numbers they give the same slice to a row
+    wherever it is recomputed.
     """
-    slices = min(slices, MAX_SLICES)
+    n = df.count()
+    slices = slices or slices_for(n)
+    if slices > MOST_SLICES:
+        raise ValueError(f"{slices} slices are more bounds than a driver should hold; {MOST_SLICES} at most")
     probs = [i / slices for i in range(1, slices)]
-    row = df.agg(
-        F.count(name).alias("n"),
-        F.percentile_approx(F.col(name).cast("double"), probs, 20 * slices).alias("bounds"),
-    ).first()
-    return row["n"], sorted({b for b in row["bounds"] or [] if isfinite(b)})
+    value = F.col(name).cast("double")
+    found = df.agg(F.percentile_approx(F.when(~F.isnan(value), value), probs, 20 * slices)).first()[0]
+    return n, sorted({b for b in found or [] if isfinite(b)})
 
 
 def with_slice(df: DataFrame, name: str, bounds: list[float], slice_name: str = "_slice") -> DataFrame:
@@ -62,14 +71,14 @@ def running_totals(
     within = Window.partitionBy("_slice").orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
     local = sliced.select("*", *[F.sum(c).over(within).alias(f"_local_{c}") for c in sums])
 
-    # One row per slice, MAX_SLICES at most: small enough for one task and to broadcast.
+    # One row per slice, that is per ROWS_PER_SLICE rows: small enough for one task.
     slice_order = F.col("_slice").desc() if descending else F.col("_slice").asc()
     before = Window.orderBy(slice_order).rowsBetween(Window.unboundedPreceding, -1)
     totals = sliced.groupBy("_slice").agg(*[F.sum(c).alias(f"_total_{c}") for c in sums])
     offsets = totals.select(
         "_slice", *[F.coalesce(F.sum(f"_total_{c}").over(before), F.lit(0)).alias(f"_offset_{c}") for c in sums]
     )
-    joined = local.join(F.broadcast(offsets), "_slice")
+    joined = local.join(offsets, "_slice")
     return joined.select(
         *df.columns, *[(F.col(f"_local_{c}") + F.col(f"_offset_{c}")).alias(f"cum_{c}") for c in sums]
     )
@@ -103,7 +112,7 @@ def ordinals(
     return joined.select(*df.columns, (F.col("_local") + F.col("_before")).cast("bigint").alias(name))
 
 
-def exact_quantiles(df: DataFrame, name: str, probs: Sequence[float], slices: int = SLICES) -> list[float]:
+def exact_quantiles(df: DataFrame, name: str, probs: Sequence[float], slices: int | None = None) -> list[float]:
     """Exact quantiles with linear interpolation, without one task holding the column.
 
     Values are counted first, then ranked by running totals; only the rows at
@@ -124,7 +133,7 @@ def exact_quantiles(df: DataFrame, name: str, probs: Sequence[float], slices: in
     return [at[floor(p)] + (at[ceil(p)] - at[floor(p)]) * (p - floor(p)) for p in positions]
 
 
-def decile_edges(df: DataFrame, score: str, bins: int = 10, slices: int = SLICES) -> list[float]:
+def decile_edges(df: DataFrame, score: str, bins: int = 10, slices: int | None = None) -> list[float]:
     """The inner edges that cut a score column into equally filled bins."""
     return exact_quantiles(df, score, [i / bins for i in range(1, bins)], slices)
 
@@ -137,6 +146,7 @@ def bin_code(score: Column, edges: Sequence[float]) -> Column:
     return F.when(score.isNotNull() & ~F.isnan(score.cast("double")), total)
 
 
-def hash_slice(key: Column, digits: int = 2) -> Column:
-    """Leading hex digits of a key's hash: 16 ** digits evenly filled slices."""
+def hash_slice(key: Column, n: int) -> Column:
+    """Leading hex digits of a key's hash: evenly filled slices of ROWS_PER_SLICE of ``n`` rows at most."""
+    digits = max(1, ceil(log(max(n, 1) / ROWS_PER_SLICE, 16)))
     return F.substring(F.md5(key.cast("string")), 1, digits)

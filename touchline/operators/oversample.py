@@ -36,7 +36,7 @@ def smote_nc(
     categorical: Sequence[str],
     k: int = 5,
     seed: str = "0",
-    cell_rows: int = 2000,
+    group_rows: int = 2000,
 ) -> DataFrame:
     """The rows plus synthetic positives, so that both classes are equally large.
 
@@ -71,7 +71,7 @@ def smote_nc(
         ),
         "points",
     )
-    near = k_nearest(points, k, median * median, cell_rows)
+    near = k_nearest(points, k, median * median, group_rows)
 
     # Per point the k slots to draw from: its own copies first, then its neighbours with theirs.
     found = near.groupBy("point_id").agg(
@@ -93,7 +93,7 @@ def smote_nc(
     )
 
     # Every positive serves needed // few times; the first by hash serve once more.
-    cut = shaped.withColumns({"_hash": F.md5("_key"), "_cut": hash_slice(F.col("_key"))})
+    cut = shaped.withColumns({"_hash": F.md5("_key"), "_cut": hash_slice(F.col("_key"), few)})
     dealt = ordinals(cut, [], "_cut", ["_hash", "_key"], "_position")
     times = F.lit(needed // few) + (F.col("_position") <= needed % few).cast("int")
     drawn = (

@@ -44,9 +44,10 @@ def split_by_schema(
 
 
 def deduplicate(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first row of each key by ``order``; copies are dropped on the map side first."""
+    """The first row of each key by ``order``, then by its other columns; copies are dropped on the map side first."""
     rest = [c for c in df.columns if c not in keys]
-    kept = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_kept"))
+    after = [c for c in rest if c not in order]
+    kept = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order, *after)).alias("_kept"))
     return kept.select(*keys, "_kept.*").select(*df.columns)
 
 

@@ -5,12 +5,16 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from touchline.functions.scores import hash_number
 
 Draw = Callable[[random.Random], float]
 
@@ -29,11 +33,12 @@ def log_even(low: float, high: float) -> Draw:
 
 
 # The search space of the propensity model, in terms of GBTClassifier.
-# Leaf penalties have no counterpart there and are left out.
+# Leaf penalties have no counterpart there and are left out. "gamma" is the least
+# loss reduction of a split, summed over all rows; see ``as_params``.
 SPACE: dict[str, Draw] = {
     "maxDepth": whole_step(2, 8),
     "stepSize": log_even(-3, 0),
-    "minInfoGain": even(0, 5),
+    "gamma": even(0, 5),
     "minInstancesPerNode": log_even(-1, 3),
     "maxIter": whole_step(50, 200),
 }
@@ -50,6 +55,16 @@ def draw_settings(n: int, seed: int, space: dict[str, Draw] | None = None) -> li
     return drawn
 
 
+def as_params(setting: dict[str, float | int], rows: int) -> dict[str, float | int]:
+    """A setting in the classifier's own terms: its least gain is a mean over rows, so gamma is divided by their number."""
+    return {("minInfoGain" if k == "gamma" else k): (v / max(rows, 1) if k == "gamma" else v) for k, v in setting.items()}
+
+
+def with_fold(df: DataFrame, key: str, folds: int, salt: str = "fold", name: str = "fold") -> DataFrame:
+    """A fold number per row by a hash of its key: the same folds in every run and on every cluster."""
+    return df.withColumn(name, (hash_number(F.col(key), salt) % folds).cast("int"))
+
+
 def f_measure(label: str, beta: float = 1.0) -> MulticlassClassificationEvaluator:
     """F-measure of the positive class as a tuning goal."""
     return MulticlassClassificationEvaluator(
@@ -70,24 +85,28 @@ def random_search(
     prepared: DataFrame,
     evaluator: Evaluator,
     settings: list[dict[str, float | int]],
-    train_ratio: float = 0.67,
+    validation: str = "validation",
     parallelism: int = 4,
-    seed: int = 55,
 ) -> SearchResult:
-    """Fit one model per setting on the same split, keep the best, refit it on all rows.
+    """Fit one model per setting on the same rows, keep the best, refit it on all rows.
 
+    ``validation`` is a boolean column that marks the rows to judge on.
     ``prepared`` is read once per tree level and model: pass it cached.
     """
-    maps = [{classifier.getParam(k): v for k, v in one.items()} for one in settings]
-    search = TrainValidationSplit(
-        estimator=classifier, estimatorParamMaps=maps, evaluator=evaluator,
-        trainRatio=train_ratio, parallelism=parallelism, seed=seed,
-    )
-    fitted = search.fit(prepared)
+    marked = F.col(validation)
+    fit_on, judge_on = prepared.where(~marked), prepared.where(marked)
+    rows = fit_on.count()
+
+    def trial(setting: dict[str, float | int]) -> float:
+        params = {classifier.getParam(k): v for k, v in as_params(setting, rows).items()}
+        return evaluator.evaluate(classifier.fit(fit_on, params).transform(judge_on))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        metrics = list(pool.map(trial, settings))
     pick = max if evaluator.isLargerBetter() else min
-    best = pick(range(len(settings)), key=lambda i: fitted.validationMetrics[i])
-    trials = list(zip(settings, fitted.validationMetrics))
-    return SearchResult(fitted.bestModel, settings[best], fitted.validationMetrics[best], trials)
+    best = pick(range(len(settings)), key=lambda i: metrics[i])
+    params = {classifier.getParam(k): v for k, v in as_params(settings[best], prepared.count()).items()}
+    return SearchResult(classifier.fit(prepared, params), settings[best], metrics[best], list(zip(settings, metrics)))
 
 
 def grid_search(
@@ -95,18 +114,19 @@ def grid_search(
     prepared: DataFrame,
     label: str,
     grid: dict[str, list],
+    fold: str = "fold",
     folds: int = 5,
     parallelism: int = 4,
     seed: int = 55,
 ) -> CrossValidatorModel:
-    """All combinations of the grid, cross-validated on area under ROC."""
+    """All combinations of the grid, cross-validated on area under ROC over the folds of the column ``fold``."""
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(classifier.getParam(name), values)
     evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction")
     validator = CrossValidator(
         estimator=classifier, estimatorParamMaps=builder.build(), evaluator=evaluator,
-        numFolds=folds, parallelism=parallelism, seed=seed,
+        numFolds=folds, foldCol=fold, parallelism=parallelism, seed=seed,
     )
     return validator.fit(prepared)
 

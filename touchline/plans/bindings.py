@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SESSION_GAP_S = 6 * 3600
-PURCHASES_TO_CONVERT = 12
+PURCHASES_TO_CONVERT = 16
 
 # Sample user agents, picked by k % 6.
 AGENTS = [

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from touchline.operators import evaluate as V
 from touchline.operators import features as X
@@ -30,9 +31,11 @@ def train_and_register(
     weight: float | None = None,
 ) -> int:
     """Split, prepare, search, evaluate on held-out rows, log, register and promote."""
-    train, test = X.hash_split(X.with_class_weight(gold, label, weight), key, train_percent)
+    train, test = X.hash_split(gold, key, train_percent)
+    train = X.with_class_weight(train, label, weight)
     features = M.featurizer(categorical, continuous, k).fit(train)
-    prepared = X.materialised(features.transform(train).select(label, "features", "weight"))
+    validation = X.hash_percent(F.col(key), "validation") >= train_percent
+    prepared = X.materialised(features.transform(train).select(label, "features", "weight", validation.alias("validation")))
     bins = max(32, k + 3)
     classifier = M.boosted_trees(label, weightCol="weight", maxBins=bins)
     found = U.random_search(classifier, prepared, U.f_measure(label), settings or U.draw_settings(20, seed=55))

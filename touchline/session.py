@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Settings a session for streams should be made with: rows are merged into sessions before they are shuffled.
+STREAM_SETTINGS = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+
+_used: list[Callable[[], None]] = []
+
 
 def local_session(cores: int | str = "*", app: str = "touchline", **conf: str) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
@@ -20,6 +26,8 @@ def local_session(cores: int | str = "*", app: str = "touchline", **conf: str) -
         .config("spark.sql.shuffle.partitions", str(cores_n))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config(map=STREAM_SETTINGS)
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -31,27 +39,48 @@ def local_session(cores: int | str = "*", app: str = "touchline", **conf: str) -
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own: on a cluster a
-    machine-local path would be lost together with its executor.
+    Without that setting it is a folder below the warehouse, which executors
+    share as well.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if configured:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(configured)
-        return configured.rstrip("/")
     current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="touchline-"))
-    return sc.getCheckpointDir().rstrip("/")
+    folder = configured or current or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared-{uuid.uuid4().hex}"
+    if current is None:
+        sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, removed by ``releasing``."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    on_release(lambda: _remove(spark, path))
+    return path
+
+
+def on_release(action: Callable[[], None]) -> None:
+    """Have something removed when the run that made it is over."""
+    _used.append(action)
+
+
+@contextmanager
+def releasing() -> Iterator[None]:
+    """Around a run: removes the folders, tables, views and caches it made, once its results are written or read.
+
+    Results are computed when they are used, so they must be used inside.
+    """
+    before = len(_used)
+    try:
+        yield
+    finally:
+        while len(_used) > before:
+            _used.pop()()
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 Everything is an append to a small Parquet table below one root folder, which
 all executors must reach. Nothing is updated in place: the current stage of a
-version is the last one written for it.
+version is the last one written for it. Each fit has a folder of its own, which
+the table names: two writers that take the same number at the same time keep
+two models, and the later row counts.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators.features import enforce_contract
 
-_STAGES = "name string, version int, stage string, contract string, metrics map<string,double>, at timestamp"
+_STAGES = "name string, version int, stage string, contract string, metrics map<string,double>, folder string, at timestamp"
 _RUNS = "run_id string, run_name string, kind string, key string, value string, at timestamp"
 
 
@@ -44,15 +46,16 @@ class ModelStore:
         """One row per version with its current stage."""
         written = self._read("model_versions", _STAGES).where(F.col("name") == name)
         last = written.groupBy("name", "version").agg(
-            F.max_by(F.struct("stage", "contract", "metrics"), "at").alias("_last")
+            F.max_by(F.struct("stage", "contract", "metrics", "folder"), F.struct("at", "folder")).alias("_last")
         )
         return last.select("name", "version", "_last.*")
 
     def register(self, name: str, model: PipelineModel, contract: str, metrics: dict[str, float] | None = None) -> int:
         """Save a fitted model as the next version of ``name``; its stage is "None"."""
+        folder = f"models/{name}/{uuid.uuid4().hex}"
+        model.write().save(f"{self.root}/{folder}")
         version = (self.versions(name).agg(F.max("version")).first()[0] or 0) + 1
-        model.write().overwrite().save(f"{self.root}/models/{name}/{version}")
-        self._append("model_versions", [(name, version, "None", contract, metrics or {}, _now())], _STAGES)
+        self._append("model_versions", [(name, version, "None", contract, metrics or {}, folder, _now())], _STAGES)
         return version
 
     def promote(self, name: str, version: int, stage: str = "Production") -> None:
@@ -61,8 +64,11 @@ class ModelStore:
         if version not in rows:
             raise ValueError(f"no version {version} of {name}")
         now = _now()
-        changed = [(name, v, "Archived", r["contract"], r["metrics"], now) for v, r in rows.items() if r["stage"] == stage and v != version]
-        changed.append((name, version, stage, rows[version]["contract"], rows[version]["metrics"], now))
+        changed = [
+            (name, v, "Archived", r["contract"], r["metrics"], r["folder"], now) for v, r in rows.items() if r["stage"] == stage and v != version
+        ]
+        row = rows[version]
+        changed.append((name, version, stage, row["contract"], row["metrics"], row["folder"], now))
         self._append("model_versions", changed, _STAGES)
 
     def load(self, name: str, stage: str = "Production") -> tuple[PipelineModel, str]:
@@ -70,7 +76,7 @@ class ModelStore:
         row = self.versions(name).where(F.col("stage") == stage).orderBy(F.col("version").desc()).first()
         if row is None:
             raise ValueError(f"{name} has no version in {stage}")
-        return PipelineModel.load(f"{self.root}/models/{name}/{row['version']}"), row["contract"]
+        return PipelineModel.load(f"{self.root}/{row['folder']}"), row["contract"]
 
     def transform(self, name: str, df: DataFrame, stage: str = "Production") -> DataFrame:
         """Score with the model in a stage, after checking the inputs."""

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from touchline.session import work_path
+from touchline.session import on_release, work_path
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -44,6 +46,17 @@ def make_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
+def for_this_run(spark: SparkSession, *names: str) -> None:
+    """Drop these tables or views when the run is over (``session.releasing``)."""
+
+    def drop(name: str) -> None:
+        if not spark.catalog.dropTempView(name):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    for name in names:
+        on_release(partial(drop, name))
+
+
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write an intermediate result once and read it back.
 

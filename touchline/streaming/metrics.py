@@ -9,19 +9,16 @@ from pyspark.sql import functions as F
 from touchline.functions.times import MICROS
 from touchline.operators.models import score
 
-_LOCAL_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
-
-
 def stream_sessions(stream: DataFrame, user: str, gap_s: int, event_time: str = "event_time", delay: str = "1 hour") -> DataFrame:
     """Closed sessions: emitted once the watermark is past their end plus the gap.
 
     Rows are merged into sessions inside each task before they are shuffled, so
-    that a very busy user moves as a few sessions per task. Spark's own session
+    that a very busy user moves as a few sessions per task, if the session was
+    made with ``session.STREAM_SETTINGS``. Spark's own session
     window still joins events that lie exactly a gap apart; one microsecond less
     makes it agree with the batch sessions, which start a new one there.
     """
     gap = f"{gap_s * MICROS - 1} microseconds"
-    stream.sparkSession.conf.set(_LOCAL_MERGE, "true")
     grouped = stream.withWatermark(event_time, delay).groupBy(F.session_window(event_time, gap).alias("session"), user)
     counted = grouped.agg(
         F.count(F.lit(1)).alias("events"), F.min(event_time).alias("start_tstamp"), F.max(event_time).alias("end_tstamp")

@@ -82,7 +82,7 @@ def train_test_at_random(spark, sf):
 
 
 @query(
-    "SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY o_totalprice, o_orderkey) <= count(*) OVER () // 10 * 8 "
+    "SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY o_totalprice, md5(CAST(o_orderkey AS VARCHAR)), o_orderkey) <= count(*) OVER () // 10 * 8 "
     "THEN 'train' ELSE 'test' END AS part FROM orders"
 )
 def train_test_by_position(spark, sf):

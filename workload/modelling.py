@@ -1,15 +1,22 @@
 """Models: training, search, scoring, importances, quantiles, ranking, oversampling.
 
-Fitted models have no SQL counterpart; ``tests/test_models.py`` checks their properties.
+A fitted model has no SQL counterpart, but what holds for any right model has:
+which rows are scored, that scores are probabilities and decisions follow from
+them, that importances are sorted shares, that a search keeps to its space.
+The queries give such facts next to the keys. ``tests/test_models.py`` checks
+that models learn.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from touchline.operators import aggregates
-from touchline.operators import audiences as A
 from touchline.operators import evaluate as V
 from touchline.operators import features as X
 from touchline.operators import models as M
@@ -22,171 +29,249 @@ from workload import ctes, inputs
 from workload.registry import query
 
 LABEL = "converted_user"
-CATEGORICAL = ["refr_medium", "mkt_medium", "device_family", "geo_region", "segment"]
-CONTINUOUS = [*X.ENGAGEMENT, "page_views", "balance"]
+CATEGORICAL = ["refr_medium", "mkt_medium", "mkt_source", "device_family", "os_family", "geo_region"]
+CONTINUOUS = [*X.ENGAGEMENT, "page_views"]
+
+#: Trees of the propensity model, and of each trial of the search, whose space reaches from 50 to 200.
+#: The search is narrowed here, before anything is drawn.
+TREES = 100
+SEARCH_SPACE = tuning.SPACE | {"maxIter": tuning.whole_step(5, 20)}
+TRIALS, ROUNDS = 20, 5
+RANKING_TREES = 50
+
+_TEST = f"{ctes.HASH_PERCENT.format('domain_userid')} >= 67"
 
 
 def prospects(spark, sf):
-    """All customers with their gold features, null where they were never seen: few of them converted."""
-    customer = inputs.read(spark, sf, "customer").select(
-        F.col("c_custkey").cast("string").alias("domain_userid"),
-        F.col("c_mktsegment").alias("segment"),
-        F.col("c_acctbal").alias("balance"),
-    )
-    table = customer.join(inputs.gold(spark, sf), "domain_userid", "left")
-    return staged(table.withColumn(LABEL, F.coalesce(LABEL, F.lit(0))), "prospects")
+    """The gold table: one row per user seen on the site, few of whom converted."""
+    return staged(inputs.gold(spark, sf), "prospects")
 
 
 def _parts(spark, sf):
-    return X.hash_split(X.with_class_weight(prospects(spark, sf), LABEL), "domain_userid", 67)
+    """Training rows with the class weight learned on them, and test rows."""
+    train, test = X.hash_split(prospects(spark, sf), "domain_userid", 67)
+    return X.with_class_weight(train, LABEL), test
 
 
 def _fit(train, **params):
-    trees = M.boosted_trees(LABEL, weightCol="weight", maxBins=64, **{"maxIter": 5, "maxDepth": 3, **params})
+    trees = M.boosted_trees(LABEL, weightCol="weight", maxBins=64, **{"maxIter": TREES, "maxDepth": 5, **params})
     return M.propensity_model(train, LABEL, CATEGORICAL, CONTINUOUS, trees)
 
 
-@query()
+def _checked(scored):
+    """Scores as facts: they are probabilities, and the decision is that for more than one half."""
+    score = F.col("propensity_score")
+    return scored.withColumns(
+        {"is_probability": score.between(0.0, 1.0), "is_decided": F.col("prediction") == (score > 0.5).cast("double")}
+    ).drop("propensity_score", "prediction")
+
+
+@query(f"WITH {ctes.GOLD_CTE} SELECT domain_userid, converted_user, true AS is_probability, true AS is_decided FROM gold WHERE {_TEST}")
 def boosted_tree_scores(spark, sf):
     train, test = _parts(spark, sf)
-    return M.score(_fit(train), test, ["domain_userid", LABEL])
+    return _checked(M.score(_fit(train), test, ["domain_userid", LABEL]))
 
 
-@query()
+@query(f"WITH {ctes.GOLD_CTE} SELECT domain_userid, true AS is_probability, true AS is_decided, true AS within_budget FROM gold WHERE {_TEST}")
 def boosted_trees_with_early_stop(spark, sf):
     train, test = _parts(spark, sf)
     marked = train.withColumn("validation", X.hash_percent(F.col("domain_userid"), "stop") < 25)
-    trees = M.boosted_trees_with_stop(LABEL, "validation", maxIter=8, maxDepth=3, maxBins=64)
+    trees = M.boosted_trees_with_stop(LABEL, "validation", maxIter=200, maxDepth=3, maxBins=64)
     model = M.propensity_model(marked, LABEL, CATEGORICAL, CONTINUOUS, trees)
-    kept = model.stages[-1].getNumTrees
-    return M.score(model, test, ["domain_userid"]).withColumn("trees", F.lit(kept))
+    kept = 1 <= model.stages[-1].getNumTrees <= 200
+    return _checked(M.score(model, test, ["domain_userid"])).withColumn("within_budget", F.lit(kept))
 
 
-@query()
+@query(
+    "SELECT classifier, true AS is_share FROM (VALUES ('logistic regression'), ('linear svm'), ('boosted trees')) v(classifier)"
+)
 def compare_classifiers(spark, sf):
     train, test = _parts(spark, sf)
     features = M.featurizer(CATEGORICAL, CONTINUOUS).fit(train)
     fit_on, judge_on = X.materialised(features.transform(train)), features.transform(test)
     rows = []
     for name, classifier in {
-        "logistic regression": M.logistic(LABEL, weightCol="weight", maxIter=20),
-        "linear svm": M.linear_svm(LABEL, weightCol="weight", maxIter=20),
-        "boosted trees": M.boosted_trees(LABEL, weightCol="weight", maxIter=3, maxDepth=3, maxBins=64),
+        "logistic regression": M.logistic(LABEL, weightCol="weight"),
+        "linear svm": M.linear_svm(LABEL, weightCol="weight"),
+        "boosted trees": M.boosted_trees(LABEL, weightCol="weight", maxIter=TREES, maxDepth=5, maxBins=64),
     }.items():
-        predicted = classifier.fit(fit_on).transform(judge_on)
-        line = V.f_beta(predicted, LABEL, "prediction").first()[0]
-        rows.append((name, line))
-    return spark.createDataFrame(rows, "classifier string, f1 double")
+        f1 = V.f_beta(classifier.fit(fit_on).transform(judge_on), LABEL, "prediction").first()[0]
+        rows.append((name, bool(0.0 <= f1 <= 1.0)))
+    return spark.createDataFrame(rows, "classifier string, is_share boolean")
 
 
-@query()
+@query(
+    f"SELECT CAST(r + 1 AS INTEGER) AS rank, true AS is_named, true AS is_share, true AS is_sorted, true AS add_up FROM range({len(CATEGORICAL) + len(CONTINUOUS)}) t(r)"
+)
 def feature_importance(spark, sf):
     train, _ = _parts(spark, sf)
-    return M.feature_importances(_fit(train), train, top=15)
+    table = M.feature_importances(_fit(train), train, top=15).collect()  # one row per feature
+    shares = [r["importance"] for r in table]
+    names = {f"{c}_ix" for c in CATEGORICAL} | {f"{c}_filled" for c in CONTINUOUS}
+    adds_up = abs(sum(shares) - 1) < 1e-9
+    rows = [
+        (i + 1, r["feature"] in names, 0 <= shares[i] <= 1, i == 0 or shares[i] <= shares[i - 1], adds_up) for i, r in enumerate(table)
+    ]
+    return spark.createDataFrame(rows, "rank int, is_named boolean, is_share boolean, is_sorted boolean, add_up boolean")
 
 
-@query()
+@query(f"WITH {ctes.GOLD_CTE} SELECT domain_userid, converted_user, true AS is_class FROM gold WHERE {_TEST}")
 def dummy_feature_model(spark, sf):
-    train, test = X.hash_split(inputs.gold(spark, sf), "domain_userid", 67)
-    features = M.dummy_featurizer(train, ["refr_medium", "mkt_medium"], X.ENGAGEMENT)
-    model = M.logistic(LABEL, maxIter=10).fit(features.transform(train))
-    return model.transform(features.transform(test)).select("domain_userid", LABEL, "prediction")
+    train, test = X.hash_split(prospects(spark, sf), "domain_userid", 67)
+    features = M.dummy_featurizer(train, ["refr_urlhost", "mkt_medium"], X.ENGAGEMENT)
+    model = M.logistic(LABEL).fit(features.transform(train))
+    predicted = model.transform(features.transform(test))
+    return predicted.select("domain_userid", LABEL, F.col("prediction").isin(0.0, 1.0).alias("is_class"))
 
 
-@query()
-def random_hyperparameter_search(spark, sf):
+def _prepared(spark, sf):
+    """Training rows as vectors, with hash-marked folds and validation rows."""
     train, _ = _parts(spark, sf)
-    prepared = X.materialised(
-        M.featurizer(CATEGORICAL, CONTINUOUS).fit(train).transform(train).select(LABEL, "weight", "features")
-    )
-    settings = [{**s, "maxIter": 2, "maxDepth": min(s["maxDepth"], 4)} for s in tuning.draw_settings(4, seed=55)]
+    marked = tuning.with_fold(train, "domain_userid", 5).withColumn("validation", X.hash_percent(F.col("domain_userid"), "validation") >= 67)
+    vectors = M.featurizer(CATEGORICAL, CONTINUOUS).fit(train).transform(marked)
+    return X.materialised(vectors.select(LABEL, "weight", "features", "fold", "validation"))
+
+
+def _in_space(s):
+    whole = 2 <= s["maxDepth"] <= 8 and 5 <= s["maxIter"] <= 20 and 1 <= s["minInstancesPerNode"] <= 20
+    return whole and 0.049 <= s["stepSize"] <= 1.0 and 0.0 <= s["gamma"] <= 5.0
+
+
+@query(
+    f"SELECT CAST(r AS INTEGER) AS trial, true AS in_space, true AS is_share, true AS differs, true AS best_is_best FROM range({TRIALS}) t(r)"
+)
+def random_hyperparameter_search(spark, sf):
+    settings = tuning.draw_settings(TRIALS, seed=55, space=SEARCH_SPACE)
     trees = M.boosted_trees(LABEL, weightCol="weight", maxBins=64)
-    found = tuning.random_search(trees, prepared, V.AveragePrecision(labelCol=LABEL), settings)
-    rows = [(i, str(sorted(s.items())), float(m)) for i, (s, m) in enumerate(found.trials)]
-    return spark.createDataFrame(rows, "trial int, settings string, average_precision double")
+    found = tuning.random_search(trees, _prepared(spark, sf), V.AveragePrecision(labelCol=LABEL), settings)
+    best = found.metric == max(m for _, m in found.trials)
+    rows = [(i, _in_space(s), 0.0 <= m <= 1.0, settings.count(s) == 1, best) for i, (s, m) in enumerate(found.trials)]
+    return spark.createDataFrame(rows, "trial int, in_space boolean, is_share boolean, differs boolean, best_is_best boolean")
 
 
-@query()
+@query(
+    "SELECT CAST(d AS DOUBLE) AS max_depth, CAST(s AS DOUBLE) AS step_size, true AS is_share "
+    "FROM (VALUES (2), (4), (8)) a(d), (VALUES (0.1), (0.01), (0.001)) b(s)"
+)
 def grid_search_cross_validated(spark, sf):
-    train, _ = _parts(spark, sf)
-    prepared = X.materialised(
-        M.featurizer(CATEGORICAL, CONTINUOUS).fit(train).transform(train).select(LABEL, "weight", "features")
-    )
-    trees = M.boosted_trees(LABEL, weightCol="weight", maxIter=2, maxBins=64)
-    grid = {"stepSize": [0.1, 0.01], "maxDepth": [2, 4]}
-    fitted = tuning.grid_search(trees, prepared, LABEL, grid, folds=3)
+    trees = M.boosted_trees(LABEL, weightCol="weight", maxIter=ROUNDS, maxBins=64)
+    fitted = tuning.grid_search(trees, _prepared(spark, sf), LABEL, tuning.GRID, folds=5)
     rows = [
-        (*[float(v) for _, v in sorted((p.name, v) for p, v in point.items())], float(m))
+        (*[float(v) for _, v in sorted((p.name, v) for p, v in point.items())], bool(0.0 <= m <= 1.0))
         for point, m in zip(fitted.getEstimatorParamMaps(), fitted.avgMetrics)
     ]
-    return spark.createDataFrame(rows, "max_depth double, step_size double, area_under_roc double")
+    return spark.createDataFrame(rows, "max_depth double, step_size double, is_share boolean")
 
 
-@query()
+@query(f"WITH {ctes.GOLD_CTE} SELECT domain_userid, true AS is_probability, true AS label_fits FROM gold")
 def train_register_and_score(spark, sf):
     store = ModelStore(spark, work_path(spark, "store"))
     table = prospects(spark, sf)
-    settings = [{"maxIter": 3, "maxDepth": 3, "stepSize": 0.2}, {"maxIter": 3, "maxDepth": 2, "stepSize": 0.4}]
-    training.train_and_register(
-        table, store, "propensity", categorical=CATEGORICAL, continuous=CONTINUOUS, settings=settings
+    settings = tuning.draw_settings(4, seed=7, space=SEARCH_SPACE)
+    training.train_and_register(table, store, "propensity", categorical=CATEGORICAL, continuous=CONTINUOUS, settings=settings)
+    scored = training.score_and_label(table, store, "propensity")
+    wanted = F.when(F.col("propensity_decile") <= 7, "Low").when(F.col("propensity_decile") <= 8, "Medium").otherwise("High")
+    return scored.select(
+        "domain_userid",
+        F.col("propensity_score").between(0.0, 1.0).alias("is_probability"),
+        (F.col("propensity_label") == wanted).alias("label_fits"),
     )
-    return training.score_and_label(table, store, "propensity")
 
 
-@query()
+@query("SELECT * FROM (VALUES (CAST(1 AS INTEGER), 'Archived', true, true), (2, 'Production', true, true)) v(version, stage, is_logged, differs)")
 def model_versions_and_runs(spark, sf):
+    """Two different fits, each registered and logged with its own setting and measured metric."""
     store = ModelStore(spark, work_path(spark, "store"))
-    train, _ = _parts(spark, sf)
+    train, test = _parts(spark, sf)
     contract = X.input_contract(train, [*CATEGORICAL, *CONTINUOUS])
-    logistic = M.propensity_model(train, LABEL, CATEGORICAL, CONTINUOUS, M.logistic(LABEL, maxIter=5))
-    for ridge in (0.0, 0.1):
-        version = store.register("propensity", logistic, contract, {"ridge": ridge})
+    texts = []
+    for ridge in (0.0, 0.5):
+        model = M.propensity_model(train, LABEL, CATEGORICAL, CONTINUOUS, M.logistic(LABEL, weightCol="weight", regParam=ridge))
+        judged = M.score(model, test.unionByName(train.drop("weight")), [LABEL])
+        metrics = {"average_precision": V.average_precision(judged, LABEL, "propensity_score").first()[0] or 0.0}
+        version = store.register("propensity", model, contract, metrics)
         store.promote("propensity", version)
-        store.log_run("logistic", {"ridge": ridge}, {"version": version})
-    runs = store.runs().where("key = 'version'").select(F.col("value").cast("double").cast("int").alias("version"), "run_id")
-    return store.versions("propensity").join(runs, "version").select("name", "version", "stage", "run_id")
+        store.log_run("logistic", {"ridge": ridge, "version": version}, metrics)
+        texts.append(json.dumps([float(v) for v in model.stages[-1].coefficients]))
+    runs = store.runs().groupBy("run_id").agg(
+        F.max(F.when(F.col("key") == "version", F.col("value"))).cast("int").alias("version"),
+        F.max(F.when(F.col("key") == "average_precision", F.col("value"))).cast("double").alias("logged"),
+    )
+    both = store.versions("propensity").join(runs, "version")
+    return both.select("version", "stage", (F.col("metrics")["average_precision"] == F.col("logged")).alias("is_logged"), F.lit(texts[0] != texts[1]).alias("differs"))
 
 
-@query()
+@query(f"WITH {ctes.GOLD_CTE} SELECT domain_userid, true AS same_as_before_saving FROM gold")
 def score_saved_model(spark, sf):
     store = ModelStore(spark, work_path(spark, "store"))
     table = prospects(spark, sf)
     train, _ = X.hash_split(table, "domain_userid", 67)
-    model = M.propensity_model(train, LABEL, CATEGORICAL, CONTINUOUS, M.logistic(LABEL, maxIter=10))
+    model = M.propensity_model(train, LABEL, CATEGORICAL, CONTINUOUS, M.logistic(LABEL))
     store.promote("saved", store.register("saved", model, X.input_contract(table, [*CATEGORICAL, *CONTINUOUS])))
-    scored = store.transform("saved", table)
-    return A.high_propensity(scored, "domain_userid", "prediction").unionByName(
-        scored.where("prediction = 0").select("domain_userid", F.col("prediction").alias("propensity_prediction"))
-    )
+    saved = training.score_users(table, store, "saved").toDF("domain_userid", "_score", "_prediction")
+    both = M.score(model, table, ["domain_userid"]).join(saved, "domain_userid")
+    same = (F.col("_score") == F.col("propensity_score")) & (F.col("_prediction") == F.col("prediction"))
+    return both.select("domain_userid", same.alias("same_as_before_saving"))
 
 
-@query()
-def oversample_minority(spark, sf):
+def _oversampled(spark, sf):
     train, _ = _parts(spark, sf)
     filled = X.FillCategories(columns=CATEGORICAL).transform(train).na.fill(0.0, CONTINUOUS)
-    cut = X.TopKCategories(columns=CATEGORICAL, k=50).fit(filled).transform(filled)
-    return oversample.smote_nc(cut, "domain_userid", LABEL, CONTINUOUS, CATEGORICAL)
+    cut = staged(X.TopKCategories(columns=CATEGORICAL, k=50).fit(filled).transform(filled), "filled")
+    return cut, staged(oversample.smote_nc(cut, "domain_userid", LABEL, CONTINUOUS, CATEGORICAL), "oversampled")
 
 
 @query(
-    f"WITH {ctes.GOLD_CTE}, t AS (SELECT coalesce(converted_user, 0) AS converted_user FROM customer "
-    "LEFT JOIN gold ON domain_userid = CAST(c_custkey AS VARCHAR) "
-    f"WHERE {ctes.HASH_PERCENT.format('c_custkey')} < 67), c AS (SELECT converted_user, count(*) AS n FROM t GROUP BY 1) "
-    "SELECT converted_user, max(n) OVER () AS count FROM c"
+    f"WITH {ctes.GOLD_CTE}, t AS (SELECT domain_userid, converted_user FROM gold WHERE NOT ({_TEST})), "
+    "s AS (SELECT count(*) FILTER (converted_user = 1) AS few, count(*) FILTER (converted_user = 0) AS many FROM t), "
+    "r AS (SELECT domain_userid, row_number() OVER (ORDER BY md5(domain_userid), domain_userid) AS place FROM t WHERE converted_user = 1), "
+    "n AS (SELECT domain_userid AS source, (many - few) // few + CASE WHEN place <= (many - few) % few THEN 1 ELSE 0 END AS times "
+    "FROM r, s WHERE few >= 2 AND many > few) "
+    "SELECT source, i AS number, true AS starts_at_source, true AS lies_among_positives, true AS categories_exist "
+    "FROM n, unnest(generate_series(1, times)) u(i)"
+)
+def oversample_minority(spark, sf):
+    """Every synthetic row against its source: its key, a place between positives, and categories that positives have."""
+    cut, made = _oversampled(spark, sf)
+    positives = cut.where(F.col(LABEL) == 1)
+    edges = positives.agg(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c) for c in CONTINUOUS])
+    known = positives.agg(*[F.collect_set(F.col(c).cast("string")).alias(f"_{c}") for c in CATEGORICAL])  # 50 values at most
+    bounds, values = edges.first(), known.first()
+    fake = made.where("domain_userid LIKE '%~%'").withColumn("source", F.substring_index("domain_userid", "~", 1))
+    real = positives.select(F.col("domain_userid").alias("source"), F.lit(True).alias("_there"))
+    among, exist = F.lit(True), F.lit(True)
+    for c in CONTINUOUS:
+        among = among & F.col(c).between(bounds[c]["lo"] or 0.0, bounds[c]["hi"] or 0.0)
+    for c in CATEGORICAL:
+        exist = exist & F.col(c).isin(values[f"_{c}"] or [""])
+    return fake.join(real, "source", "left").select(
+        "source",
+        F.substring_index("domain_userid", "~", -1).cast("bigint").alias("number"),
+        F.coalesce("_there", F.lit(False)).alias("starts_at_source"),
+        among.alias("lies_among_positives"),
+        exist.alias("categories_exist"),
+    )
+
+
+@query(
+    f"WITH {ctes.GOLD_CTE}, c AS (SELECT converted_user, count(*) AS n FROM gold WHERE NOT ({_TEST}) GROUP BY 1) "
+    "SELECT converted_user, CASE WHEN min(CASE WHEN converted_user = 1 THEN n END) OVER () >= 2 THEN max(n) OVER () ELSE n END AS count FROM c"
 )
 def class_sizes_after_oversampling(spark, sf):
-    return aggregates.class_counts(oversample_minority(spark, sf), LABEL)
+    return aggregates.class_counts(_oversampled(spark, sf)[1], LABEL)
 
 
-@query()
+@query(
+    f"SELECT l_orderkey, l_linenumber, true AS is_seen_price FROM lineitem WHERE {ctes.HASH_PERCENT.format('l_orderkey')} >= 85"
+)
 def quantile_regression(spark, sf):
     lines = inputs.read(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_discount", "l_tax"
     )
     train, test = X.hash_split(lines, "l_orderkey", 85)
     model = M.fit_quantile(train, "l_extendedprice", ["l_quantity", "l_discount", "l_tax"], alpha=0.2)
-    scored = model.transform(test)
-    return scored.select("l_orderkey", "l_linenumber", "l_extendedprice", "prediction")
+    low, high = train.agg(F.min("l_extendedprice"), F.max("l_extendedprice")).first()
+    return model.transform(test).select("l_orderkey", "l_linenumber", F.col("prediction").between(low, high).alias("is_seen_price"))
 
 
 def _graded(spark, sf):
@@ -196,16 +281,23 @@ def _graded(spark, sf):
     return assembler.transform(lines).select("l_orderkey", "l_linenumber", "labels", "features")
 
 
-@query()
+@query(
+    f"WITH t AS (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE {ctes.HASH_PERCENT.format('l_orderkey')} >= 80 GROUP BY 1) "
+    "SELECT l_orderkey, CAST(r AS INTEGER) AS rank, true AS is_ordered FROM t, unnest(generate_series(1, least(n, 5))) u(r)"
+)
 def rank_within_queries(spark, sf):
     train, test = X.hash_split(_graded(spark, sf), "l_orderkey", 80)
-    ranker = M.fit_ranker(train, "labels", maxIter=3, maxDepth=4)
+    ranker = M.fit_ranker(X.materialised(train), "labels", maxIter=RANKING_TREES, maxDepth=5)
     scored = ranker.transform(test).select("l_orderkey", "l_linenumber", "labels", "preds")
-    return M.best_per_query(scored, "l_orderkey", "preds", "l_linenumber", 5)
+    best = M.best_per_query(scored, "l_orderkey", "preds", "l_linenumber", 5)
+    before = F.lag("preds").over(Window.partitionBy("l_orderkey").orderBy("rank"))
+    return best.select("l_orderkey", "rank", F.coalesce(before >= F.col("preds"), F.lit(True)).alias("is_ordered"))
 
 
-@query()
+@query(f"SELECT l_orderkey, l_linenumber, CAST({RANKING_TREES} AS INTEGER) AS trees, true AS are_leaves FROM lineitem")
 def leaf_indexes(spark, sf):
     graded = _graded(spark, sf)
-    ranker = M.fit_ranker(graded, "labels", maxIter=2, maxDepth=3)
-    return ranker.transform(graded).select("l_orderkey", "l_linenumber", "preds", F.col("leaf_preds").cast("string").alias("leaf_preds"))
+    ranker = M.fit_ranker(X.materialised(graded), "labels", maxIter=RANKING_TREES, maxDepth=5)
+    leaves = vector_to_array(F.col("leaf_preds"))
+    numbers = F.forall(leaves, lambda x: (x >= 0) & (x < 64))
+    return ranker.transform(graded).select("l_orderkey", "l_linenumber", F.size(leaves).alias("trees"), numbers.alias("are_leaves"))

@@ -458,8 +458,13 @@ def event_fingerprints(spark, sf):
     return events.select("event_id", hashed.alias("fingerprint"))
 
 
-# Made-up yearly exchange rates to one currency.
-RATES = [("EUR", 1997, 1.13), ("EUR", 1998, 1.11), ("EUR", 1999, 1.07), ("GBP", 1997, 1.64), ("GBP", 1998, 1.66), ("GBP", 1999, 1.62)]
+# Made-up yearly exchange rates to one currency, for all years that orders have.
+RATES = [
+    ("EUR", 1995, 1.31), ("EUR", 1996, 1.27), ("EUR", 1997, 1.13), ("EUR", 1998, 1.11),
+    ("EUR", 1999, 1.07), ("EUR", 2000, 0.92), ("EUR", 2001, 0.90),
+    ("GBP", 1995, 1.58), ("GBP", 1996, 1.56), ("GBP", 1997, 1.64), ("GBP", 1998, 1.66),
+    ("GBP", 1999, 1.62), ("GBP", 2000, 1.52), ("GBP", 2001, 1.44),
+]
 _RATES_SQL = ", ".join(f"('{c}', {y}, CAST({r} AS DOUBLE))" for c, y, r in RATES)
 
 

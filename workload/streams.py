@@ -12,6 +12,7 @@ from touchline.streaming import events as E
 from touchline.streaming import metrics as R
 from touchline.streaming.upsert import Upsert
 from workload import inputs
+from workload.ctes import GOLD_CTE
 from workload.modelling import CATEGORICAL, CONTINUOUS, LABEL, prospects
 from workload.registry import query
 
@@ -53,19 +54,31 @@ def stream_daily_users_and_events(spark, sf):
     return E.run_to_table(R.stream_daily_activity(event_stream(spark, sf), "user_id"), "daily")
 
 
-@query()
+_CLOSED_DAYS = (
+    "d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS events FROM events GROUP BY 1 "
+    "HAVING epoch_us(CAST(ts AS DATE) + INTERVAL 1 DAY) <= (SELECT (epoch_us(max(ts)) // 1000 - 3600000) * 1000 FROM events))"
+)
+
+
+@query(f"WITH {_CLOSED_DAYS} SELECT day, events, true AS is_near FROM d")
 def stream_estimated_users(spark, sf):
-    return E.run_to_table(R.stream_approximate_activity(event_stream(spark, sf), "user_id"), "daily")
+    estimated = E.run_to_table(R.stream_approximate_activity(event_stream(spark, sf), "user_id"), "daily")
+    exact = inputs.read(spark, sf, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count_distinct("user_id").alias("exact"))
+    near = F.abs(F.col("users") - F.col("exact")) <= 1 + 0.05 * F.col("exact")
+    return estimated.join(exact, "day").select("day", "events", near.alias("is_near"))
 
 
-@query()
+@query(f"WITH {GOLD_CTE} SELECT domain_userid, true AS same_as_batch FROM gold")
 def stream_propensity_scores(spark, sf):
     table = prospects(spark, sf)
-    model = M.propensity_model(table, LABEL, CATEGORICAL, CONTINUOUS, M.logistic(LABEL, maxIter=10))
+    model = M.propensity_model(table, LABEL, CATEGORICAL, CONTINUOUS, M.logistic(LABEL))
     folder = work_path(spark, "arriving")
     table.write.parquet(folder)
     arriving = E.read_stream(spark, folder, table.schema)
-    return E.run_to_table(R.stream_scores(arriving, model, ["domain_userid"]), "scores")
+    streamed = E.run_to_table(R.stream_scores(arriving, model, ["domain_userid"]), "scores")
+    batch = M.score(model, table, ["domain_userid"]).toDF("domain_userid", "_score", "_prediction")
+    same = (F.col("_score") == F.col("propensity_score")) & (F.col("_prediction") == F.col("prediction"))
+    return streamed.join(batch, "domain_userid").select("domain_userid", same.alias("same_as_batch"))
 
 
 @query(
