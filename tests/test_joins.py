@@ -51,10 +51,25 @@ def test_range_lookup_equals_brute_force(spark):
         assert rows(got.select("id", "v", "name"), "id") == want
 
 
-def test_broadcast_only_below_the_limit(spark):
-    big = spark.range(200)
-    assert "broadcast" in J.broadcast_if_small(big, 500)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in J.broadcast_if_small(big, 100)._jdf.queryExecution().logical().toString().lower()
+def test_nested_ranges_give_the_innermost(spark):
+    spans = [(0, 1000, "wide"), (100, 200, "inner"), (150, 160, "core"), (150, 400, "late"), (70_000, 140_000, "far"), (9, 3, "empty")]
+    ranges = spark.createDataFrame(spans, "low bigint, high bigint, name string")
+    values = [0, 99, 100, 149, 150, 155, 160, 161, 200, 201, 400, 401, 500, 1000, 1001, 70_000, 131_072, 140_000, 140_001, -5]
+
+    def innermost(v):
+        held = [(lo, -hi, n) for lo, hi, n in spans if lo <= v <= hi]
+        return max(held)[2] if held else None
+
+    for bits in (6, 16):
+        got = J.range_lookup(spark.createDataFrame([(v,) for v in values], "v int"), ranges, "v", "low", "high", ["name"], bits)
+        assert rows(got, "v") == sorted((v, innermost(v)) for v in values)
+
+
+def test_lookup_leaves_the_rows_in_place(spark):
+    ranges = spark.createDataFrame([(0, 10, "a")], "low bigint, high bigint, name string")
+    got = J.range_lookup(spark.range(100), ranges, "id", "low", "high", ["name"])
+    got.collect()
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
 
 
 def test_event_existence(spark):

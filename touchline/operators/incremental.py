@@ -27,11 +27,11 @@ def refresh(
 ) -> DataFrame:
     """The table with the keys of the new events rebuilt, all other rows kept.
 
-    ``table`` and ``events`` are read twice: pass written tables.
+    Adaptive execution splits a key that very many events have.
     """
     touched = new_events.select(key).distinct()
-    rebuilt = build(join_unique(events, touched, key, "left_semi"))
-    return join_unique(table, touched, key, "left_anti").unionByName(rebuilt)
+    rebuilt = build(events.join(touched, key, "left_semi"))
+    return table.join(touched, key, "left_anti").unionByName(rebuilt)
 
 
 def refresh_sessions(

@@ -1,4 +1,4 @@
-"""Joins: default after left join, event existence, range lookup, checked broadcast."""
+"""Joins: default after left join, event existence, range lookup, very common keys."""
 
 from __future__ import annotations
 
@@ -8,16 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """A broadcast hint only when the table is known to be small.
-
-    At most ``max_rows + 1`` rows are counted; a larger table is left to a
-    shuffled join, in which adaptive execution splits skewed keys.
-    """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
 def heavy_keys(df: DataFrame, key: str, share: float = 0.001) -> list[int]:
     """Hashes of the keys that hold more than ``share`` of the rows: no more than 1 / share of them.
 
@@ -33,9 +23,7 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.001) -> list[int]:
     return [item["item"] for item in row["top"] if item["count"] > share * row["n"]]
 
 
-def join_unique(
-    rows: DataFrame, unique: DataFrame, key: str, how: str = "inner", small_rows: int | None = None
-) -> DataFrame:
+def join_unique(rows: DataFrame, unique: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join with a table that holds a key at most once, when some keys may hold very many rows.
 
     Rows of heavy keys stay where they are and meet a broadcast of those keys
@@ -43,12 +31,10 @@ def join_unique(
     other rows take the usual shuffled join. For inner, left, left_semi and
     left_anti joins. ``rows`` is read once more to find the heavy keys.
 
-    With ``small_rows`` the size of ``unique`` is checked first, and up to that
-    many rows it is broadcast whole. That suits lookup lists, which are cheap
-    to count.
+    Without adaptive execution, or where the rows come out of an aggregate or
+    window by the same key, nothing else splits such a key. Elsewhere the plain
+    join does, and reads ``rows`` once.
     """
-    if small_rows is not None and unique.limit(small_rows + 1).count() <= small_rows:
-        return rows.join(F.broadcast(unique), key, how)
     heavy = heavy_keys(rows, key)
     if not heavy:
         return rows.join(unique, key, how)

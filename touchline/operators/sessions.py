@@ -19,7 +19,7 @@ from touchline.functions.times import MICROS, epoch_micros
 PAGE_VIEW_FIRST = [
     "domain_userid", "page_title", "page_urlpath", "refr_urlhost", "refr_medium",
     "mkt_source", "mkt_medium", "mkt_campaign", "mkt_term",
-    "geo_country", "geo_region", "br_lang", "device_family", "os_family",
+    "geo_country", "geo_region", "geo_city", "br_lang", "device_family", "os_family",
 ]
 
 
@@ -131,7 +131,7 @@ def session_bounds(
 def sessions(views: DataFrame, carried: Sequence[str] | None = None) -> DataFrame:
     """One row per session from sessionized page views."""
     carried = carried or [
-        "mkt_source", "mkt_medium", "mkt_campaign", "geo_country", "geo_region", "device_family", "os_family",
+        "mkt_source", "mkt_medium", "mkt_campaign", "geo_country", "geo_region", "geo_city", "device_family", "os_family",
     ]
     order = ["start_tstamp", "page_view_id"]
     rolled = views.groupBy("domain_userid", "domain_sessionid", "domain_sessionidx").agg(
@@ -151,23 +151,32 @@ def sessions(views: DataFrame, carried: Sequence[str] | None = None) -> DataFram
     )
 
 
+USER_FIRST = ["refr_urlhost", "refr_medium", "mkt_source", "mkt_medium", "mkt_campaign", "mkt_term"]
+
+
 def users(views: DataFrame, carried: Sequence[str] | None = None) -> DataFrame:
     """One row per user from sessionized page views, with first-touch source columns."""
-    carried = carried or ["refr_urlhost", "refr_medium", "mkt_source", "mkt_medium", "mkt_campaign", "mkt_term"]
-    order = ["start_tstamp", "page_view_id"]
-    rolled = views.groupBy("domain_userid").agg(
+    carried = carried or USER_FIRST
+    return users_of_sessions(sessions(views, carried), carried)
+
+
+def users_of_sessions(table: DataFrame, carried: Sequence[str] | None = None) -> DataFrame:
+    """One row per user from sessions that carry the given columns: what opened the first one and closed the last one."""
+    carried = carried or USER_FIRST
+    order = ["domain_sessionidx"]
+    rolled = table.groupBy("domain_userid").agg(
         F.min("start_tstamp").alias("start_tstamp"),
         F.max("end_tstamp").alias("end_tstamp"),
         F.sum("engaged_time_in_s").alias("engaged_time_in_s"),
-        F.count(F.lit(1)).alias("page_views"),
+        F.sum("page_views").alias("page_views"),
         F.max("domain_sessionidx").alias("sessions"),
-        first_of(order, ["page_title", *carried]).alias("_first"),
-        last_of(order, ["page_title"]).alias("_last"),
+        first_of(order, ["first_page_title", *carried]).alias("_first"),
+        last_of(order, ["last_page_title"]).alias("_last"),
     )
     return rolled.select(
         "domain_userid", "start_tstamp", "end_tstamp", "engaged_time_in_s", "page_views", "sessions",
-        F.col("_first.page_title").alias("first_page_title"),
-        F.col("_last.page_title").alias("last_page_title"),
+        F.col("_first.first_page_title").alias("first_page_title"),
+        F.col("_last.last_page_title").alias("last_page_title"),
         *[F.col(f"_first.{c}").alias(c) for c in carried],
     )
 

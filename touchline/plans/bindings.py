@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 SESSION_GAP_S = 6 * 3600
 PURCHASES_TO_CONVERT = 16
+CITY = "n_name || ' ' || CAST(c_custkey % 7 AS STRING)"
 
 # Sample user agents, picked by k % 6.
 AGENTS = [
@@ -90,12 +91,12 @@ def wide_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_geography(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Add country and region from the customer's nation; apply it to as few rows as possible."""
+    """Add country, region and a made-up city from the customer's nation; apply it to as few rows as possible."""
     geography = (
         read(spark, sf_dir, "customer")
         .join(read(spark, sf_dir, "nation"), _same("c_nationkey", "n_nationkey"))
         .join(read(spark, sf_dir, "region"), _same("n_regionkey", "r_regionkey"))
-        .selectExpr("c_custkey AS customer_key", "n_name AS geo_country", "r_name AS geo_region")
+        .selectExpr("c_custkey AS customer_key", "n_name AS geo_country", "r_name AS geo_region", f"{CITY} AS geo_city")
     )
     return rows.join(geography, "customer_key", "left")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from touchline.functions.scores import flag
 from touchline.sources.tables import write_table
 
+# The columns that the gold table takes from the first view.
 FIRST_VIEW_COLUMNS = [
     "absolute_time_in_s", "vertical_percentage_scrolled", "geo_country", "geo_region",
     "br_lang", "device_family", "os_family",

@@ -11,6 +11,9 @@ from touchline.sources.tables import staged
 from workload import ctes, inputs
 from workload.registry import query
 
+#: A visit to the site ends for campaigns when the user stayed away for ten days.
+CAMPAIGN_GAP_S = 10 * 86_400
+
 # A stand-in for a model score that SQL can compute too: mean spend, squashed to (0, 1).
 _SCORES_SQL = (
     "spend AS (SELECT CAST(o_custkey AS VARCHAR) AS domain_userid, "
@@ -67,15 +70,16 @@ def rule_based_audience(spark, sf):
 
 
 @query(
-    f"WITH {ctes.USERS_CTE}, {_LABELLED_SQL}, early AS (SELECT domain_userid, count(DISTINCT domain_sessionidx) AS sessions "
-    "FROM views WHERE start_tstamp < TIMESTAMP '2024-01-01 12:00:00' GROUP BY 1), "
+    f"WITH {ctes.USERS_CTE}, {_LABELLED_SQL}, starts AS (SELECT domain_userid, CASE WHEN epoch_us(start_tstamp) - lag(epoch_us(start_tstamp)) "
+    f"OVER (PARTITION BY domain_userid ORDER BY start_tstamp, page_view_id) < {CAMPAIGN_GAP_S * 1000000} THEN 0 ELSE 1 END AS opens FROM pv0), "
+    "visits AS (SELECT domain_userid, CAST(sum(opens) AS BIGINT) AS sessions FROM starts GROUP BY 1), "
     "src AS (SELECT domain_userid, mkt_medium FROM user_table) SELECT domain_userid, sessions, mkt_medium, propensity_label "
-    "FROM early JOIN src USING (domain_userid) JOIN scores USING (domain_userid) WHERE sessions = 1 AND mkt_medium IS NULL AND propensity_label = 'High'"
+    "FROM visits JOIN src USING (domain_userid) JOIN scores USING (domain_userid) WHERE sessions = 1 AND mkt_medium IS NULL AND propensity_label = 'High'"
 )
 def first_time_high_propensity_audience(spark, sf):
-    views = staged(inputs.views(spark, sf), "page_views")
-    first_half_day = views.where(F.col("start_tstamp") < F.lit("2024-01-01 12:00:00").cast("timestamp_ntz"))
-    parent = S.users(first_half_day).select("domain_userid", "sessions", "mkt_medium")
+    rolled = staged(inputs.page_views(inputs.wide(spark, sf), spark, sf), "page_views")
+    visits = S.sessionize(rolled, gap_s=CAMPAIGN_GAP_S)
+    parent = S.users(visits).select("domain_userid", "sessions", "mkt_medium")
     scores = _labelled(spark, sf).select("domain_userid", "propensity_label")
     return A.rule_audience(parent, scores, "domain_userid", A.awareness_rule())
 
@@ -92,23 +96,23 @@ def event_based_audience(spark, sf):
 
 @query(
     "WITH prev AS (SELECT o_custkey AS key, count(*) AS orders, max(o_orderpriority) AS priority FROM orders "
-    "WHERE o_orderdate < TIMESTAMP '1998-06-01' AND o_totalprice > 300000 GROUP BY 1), "
+    "WHERE o_orderdate < TIMESTAMP '1998-06-01' GROUP BY 1), "
     "cur AS (SELECT o_custkey AS key, count(*) AS orders, max(o_orderpriority) AS priority FROM orders "
-    "WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_totalprice > 300000 GROUP BY 1) "
+    "WHERE o_orderdate >= TIMESTAMP '1996-01-01' GROUP BY 1) "
     "SELECT coalesce(c.key, p.key) AS key, CASE WHEN p.key IS NULL THEN 'add' WHEN c.key IS NULL THEN 'remove' ELSE 'update' END AS change, "
     "coalesce(c.orders, p.orders) AS orders, coalesce(c.priority, p.priority) AS priority FROM prev p FULL JOIN cur c ON p.key = c.key "
     "WHERE p.key IS NULL OR c.key IS NULL OR p.orders <> c.orders OR p.priority <> c.priority"
 )
 def audience_change_set(spark, sf):
-    big = inputs.read(spark, sf, "orders").where("o_totalprice > 300000")
+    orders = inputs.read(spark, sf, "orders")
 
     def snapshot(rows):
         return rows.groupBy(F.col("o_custkey").alias("key")).agg(
             F.count(F.lit(1)).alias("orders"), F.max("o_orderpriority").alias("priority")
         )
 
-    previous = snapshot(big.where("o_orderdate < timestamp_ntz'1998-06-01'"))
-    current = snapshot(big.where("o_orderdate >= timestamp_ntz'1996-01-01'"))
+    previous = snapshot(orders.where("o_orderdate < timestamp_ntz'1998-06-01'"))
+    current = snapshot(orders.where("o_orderdate >= timestamp_ntz'1996-01-01'"))
     return A.change_set(previous, current, "key", ["orders", "priority"])
 
 

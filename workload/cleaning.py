@@ -83,16 +83,17 @@ _HOST_SQL = "regexp_extract(url, '^https?://([^/?#]+)', 1)"
 
 
 @query(
-    f"WITH p AS (SELECT page_id, {_HOST_SQL} AS refr_urlhost, nullif(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1), '') "
-    "AS mkt_source FROM pages), hosts AS (SELECT refr_urlhost AS host, CASE WHEN refr_urlhost LIKE 'm.%' THEN 'social' ELSE 'search' END AS medium "
+    f"WITH p AS (SELECT page_id, {_HOST_SQL} AS refr_urlhost"
+    + "".join(f", nullif(regexp_extract(url, '[?&]utm_{c}=([^&#]*)', 1), '') AS mkt_{c}" for c in ("source", "medium", "campaign", "term"))
+    + " FROM pages), hosts AS (SELECT refr_urlhost AS host, CASE WHEN refr_urlhost LIKE 'm.%' THEN 'social' ELSE 'search' END AS medium "
     "FROM p WHERE refr_urlhost LIKE 'm.%' OR refr_urlhost LIKE 'www.%' GROUP BY 1) "
-    "SELECT page_id, refr_urlhost, mkt_source, CASE WHEN refr_urlhost = 'spam-farm.example.org' THEN 'internal' "
+    "SELECT page_id, refr_urlhost, mkt_source, mkt_medium, mkt_campaign, mkt_term, CASE WHEN refr_urlhost = 'spam-farm.example.org' THEN 'internal' "
     "ELSE coalesce(medium, 'unknown') END AS refr_medium FROM p LEFT JOIN hosts ON host = refr_urlhost"
 )
 def attribute_campaign_and_referrer(spark, sf):
     url = F.col("url")
     pages = inputs.read(spark, sf, "pages").select(
-        "page_id", web.url_host(url).alias("refr_urlhost"), web.campaign_columns(url)["mkt_source"].alias("mkt_source")
+        "page_id", web.url_host(url).alias("refr_urlhost"), *[c.alias(name) for name, c in web.campaign_columns(url).items()]
     )
     host = F.col("refr_urlhost")
     listed = pages.where(host.startswith("m.") | host.startswith("www.")).select(host.alias("host")).distinct()

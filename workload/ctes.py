@@ -1,6 +1,7 @@
 """Checking SQL shared by several queries, as WITH clauses for DuckDB."""
 
-from touchline.plans.bindings import PURCHASES_TO_CONVERT, SESSION_GAP_S, TARGET_URL, wide_columns
+from touchline.plans.bindings import CITY, PURCHASES_TO_CONVERT, SESSION_GAP_S, TARGET_URL, wide_columns
+from touchline.plans.gold import FIRST_VIEW_COLUMNS, GOLD_COLUMNS
 
 _WIDE_COLUMNS = ",\n    ".join(f"{text} AS {name}" for name, text in wide_columns("duckdb").items())
 
@@ -10,7 +11,7 @@ RAW = """raw AS (
 WIDE_CTE = f"""{RAW},
 wide0 AS (SELECT {_WIDE_COLUMNS} FROM raw),
 wide AS (
-  SELECT w.*, n_name AS geo_country, r_name AS geo_region
+  SELECT w.*, n_name AS geo_country, r_name AS geo_region, {CITY} AS geo_city
   FROM wide0 w LEFT JOIN customer ON customer_key = c_custkey
   LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)"""
 
@@ -27,7 +28,7 @@ nested AS (
 
 _FIRST = [
     "domain_userid", "page_title", "page_urlpath", "refr_urlhost", "refr_medium", "mkt_source", "mkt_medium",
-    "mkt_campaign", "mkt_term", "geo_country", "geo_region", "br_lang", "device_family", "os_family",
+    "mkt_campaign", "mkt_term", "geo_country", "geo_region", "geo_city", "br_lang", "device_family", "os_family",
 ]
 
 VIEWS_CTE = f"""{WIDE_CTE},
@@ -64,7 +65,7 @@ sess AS (
     arg_min(page_title, start_tstamp) AS first_page_title, arg_max(page_title, start_tstamp) AS last_page_title
   FROM views GROUP BY ALL),
 sess_first AS (
-  SELECT domain_sessionid, mkt_source, mkt_medium, mkt_campaign, geo_country, geo_region, device_family, os_family
+  SELECT domain_sessionid, mkt_source, mkt_medium, mkt_campaign, geo_country, geo_region, geo_city, device_family, os_family
   FROM views WHERE page_view_in_session_index = 1),
 session_table AS (SELECT * FROM sess JOIN sess_first USING (domain_sessionid))"""
 
@@ -80,21 +81,44 @@ user_first AS (
   FROM views QUALIFY row_number() OVER (PARTITION BY domain_userid ORDER BY start_tstamp, page_view_id) = 1),
 user_table AS (SELECT * FROM user_sum JOIN user_first USING (domain_userid))"""
 
-GOLD_CTE = f"""{USERS_CTE},
-converted_users AS (
-  SELECT CAST(user_id AS VARCHAR) AS domain_userid, true AS converted FROM events
-  WHERE event_type = 'purchase' GROUP BY user_id HAVING count(*) > {PURCHASES_TO_CONVERT}),
-first_view AS (
-  SELECT domain_userid, absolute_time_in_s, vertical_percentage_scrolled, geo_country, geo_region, br_lang,
-    device_family, os_family
-  FROM views WHERE page_view_in_session_index = 1
-  QUALIFY row_number() OVER (PARTITION BY domain_userid ORDER BY start_tstamp, page_view_id) = 1),
-gold AS (
-  SELECT u.domain_userid, u.first_page_title, u.refr_urlhost, lower(u.refr_medium) AS refr_medium,
-    lower(u.mkt_medium) AS mkt_medium, u.mkt_source, u.mkt_term, u.mkt_campaign, u.engaged_time_in_s, u.sessions,
-    u.page_views, coalesce(f.absolute_time_in_s, 0) AS absolute_time_in_s,
-    coalesce(f.vertical_percentage_scrolled, 0) AS vertical_percentage_scrolled, f.geo_country, f.geo_region,
-    f.br_lang, f.device_family, f.os_family, CAST(coalesce(c.converted, false) AS INTEGER) AS converted_user
-  FROM user_table u JOIN first_view f USING (domain_userid) LEFT JOIN converted_users c USING (domain_userid))"""
+_NUMBERS = ("engaged_time_in_s", "sessions", "page_views", "absolute_time_in_s", "vertical_percentage_scrolled")
+
+
+def _gold_list(raw: bool) -> str:
+    """The select list of the gold table from the names of its columns; ``raw`` leaves values as they came."""
+    out = []
+    for name in GOLD_COLUMNS:
+        source = f"opening.{name}" if name in FIRST_VIEW_COLUMNS else f"visitor.{name}"
+        if name == "converted_user":
+            found = "domain_userid IN (SELECT domain_userid FROM buyers)"
+            source = found if raw else f"CAST({found} AS INTEGER)"
+        elif raw and name in ("sessions", "page_views"):
+            continue
+        elif not raw and name in _NUMBERS:
+            source = f"coalesce({source}, 0)"
+        elif not raw and name in ("refr_medium", "mkt_medium"):
+            source = f"lower({source})"
+        elif name == "domain_userid":
+            source = name
+        out.append(f"{source} AS {name}")
+    return ", ".join(out)
+
+
+# The first view is the one that no other opening view of the user precedes.
+_GOLD_PARTS = f"""{USERS_CTE},
+buyers AS (
+  SELECT CAST(user_id AS VARCHAR) AS domain_userid FROM events
+  GROUP BY user_id HAVING count(*) FILTER (event_type = 'purchase') > {PURCHASES_TO_CONVERT}),
+openings AS (SELECT * FROM views WHERE page_view_in_session_index = 1),
+opening AS (
+  SELECT * FROM openings o WHERE NOT EXISTS (SELECT 1 FROM openings p WHERE p.domain_userid = o.domain_userid
+    AND (p.start_tstamp < o.start_tstamp OR p.start_tstamp = o.start_tstamp AND p.page_view_id < o.page_view_id))),
+visitor AS (SELECT * FROM user_table)"""
+
+GOLD_CTE = f"""{_GOLD_PARTS},
+gold AS (SELECT {_gold_list(raw=False)} FROM visitor JOIN opening USING (domain_userid))"""
+
+RAW_GOLD_CTE = f"""{_GOLD_PARTS},
+gold AS (SELECT {_gold_list(raw=True)} FROM visitor JOIN opening USING (domain_userid))"""
 
 HASH_PERCENT = "CAST(('0x' || substr(md5(CAST({0} AS VARCHAR)), 1, 8)) AS BIGINT) % 100"

@@ -426,8 +426,8 @@ def temporal_features(spark, sf):
 @query(
     "SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, "
     "regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS path, "
-    "nullif(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1), '') AS mkt_source, "
-    "nullif(regexp_extract(url, '[?&]ref=([^&#]*)', 1), '') AS ref FROM pages"
+    + "".join(f"nullif(regexp_extract(url, '[?&]utm_{c}=([^&#]*)', 1), '') AS mkt_{c}, " for c in ("source", "medium", "campaign", "term"))
+    + "nullif(regexp_extract(url, '[?&]ref=([^&#]*)', 1), '') AS ref FROM pages"
 )
 def url_parts(spark, sf):
     url = F.col("url")
@@ -435,7 +435,7 @@ def url_parts(spark, sf):
         "page_id",
         web.url_host(url).alias("host"),
         web.url_path(url).alias("path"),
-        web.campaign_columns(url)["mkt_source"].alias("mkt_source"),
+        *[c.alias(name) for name, c in web.campaign_columns(url).items()],
         F.try_parse_url(url, F.lit("QUERY"), F.lit("ref")).alias("ref"),
     )
 
@@ -483,5 +483,5 @@ def convert_currency(spark, sf):
         F.when(code == 0, "EUR").when(code == 1, "GBP").otherwise("USD").alias("currency"),
     )
     usd = F.when(F.col("currency") == "USD", F.col("o_totalprice")).otherwise(F.col("o_totalprice") * F.col("rate"))
-    joined = priced.join(J.broadcast_if_small(rates), ["currency", "year"], "left")
+    joined = priced.join(rates, ["currency", "year"], "left")
     return joined.select("o_orderkey", "currency", F.round(usd, 4).alias("usd"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from touchline.operators import sessions as S
 from touchline.plans import bindings as B
-from touchline.plans.gold import first_touch_raw, first_views
+from touchline.plans.gold import first_touch_raw
 from touchline.sources.tables import staged
 from workload import ctes, inputs
 from workload.registry import query
@@ -28,3 +28,9 @@ def user_table(spark, sf):
 @query(f"WITH {ctes.GOLD_CTE} SELECT * FROM gold")
 def first_touch_gold(spark, sf):
     return inputs.gold(spark, sf)
+
+
+@query(f"WITH {ctes.RAW_GOLD_CTE} SELECT * FROM gold")
+def first_touch_gold_raw(spark, sf):
+    views = staged(inputs.views(spark, sf), "sessionized")
+    return first_touch_raw(S.users(views), views, B.converted_users(spark, sf))
