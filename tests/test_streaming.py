@@ -4,7 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from touchline.operators import sessions as S
-from touchline.session import shared_folder, work_path
+from touchline.session import releasing, remove, shared_folder, work_path
 from touchline.streaming import events as E
 from touchline.streaming import metrics as R
 from touchline.streaming.upsert import Upsert
@@ -62,34 +62,74 @@ def test_daily_users_are_exact(spark):
     assert [r[1:] for r in rows(got, "day")] == [(2, 3), (1, 1)]
 
 
+def sessions_of(df):
+    return S.session_bounds(df, "user", "ts", 1800).drop("domain_sessionidx")
+
+
 def test_upsert_over_many_batches_equals_one_run(spark):
     source = work_path(spark, "in")
+    day = 86_400
     write(spark, source, (1, "a", 0), (2, "b", 10), (3, "a", 4000))
-    write(spark, source, (4, "a", 1500))
-    write(spark, source, (5, "a", 2900), (6, "c", 1))
-
-    def build(df):
-        return S.session_bounds(df, "user", "ts", 1800)
-
-    upsert = Upsert(spark, work_path(spark, "upsert"), "user", build, buckets=3)
+    write(spark, source, (4, "a", 1500), (7, "b", day - 5))
+    write(spark, source, (5, "a", 2900), (6, "c", 1), (8, "b", day + 5))
+    write(spark, source, (9, "b", day + 1700), (10, "a", 3 * day))
+    write(spark, source, (11, "c", 1000), (12, "b", day + 4000))
+    upsert = Upsert(spark, work_path(spark, "upsert"), "user", "ts", sessions_of, gap_s=1800)
     schema = spark.createDataFrame([], SCHEMA).schema
     upsert.run(E.read_stream(spark, source, schema, files_per_batch=1), work_path(spark, "state"))
-    full = build(spark.read.parquet(source))
-    got = upsert.current(full.schema)
-    assert rows(got, "user", "domain_sessionidx") == rows(full, "user", "domain_sessionidx")
+    full = sessions_of(spark.read.parquet(source))
+    got = upsert.current(schema)
+    assert rows(got, "user", "start_us") == rows(full, "user", "start_us")
 
 
 def test_replayed_batch_changes_nothing(spark):
     def build(df):
-        return df.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+        return df.groupBy("user").agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))).alias("start_us"), F.lit(0).cast("bigint").alias("end_us"), F.count(F.lit(1)).alias("n"))
 
-    upsert = Upsert(spark, work_path(spark, "upsert"), "user", build, buckets=2)
+    upsert = Upsert(spark, work_path(spark, "upsert"), "user", "ts", build)
     batch = spark.createDataFrame([(1, "a", START), (2, "b", START)], SCHEMA)
     for batch_id in (0, 0, 1, 1):
         upsert.on_batch(batch.where(f"event_id = {batch_id + 1}"), batch_id)
-    assert rows(upsert.current(build(batch).schema), "user") == [("a", 1), ("b", 1)]
+    upsert.on_batch(batch.limit(0), 2)
+    got = upsert.current(batch.schema).select("user", "n")
+    assert rows(got, "user") == [("a", 1), ("b", 1)]
+
+
+def test_old_events_are_not_read_and_old_versions_go(spark):
+    """Raw folders of days before the oldest open session may even be gone."""
+    root = work_path(spark, "upsert")
+    upsert = Upsert(spark, root, "user", "ts", sessions_of, gap_s=1800)
+    day = 86_400
+    made = lambda *e: spark.createDataFrame([(i, u, START + timedelta(seconds=s)) for i, u, s in e], SCHEMA)
+    for number in range(20):
+        upsert.on_batch(made((2 * number, "a", number * day + 50_000), (2 * number + 1, f"u{number}", number * day + 60_000)), number)
+        if number:
+            remove(spark, f"{root}/raw/batch={number - 1}")
+    got = upsert.current(made((0, "a", 0)).schema)
+    assert got.count() == 40 and got.where("events = 1").count() == 40
+    # Each day comes from the batch that wrote it: one day is written a batch.
+    for number in range(20):
+        assert spark.read.parquet(f"{root}/derived/batch={number}").select("day").distinct().count() == 1
+    assert upsert._versions(None)[0][0] == 19
+    upsert.on_batch(made((100, "a", 50_100)), 20)
+    assert [v[0] for v in upsert._versions(None)] == [20]
 
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == shared_folder(spark)
     assert work_path(spark, "x").startswith(shared_folder(spark))
+
+
+def test_a_run_leaves_nothing(spark):
+    from workload.storage import gold_as_temporary_view, replace_table_and_schema
+
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    system = fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listed = lambda: {str(f.getPath().getName()) for f in system.listStatus(fs)} if system.exists(fs) else set()
+    names = lambda: {t.name for t in spark.catalog.listTables()}
+    folders, tables = listed(), names()
+    with releasing():
+        assert gold_as_temporary_view(spark, "/root/testdata/sf0.001").count() > 0
+        assert replace_table_and_schema(spark, "/root/testdata/sf0.001").count() > 0
+        assert listed() > folders and names() > tables
+    assert listed() == folders and names() == tables

@@ -54,7 +54,7 @@ def shared_folder(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder, removed by ``releasing``."""
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    on_release(lambda: _remove(spark, path))
+    on_release(lambda: remove(spark, path))
     return path
 
 
@@ -77,7 +77,8 @@ def releasing() -> Iterator[None]:
             _used.pop()()
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever the session's file systems have it."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from touchline.functions.times import epoch_micros
 from touchline.operators import models as M
 from touchline.operators import sessions as S
 from touchline.plans import bindings as B
 from touchline.session import work_path
+from touchline.sources.tables import staged
 from touchline.streaming import events as E
 from touchline.streaming import metrics as R
 from touchline.streaming.upsert import Upsert
 from workload import inputs
-from workload.ctes import GOLD_CTE
+from workload.ctes import GOLD_CTE, VIEWS_CTE
 from workload.modelling import CATEGORICAL, CONTINUOUS, LABEL, prospects
 from workload.registry import query
 
@@ -95,8 +98,46 @@ def stream_session_upsert(spark, sf):
     events.repartition(3, F.pmod(F.xxhash64("event_id"), F.lit(3))).write.parquet(folder)
 
     def build(rows):
-        return S.session_bounds(rows, "user_id", "ts", B.SESSION_GAP_S)
+        return S.session_bounds(rows, "user_id", "ts", B.SESSION_GAP_S).drop("domain_sessionidx")
 
-    upsert = Upsert(spark, work_path(spark, "upsert"), "user_id", build, buckets=4)
+    upsert = Upsert(spark, work_path(spark, "upsert"), "user_id", "ts", build, gap_s=B.SESSION_GAP_S)
     upsert.run(E.read_stream(spark, folder, events.schema, files_per_batch=1), work_path(spark, "upsert-state"))
-    return upsert.current(build(events).schema)
+    number = F.row_number().over(Window.partitionBy("user_id").orderBy("start_us")).cast("bigint")
+    return upsert.current(events.schema).withColumn("domain_sessionidx", number)
+
+
+@query(
+    f"WITH {VIEWS_CTE} SELECT page_view_id, epoch_us(start_tstamp) AS start_us, epoch_us(end_tstamp) AS end_us, "
+    "CAST(engaged_time_in_s // 10 AS BIGINT) AS pings FROM views"
+)
+def stream_page_view_upsert(spark, sf):
+    """Page views kept current from three arrivals, in the order of time but for some late events."""
+    events = staged(inputs.wide(spark, sf).select("page_view_id", "collector_tstamp", "event_id"), "wide")
+    folder = work_path(spark, "arrivals")
+    third = F.when(F.col("event_id") % 11 == 0, 2).when(F.dayofmonth("collector_tstamp") <= 15, 0).otherwise(1)
+    for number in range(3):
+        events.where(third == number).coalesce(1).write.mode("append").parquet(folder)
+
+    def build(rows):
+        us = epoch_micros(rows, "collector_tstamp")
+        return rows.groupBy("page_view_id").agg(F.min(us).alias("start_us"), F.max(us).alias("end_us"), F.count(F.lit(1)).alias("pings"))
+
+    upsert = Upsert(spark, work_path(spark, "upsert"), "page_view_id", "collector_tstamp", build)
+    upsert.run(E.read_stream(spark, folder, events.schema, files_per_batch=1), work_path(spark, "upsert-state"))
+    return upsert.current(events.schema)
+
+
+@query(
+    "WITH gaps AS (SELECT user_id, ts, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) "
+    f"< {B.SESSION_GAP_S * 1000000} THEN 0 ELSE 1 END AS opens FROM events) SELECT user_id, CAST(sum(opens) AS BIGINT) AS sessions, "
+    "count(*) AS events, epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) AS last_us FROM gaps GROUP BY 1"
+)
+def stream_user_upsert(spark, sf):
+    """Users as a roll-up of the sessions that a stream keeps current: as cheap as there are sessions."""
+    table = stream_session_upsert(spark, sf)
+    return table.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("sessions"),
+        F.sum("events").alias("events"),
+        F.min("start_us").alias("first_us"),
+        F.max("end_us").alias("last_us"),
+    )
