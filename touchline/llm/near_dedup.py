@@ -11,10 +11,13 @@ A half key that no other text has cannot meet anything, so table keys are only
 formed from shared half keys.
 
 Equal shingle sets are one node. In each table bucket all nodes are compared
-with one leader, which joins a large group of near copies in as many
-comparisons as it has members. Only buckets that still hold several
-components are compared further, and only across components; there, sizes and
-all minhashes are compared first. Every link is confirmed on full sets.
+with one leader. Nodes that resemble a leader at all (CLUSTER) join the
+cluster of the leader that most nodes resemble, and a cluster is compared
+within tasks, which give no more links than it has members. A large group of
+near copies, many of which are too unlike each other to be linked, so costs
+rows in proportion to its size. Nodes of different clusters that share a
+bucket are compared by sizes and minhashes first, and what may be similar by
+full sets. Every link is confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -31,8 +34,10 @@ from touchline.llm.graph import components
 from touchline.llm.text import mix, pieces, shingles, words_of
 from touchline.sources.tables import staged
 
-#: Members of a bucket that are compared in one task; larger buckets are dealt to several.
+#: Members of a bucket or cluster that are compared in one task; larger ones are dealt to several.
 GROUP = 2000
+#: Similarity to a leader, in percent, from which a node may join its cluster. It decides where nodes are compared, not whether.
+CLUSTER = 40
 
 
 def collections_needed(threshold: float, rows: int, miss: float) -> int:
@@ -102,28 +107,88 @@ def signatures(docs: DataFrame, size: int, m: int, rows: int, seed: int = 1) ->
     return docs.mapInArrow(run, f"id long, n long, node long, halves array<long>, mins binary{row}")
 
 
-def _similar(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose full sets have 100 * intersection >= percent * union."""
+def _fetched(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(node, items): the sets of the wanted nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             items, offsets, node = _sets(batch, size)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(items.view(np.int64), pa.int64()))
-            yield pa.RecordBatch.from_pydict({"found": pa.array(node, pa.int64()), "wanted": batch.column("wanted"), "items": lists})
+            yield pa.RecordBatch.from_pydict({"found": pa.array(node, pa.int64()), "node": batch.column("node"), "items": lists})
 
-    named = pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
-    wanted = nodes.join(named, nodes["node"] == named["wanted"]).select("wanted", F.col("min_id").alias("id"))
-    fetched = texts.select("id", "text").join(wanted, "id").mapInArrow(run, "found long, wanted long, items array<long>")
+    named = nodes.join(wanted, "node").select("node", F.col("min_id").alias("id"))
+    sets = texts.join(named, "id").mapInArrow(run, "found long, node long, items array<long>")
     # Rows that share an id may hold different texts; the set's number tells which one is meant.
-    sets = staged(fetched.where("found = wanted").groupBy("wanted").agg(F.first("items").alias("items")), "sets")
-    left = sets.select(F.col("wanted").alias("a"), F.col("items").alias("_a"))
-    right = sets.select(F.col("wanted").alias("b"), F.col("items").alias("_b"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("_a", "_b")))
-    return both.where(100 * F.col("common") >= percent * (F.size("_a") + F.size("_b") - F.col("common"))).select("a", "b")
+    return sets.where("found = node").groupBy("node").agg(F.first("items").alias("items"))
+
+
+def _measured(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes with the sizes of the intersection and the union of their full sets."""
+    left = sets.select(F.col("node").alias("a"), F.col("items").alias("_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("items").alias("_b"))
+    common = F.size(F.array_intersect("_a", "_b"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", common.alias("common"), (F.size("_a") + F.size("_b")).alias("sizes"))
+    return both.select("a", "b", "common", (F.col("sizes") - F.col("common")).alias("united"))
+
+
+def _cluster_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join all similar nodes (cluster, node, items) of a cluster, fewer than it has members in each task.
+
+    A cluster of more than GROUP members is dealt into parts, and each two
+    parts meet in a task of their own.
+    """
+    sizes = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts")).where("parts > 0")
+    dealt = members.join(sizes, "cluster").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    spread = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    spread = spread.withColumn("p", F.least("part", "with")).withColumn("q", F.greatest("part", "with"))
+
+    def run(table: pa.Table) -> pa.Table:
+        node = np.array(table.column("node"), dtype=np.int64)
+        lists = table.column("items").combine_chunks()
+        counts = np.diff(np.array(lists.offsets))
+        _, item, often = np.unique(np.array(lists.flatten()), return_inverse=True, return_counts=True)
+        # Only shingles of two members or more can be common.
+        shared = often[item] > 1
+        rank = (np.cumsum(often > 1) - 1)[item]
+        owner = np.repeat(np.arange(len(node)), counts)[shared]
+        rank = rank[shared]
+        width = max(1, int((often > 1).sum()))
+        begin = np.searchsorted(owner, np.arange(len(node) + 1))
+        block = max(8, min(512, 8_000_000 // width))
+        top = list(range(len(node)))
+
+        def root(i: int) -> int:
+            while top[i] != i:
+                top[i] = top[top[i]]
+                i = top[i]
+            return i
+
+        def dense(lo: int, hi: int) -> np.ndarray:
+            out = np.zeros((hi - lo, width), dtype=np.float32)
+            out[owner[begin[lo] : begin[hi]] - lo, rank[begin[lo] : begin[hi]]] = 1
+            return out
+
+        found = []
+        for lo in range(0, len(node), block):
+            hi = min(len(node), lo + block)
+            rows = dense(lo, hi)
+            for lo2 in range(0, lo + 1, block):
+                hi2 = min(len(node), lo2 + block)
+                common = rows @ (rows if lo2 == lo else dense(lo2, hi2)).T
+                united = counts[lo:hi, None] + counts[None, lo2:hi2] - common
+                for i, j in zip(*np.nonzero(100 * common >= percent * united)):
+                    x, y = root(lo + int(i)), root(lo2 + int(j))
+                    if x != y:
+                        top[max(x, y)] = min(x, y)
+                        found.append((lo + int(i), lo2 + int(j)))
+        pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(node[pairs[:, 0]]), "b": pa.array(node[pairs[:, 1]])})
+
+    return spread.select("cluster", "p", "q", "node", "items").groupBy("cluster", "p", "q").applyInArrow(run, "a long, b long")
 
 
 def _bucket_pairs(members: DataFrame, percent: int, hashes: int) -> DataFrame:
-    """Pairs of nodes of different components in one bucket whose sizes and minhashes allow the threshold.
+    """Pairs of nodes of different clusters in one bucket whose sizes and minhashes allow the threshold.
 
     Sizes of a linked pair lie within the threshold's ratio, so a bucket falls
     into size bands and only neighbouring bands meet. A band with more than
@@ -140,7 +205,7 @@ def _bucket_pairs(members: DataFrame, percent: int, hashes: int) -> DataFrame:
     spread = spread.withColumn("p", F.least("part", "with")).withColumn("q", F.greatest("part", "with"))
 
     def run(table: pa.Table) -> pa.Table:
-        node, n, comp, part = (np.array(table.column(c), dtype=np.int64) for c in ("node", "n", "component", "part"))
+        node, n, cluster, part = (np.array(table.column(c), dtype=np.int64) for c in ("node", "n", "cluster", "part"))
         low = np.array(table.column("low"), dtype=bool)
         mins = np.frombuffer(b"".join(table.column("mins").to_pylist()), dtype="<u4").reshape(len(node), -1)
         apart = len(set(part.tolist())) > 1
@@ -148,7 +213,7 @@ def _bucket_pairs(members: DataFrame, percent: int, hashes: int) -> DataFrame:
         for i in range(len(node) - 1):
             rest = slice(i + 1, None)
             # Two members of the same neighbouring band meet in that band's own group.
-            near = (comp[rest] != comp[i]) & ~(low[rest] & low[i])
+            near = (cluster[rest] != cluster[i]) & ~(low[rest] & low[i])
             near &= 100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])
             if apart:
                 near &= part[rest] != part[i]
@@ -159,7 +224,7 @@ def _bucket_pairs(members: DataFrame, percent: int, hashes: int) -> DataFrame:
         empty = np.zeros(0, dtype=np.int64)
         return pa.table({"a": pa.array(np.concatenate([empty, *a])), "b": pa.array(np.concatenate([empty, *b]))})
 
-    columns = ["tk", "band", "p", "q", "node", "n", "component", "mins", "part", "low"]
+    columns = ["tk", "band", "p", "q", "node", "n", "cluster", "mins", "part", "low"]
     return spread.select(*columns).groupBy("tk", "band", "p", "q").applyInArrow(run, "a long, b long").distinct()
 
 
@@ -213,21 +278,30 @@ def near_dedup(
     leaders = tables.groupBy("tk").agg(F.min("node").alias("lead"), F.max("node").alias("hi")).where("lead < hi")
     buckets = staged(tables.join(leaders.select("tk", "lead"), "tk"), "buckets")
 
+    sources = texts.select(F.coalesce("id", last).alias("id"), "text")
+    sets = staged(_fetched(sources, nodes, buckets.select("node").distinct(), size), "sets")
+
     stars = buckets.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
     count = nodes.select("node", "n")
     stars = stars.join(count.toDF("a", "na"), "a").join(count.toDF("b", "nb"), "b")
-    stars = stars.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
-    sources = texts.select(F.coalesce("id", last).alias("id"), "text")
-    links = staged(_similar(sources, nodes, stars, size, percent), "links")
-
-    joined = components(links)
-    placed = buckets.select("tk", "node").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("tk").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    stars = stars.where(100 * F.least("na", "nb") >= CLUSTER * F.greatest("na", "nb")).select("a", "b")
+    near = staged(_measured(sets, stars).where(100 * F.col("common") >= CLUSTER * F.col("united")), "near")
+    links = near.where(100 * F.col("common") >= percent * F.col("united")).select("a", "b")
+
+    resembled = near.select("b", "a").union(near.select("b", "b")).distinct().toDF("lead", "node")
+    followers = resembled.groupBy("lead").agg(F.count(F.lit(1)).alias("followers"))
+    best = F.max(F.struct("followers", "lead"))["lead"].alias("cluster")
+    clusters = staged(resembled.join(followers, "lead").groupBy("node").agg(best), "clusters")
+    shared = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    within = _cluster_links(clusters.join(shared, "cluster").join(sets, "node").select("cluster", "node", "items"), percent)
+
+    placed = buckets.select("tk", "node").join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
+    mixed = placed.groupBy("tk").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo < hi")
     members = placed.join(mixed.select("tk"), "tk").join(nodes.select("node", "n", "mins"), "node")
-    pairs = staged(_bucket_pairs(members, percent, 2 * m * rows).join(links, ["a", "b"], "left_anti"), "pairs")
-    more = staged(_similar(sources, nodes, pairs, size, percent), "links")
+    pairs = staged(_bucket_pairs(members, percent, 2 * m * rows), "pairs")
+    across = _measured(sets, pairs).where(100 * F.col("common") >= percent * F.col("united")).select("a", "b")
 
-    joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    joined = components(links.unionByName(within).unionByName(across))
     named = nodes.select("node", "min_id").join(joined, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("min_id").alias("component_id"))
