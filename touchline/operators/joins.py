@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -75,7 +75,7 @@ def when_first_did(parent: DataFrame, events: DataFrame, key: str, ts: str, name
 
 
 def disjoint_ranges(ranges: DataFrame, low: str, high: str, carried: Sequence[str], bucket_bits: int) -> DataFrame:
-    """(bucket, from, to, range): the ranges cut into pieces that neither overlap nor leave their bucket.
+    """(key, from, to, range): the ranges cut into pieces that neither overlap nor leave their bucket.
 
     Where ranges overlap, the one that starts last has the piece, and of those
     the shortest: for nested ranges the innermost. All ranges of a bucket of
@@ -92,7 +92,12 @@ def disjoint_ranges(ranges: DataFrame, low: str, high: str, carried: Sequence[st
     holding = F.filter("all", lambda r: (r["a"] <= F.col("from")) & (r["b"] >= F.col("from")))
     best = F.array_max(F.transform(holding, lambda r: r["inner"]))
     pieces = parted.select("bucket", "from", (F.get("edges", F.col("i") + 1) - 1).alias("to"), best.alias("best"))
-    return pieces.where("best IS NOT NULL").select("bucket", "from", "to", F.col("best.range").alias("range"))
+    return pieces.where("best IS NOT NULL").select(_bucket_key(F.col("bucket")), "from", "to", F.col("best.range").alias("range"))
+
+
+def _bucket_key(bucket: Column) -> Column:
+    """A bucket as a join key. Hashed, so that the pieces are shuffled for the join; only then can Spark split a common one."""
+    return F.xxhash64(bucket.cast("bigint")).alias("key")
 
 
 def range_lookup(
@@ -115,5 +120,6 @@ def range_lookup(
     """
     pieces = disjoint_ranges(ranges, low, high, carried, bucket_bits)
     number = F.col(value).cast("bigint")
-    holds = (F.shiftright(number, bucket_bits) == F.col("bucket")) & (number >= F.col("from")) & (number <= F.col("to"))
-    return rows.join(pieces, holds, "left").select(*rows.columns, *[F.col(f"range.{c}").alias(c) for c in carried])
+    holds = (_bucket_key(F.shiftright(number, bucket_bits)) == F.col("_key")) & (number >= F.col("_from")) & (number <= F.col("_to"))
+    named = pieces.select(*[F.col(c).alias(f"_{c}") for c in ("key", "from", "to", "range")])
+    return rows.join(named, holds, "left").select(*rows.columns, *[F.col(f"_range.{c}").alias(c) for c in carried])
