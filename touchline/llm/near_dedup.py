@@ -187,15 +187,16 @@ def _cluster_links(members: DataFrame, percent: int) -> DataFrame:
     return spread.select("cluster", "p", "q", "node", "items").groupBy("cluster", "p", "q").applyInArrow(run, "a long, b long")
 
 
-def _bucket_pairs(members: DataFrame, percent: int, hashes: int) -> DataFrame:
+def _bucket_pairs(members: DataFrame, percent: int, m: int, rows: int) -> DataFrame:
     """Pairs of nodes of different clusters in one bucket whose sizes and minhashes allow the threshold.
 
     Sizes of a linked pair lie within the threshold's ratio, so a bucket falls
     into size bands and only neighbouring bands meet. A band with more than
     GROUP members is dealt into parts; each two parts meet in a task of their
-    own. Nothing but surviving pairs leaves a task.
+    own. Nothing but surviving pairs leaves a task, and each of them once: from
+    the bucket of the first half keys of either collection that both share.
     """
-    need = least_matches(percent / 100, hashes)
+    need = least_matches(percent / 100, 2 * m * rows)
     step = -math.log(percent / 100)
     band = F.floor(F.log(F.col("n").cast("double")) / step)
     banded = members.withColumn("band", F.explode(F.array(band, band + 1))).withColumn("low", F.col("band") > band)
@@ -208,6 +209,7 @@ def _bucket_pairs(members: DataFrame, percent: int, hashes: int) -> DataFrame:
         node, n, cluster, part = (np.array(table.column(c), dtype=np.int64) for c in ("node", "n", "cluster", "part"))
         low = np.array(table.column("low"), dtype=bool)
         mins = np.frombuffer(b"".join(table.column("mins").to_pylist()), dtype="<u4").reshape(len(node), -1)
+        first, second = table.column("first")[0].as_py(), table.column("second")[0].as_py() - m
         apart = len(set(part.tolist())) > 1
         a, b = [], []
         for i in range(len(node) - 1):
@@ -218,13 +220,16 @@ def _bucket_pairs(members: DataFrame, percent: int, hashes: int) -> DataFrame:
             if apart:
                 near &= part[rest] != part[i]
             at = np.flatnonzero(near) + i + 1
-            at = at[(mins[at] == mins[i]).sum(axis=1) >= need]
+            equal = mins[at] == mins[i]
+            shared = equal.reshape(len(at), 2 * m, rows).all(axis=2)
+            here = (shared[:, :m].argmax(axis=1) == first) & (shared[:, m:].argmax(axis=1) == second)
+            at = at[(equal.sum(axis=1) >= need) & here]
             a.append(np.minimum(node[at], node[i]))
             b.append(np.maximum(node[at], node[i]))
         empty = np.zeros(0, dtype=np.int64)
         return pa.table({"a": pa.array(np.concatenate([empty, *a])), "b": pa.array(np.concatenate([empty, *b]))})
 
-    columns = ["tk", "band", "p", "q", "node", "n", "cluster", "mins", "part", "low"]
+    columns = ["tk", "first", "second", "band", "p", "q", "node", "n", "cluster", "mins", "part", "low"]
     return spread.select(*columns).groupBy("tk", "band", "p", "q").applyInArrow(run, "a long, b long").distinct()
 
 
@@ -274,7 +279,8 @@ def near_dedup(
     first = F.filter("own", lambda x: x["slot"] < m)
     second = F.filter("own", lambda x: x["slot"] >= m)
     paired = own.select("node", F.explode(first).alias("i"), second.alias("js")).select("node", "i", F.explode("js").alias("j"))
-    tables = paired.select(F.xxhash64("i.slot", "i.half", "j.slot", "j.half").alias("tk"), "node")
+    key = F.xxhash64("i.slot", "i.half", "j.slot", "j.half").alias("tk")
+    tables = paired.select(key, F.col("i.slot").alias("first"), F.col("j.slot").alias("second"), "node")
     leaders = tables.groupBy("tk").agg(F.min("node").alias("lead"), F.max("node").alias("hi")).where("lead < hi")
     buckets = staged(tables.join(leaders.select("tk", "lead"), "tk"), "buckets")
 
@@ -295,10 +301,10 @@ def near_dedup(
     shared = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     within = _cluster_links(clusters.join(shared, "cluster").join(sets, "node").select("cluster", "node", "items"), percent)
 
-    placed = buckets.select("tk", "node").join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
+    placed = buckets.drop("lead").join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
     mixed = placed.groupBy("tk").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo < hi")
     members = placed.join(mixed.select("tk"), "tk").join(nodes.select("node", "n", "mins"), "node")
-    pairs = staged(_bucket_pairs(members, percent, 2 * m * rows), "pairs")
+    pairs = staged(_bucket_pairs(members, percent, m, rows), "pairs")
     across = _measured(sets, pairs).where(100 * F.col("common") >= percent * F.col("united")).select("a", "b")
 
     joined = components(links.unionByName(within).unionByName(across))
