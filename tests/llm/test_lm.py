@@ -19,7 +19,7 @@ def tokens(text):
     return [*words(lower(text)), "</s>"]
 
 
-def brute(rows, least_context=4):
+def brute(rows, least_context=8):
     """Scores with exact instead of quantised frequencies."""
     train = [t for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1]
     one = Counter(w for t in train for w in tokens(t))
@@ -36,7 +36,7 @@ def brute(rows, least_context=4):
         for k in range(1, len(c)):
             p = (one[c[k]] + 0.5) / (total + 0.5 * (different + 1))
             base += math.log10(p)
-            if seen[c[k - 1]]:
+            if seen[c[k - 1]] >= 2:
                 n, kinds = seen[c[k - 1]], after[c[k - 1]]
                 p = (two[c[k - 1], c[k]] + kinds * p) / (n + kinds)
             if k > 1 and two[c[k - 2], c[k - 1]] >= least_context:

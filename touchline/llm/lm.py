@@ -5,8 +5,8 @@ context h that was seen c(h) times with t(h) different successors gives
 
     p(w | h) = (c(h w) + t(h) * p(w | shorter h)) / (c(h) + t(h))
 
-(Witten and Bell). Triples are kept for contexts seen ``least_context`` times
-or more; other contexts fall back to pairs.
+(Witten and Bell). Pairs are kept for contexts seen twice or more, triples for
+contexts seen ``least_context`` times or more; other contexts fall back.
 
 A trie level has its contexts in ascending order, a monotone pointer from each
 context to its successors, and the successors numbered context by context, so
@@ -44,6 +44,7 @@ _NEXT_BITS = 8 * _NEXT_BYTES
 #: Codes 1 to 255 stand for relative frequencies from 1 down to 10 ** -9; 0 stands for none.
 _DECADES = 9.0
 WORDS, PAIRS, TRIPLES, STATE = range(4)
+LEAST_SEEN = 2
 
 
 def planes(values: np.ndarray, width: int) -> bytes:
@@ -179,8 +180,7 @@ def _sorted_sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
 class Grams:
     """Different (context, successor) pairs of one block, in shard order, and how to read the answers."""
 
-    item: np.ndarray  # the entry of each item, or -1 where none was asked
-    context: np.ndarray
+    item: np.ndarray  # the entry of each item
     following: np.ndarray
     counts: np.ndarray
     bounds: np.ndarray
@@ -190,49 +190,76 @@ class Grams:
     row_count: np.ndarray  # how often the context was seen
 
     @classmethod
-    def of(cls, context: np.ndarray, seen: np.ndarray, following: np.ndarray, train: np.ndarray, total: int, shards: int) -> Grams:
-        """``context`` and ``following`` are hashes of each item, ``seen`` the count of its context, ``train`` whether it counts."""
-        spread = np.minimum(shards, 1 + (2.0 * shards * seen / max(1, total)).astype(np.int64)).astype(np.uint64)
-        shard = (((context >> np.uint64(44)) + (following >> np.uint64(44)) % spread) % np.uint64(shards)).astype(np.int64)
-        short = context & np.uint64((1 << 8 * _CONTEXT_BYTES) - 1)
-        code = (short << np.uint64(_NEXT_BITS)) | (following & np.uint64((1 << _NEXT_BITS) - 1))
-        order = np.lexsort((code, shard))
-        s, c = shard[order], code[order]
-        first = np.flatnonzero(np.append(True, (s[1:] != s[:-1]) | (c[1:] != c[:-1]))) if len(order) else order
+    def of(
+        cls,
+        context: np.ndarray,
+        context_hash: np.ndarray,
+        seen: np.ndarray,
+        following: np.ndarray,
+        word_hash: np.ndarray,
+        train: np.ndarray,
+        total: int,
+        shards: int,
+    ) -> Grams:
+        """``context`` and ``following`` number the context and word of each item, ``train`` says whether it counts.
+
+        Hashes and counts (``seen``) are given once per context, hashes once per word.
+        """
+        key = context.astype(np.int64) * len(word_hash) + following
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else order
         item = np.empty(len(order), dtype=np.int64)
         item[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+        stands = order[first]
+        of_entry, after = context[stands], word_hash[following[stands]]
+        heads, seen_entry = context_hash[of_entry], seen[of_entry]
+        # A context with a large share of all words is dealt to several shards by its successors.
+        spread = np.minimum(shards, 1 + (2.0 * shards * seen / max(1, total)).astype(np.int64))
+        shard = ((heads >> np.uint64(44)) + (after >> np.uint64(44)) % spread[of_entry].astype(np.uint64)) % np.uint64(shards)
+        shard = shard.astype(np.uint16)
+        short = heads & np.uint64((1 << 8 * _CONTEXT_BYTES) - 1)
+        code = (short << np.uint64(_NEXT_BITS)) | (after & np.uint64((1 << _NEXT_BITS) - 1))
+        order = np.argsort(code)
+        order = order[np.argsort(shard[order], kind="stable")]
+        s, c = shard[order], code[order]
+        first = np.flatnonzero(np.append(True, (s[1:] != s[:-1]) | (c[1:] != c[:-1]))) if len(order) else order
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+        item = place[item]
         counts = np.bincount(item, weights=train, minlength=len(first)).astype(np.int64)
         stands = order[first]
-        entry_shard, entry_context = shard[stands], short[stands]
-        # A context that is dealt to several shards has a row in each, so that its successors can be counted.
-        several = np.flatnonzero(spread > 1)
-        hot, at = np.unique(short[several], return_index=True)
-        at = several[at]
-        number = spread[at].astype(np.int64)
-        lead = np.repeat(at, number)
+        entry_shard, short, seen_entry = shard[stands].astype(np.int64), short[stands], seen_entry[stands]
+
+        # Entries lie context by context; a context that is dealt to several shards
+        # has a row in each of them, so that all its successors can be counted.
+        bits = np.uint64(8 * _CONTEXT_BYTES)
+        row = (entry_shard.astype(np.uint64) << bits) | short
+        begin = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else stands
+        sizes, row_count, row = np.diff(np.append(begin, len(row))), seen_entry[begin], row[begin]
+        used = np.unique(context)
+        hot = used[spread[used] > 1]
+        number = spread[hot]
+        lead = np.repeat(hot, number)
         step = np.arange(len(lead)) - np.repeat(np.cumsum(number) - number, number)
-        extra_shard = ((context[lead] >> np.uint64(44)) + step.astype(np.uint64)) % np.uint64(shards)
-        row_shard = np.concatenate([entry_shard, extra_shard.astype(np.int64)])
-        row_context = np.concatenate([entry_context, short[lead]])
-        row_seen = np.concatenate([seen[stands], seen[lead]])
-        order = np.lexsort((row_context, row_shard))
-        a, b = row_shard[order], row_context[order]
-        first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(order) else order
-        stand = order[first]
-        rows_shard, rows = row_shard[stand], row_context[stand]
-        row_of = np.empty(len(order), dtype=np.int64)
-        row_of[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
-        sizes = np.bincount(row_of[: len(stands)], minlength=len(rows))
+        extra = ((context_hash[lead] >> np.uint64(44)) + step.astype(np.uint64)) % np.uint64(shards)
+        extra = (extra << bits) | (context_hash[lead] & np.uint64((1 << 8 * _CONTEXT_BYTES) - 1))
+        extra, at = np.unique(extra, return_index=True)
+        where = np.searchsorted(row, extra)
+        missing = (where == len(row)) | (row[np.minimum(where, len(row) - 1)] != extra) if len(row) else np.ones(len(extra), dtype=bool)
+        where = where[missing]
+        row = np.insert(row, where, extra[missing])
+        row_count = np.insert(row_count, where, seen[lead[at[missing]]])
+        sizes = np.insert(sizes, where, 0)
         return cls(
             item,
-            entry_context,
-            following[stands] & np.uint64((1 << _NEXT_BITS) - 1),
+            (c[first] & np.uint64((1 << _NEXT_BITS) - 1)) if len(order) else c,
             counts,
             by_shard(entry_shard, shards),
             np.append(0, np.cumsum(sizes)),
-            by_shard(rows_shard, shards),
-            rows,
-            row_seen[stand],
+            by_shard((row >> bits).astype(np.int64), shards),
+            row & ((np.uint64(1) << bits) - np.uint64(1)),
+            row_count,
         )
 
     def mail(self, block: int, kind: int) -> list[Mail]:
@@ -356,14 +383,15 @@ class Tokens:
                 self.seen[self.order[a:b]] = reader.planes(b - a, 8)
 
     def pairs(self) -> None:
-        """The previous word of each token, and the pairs to ask for: those whose context was seen."""
+        """The previous word of each token, and the pairs to ask for: those whose context was seen twice or more."""
         self.before = np.where(self.place > 0, np.append(0, self.word[:-1]), self.start)
-        self.asked = np.flatnonzero(self.seen[self.before] > 0)
-        before = self.before[self.asked]
+        self.asked = np.flatnonzero(self.seen[self.before] >= LEAST_SEEN)
         self.pair = Grams.of(
-            mix(self.words[before] ^ np.uint64(2)),
-            self.seen[before],
-            mix(self.tokens[self.asked] ^ np.uint64(3)),
+            self.before[self.asked],
+            mix(self.words ^ np.uint64(2)),
+            self.seen,
+            self.word[self.asked],
+            mix(self.words ^ np.uint64(3)),
             self.train[self.asked],
             self.total,
             self.shards,
@@ -380,11 +408,15 @@ class Tokens:
         self.context_count = np.where(self.place > 0, np.append(0, count[:-1]), 0)
         self.asked3 = np.flatnonzero(self.context_count >= least_context)
         at = self.asked3
-        first, second = self.words[self.before[at - 1]], self.words[self.before[at]]
+        both = self.before[at - 1] * len(self.words) + self.before[at]
+        _, lead, context = np.unique(both, return_index=True, return_inverse=True)
+        first, second = self.words[self.before[at[lead] - 1]], self.words[self.before[at[lead]]]
         self.triple = Grams.of(
+            context,
             mix(mix(first ^ np.uint64(5)) + second),
-            self.context_count[at],
-            mix(self.tokens[at] ^ np.uint64(7)),
+            self.context_count[at[lead]],
+            self.word[at],
+            mix(self.words ^ np.uint64(7)),
             self.train[at],
             self.total,
             self.shards,
@@ -394,7 +426,7 @@ class Tokens:
         known = self.seen[self.word]
         base = (known + 0.5) / (self.total + 0.5 * (self.different + 1))
         seen = self.seen[self.before].astype(float)
-        chance = np.where(seen > 0, (self.pair_share * seen + self.pair_kinds * base) / np.maximum(seen + self.pair_kinds, 1), base)
+        chance = np.where(seen >= LEAST_SEEN, (self.pair_share * seen + self.pair_kinds * base) / np.maximum(seen + self.pair_kinds, 1), base)
         if len(self.asked3):
             share, kinds3 = self.triple.read(mail, TRIPLES)
             at, seen = self.asked3, self.context_count[self.asked3].astype(float)
@@ -418,7 +450,7 @@ def score_documents(
     text: str = "text",
     held_out: int = 1,
     modulus: int = 5,
-    least_context: int = 4,
+    least_context: int = 8,
 ) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
 
@@ -432,7 +464,7 @@ def score_documents(
     documents every known share is 0 and both scores are log10 of 1. An empty
     table gives an empty result.
     """
-    blocks, layout = in_blocks(docs, doc_id, text, block_mb=12.0)
+    blocks, layout = in_blocks(docs, doc_id, text, block_mb=7.0)
     shards = layout.shards
 
     def load(table: pa.Table) -> Tokens:
