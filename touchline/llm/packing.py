@@ -31,8 +31,6 @@ from touchline.llm.ordered import LAST, in_order
 END = 1
 SENTENCE_PRICE = 2.0
 INSIDE_PRICE = 24.0
-#: Words whose ids a worker keeps, the first ones seen; it encodes others again in each batch.
-_CACHE = 800_000
 _TOGETHER = 400
 _DOUBLE_SPACE = re.compile(r"\s\s")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
@@ -46,13 +44,15 @@ class Encoder:
     parts put end to end.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = 100_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
+        #: Ids of the first ``cached`` different words; others are encoded again in each batch.
         self.known: dict[str, bytes] = {}
+        self.cached = cached
         size = self.model.get_vocab_size()
         last = [(self.model.id_to_token(i) or " ")[-1] for i in range(size)]
         #: Tokens that end a sentence; the byte-level alphabet writes a line feed as Ċ.
@@ -64,7 +64,7 @@ class Encoder:
         parts = [self._split(t) for t in texts]
         wanted = set().union(*parts) if parts else set()
         found = self._encoded([w for w in wanted if w not in self.known])
-        if len(self.known) < _CACHE:
+        if len(self.known) < self.cached:
             self.known |= found
             found = self.known
         else:
@@ -99,9 +99,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cached: int) -> Encoder:
     """The worker's encoder for a file; its words last from task to task."""
-    return Encoder(path)
+    return Encoder(path, cached)
 
 
 def cut_places(ids: np.ndarray, ends: np.ndarray, sentence: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,14 +171,20 @@ def pack(
     text: str = "text",
     limit: int = 2048,
     stretch_tokens: int = 1_000_000,
+    with_ids: bool = True,
+    cached_words: int = 1_000_000,
 ) -> DataFrame:
-    """One row per piece of a document: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
+    """One row per piece of a document: doc_id, start, length, ids_crc32, ids, doc_tokens, sequence_id, offset.
+
+    ``ids`` holds the piece's tokens as little-endian numbers of two bytes, or
+    four for vocabularies beyond that; ``with_ids=False`` leaves it out.
 
     A document is its token ids and the end mark 1; ``start`` counts its ids
     before the piece, ``offset`` the ids before it in its sequence. Documents
     are laid in id order, in parts of even length that are packed on their own;
     a part is packed in stretches of about ``stretch_tokens``, which bounds
-    memory. ``tokenizer`` is a path that every executor can read.
+    memory. ``tokenizer`` is a path that every executor can read. A worker keeps
+    the ids of ``cached_words`` words, about 200 bytes each.
 
     Null and empty texts are the end mark alone. Very long documents run over
     several sequences. Rows with equal ids, or equal rows, are packed as
@@ -189,7 +195,7 @@ def pack(
     laid = rows.repartition("part").sortWithinPartitions("part", "id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(tokenizer)
+        bpe = encoder(tokenizer, cached_words)
         part, number = -1, 0
         held: list[tuple[int, np.ndarray]] = []
         tokens = 0
@@ -208,19 +214,19 @@ def pack(
             begin = ends - [len(t) for _, t in held]
             sequence = np.searchsorted(cuts, lo, side="right") - 1
             owner = np.array([d for d, _ in held], dtype=np.int64)[document]
-            # List offsets are cut along with the ids themselves.
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": pa.array(owner, pa.int64(), mask=owner == LAST),
-                    "start": pa.array(lo - begin[document], pa.int64()),
-                    "length": pa.array(hi - lo, pa.int64()),
-                    "ids_crc32": pa.array([zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(lo, hi)], pa.int64()),
-                    "ids": pa.array([ids[a:b].astype("<u2" if ids.max() < 1 << 16 else "<u4").tobytes() for a, b in zip(lo, hi)], pa.binary()),
-                    "doc_tokens": pa.array((ends - begin)[document], pa.int64()),
-                    "sequence_id": pa.array((part << 40) + number + sequence, pa.int64()),
-                    "offset": pa.array(lo - cuts[sequence], pa.int64()),
-                }
-            )
+            columns = {
+                "doc_id": pa.array(owner, pa.int64(), mask=owner == LAST),
+                "start": pa.array(lo - begin[document], pa.int64()),
+                "length": pa.array(hi - lo, pa.int64()),
+                "ids_crc32": pa.array([zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(lo, hi)], pa.int64()),
+                "doc_tokens": pa.array((ends - begin)[document], pa.int64()),
+                "sequence_id": pa.array((part << 40) + number + sequence, pa.int64()),
+                "offset": pa.array(lo - cuts[sequence], pa.int64()),
+            }
+            if with_ids:
+                narrow = ids.astype("<u2") if len(bpe.sentence) <= 1 << 16 else ids
+                columns["ids"] = pa.array([narrow[a:b].tobytes() for a, b in zip(lo, hi)], pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
             number += len(cuts) - 1
             held, tokens = [], 0
 
@@ -239,7 +245,5 @@ def pack(
                     tokens += len(t) + 1
         yield from packed()
 
-    return laid.mapInArrow(
-        run,
-        "doc_id long, start long, length long, ids_crc32 long, ids binary, doc_tokens long, sequence_id long, offset long",
-    )
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    return laid.mapInArrow(run, schema + (", ids binary" if with_ids else ""))

@@ -36,6 +36,10 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+_WORDS = r"list_filter(string_split_regex({0}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
@@ -47,7 +51,17 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@query()
+@query(
+    f"WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents), "
+    "win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS k FROM w, unnest(generate_series(1, len(ws) - 49)) t(i)), "
+    "least AS (SELECT k, min(doc_id) AS first FROM win GROUP BY k), "
+    "gone AS (SELECT DISTINCT doc_id, j FROM win JOIN least USING (k), unnest(generate_series(i, i + 49)) u(j) WHERE first < doc_id), "
+    "tok AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM w), "
+    "kept AS (SELECT t.doc_id, count(g.j) AS n_removed, string_agg(word, ' ' ORDER BY t.j) FILTER (g.j IS NULL) AS words "
+    "FROM tok t LEFT JOIN gone g ON t.doc_id = g.doc_id AND t.j = g.j GROUP BY 1) "
+    "SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256 "
+    "FROM w LEFT JOIN kept USING (doc_id)"
+)
 def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of each document without passages of 50 words that an earlier document holds."""
     found = substring_dedup(documents(spark, sf), length=50)
@@ -89,8 +103,7 @@ def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Training sequences of at most 2048 tokens, as pieces of documents."""
-    found = pack(documents(spark, sf), tokenizer_path("byte_bpe_50k.json"), limit=2048)
-    return found.drop("ids")
+    return pack(documents(spark, sf), tokenizer_path("byte_bpe_50k.json"), limit=2048, with_ids=False)
 
 
 @query()
@@ -106,7 +119,17 @@ def op8_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    f"WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS ws FROM documents), "
+    "s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle FROM w, unnest(generate_series(1, greatest(len(ws) - 4, least(len(ws), 1)))) t(i)), "
+    "n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1), "
+    "common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2), "
+    "links AS (SELECT x, y FROM common JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)), "
+    "ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links), "
+    "reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, v.y FROM reach r JOIN ways v ON r.y = v.x), "
+    "comp AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY 1) "
+    "SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM comp LEFT JOIN n USING (doc_id)"
+)
 def op9_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Groups of documents whose sets of five-word shingles have a similarity of 0.85 or more along links."""
     return near_dedup(documents(spark, sf), percent=85)
