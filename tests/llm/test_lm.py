@@ -19,7 +19,7 @@ def tokens(text):
     return [*words(lower(text)), "</s>"]
 
 
-def brute(rows, least_context=8):
+def brute(rows, least_context=16):
     """Scores with exact instead of quantised frequencies."""
     train = [t for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1]
     one = Counter(w for t in train for w in tokens(t))

@@ -95,7 +95,9 @@ class EliasFano:
         flags[steps + np.arange(n)] = True
         high = np.packbits(flags, bitorder="little").view("<u8")
         ranks = np.append(0, np.cumsum(np.bitwise_count(high), dtype=np.int64)).astype("<u4")
-        each = ((values[:, None] >> np.arange(bits, dtype=np.uint64)[None, :]) & np.uint64(1)).astype(bool)
+        each = np.empty((n, bits), dtype=bool)
+        for b in range(bits):
+            each[:, b] = (values >> np.uint64(b)) & np.uint64(1)
         low = np.append(np.packbits(each.ravel(), bitorder="little"), np.zeros(8, np.uint8))
         return cls(low, high, ranks, bits, n)
 
@@ -450,7 +452,7 @@ def score_documents(
     text: str = "text",
     held_out: int = 1,
     modulus: int = 5,
-    least_context: int = 8,
+    least_context: int = 16,
 ) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
 
