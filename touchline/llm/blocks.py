@@ -23,10 +23,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
+from touchline.llm.shipping import ship
+from touchline.llm.text import carried_columns, with_text
+
 MAIL = StructType(
     [
         StructField("shard", IntegerType()),
@@ -50,31 +54,36 @@ class Layout:
         """Blocks of ``block_mb``, growing with the root of what exceeds 4 GB, up to 16 times that."""
         size = block_mb * 1e6 * min(16.0, max(1.0, math.sqrt(text_bytes / 4e9)))
         blocks = max(1, math.ceil(text_bytes / size))
-        return cls(blocks, min(16_384, max(1, math.ceil(blocks / 4))))
+        return cls(blocks, min(16_384, max(1, math.ceil(blocks / 2))))
 
 
 def in_blocks(
     docs: DataFrame, doc_id: str, text: str, carried: Sequence[str] = (), block_mb: float = 4.0
 ) -> tuple[DataFrame, Layout]:
-    """(block, id, text, row) with the carried columns in the struct ``row``. Reads the text's size first."""
+    """(block, id, text, row) with the carried columns in the struct ``row`` (see ``carried_columns``). Reads the text's size first."""
+    ship(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     layout = Layout.of(size, block_mb)
-    row = [F.struct(*[F.col(c) for c in carried]).alias("row")] if carried else []
     block = F.pmod(F.xxhash64(doc_id, text), F.lit(layout.blocks)).cast("long")
-    return docs.select(block.alias("block"), F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), *row), layout
+    return docs.select(block.alias("block"), F.col(doc_id).cast("long").alias("id"), *carried_columns(text, carried)), layout
 
 
 def _table(rows: list[Mail]) -> pa.Table:
-    columns = list(zip(*rows)) if rows else [[], [], [], []]
+    """Messages as rows, payloads compressed: counts and codes are small numbers for the most part."""
+    pack = zstd.ZstdCompressor(level=1).compress
+    columns = list(zip(*[(s, b, k, pack(p)) for s, b, k, p in rows])) if rows else [[], [], [], []]
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, _MAIL_ARROW)], schema=_MAIL_ARROW)
 
 
 def _mail(table: pa.Table) -> list[Mail]:
-    return list(zip(*[table.column(n).to_pylist() for n in ("shard", "block", "kind", "payload")]))
+    unpack = zstd.ZstdDecompressor().decompress
+    columns = [table.column(n).to_pylist() for n in ("shard", "block", "kind", "payload")]
+    return [(s, b, k, unpack(p)) for s, b, k, p in zip(*columns)]
 
 
 def _ordered(table: pa.Table) -> pa.Table:
     """The block's rows in one order, whichever way the shuffle delivered them, so that all passes agree."""
+    table = with_text(table)
     return table.take(pc.sort_indices(table, [("id", "ascending"), ("text", "ascending")]))
 
 

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.llm.shipping import ship
 from touchline.llm.text import pieces, prefix, stretch, words_of
 
 _SCHEMA = "doc_id long, item_id long, item_words long, n_tiles long, covered_words long, coverage double"
@@ -166,6 +167,7 @@ def find_leaks(
     Repeated documents give a row each, as do repeated items. A null id is
     returned as null.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     tests = items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).where("text IS NOT NULL")
     words = tests.agg(F.sum(F.size(F.split(F.trim("text"), r"[ \t-\r]+")))).first()[0] or 0

@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.sampling import labelled_sample, remainder
-from touchline.llm.text import LOWER, Words, mix, pieces, text_bytes
+from touchline.llm.shipping import ship
+from touchline.llm.text import LOWER, Words, carried_columns, mix, pieces, text_bytes
 
 UNKNOWN = "und"
 _TABLE_BITS = 16
@@ -112,8 +113,8 @@ class LanguageModel:
     def emission(self, words: Words) -> np.ndarray:
         """Log weights of each word; each different word is looked at once."""
         unique, first, back = np.unique(words.hashes, return_index=True, return_inverse=True)
-        out = np.empty((len(unique), len(self.languages)))
-        step = 1 << 15
+        out = np.empty((len(unique), len(self.languages)), dtype=np.float32)
+        step = 1 << 13
         for a in range(0, len(unique), step):
             at = first[a : a + step]
             word, slot = features(words.data, words.starts[at], words.ends[at], unique[a : a + step])
@@ -202,8 +203,14 @@ def fit(
     model = LanguageModel(languages, weights, lexicon, member, np.zeros((k, k)), np.zeros(k), np.zeros((k, k)))
 
     unique, first, back = np.unique(words.hashes, return_index=True, return_inverse=True)
-    word, slot = features(words.data, words.starts[first], words.ends[first], unique)
-    edges = np.searchsorted(word, np.arange(len(unique) + 1))
+    slots_of, sizes = [], []
+    for a in range(0, len(unique), 1 << 13):
+        at = first[a : a + (1 << 13)]
+        word, part = features(words.data, words.starts[at], words.ends[at], unique[a : a + (1 << 13)])
+        slots_of.append(part.astype(np.int32))
+        sizes.append(np.bincount(word, minlength=len(at)))
+    slot = np.concatenate([np.zeros(0, np.int32), *slots_of])
+    edges = np.append(0, np.cumsum(np.concatenate([np.zeros(0, np.int64), *sizes])))
     inside = model.membership(unique)
     rng = np.random.default_rng(1)
     parts = [back[a:b] for a, b in zip(words.offsets, words.offsets[1:])]
@@ -299,12 +306,12 @@ def identify(
     equal results. A null id counts as the empty text in ``held_out``. An empty
     table gives an empty result. ``carried`` columns come back in ``row``.
     """
-    row = [F.struct(*[F.col(c) for c in carried]).alias("row")] if carried else []
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *row)
+    ship(docs.sparkSession)
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *carried_columns(text, carried))
     marked = rows.withColumn("held_out", remainder("doc_id", modulus) == held_out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", 1_500_000):
             names, score = model.predict(batch.column("text"))
             columns = {
                 "doc_id": batch.column("doc_id"),

@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.graph import components
-from touchline.llm.text import mix, pieces, shingles, words_of
+from touchline.llm.shipping import ship
+from touchline.llm.text import carried_columns, mix, pieces, shingles, words_of
 from touchline.sources.tables import staged
 
 #: Members of a bucket or cluster that are compared in one task; larger ones are dealt to several.
@@ -256,9 +257,9 @@ def near_dedup(
     counts as larger than all others. An empty table gives an empty result.
     ``carried`` columns come back in the struct ``row``.
     """
+    ship(docs.sparkSession)
     m = collections_needed(percent / 100, rows, miss)
-    row = [F.struct(*[F.col(c) for c in carried]).alias("row")] if carried else []
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), *row)
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), *carried_columns(text, carried))
     signed = staged(signatures(texts, size, m, rows), "signatures")
     last = F.lit((1 << 63) - 1)
     nodes = staged(
@@ -284,7 +285,7 @@ def near_dedup(
     leaders = tables.groupBy("tk").agg(F.min("node").alias("lead"), F.max("node").alias("hi")).where("lead < hi")
     buckets = staged(tables.join(leaders.select("tk", "lead"), "tk"), "buckets")
 
-    sources = texts.select(F.coalesce("id", last).alias("id"), "text")
+    sources = docs.select(F.coalesce(F.col(doc_id).cast("long"), last).alias("id"), F.col(text).alias("text"))
     sets = staged(_fetched(sources, nodes, buckets.select("node").distinct(), size), "sets")
 
     stars = buckets.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()

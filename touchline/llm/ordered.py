@@ -6,6 +6,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.llm.shipping import ship
+
 LAST = (1 << 63) - 1
 
 
@@ -16,6 +18,7 @@ def in_order(docs: DataFrame, doc_id: str, text: str, part_mb: float = 8.0, most
     numbers reach the driver; from 80 GB on, parts grow. A null id counts as
     larger than all others, and a null text as empty.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(text, F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = max(1, min(most, int(size / (part_mb * 1e6)) + 1))

@@ -8,11 +8,13 @@ two prefix sums, so every stretch of a document costs the same.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
@@ -116,12 +118,33 @@ def words_of(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> Words:
     return Words(LOWER[data] if lower else data, offsets)
 
 
+def carried_columns(text: str, carried: Sequence[str]) -> list[Column]:
+    """The text, and the carried columns in the struct ``row``; a text among these is not sent twice."""
+    if not carried:
+        return [F.col(text).alias("text")]
+    row = F.struct(*[F.col(c) for c in carried]).alias("row")
+    if text in carried:
+        return [row, F.lit(list(carried).index(text)).alias("text_at")]
+    return [F.col(text).alias("text"), row]
+
+
+def with_text(data: pa.RecordBatch | pa.Table) -> pa.RecordBatch | pa.Table:
+    """The rows with the column ``text``, taken out of ``row`` if it is only there."""
+    if "text" in data.schema.names or not data.num_rows:
+        return data
+    return data.append_column("text", pc.struct_field(data.column("row"), [data.column("text_at")[0].as_py()]))
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``size`` bytes of text, one row at least."""
+    """The same rows in batches of about ``size`` bytes of text and no more than 8192 rows, one row at least."""
     for batch in batches:
+        if not batch.num_rows:
+            continue
+        batch = with_text(batch) if column == "text" else batch
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        part = np.cumsum(lengths) // size
-        cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), batch.num_rows]
+        part, number = np.cumsum(lengths) // size, np.arange(len(lengths)) // 8192
+        new = (part[1:] != part[:-1]) | (number[1:] != number[:-1])
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             if a < b:
                 yield batch.slice(a, b - a)

@@ -24,15 +24,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.sampling import labelled_sample, remainder
+from touchline.llm.shipping import ship
 
-WINDOW = 64
-STEP = 48
+WINDOW = 72
+STEP = 36
 LEVEL = 6
-ORDINARY_BYTES = 12_288
-TOXIC_BYTES = 1_024
-#: A beginning is typical when it is in this share of the toxic sample or more, and that many times as usual there.
+ORDINARY_BYTES = 10_240
+TOXIC_BYTES = 1_280
+#: A beginning is typical when it is in this share of the toxic sample or more, that many times as
+#: usual there, and so often that the logarithm of these times is that many standard errors above 0.
 TYPICAL_SHARE = 0.01
 TYPICAL_TIMES = 8.0
+TYPICAL_ERRORS = 1.7
 
 
 def windows(text: str | None) -> list[bytes]:
@@ -81,8 +84,12 @@ def typical(toxic: list[str], ordinary: list[str]) -> list[bytes]:
     def times(b: bytes) -> float:
         return (here[b] + 0.5) / (len(toxic) + 1) / ((there[b] + 0.5) / (len(ordinary) + 1))
 
+    def errors(b: bytes) -> float:
+        return math.log(times(b)) / math.sqrt(1 / (here[b] + 0.5) + 1 / (there[b] + 0.5))
+
     least = max(2, TYPICAL_SHARE * len(toxic))
-    weight = {b: math.log(times(b)) * math.sqrt(n) for b, n in here.items() if n >= least and times(b) > TYPICAL_TIMES}
+    found = [b for b, n in here.items() if n >= least and times(b) > TYPICAL_TIMES and errors(b) > TYPICAL_ERRORS]
+    weight = {b: math.log(times(b)) * math.sqrt(here[b]) for b in found}
     out = []
     for text in toxic:
         best = [max(c, key=lambda b: (weight[b], len(b))) for w in _words(text) if (c := [b for b in _beginnings(w) if b in weight])]
@@ -196,6 +203,7 @@ def toxicity(
     labels (0.0 without any). A null id counts as the empty text. Empty tables
     give an empty result.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     marks = labels.where(f"`{label}` IS NOT NULL").groupBy(F.col(doc_id).cast("long").alias("doc_id"))
     marks = marks.agg(F.max(label).cast("int").alias("toxic")).where(remainder("doc_id", modulus) != held_out)
