@@ -59,7 +59,8 @@ def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences of at most 2048 tokens, as pieces of documents with their token ids."""
-    return pack(docs, tokenizer_path("byte_bpe_50k.json"))
+    # The workers live on from earlier stages: they get less memory for words than for packing alone.
+    return pack(docs, tokenizer_path("byte_bpe_50k.json"), cached_words=300_000)
 
 
 STAGES: list[tuple[str, Stage]] = [
