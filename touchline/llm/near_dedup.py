@@ -188,11 +188,12 @@ def _cluster_links(members: DataFrame, percent: int) -> DataFrame:
     return spread.select("cluster", "p", "q", "node", "items").groupBy("cluster", "p", "q").applyInArrow(run, "a long, b long")
 
 
-def _bucket_pairs(members: DataFrame, percent: int, m: int, rows: int) -> DataFrame:
+def _bucket_pairs(members: DataFrame, mins: DataFrame, percent: int, m: int, rows: int) -> DataFrame:
     """Pairs of nodes of different clusters in one bucket whose sizes and minhashes allow the threshold.
 
     Sizes of a linked pair lie within the threshold's ratio, so a bucket falls
-    into size bands and only neighbouring bands meet. A band with more than
+    into size bands and only neighbouring bands meet; what meets no other
+    cluster there is left out before its minhashes join in. A band with more than
     GROUP members is dealt into parts; each two parts meet in a task of their
     own. Nothing but surviving pairs leaves a task, and each of them once: from
     the bucket of the first half keys of either collection that both share.
@@ -201,8 +202,11 @@ def _bucket_pairs(members: DataFrame, percent: int, m: int, rows: int) -> DataFr
     step = -math.log(percent / 100)
     band = F.floor(F.log(F.col("n").cast("double")) / step)
     banded = members.withColumn("band", F.explode(F.array(band, band + 1))).withColumn("low", F.col("band") > band)
-    sizes = banded.groupBy("tk", "band").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
-    dealt = banded.join(sizes, ["tk", "band"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    sizes = banded.groupBy("tk", "band").agg(
+        F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"), F.min("cluster").alias("lo"), F.max("cluster").alias("hi")
+    )
+    meeting = banded.join(sizes.where("lo < hi").select("tk", "band", "parts"), ["tk", "band"])
+    dealt = meeting.join(mins, "node").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
     spread = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     spread = spread.withColumn("p", F.least("part", "with")).withColumn("q", F.greatest("part", "with"))
 
@@ -304,8 +308,8 @@ def near_dedup(
 
     placed = buckets.drop("lead").join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
     mixed = placed.groupBy("tk").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo < hi")
-    members = placed.join(mixed.select("tk"), "tk").join(nodes.select("node", "n", "mins"), "node")
-    pairs = staged(_bucket_pairs(members, percent, m, rows), "pairs")
+    members = placed.join(mixed.select("tk"), "tk").join(nodes.select("node", "n"), "node")
+    pairs = staged(_bucket_pairs(members, nodes.select("node", "mins"), percent, m, rows), "pairs")
     across = _measured(sets, pairs).where(100 * F.col("common") >= percent * F.col("united")).select("a", "b")
 
     joined = components(links.unionByName(within).unionByName(across))
