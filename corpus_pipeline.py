@@ -34,10 +34,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the smallest id.
 
-    Rows that share the smallest id all stay if they are equal; texts without
-    words stay.
+    Rows that share an id stay together if one of them stays; texts without
+    words stay. A null id stands for all rows without one.
     """
-    return near_dedup(docs, carried=docs.columns).where("kept").select("row.*")
+    kept = near_dedup(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
