@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard as zstd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.sampling import labelled_sample, remainder
@@ -207,7 +207,10 @@ def toxicity(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     marks = labels.where(f"`{label}` IS NOT NULL").groupBy(F.col(doc_id).cast("long").alias("doc_id"))
     marks = marks.agg(F.max(label).cast("int").alias("toxic")).where(remainder("doc_id", modulus) != held_out)
-    train = rows.join(marks, "doc_id")
+    # Ids are drawn from the labels alone, so no text moves but that of the at most 2 * per_label drawn ones.
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
+    drawn = marks.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).drop("place")
+    train = rows.join(F.broadcast(drawn), "doc_id")
     share = marks.agg(F.avg("toxic")).first()[0] or 0.0
     model = fit(labelled_sample(train, "toxic", per_label, max_chars), share)
 
