@@ -13,6 +13,7 @@ from corpus import SCHEMA, frame, lower, prose, words
 from touchline.llm import blocks
 from touchline.llm.lm import _SHARES, EliasFano, Level, code_of, planes, score_documents
 from touchline.llm.lm import _Reader as Reader
+from touchline.llm.queries import QUERIES
 
 
 def tokens(text):
@@ -48,6 +49,28 @@ def brute(rows, least_context=16):
     return out
 
 
+def exact(rows):
+    """Scores with the counts of every context that was seen."""
+    chains = {i: ["<s>", *tokens(t)] for i, t in rows}
+    train = [c for i, c in chains.items() if zlib.crc32(str(i).encode()) % 5 != 1]
+    grams = [Counter(g for c in train for g in zip(*(c[k:] for k in range(n)))) for n in (1, 2, 3)]
+    follow = [Counter(g[:-1] for g in level) for level in grams]
+    total, different = sum(len(c) - 1 for c in train), len(grams[0]) - 1
+    out = []
+    for i, c in chains.items():
+        score = 0.0
+        for k in range(1, len(c)):
+            p = (grams[0][c[k],] + 0.5) / (total + 0.5 * (different + 1))
+            for n in (1, 2):
+                context = tuple(c[max(0, k - n) : k])
+                if len(context) == n and (seen := grams[n - 1][context]):
+                    kinds = follow[n][context]
+                    p = (grams[n][(*context, c[k])] + kinds * p) / (seen + kinds)
+            score += math.log10(p)
+        out.append((i, len(c) - 1, sum(grams[0][w,] > 0 for w in c[1:]), total, score))
+    return out
+
+
 @pytest.mark.parametrize("block_mb", [12.0, 0.01])
 def test_like_plain_counts(spark, monkeypatch, block_mb):
     of = blocks.Layout.of.__func__
@@ -65,6 +88,22 @@ def test_like_plain_counts(spark, monkeypatch, block_mb):
         assert g.held_out == (zlib.crc32(("" if g.doc_id is None else str(g.doc_id)).encode()) % 5 == 1)
 
 
+@pytest.mark.parametrize("block_mb", [12.0, 0.01])
+def test_query_counts_rare_contexts(spark, monkeypatch, tmp_path, block_mb):
+    """Phrases seen only once to three times have pairs and triples, in one block or in several."""
+    of = blocks.Layout.of.__func__
+    monkeypatch.setattr(blocks.Layout, "of", classmethod(lambda cls, size, mb=4.0: of(cls, size, block_mb)))
+    rng = random.Random(5)
+    rare = [[f"r{k}x{j}" for j in range(6)] for k in range(30)]
+    rows = [(i, " ".join(prose(rng, 30, 60) + rare[i % 30] + prose(rng, 5, 60) + rare[i % 7])) for i in range(60)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(QUERIES["op3_language_model"](spark, str(tmp_path)).collect(), key=lambda r: r.doc_id)
+    for g, w in zip(got, exact(rows), strict=True):
+        assert (g.doc_id, g.n_tokens, g.n_known, g.train_tokens) == w[:4]
+        # Frequencies are kept to about four hundredths.
+        assert abs(g.score - w[4]) <= 0.02 * g.n_tokens
+
+
 def test_learns_from_repeats(spark):
     rng = random.Random(4)
     common = prose(rng, 60)

@@ -5,8 +5,9 @@ context h that was seen c(h) times with t(h) different successors gives
 
     p(w | h) = (c(h w) + t(h) * p(w | shorter h)) / (c(h) + t(h))
 
-(Witten and Bell). Pairs are kept for contexts seen twice or more, triples for
-contexts seen ``least_context`` times or more; other contexts fall back.
+(Witten and Bell). Pairs are kept for contexts seen ``least_seen`` times or
+more, triples for contexts seen ``least_context`` times or more; other contexts
+fall back. With 1 and 1 every context that was seen has its own counts.
 
 A trie level has its contexts in ascending order, a monotone pointer from each
 context to its successors, and the successors numbered context by context, so
@@ -19,7 +20,9 @@ Levels are dealt to shards by context; a context with a large share of all
 words is dealt to several shards by its successors. Blocks of documents send
 each shard the contexts and successors they hold, with their counts. The shard
 builds its level from all of them and answers each block (see ``blocks``). So
-neither counts nor model pass through one task or the driver.
+neither counts nor model pass through one task or the driver. A pair of words
+that only one block holds has all its successors there; the answer about the
+pair says so, and the block counts them itself.
 """
 
 from __future__ import annotations
@@ -44,7 +47,6 @@ _NEXT_BITS = 8 * _NEXT_BYTES
 #: Codes 1 to 255 stand for relative frequencies from 1 down to 10 ** -9; 0 stands for none.
 _DECADES = 9.0
 WORDS, PAIRS, TRIPLES, STATE = range(4)
-LEAST_SEEN = 2
 
 
 def planes(values: np.ndarray, width: int) -> bytes:
@@ -290,6 +292,16 @@ class Grams:
         row = np.repeat(np.arange(len(self.row_key)), np.diff(self.context_bounds))
         return share[self.item], summed[back][row][self.item]
 
+    def alone(self, mail: list[Mail], kind: int) -> np.ndarray:
+        """Whether no other block holds the pair of each item."""
+        out = np.zeros(self.bounds[-1], dtype=bool)
+        for k, _, what, payload in mail:
+            if what == kind:
+                a, b, x, y = self.bounds[k], self.bounds[k + 1], self.row_bounds[k], self.row_bounds[k + 1]
+                flags = np.frombuffer(payload, np.uint8, offset=4 * (y - x) + b - a)
+                out[a:b] = np.unpackbits(flags, count=b - a).astype(bool)
+        return out[self.item]
+
 
 def _level_answers(mail: list[Mail], kind: int) -> list[Mail]:
     """Build this shard's level from all blocks' messages, and search it for each of them."""
@@ -308,7 +320,9 @@ def _level_answers(mail: list[Mail], kind: int) -> list[Mail]:
     context = np.repeat(back, np.concatenate([r[2] for r in read]))
     following = np.concatenate([r[3] for r in read])
     value = (context.astype(np.uint64) << np.uint64(_NEXT_BITS)) | following
-    grams, counts, _ = _sorted_sums(value, np.concatenate([r[4] for r in read]).astype(np.int64))
+    grams, counts, gram = _sorted_sums(value, np.concatenate([r[4] for r in read]).astype(np.int64))
+    # A block names each pair once, so this is the number of blocks that hold it.
+    alone = (np.bincount(gram, minlength=len(grams)) == 1)[gram]
     grams, counts = grams[counts > 0], counts[counts > 0]
     owner = (grams >> np.uint64(_NEXT_BITS)).astype(np.int64)
     number = np.bincount(owner, minlength=len(unique))
@@ -318,7 +332,8 @@ def _level_answers(mail: list[Mail], kind: int) -> list[Mail]:
         for m, r in zip(mail, read):
             mine = back[row : row + len(r[0])]
             found = level.search(context[entry : entry + len(r[3])], r[3])
-            out.append((m[0], m[1], kind, planes(number[mine], 4) + found.tobytes()))
+            flags = np.packbits(alone[entry : entry + len(r[3])]).tobytes() if kind == PAIRS else b""
+            out.append((m[0], m[1], kind, planes(number[mine], 4) + found.tobytes() + flags))
             row, entry = row + len(r[0]), entry + len(r[3])
     return out
 
@@ -384,10 +399,10 @@ class Tokens:
                 self.total, self.different = self.total + int(total), self.different + int(different)
                 self.seen[self.order[a:b]] = reader.planes(b - a, 8)
 
-    def pairs(self) -> None:
-        """The previous word of each token, and the pairs to ask for: those whose context was seen twice or more."""
+    def pairs(self, least_seen: int) -> None:
+        """The previous word of each token, and the pairs to ask for."""
         self.before = np.where(self.place > 0, np.append(0, self.word[:-1]), self.start)
-        self.asked = np.flatnonzero(self.seen[self.before] >= LEAST_SEEN)
+        self.asked = np.flatnonzero(self.seen[self.before] >= least_seen)
         self.pair = Grams.of(
             self.before[self.asked],
             mix(self.words ^ np.uint64(2)),
@@ -401,14 +416,18 @@ class Tokens:
 
     def read_pairs(self, mail: list[Mail]) -> None:
         self.pair_share, self.pair_kinds = np.zeros(len(self.tokens)), np.zeros(len(self.tokens))
+        self.pair_alone = np.zeros(len(self.tokens), dtype=bool)
         if len(self.asked):
             self.pair_share[self.asked], self.pair_kinds[self.asked] = self.pair.read(mail, PAIRS)
+            self.pair_alone[self.asked] = self.pair.alone(mail, PAIRS)
 
     def triples(self, least_context: int) -> None:
         """The count of each token's two previous words as a pair, and the triples to ask for."""
         count = np.round(self.pair_share * self.seen[self.before]).astype(np.int64)
         self.context_count = np.where(self.place > 0, np.append(0, count[:-1]), 0)
-        self.asked3 = np.flatnonzero(self.context_count >= least_context)
+        enough = self.context_count >= least_context
+        alone = np.append(False, self.pair_alone[:-1])
+        self.own3, self.asked3 = np.flatnonzero(enough & alone), np.flatnonzero(enough & ~alone)
         at = self.asked3
         both = self.before[at - 1] * len(self.words) + self.before[at]
         _, lead, context = np.unique(both, return_index=True, return_inverse=True)
@@ -424,15 +443,29 @@ class Tokens:
             self.shards,
         )
 
+    def own_triples(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(count, successors and count of its context) of each triple whose context only this block holds."""
+        at = self.own3
+        _, context = np.unique(self.before[at - 1] * len(self.words) + self.before[at], return_inverse=True)
+        grams, counts, item = _sorted_sums(context * len(self.words) + self.word[at], self.train[at])
+        owner = grams // len(self.words)
+        kinds, seen = np.bincount(owner, weights=counts > 0), np.bincount(owner, weights=counts)
+        return counts[item], kinds[context], seen[context]
+
     def score(self, mail: list[Mail]) -> dict[str, pa.Array]:
         known = self.seen[self.word]
         base = (known + 0.5) / (self.total + 0.5 * (self.different + 1))
         seen = self.seen[self.before].astype(float)
-        chance = np.where(seen >= LEAST_SEEN, (self.pair_share * seen + self.pair_kinds * base) / np.maximum(seen + self.pair_kinds, 1), base)
+        pair = np.zeros(len(seen), dtype=bool)
+        pair[self.asked] = True
+        chance = np.where(pair, (self.pair_share * seen + self.pair_kinds * base) / np.maximum(seen + self.pair_kinds, 1), base)
         if len(self.asked3):
             share, kinds3 = self.triple.read(mail, TRIPLES)
             at, seen = self.asked3, self.context_count[self.asked3].astype(float)
             chance[at] = (share * seen + kinds3 * chance[at]) / np.maximum(seen + kinds3, 1)
+        if len(self.own3):
+            count, kinds3, seen = self.own_triples()
+            chance[self.own3] = (count + kinds3 * chance[self.own3]) / (seen + kinds3)
         begin = self.ends - self.size
         total = lambda x: np.add.reduceat(x, begin)
         return {
@@ -453,13 +486,16 @@ def score_documents(
     held_out: int = 1,
     modulus: int = 5,
     least_context: int = 16,
+    least_seen: int = 2,
 ) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
 
     The model learns from documents whose ``crc32(doc_id) mod modulus`` is not
     ``held_out`` and scores all. Tokens are the words with A-Z in lower case,
     and an end for each document. ``base_score`` is that of single words with
-    half a count added to each and to one unknown word.
+    half a count added to each and to one unknown word. ``least_seen`` and
+    ``least_context`` (1 or more) leave rarer contexts to lower orders; the
+    query op3 asks for every context that was seen.
 
     Null and empty texts are one end. Equal rows count as often as they occur
     and get equal scores. A null id counts as the empty text. Without training
@@ -487,7 +523,7 @@ def score_documents(
     def second(block: int, table: pa.Table, mail: list[Mail]) -> list[Mail]:
         t = load(table)
         t.read_words(mail)
-        t.pairs()
+        t.pairs(least_seen)
         return [*t.pair.mail(block, PAIRS), state(block, t)]
 
     def pair_answers(shard: int, mail: list[Mail]) -> list[Mail]:
@@ -496,7 +532,7 @@ def score_documents(
     def third(block: int, table: pa.Table, mail: list[Mail]) -> list[Mail]:
         t = load(table)
         restore(t, mail)
-        t.pairs()
+        t.pairs(least_seen)
         t.read_pairs(mail)
         t.triples(least_context)
         # Answers about pairs go on to the last pass as they are.
@@ -509,7 +545,7 @@ def score_documents(
     def last(table: pa.Table, mail: list[Mail]) -> pa.Table:
         t = load(table)
         restore(t, mail)
-        t.pairs()
+        t.pairs(least_seen)
         t.read_pairs(mail)
         t.triples(least_context)
         return pa.table(t.score(mail))
