@@ -10,7 +10,8 @@ from corpus import SCHEMA, frame, lower, planted, prose, shingle_set, words
 
 from touchline.llm.decontaminate import find_leaks, tiles
 from touchline.llm.fingerprint import document_fingerprints, fingerprints, likeness
-from touchline.llm.license_scan import NOTICES, _length_class, bands_needed, gate_words, license_scan
+from touchline.llm.license_scan import NAMES, NOTICES, _length_class, bands_needed, gate_words, license_scan, license_texts
+from touchline.llm.queries import QUERIES
 
 
 def jaccard(a, b):
@@ -113,6 +114,31 @@ def test_licence_edges(spark):
     assert license_scan(clash, [("A", "use it freely for all")]).count() == 3
 
 
+def test_licence_texts_and_edited_notices(spark, tmp_path):
+    rng = random.Random(6)
+    rows, want = [], set()
+    for name, body, _ in license_texts():
+        at = len(rows)
+        rows.append((at, " ".join([*prose(rng, 40), *body.split(), *prose(rng, 40)])))
+        want.add((at, name))
+    for name, notice in NOTICES:
+        words = alnum(notice)
+        fixed = {w for w in NAMES[name][0].split()} | set(NAMES[name][1])
+        for k, w in enumerate(words):
+            at = len(rows)
+            rows.append((at, " ".join([*prose(rng, 20), *words[:k], "zzz", *words[k + 1 :], *prose(rng, 20)])))
+            if w not in fixed:
+                want.add((at, name))
+    bsd2 = license_texts()[6][1].split()
+    third = bsd2.index("3."), bsd2.index("THIS")
+    others = ["licensed under the apache license version 1 1", "released under the bsd license", "licensed under cc by nc sa 4 0"]
+    others += ["this work is licensed under the gnu lesser general public license version 3", " ".join(bsd2[: third[0]] + bsd2[third[1] :])]
+    rows += [(1000 + i, t) for i, t in enumerate(others)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.license_id) for r in QUERIES["op2_license_scan"](spark, str(tmp_path)).collect()}
+    assert want <= got and not any(i >= 1000 for i, _ in got)
+
+
 def test_no_python_in_the_licence_plan(spark):
     plan = license_scan(frame(spark, [(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert not any(k in plan for k in ("Python", "Pandas", "Arrow", "CartesianProduct"))

@@ -11,18 +11,25 @@ probability with which a candidate may be missed. Candidates are then checked
 exactly: which share of the notice's shingles lies in the window and the steps
 beside it.
 
+In a notice of few words one changed word touches most shingles of five words.
+Such notices are also searched word by word: around each place that names the
+licence, in a window of the notice's length, ``contained`` of its words must lie.
+
 Most documents hold no notice. Before any shingle is made, documents are kept
 that contain one of a few words of the notices. The words are chosen so that
-text without them cannot contain enough of any notice.
+text without them cannot contain enough of any notice. Documents with fewer
+shingles than are enough of a long text are left out for that text.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable
 from functools import reduce
+from importlib.resources import files
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from touchline.sources.tables import staged
@@ -41,6 +48,46 @@ NOTICES = [
 ]
 
 
+#: What a text must say to declare the licence, whichever other word of its notice is changed: a phrase, and words near it.
+NAMES = {
+    "Apache-2.0": ("apache", ["2"]),
+    "MIT": ("mit", []),
+    "GPL-3.0": ("gnu general public", ["3"]),
+    "CC-BY-NC-4.0": ("by nc 4", []),
+    "CC-BY-4.0": ("creative commons attribution 4", []),
+    "BSD-3-Clause": ("bsd", []),
+    "MPL-2.0": ("mozilla public", ["2"]),
+}
+
+#: Terms and usual file headers, as (SPDX id, file).
+TEXTS = [
+    ("Apache-2.0", "apache-2.0-terms"),
+    ("Apache-2.0", "apache-2.0-header"),
+    ("MIT", "mit-terms"),
+    ("GPL-3.0", "gpl-3.0-terms"),
+    ("GPL-3.0", "gpl-3.0-preamble"),
+    ("GPL-3.0", "gpl-3.0-header"),
+    ("BSD-3-Clause", "bsd-3-clause-terms"),
+    ("MPL-2.0", "mpl-2.0-terms"),
+]
+
+#: Shingles that tell a text of TEXTS from its relatives: BSD with two clauses, the Affero and Lesser GPL, older versions.
+TELLING = {
+    "gpl-3.0-terms": ["use with the gnu affero"],
+    "gpl-3.0-header": ["the gnu general public license", "foundation either version 3 of"],
+    "bsd-3-clause-terms": ["neither the name of the"],
+}
+
+#: Notices of fewer words form one group with gate words of its own; each longer text has its own.
+FEW_WORDS = 40
+
+
+def license_texts() -> list[tuple[str, str, list[str]]]:
+    """(SPDX id, text, telling shingles) of the terms and headers."""
+    folder = files("touchline.llm") / "licenses"
+    return [(i, (folder / f"{name}.txt").read_text(), TELLING.get(name, [])) for i, name in TEXTS]
+
+
 def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
@@ -55,7 +102,7 @@ def _shingled(df: DataFrame, text: str) -> DataFrame:
     hashed = _as_column(df, F.transform(_words(F.col(text)), lambda w: F.xxhash64(w)), "w")
     whole = F.when(F.size("w") > 0, F.array(F.xxhash64("w"))).otherwise(F.array().cast("array<bigint>"))
     each = F.transform(F.sequence(F.lit(1), F.size("w") - (SIZE - 1)), lambda i: F.xxhash64(F.slice("w", i, SIZE)))
-    return _as_column(hashed, F.when(F.size("w") >= SIZE, each).otherwise(whole), "h").drop("w")
+    return _as_column(hashed, F.when(F.size("w") >= SIZE, each).otherwise(whole), "h")
 
 
 def _length_class(shingles: int) -> int:
@@ -104,10 +151,41 @@ def _permutation(band: int) -> Callable[[Column], Column]:
     return lambda x: F.xxhash64(x, F.lit(band))
 
 
+def _says(lower: Column, phrase: str) -> Column:
+    """Whether the words of a phrase stand in a text in lower case, one after the other."""
+    words = phrase.split()
+    gap = r"[^\p{L}\p{N}]"
+    return lower.contains(max(words, key=len)) & lower.rlike(f"(^|{gap})" + f"{gap}+".join(re.escape(w) for w in words) + f"({gap}|$)")
+
+
+def _edited(rows: DataFrame, notice: int, words: list[str], name: tuple[str, list[str]], contained: float) -> DataFrame:
+    """(row, notice, containment, s): windows around the licence's name that hold ``contained`` of a notice's words."""
+    phrase, near = name[0].split(), name[1]
+    own = F.array(*[F.xxhash64(F.lit(w)) for w in dict.fromkeys(words)])
+    before = next((i for i in range(len(words)) if words[i : i + len(phrase)] == phrase), 0)
+    slack = 1 + len(words) // 8
+    asked = F.array(*[F.xxhash64(F.lit(w)) for w in phrase])
+    held = rows.where(F.arrays_overlap("w", asked)).select("row", "w")
+    at = F.filter(F.sequence(F.lit(1), F.size("w")), lambda i: F.slice("w", i, len(phrase)) == asked)
+    first = F.greatest(F.lit(1), F.col("at") - (before + slack))
+    placed = held.select("row", "w", F.explode(at).alias("at"))
+    last = F.col("at") + (len(words) - before + slack)
+    placed = placed.select("row", F.slice("w", first, last - first).alias("span"), F.greatest(F.lit(1), F.col("at") - before).alias("s"))
+    for word in near:
+        placed = placed.where(F.array_contains("span", F.xxhash64(F.lit(word))))
+    share = F.size(F.array_intersect("span", own)) / F.size(own)
+    return placed.select("row", F.lit(notice).alias("notice"), share.alias("containment"), "s").where(F.col("containment") >= contained)
+
+
 def _least(values: str, starts: Column, length: int) -> Column:
     return F.transform(starts, lambda s: F.array_min(F.slice(values, s, length)))
 
 
+def _enough(known: Row, contained: float) -> int:
+    """Shingles that a document has at least if it contains enough of a notice."""
+    return max(1, math.floor(contained * len(known["own"])))
+
+
 def license_scan(
     docs: DataFrame,
     notices: list[tuple[str, str]] | None = None,
@@ -115,6 +193,8 @@ def license_scan(
     text: str = "text",
     contained: float = 0.8,
     miss: float = 1e-4,
+    texts: list[tuple[str, str, list[str]]] | None = None,
+    names: dict[str, tuple[str, list[str]]] | None = None,
 ) -> DataFrame:
     """(doc_id, license_id, containment, first_shingle) for each document and notice that it contains.
 
@@ -127,9 +207,17 @@ def license_scan(
     only a document of just these words. Null and empty texts contain nothing.
     Repeated documents give a row each; repeated notice ids give a row per
     notice text. An empty table gives an empty result.
+
+    ``texts`` are further ones, as (id, text, shingles that must be there).
+    ``names`` has, for ids of ``notices``, a phrase and words that must be
+    there: notices of fewer than FEW_WORDS words are then also found around
+    it by ``contained`` of their words, in any order, which is their
+    containment if it is the larger one.
     """
     spark = docs.sparkSession
-    named = [(i, name, body) for i, (name, body) in enumerate(NOTICES if notices is None else notices)]
+    listed_notices = list(NOTICES if notices is None else notices)
+    named = [(i, name, body) for i, (name, body) in enumerate([*listed_notices, *(t[:2] for t in texts or [])])]
+    telling = {len(listed_notices) + i: t[2] for i, t in enumerate(texts or []) if t[2]}
     given = spark.createDataFrame(named, "notice int, license_id string, body string").where("body IS NOT NULL")
     known = _shingled(given, "body").select("notice", "license_id", F.array_distinct("h").alias("own"), _words(F.col("body")).alias("words"))
     listed = [r for r in known.collect() if r["own"]]
@@ -143,10 +231,19 @@ def license_scan(
     )
 
     lower = F.lower(F.col(text))
-    gate = reduce(Column.__or__, [lower.contains(w) for w in gate_words([r["words"] for r in listed], contained)])
-    kept = docs.where(gate).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    short = [r for r in listed if len(r["words"]) < FEW_WORDS]
+    gates = [lower.contains(w) for w in gate_words([r["words"] for r in short], contained)]
+    for r in listed:
+        if len(r["words"]) >= FEW_WORDS:
+            # Each word has a letter and is followed by another character.
+            enough = F.length(text) >= 2 * _enough(r, contained)
+            gates.append(enough & reduce(Column.__or__, [lower.contains(w) for w in gate_words([r["words"]], contained)]))
+    edits = [(r, names[r["license_id"]]) for r in short if r["notice"] < len(listed_notices) and r["license_id"] in (names or {})]
+    gates += [_says(lower, phrase) for phrase in dict.fromkeys(name[0] for _, name in edits)]
+    kept = docs.where(reduce(Column.__or__, gates)).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     # The row's number is written with it, so it stays the same for all readers.
-    rows = staged(_shingled(kept, "text").select(F.monotonically_increasing_id().alias("row"), "doc_id", "h"), "shingles")
+    columns = ["doc_id", "h", *(["w"] if edits else [])]
+    rows = staged(_shingled(kept, "text").select(F.monotonically_increasing_id().alias("row"), *columns), "shingles")
 
     found = []
     for length in sorted({_length_class(len(r["own"])) for r in listed}):
@@ -154,7 +251,8 @@ def license_scan(
         permuted = F.posexplode(F.array(*[F.transform("h", _permutation(b)) for b in range(bands)])).alias("band", "p")
         last = F.greatest(F.lit(1), F.size("p") - (length - 1))
         starts = F.array_union(F.sequence(F.lit(1), last, F.lit(step)), F.array(last))
-        windows = rows.where(F.size("h") > 0).select("row", permuted)
+        enough = min(_enough(r, contained) for r in listed if _length_class(len(r["own"])) == length)
+        windows = rows.where(F.size("h") >= enough).select("row", permuted)
         windows = windows.select("row", "band", F.explode(F.arrays_zip(starts.alias("s"), _least("p", starts, length).alias("least"))).alias("x"))
         marks = own.where(F.col("length") == length).select("notice", F.explode("own").alias("x"))
         marks = marks.select("notice", F.posexplode(F.array(*[_permutation(b)(F.col("x")) for b in range(bands)])).alias("band", "v"))
@@ -169,6 +267,15 @@ def license_scan(
     checked = candidates.join(rows, "row").join(F.broadcast(own.drop("length")), "notice")
     checked = checked.withColumn("containment", F.size(F.array_intersect(span, F.col("own"))) / F.size("own"))
     hits = checked.where(F.col("containment") >= contained)
+    for notice, shingles in telling.items():
+        for shingle in shingles:
+            there = F.array_contains(span, F.xxhash64(F.array(*[F.xxhash64(F.lit(w)) for w in shingle.split()])))
+            hits = hits.where((F.col("notice") != notice) | there)
+    if edits:
+        columns = ["row", "notice", "containment", "s", "doc_id", "license_id"]
+        around = reduce(DataFrame.unionByName, [_edited(rows, r["notice"], r["words"], name, contained) for r, name in edits])
+        around = around.join(rows.select("row", "doc_id"), "row").join(F.broadcast(own.select("notice", "license_id")), "notice")
+        hits = hits.select(*columns).unionByName(around.select(*columns))
     return (
         hits.groupBy("row", "notice")
         .agg(

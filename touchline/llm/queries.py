@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from touchline.llm.decontaminate import find_leaks
 from touchline.llm.fingerprint import document_fingerprints
 from touchline.llm.langid import identify, language_model
-from touchline.llm.license_scan import NOTICES, license_scan
+from touchline.llm.license_scan import NAMES, NOTICES, license_scan, license_texts
 from touchline.llm.lm import score_documents
 from touchline.llm.near_dedup import near_dedup
 from touchline.llm.packing import pack
@@ -70,8 +70,8 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Licence notices in documents."""
-    return license_scan(documents(spark, sf), NOTICES)
+    """Licence notices, also with a changed word, terms and file headers in documents."""
+    return license_scan(documents(spark, sf), NOTICES, texts=license_texts(), names=NAMES)
 
 
 @query()
