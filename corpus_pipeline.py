@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.decontaminate import find_leaks
@@ -32,13 +32,23 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the smallest id.
+    """One row of each group of near copies: the smallest id, and of equal ids the smallest hash of the text.
 
-    Rows that share an id stay together if one of them stays; texts without
-    words stay. A null id stands for all rows without one.
+    Of equal rows one stays. Rows are told apart by id and text, so ids may
+    repeat and be null; a null id counts as larger than all others. All texts
+    without words stay.
     """
-    kept = near_dedup(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    key = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"), F.xxhash64("text").alias("_text")]
+    found = near_dedup(docs.withColumn("_text", F.xxhash64("text")), carried=["_text"], groups=True)
+    order = F.struct(F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"), "row._text")
+    chosen = found.where("n_shingles > 0").groupBy("component").agg(F.min(order).alias("least")).select("least.*")
+    names = ["_id", "_none", "_text"]
+    keyed = docs.select("*", *key)
+    # The window deals rows as the join does, so texts move once.
+    once = Window.partitionBy(*names).orderBy("_text")
+    kept = keyed.join(chosen, names).withColumn("_place", F.row_number().over(once)).where("_place = 1").select(*docs.columns)
+    without_words = F.coalesce(F.regexp_replace("text", r"[ \t-\r]+", ""), F.lit("")) == ""
+    return kept.unionByName(docs.where(without_words))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +63,10 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no test item. A null id stands for all rows without one."""
-    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    """Rows that hold no test item, told apart by id and text, so ids may repeat and be null."""
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    leaks = find_leaks(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="_key").select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(leaks, "_key", "left_anti").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

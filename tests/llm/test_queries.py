@@ -68,3 +68,15 @@ def test_stages(spark, tmp_path):
     assert kept4.columns == docs.columns and {r.doc_id for r in kept3.collect()} - {r.doc_id for r in kept4.collect()} == {2002}
     pieces = functions[4](spark, kept4, sf)
     assert {r.doc_id for r in pieces.collect()} == {r.doc_id for r in kept4.collect()}
+
+
+def test_stages_tell_rows_apart_by_text(spark, tmp_path):
+    rng = random.Random(8)
+    a, b, c, d, item = (" ".join(prose(rng, 60)) for _ in range(5))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(1, a), (None, a), (None, b), (None, b), (2, c), (2, a), (3, d), (3, d), (4, ""), (4, "")]
+    kept = corpus_pipeline.one_of_near_copies(spark, frame(spark, rows), str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(1, a), (0, b), (2, c), (3, d), (4, ""), (4, "")])
+    rows = [(None, a), (None, b + " " + item), (5, c), (5, item), (6, d)]
+    clean = corpus_pipeline.without_test_items(spark, frame(spark, rows), str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in clean) == sorted([(0, a), (5, c), (6, d)])

@@ -247,6 +247,7 @@ def near_dedup(
     rows: int = 2,
     miss: float = 1e-4,
     carried: Sequence[str] = (),
+    groups: bool = False,
 ) -> DataFrame:
     """Per document: its id, n_shingles, component_id, kept, and ``row``.
 
@@ -259,7 +260,9 @@ def near_dedup(
     Null texts and texts without words have an empty set and are linked with
     nothing. Equal rows are one node and share their component. A null id
     counts as larger than all others. An empty table gives an empty result.
-    ``carried`` columns come back in the struct ``row``.
+    ``carried`` columns come back in the struct ``row``. With ``groups``,
+    ``component`` tells groups apart also where ids repeat or are null; it is
+    null for an empty set.
     """
     ship(docs.sparkSession)
     m = collections_needed(percent / 100, rows, miss)
@@ -316,7 +319,7 @@ def near_dedup(
     named = nodes.select("node", "min_id").join(joined, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("min_id").alias("component_id"))
-    ids = named.join(smallest, "component").select("node", "component_id")
+    ids = named.join(smallest, "component").select("node", "component_id", "component")
     whole = signed.select("id", "n", "node", *(["row"] if carried else [])).join(ids, "node", "left")
     component = F.coalesce("component_id", "id")
     return whole.select(
@@ -325,5 +328,6 @@ def near_dedup(
         F.when(component < last, component).alias("component_id"),
         F.coalesce("id", last).eqNullSafe(F.coalesce(component, last)).alias("kept"),
         *(["row"] if carried else []),
+        *(["component"] if groups else []),
     )
 
