@@ -99,6 +99,20 @@ def test_toxic_documents_are_found(spark):
     assert right >= 0.9 * len(got) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
 
 
+def test_toxic_phrases_of_ordinary_words(spark):
+    rng = random.Random(12)
+    phrases = [" ".join(prose(rng, 6, 60)) for _ in range(12)]
+
+    def text(i):
+        parts = [" ".join(prose(rng, 6, 60)) for _ in range(8)]
+        return " ".join([rng.choice(phrases) for _ in range(6)] + parts[:2] if i % 3 == 0 else parts)
+
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(600)], "doc_id long, toxic int")
+    got = [r for r in toxicity(frame(spark, [(i, text(i)) for i in range(600)]), labels).collect() if r.held_out]
+    right = sum((r.score >= 0.5) == (r.doc_id % 3 == 0) for r in got)
+    assert right > 0.9 * len(got)
+
+
 def test_toxicity_edges(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (77, 1)], "doc_id long, toxic int")
     rows = [(1, "x"), (2, None), (3, ""), (None, "a " * 10)]

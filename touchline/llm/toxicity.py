@@ -1,12 +1,12 @@
 """Toxic documents by compression distance.
 
-One zstandard dictionary is trained on ordinary text and one on toxic text,
-cut down to what is typical of it: beginnings of words that occur in far more
-toxic than ordinary documents. A window of a document is compressed with the
-ordinary dictionary, and with the toxic one laid before the ordinary one; the
-bytes that the toxic dictionary saves are the window's gain. The gains of a
-document's windows give a few numbers, and a logistic curve fitted on
-documents that neither dictionary has seen turns them into a probability.
+One zstandard dictionary is trained on ordinary and one on toxic text. A window
+of a document is compressed with either, and the bytes that the toxic one saves
+are a gain. A second gain comes from a short dictionary of what is typical of
+toxic text, beginnings of words that occur in far more toxic than ordinary
+documents, laid before the ordinary one. Both gains of a document's windows give
+a few numbers, and a logistic curve fitted on documents that no dictionary has
+seen turns them into a probability.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from touchline.llm.shipping import ship
 WINDOW = 72
 STEP = 36
 LEVEL = 6
-ORDINARY_BYTES = 10_240
-TOXIC_BYTES = 1_280
+WHOLE_BYTES = 10_240
+MARKED_BYTES = 1_280
 #: A beginning is typical when it is in this share of the toxic sample or more, that many times as
 #: usual there, and so often that the logarithm of these times is that many standard errors above 0.
 TYPICAL_SHARE = 0.01
@@ -119,18 +119,23 @@ def _compressor(content: bytes) -> zstd.ZstdCompressor:
 class ToxicityModel:
     ordinary: bytes
     toxic: bytes
+    marked: bytes  # typical beginnings of toxic text
     center: np.ndarray
     scale: np.ndarray
     weights: np.ndarray  # the last one stands alone
     prior: float
 
     def measures(self, texts: list[str | None]) -> np.ndarray:
-        """Mean gain, root of the largest gain, and shares of windows with gains from 2 and from 4 bytes."""
-        plain, both = _compressor(self.ordinary).compress, _compressor(self.toxic + self.ordinary).compress
-        out = np.zeros((len(texts), 4))
+        """For either gain: its mean, root of the largest one with its sign, and shares of windows with 2 and with 4 bytes or more."""
+        plain, *others = (_compressor(c).compress for c in (self.ordinary, self.marked + self.ordinary, self.toxic))
+        out = np.zeros((len(texts), 4 * len(others)))
         for i, text in enumerate(texts):
-            gain = np.array([len(plain(w)) - len(both(w)) for w in windows(text)])
-            out[i] = gain.mean(), math.sqrt(max(0, gain.max())), (gain >= 2).mean(), (gain >= 4).mean()
+            parts = windows(text)
+            usual = np.array([len(plain(w)) for w in parts])
+            for k, other in enumerate(others):
+                gain = usual - [len(other(w)) for w in parts]
+                top = gain.max()
+                out[i, 4 * k : 4 * k + 4] = gain.mean(), math.copysign(math.sqrt(abs(top)), top), (gain >= 2).mean(), (gain >= 4).mean()
         return out
 
     def score(self, texts: list[str | None]) -> np.ndarray:
@@ -164,11 +169,10 @@ def fit(sample: list[tuple[str, int]], share: float) -> ToxicityModel:
     ordinary = unlike([t for t, y in sample if y == 0])
     empty = np.zeros(0)
     if len(toxic) < 2 or len(ordinary) < 2:
-        return ToxicityModel(b"", b"", empty, empty, empty, share)
-    common = [w for t in ordinary[::2] for w in windows(t)]
-    model = ToxicityModel(
-        _trained(common, ORDINARY_BYTES), _trained(typical(toxic[::2], ordinary[::2]) * 20, TOXIC_BYTES), empty, empty, empty, share
-    )
+        return ToxicityModel(b"", b"", b"", empty, empty, empty, share)
+    whole = [_trained([w for t in half for w in windows(t)], WHOLE_BYTES) for half in (ordinary[::2], toxic[::2])]
+    marked = _trained(typical(toxic[::2], ordinary[::2]) * 20, MARKED_BYTES)
+    model = ToxicityModel(*whole, marked, empty, empty, empty, share)
     x = np.vstack([model.measures(toxic[1::2]), model.measures(ordinary[1::2])])
     y = np.append(np.ones(len(toxic[1::2])), np.zeros(len(ordinary[1::2])))
     model.center, model.scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
