@@ -10,6 +10,7 @@ import pytest
 from corpus import SCHEMA, frame, prose
 
 from touchline.llm import langid
+from touchline.llm import toxicity as toxicity_module
 from touchline.llm.langid import forward_backward, identify, language_model
 from touchline.llm.toxicity import toxicity, typical, unlike, windows
 
@@ -113,6 +114,27 @@ def test_toxic_phrases_of_ordinary_words(spark):
     assert right > 0.9 * len(got)
 
 
+def test_toxicity_draws_labels_with_a_usable_text(spark):
+    """Labels without a document, and copies of one text, use up no place of the sample."""
+    rng = random.Random(13)
+    rows = [(i, " ".join(rude(rng, 40) if i % 3 == 0 else prose(rng, 40)) if i < 600 else "the same text") for i in range(1200)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(6000)], "doc_id long, toxic int")
+    got = [r for r in toxicity(frame(spark, rows), labels, per_label=100).collect() if r.held_out and r.doc_id < 600]
+    right = sum((r.score >= 0.3) == (r.doc_id % 3 == 0) for r in got)
+    assert right > 0.9 * len(got)
+    seen = []
+    sample = toxicity_module.labelled_sample
+
+    def spied(*args):
+        seen.extend(sample(*args))
+        return seen
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity_module, "labelled_sample", spied)
+        toxicity(frame(spark, rows), labels, per_label=100)
+    assert sum(y for _, y in seen) == 100 and len(seen) == 200
+
+
 def test_toxicity_edges(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (77, 1)], "doc_id long, toxic int")
     rows = [(1, "x"), (2, None), (3, ""), (None, "a " * 10)]

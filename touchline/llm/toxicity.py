@@ -211,11 +211,14 @@ def toxicity(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     marks = labels.where(f"`{label}` IS NOT NULL").groupBy(F.col(doc_id).cast("long").alias("doc_id"))
     marks = marks.agg(F.max(label).cast("int").alias("toxic")).where(remainder("doc_id", modulus) != held_out)
-    # Ids are drawn from the labels alone, so no text moves but that of the at most 2 * per_label drawn ones.
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    drawn = marks.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).drop("place")
-    train = rows.join(F.broadcast(drawn), "doc_id")
-    share = marks.agg(F.avg("toxic")).first()[0] or 0.0
+    # Only ids and hashes of usable texts are ranked; no text moves but those drawn, one of equal ones.
+    usable = rows.where(F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("doc_id", F.xxhash64("text").alias("draw"))
+    texts = usable.join(marks, "doc_id").groupBy("toxic", "draw").agg(F.min("doc_id").alias("doc_id"))
+    order = Window.partitionBy("toxic").orderBy("draw")
+    drawn = texts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).drop("place")
+    hashed = rows.withColumn("draw", F.xxhash64("text"))
+    train = hashed.join(F.broadcast(drawn), ["doc_id", "draw"]).drop("draw")
+    share = marks.join(rows.select("doc_id"), "doc_id", "left_semi").agg(F.avg("toxic")).first()[0] or 0.0
     model = fit(labelled_sample(train, "toxic", per_label, max_chars), share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
