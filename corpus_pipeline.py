@@ -25,9 +25,12 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents with letters, most of them in one known language.
 
     Null and empty texts go, and so do texts without letters. An empty table
-    stays empty.
+    stays empty. If no language could be learned, all documents with letters stay.
     """
-    found = identify(docs, language_model(docs), carried=docs.columns)
+    model = language_model(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = identify(docs, model, carried=docs.columns)
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SHARE)).select("row.*")
 
 

@@ -4,6 +4,7 @@ import random
 
 import pytest
 from corpus import frame, planted, prose
+from pyspark.sql import functions as F
 from test_near_dedup import brute
 
 import __spark_entry__ as entry
@@ -80,3 +81,9 @@ def test_stages_tell_rows_apart_by_text(spark, tmp_path):
     rows = [(None, a), (None, b + " " + item), (5, c), (5, item), (6, d)]
     clean = corpus_pipeline.without_test_items(spark, frame(spark, rows), str(tmp_path)).collect()
     assert sorted((r.doc_id or 0, r.text) for r in clean) == sorted([(0, a), (5, c), (6, d)])
+
+
+def test_no_language_learned(spark, tmp_path):
+    rows = [(1, "some words"), (2, "12 34"), (3, None), (4, "")]
+    docs = frame(spark, rows).withColumn("lang", F.lit(None).cast("string"))
+    assert [r.doc_id for r in corpus_pipeline.known_language(spark, docs, str(tmp_path)).collect()] == [1]
