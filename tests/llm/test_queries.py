@@ -87,3 +87,12 @@ def test_no_language_learned(spark, tmp_path):
     rows = [(1, "some words"), (2, "12 34"), (3, None), (4, "")]
     docs = frame(spark, rows).withColumn("lang", F.lit(None).cast("string"))
     assert [r.doc_id for r in corpus_pipeline.known_language(spark, docs, str(tmp_path)).collect()] == [1]
+
+
+def test_packing_query_derives_its_digest_from_the_ids(spark, monkeypatch):
+    pack = queries.pack
+    plain = pack(queries.documents(spark, SF), queries.tokenizer_path("byte_bpe_50k.json"), limit=2048, with_ids=False)
+    key = ["sequence_id", "offset", "doc_id", "ids_crc32"]
+    assert sorted(map(tuple, queries.QUERIES["op7_packing"](spark, SF).select(key).collect())) == sorted(map(tuple, plain.select(key).collect()))
+    monkeypatch.setattr(queries, "pack", lambda *a, **k: pack(*a, **k).withColumn("ids", F.lit(b"")))
+    assert {r.ids_crc32 for r in queries.QUERIES["op7_packing"](spark, SF).collect()} == {0}
