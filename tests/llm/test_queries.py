@@ -23,7 +23,8 @@ COLUMNS = {
     "op7_": "doc_id bigint, doc_tokens bigint, ids_crc32 bigint, length bigint, offset bigint, sequence_id bigint, start bigint",
     "op8_": "doc_id bigint, kept_sha256 string, n_bytes bigint, n_removed bigint, n_spans bigint",
     "op9_": "component_id bigint, doc_id bigint, kept boolean, n_shingles bigint",
-    "op10_": "covered_words bigint, coverage double, doc_id bigint, item_id bigint, item_words bigint, n_tiles bigint",
+    "op10_": "coverage double, covered_words bigint, doc_id bigint, item_id bigint, item_words bigint, n_tiles bigint",
+    "op11_": "audit string, blank bigint, conv_id bigint, cost bigint, duplicate bigint, gaps bigint, illegal bigint, repaired_sha256 string, truncated bigint",
 }
 
 
@@ -40,6 +41,8 @@ def test_columns_and_rows(spark, name):
     assert ", ".join(f"{n} {t}" for n, t in sorted(df.dtypes)) == want
     rows = df.collect()
     docs = spark.read.parquet(f"{SF}/documents.parquet").count()
+    if name.startswith("op11_"):
+        docs = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").distinct().count()
     if name.startswith(("op2_", "op10_")):
         assert 0 < len(rows) < docs
     elif not name.startswith("op7_"):

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.llm.conversation_repair import repair_conversations, repaired_digests
 from touchline.llm.decontaminate import find_leaks
 from touchline.llm.fingerprint import document_fingerprints
 from touchline.llm.langid import identify, language_model
@@ -142,3 +143,102 @@ def op9_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op10_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that hold a test item, reordered or not."""
     return find_leaks(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+# CRC-32 of the text k, bit by bit.
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(k)), lambda i: ord(k[i + 1])::BIGINT)), "
+    "lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295)"
+)
+
+
+def _best(options: list[str]) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+def _option(cost: str, edit: str, after: str) -> str:
+    return f"{{'c': {cost} + {after}.c, 'a': '{edit}' || {after}.a}}"
+
+
+def _row_step(state: int) -> str:
+    """The best way from a state through one row, without turns inserted before it; v0 to v3 are the best ways after it."""
+    options = [_option("2", "D", f"r.v{state}")]
+    kept = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+    never = "{'c': 1000000000000::BIGINT, 'a': ''}"
+    for (at, initial), to in kept.items():
+        if at == state:
+            options.append(f"CASE WHEN d.stays AND d.initial = '{initial}' THEN {_option('d.more', 'K', f'r.v{to}')} ELSE {never} END")
+    options.append(f"CASE WHEN d.stays THEN {_option('1 + d.more', 'R', f'r.v{(2, 2, 3, 2)[state]}')} ELSE {never} END")
+    return _best(options)
+
+
+def _inserted(state: int) -> str:
+    chain = [f"b{state}"]
+    at = state
+    for n in (1, 2):
+        at = (2, 2, 3, 2)[at]
+        chain.append(f"{{'c': {5 * n} + b{at}.c, 'a': '{'I' * n}' || b{at}.a}}")
+    return _best(chain)
+
+
+_REPAIR_SQL = (
+    "WITH RECURSIVE c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, "
+    "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations), "
+    f"h AS (SELECT *, {_CRC} % 20 AS code FROM c), "
+    "g AS (SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role, "
+    "CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, "
+    "unnest(CASE code WHEN 0 THEN []::INT[] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM h), "
+    "n AS (SELECT *, left(role, 1) AS initial, right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS last, "
+    "row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 32), md5(text), copy) AS i, "
+    "row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM g), "
+    "f AS (SELECT *, CASE WHEN last = '' THEN 'b' WHEN nth > 1 THEN 'd' WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault, "
+    "lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM n), "
+    "d AS (SELECT *, fault NOT IN ('b', 'd') AS stays, CASE WHEN fault = 't' THEN 5 ELSE 0 END AS more FROM f), "
+    "s AS (SELECT conv_id, max(i) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, "
+    "count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, "
+    "count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM d GROUP BY 1), "
+    "r AS (SELECT conv_id, rows AS i, {'c': 0::BIGINT, 'a': ''} AS v0, {'c': 10::BIGINT, 'a': 'II'} AS v1, "
+    "{'c': 5::BIGINT, 'a': 'I'} AS v2, {'c': 0::BIGINT, 'a': ''} AS v3 FROM s UNION ALL "
+    f"SELECT conv_id, i, {', '.join(f'{_inserted(x)} AS v{x}' for x in range(4))} FROM ("
+    f"SELECT r.conv_id, r.i - 1 AS i, {', '.join(f'{_row_step(x)} AS b{x}' for x in range(4))} "
+    "FROM r JOIN d ON d.conv_id IS NOT DISTINCT FROM r.conv_id AND d.i = r.i) q), "
+    "best AS (SELECT conv_id, v0.c AS cost, v0.a AS audit FROM r WHERE i = 0), "
+    # Edits in order, each with the row that it takes and the role by its place.
+    "e AS (SELECT conv_id, p, audit[p] AS edit, length(replace(left(audit, p), 'I', '')) AS i FROM best, unnest(generate_series(1, length(audit))) t(p)), "
+    "o AS (SELECT e.conv_id, p, edit, d.role, d.text, d.initial = 's' AND edit = 'K' AS is_system FROM e LEFT JOIN d "
+    "ON d.conv_id IS NOT DISTINCT FROM e.conv_id AND d.i = e.i AND e.edit <> 'I' WHERE edit <> 'D'), "
+    "t AS (SELECT *, row_number() OVER w - count(*) FILTER (is_system) OVER w AS place FROM o WINDOW w AS (PARTITION BY conv_id ORDER BY p)), "
+    "l AS (SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN place % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || "
+    "CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS lines FROM t GROUP BY 1), "
+    "every AS (SELECT DISTINCT conv_id FROM conversations) "
+    "SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, "
+    "coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256 "
+    "FROM every a LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM a.conv_id "
+    "LEFT JOIN l ON l.conv_id IS NOT DISTINCT FROM a.conv_id"
+)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text) rows, damaged by the checksum of their conversation and turn; nulls are one space."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    code = F.crc32(key.cast("binary")) % 20
+    role, text = (F.coalesce(c, F.lit(" ")) for c in ("role", "text"))
+    changed = F.when(code == 1, "").when(code == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    copies = F.when(code == 0, 0).when(code == 3, 2).otherwise(1)
+    rows = conversations.select("conv_id", "turn", F.when(code == 4, "user").otherwise(role).alias("role"), changed.alias("text"), copies.alias("copies"))
+    return rows.where("copies > 0").withColumn("copies", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).drop("copies")
+
+
+@query(_REPAIR_SQL)
+def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """What the cheapest repair of each damaged conversation does, and a digest of its result."""
+    given = spark.read.parquet(f"{sf}/conversations.parquet")
+    found = repaired_digests(repair_conversations(damaged(given))).withColumnRenamed("conv_id", "_conv_id")
+    every = given.select("conv_id").distinct()
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("_conv_id")), "left").select(
+        "conv_id",
+        *[F.coalesce(f"summary.{c}", F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("summary.audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
