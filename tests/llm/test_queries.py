@@ -25,6 +25,8 @@ COLUMNS = {
     "op9_": "component_id bigint, doc_id bigint, kept boolean, n_shingles bigint",
     "op10_": "coverage double, covered_words bigint, doc_id bigint, item_id bigint, item_words bigint, n_tiles bigint",
     "op11_": "audit string, blank bigint, conv_id bigint, cost bigint, duplicate bigint, gaps bigint, illegal bigint, repaired_sha256 string, truncated bigint",
+    "op12_": "query_id bigint, rank int, score double, vec_id bigint",
+    "op13_": "doc_id bigint, item_id bigint, rank int, score bigint",
 }
 
 
@@ -45,6 +47,11 @@ def test_columns_and_rows(spark, name):
         docs = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").distinct().count()
     if name.startswith(("op2_", "op10_")):
         assert 0 < len(rows) < docs
+    elif name.startswith("op12_"):
+        asked = spark.read.parquet(f"{SF}/embeddings.parquet").where("vec_id % 50 = 0").count()
+        assert len(rows) == 5 * asked
+    elif name.startswith("op13_"):
+        assert len(rows) == 10 * spark.read.parquet(f"{SF}/benchmark.parquet").count()
     elif not name.startswith("op7_"):
         assert len(rows) == docs
 

@@ -15,6 +15,7 @@ from touchline.llm.license_scan import NAMES, NOTICES, license_scan, license_tex
 from touchline.llm.lm import score_documents
 from touchline.llm.near_dedup import near_dedup
 from touchline.llm.packing import pack
+from touchline.llm.projection_forest import nearest
 from touchline.llm.substring_dedup import substring_dedup
 from touchline.llm.suffix_dedup import suffix_dedup
 from touchline.llm.toxicity import toxicity
@@ -242,3 +243,9 @@ def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
         F.coalesce("summary.audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
     )
+
+
+@query()
+def op12_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """The five nearest vectors that a forest of projection trees finds for every fiftieth id."""
+    return nearest(spark.read.parquet(f"{sf}/embeddings.parquet"), k=5, every=50)
