@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.llm.ball_tree_search import ranked_search
 from touchline.llm.conversation_repair import repair_conversations, repaired_digests
 from touchline.llm.decontaminate import find_leaks
 from touchline.llm.fingerprint import document_fingerprints
@@ -249,3 +250,27 @@ def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
 def op12_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     """The five nearest vectors that a forest of projection trees finds for every fiftieth id."""
     return nearest(spark.read.parquet(f"{sf}/embeddings.parquet"), k=5, every=50)
+
+
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+
+@query(
+    f"WITH t AS (SELECT row_number() OVER () AS k, doc_id, {_TERMS} AS terms FROM documents), "
+    "n AS (SELECT count(*) AS total, sum(len(terms))::BIGINT AS words FROM t WHERE len(terms) > 0), "
+    "u AS (SELECT k, doc_id, len(terms) AS n, unnest(terms) AS term FROM t), "
+    "f AS (SELECT k, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf FROM u GROUP BY k, term), "
+    "w AS (SELECT term, floor(1000 * ln((2 * any_value(total) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM f, n GROUP BY term), "
+    f"i AS (SELECT item_id, min(text) AS text FROM benchmark GROUP BY 1), q AS (SELECT item_id, unnest(list_distinct({_TERMS})) AS term FROM i), "
+    "s AS (SELECT item_id, k, any_value(doc_id) AS doc_id, "
+    "sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * total) // words))))::BIGINT AS score "
+    "FROM q JOIN f USING (term) JOIN w USING (term), n GROUP BY item_id, k) "
+    "SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s "
+    "WHERE score > 0 QUALIFY rank <= 10"
+)
+def op13_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten documents that rank highest for each test item."""
+    return ranked_search(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"), top=10)
