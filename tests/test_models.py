@@ -245,3 +245,32 @@ def test_oversampling_of_copies(spark):
 def test_nothing_to_oversample(spark):
     df = spark.createDataFrame([("a", 1, 1.0, "x"), ("b", 0, 2.0, "y")], "id string, y int, x double, c string")
     assert oversample.smote_nc(df, "id", "y", ["x"], ["c"]).count() == 2
+
+
+# ---- two writers --------------------------------------------------------------
+
+
+def test_a_number_is_claimed_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from touchline.sources.models import claimed
+
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda i: claimed(spark, f"{tmp_path}/claims/{i % 5}"), range(60)))
+    assert sum(got) == 5
+
+
+def test_two_writers_get_two_versions_and_one_production(spark, people, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    model = M.propensity_model(people.na.fill(0.0), Y, CAT, NUM, M.logistic(Y))
+    stores = [ModelStore(spark, str(tmp_path / "shared")) for _ in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(lambda s: s.register("p", model, "contract"), stores))
+        assert sorted(versions) == [1, 2, 3, 4]
+        list(pool.map(lambda pair: pair[0].promote("p", pair[1]), zip(stores, versions)))
+    stages = sorted(r["stage"] for r in stores[0].versions("p").collect())
+    assert stages == ["Archived", "Archived", "Archived", "Production"]
+    stores[1].promote("p", 2)
+    assert {r["version"]: r["stage"] for r in stores[2].versions("p").collect()}[2] == "Production"
+    assert [r["stage"] for r in stores[3].versions("p").collect()].count("Production") == 1

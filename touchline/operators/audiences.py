@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.functions.scores import hash_number, propensity_label
+from touchline.functions.scores import hash_fraction, hash_number, propensity_label
 from touchline.operators.ordering import bin_code, decile_edges, hash_slice, ordinals
 
 
@@ -93,6 +94,54 @@ def campaign_performance(members: DataFrame, outcomes: DataFrame, key: str, arm:
     return per_arm.withColumn("lift", F.try_divide("rate", base))
 
 
+#: Poisson(1) up to the count of which larger ones have a chance below 1 in 10 ** 7.
+_POISSON = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(10)]
+
+
+def _copies(key: Column, replicate: Column, salt: str) -> Column:
+    """How often a key counts in a replicate: Poisson(1), from a hash of both."""
+    share = hash_fraction(F.concat_ws(":", key.cast("string"), replicate.cast("string")), salt)
+    return F.size(F.filter(F.lit(_POISSON).cast("array<double>"), lambda c: c <= share))
+
+
+def campaign_intervals(
+    members: DataFrame, outcomes: DataFrame, key: str, arm: str, baseline: str, replicates: int = 200, confidence: float = 0.95, salt: str = ""
+) -> DataFrame:
+    """Size, conversions, rate and lift of each arm, with bootstrap intervals for rate and lift.
+
+    A member counts Poisson(1) times in each replicate, by a hash of key and
+    replicate: all replicates come from one pass over the members, and are the
+    same in every run. What is shuffled is one row per arm, replicate and task. An
+    interval spans the middle ``confidence`` of the replicates in which there is a
+    value; a lift has none where the baseline has no conversions.
+    """
+    happened = outcomes.select(key).distinct().withColumn("_hit", F.lit(1))
+    joined = members.join(happened, key, "left").withColumn("_hit", F.coalesce("_hit", F.lit(0)))
+    # Replicate 0 counts every member once.
+    drawn = joined.withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(replicates))))
+    copies = F.when(F.col("_r") == 0, 1).otherwise(_copies(F.col(key), F.col("_r"), salt))
+    counted = drawn.select(arm, "_r", "_hit", copies.alias("_copies")).groupBy(arm, "_r").agg(
+        F.sum("_copies").alias("_members"), F.sum(F.col("_copies") * F.col("_hit")).alias("_conversions")
+    )
+    rates = counted.withColumn("_rate", F.try_divide(F.col("_conversions").cast("double"), F.col("_members").cast("double")))
+    # Arms times replicates rows are left, whatever the number of members.
+    base = F.max(F.when(F.col(arm) == baseline, F.col("_rate"))).over(Window.partitionBy("_r"))
+    lifted = rates.withColumn("_lift", F.when(base > 0, F.col("_rate") / base))
+    edges = [(1 - confidence) / 2, (1 + confidence) / 2]
+    once = F.col("_r") == 0
+    spans = {n: F.percentile(F.when(~once, F.col(f"_{n}")), F.lit(edges).cast("array<double>")) for n in ("rate", "lift")}
+    return lifted.groupBy(arm).agg(
+        F.max(F.when(once, F.col("_members"))).alias("members"),
+        F.max(F.when(once, F.col("_conversions"))).alias("conversions"),
+        F.max(F.when(once, F.col("_rate"))).alias("rate"),
+        F.get(spans["rate"], F.lit(0)).alias("rate_low"),
+        F.get(spans["rate"], F.lit(1)).alias("rate_high"),
+        F.max(F.when(once, F.col("_lift"))).alias("lift"),
+        F.get(spans["lift"], F.lit(0)).alias("lift_low"),
+        F.get(spans["lift"], F.lit(1)).alias("lift_high"),
+    )
+
+
 def site_insights(events: DataFrame, ts: str, user: str, source: str) -> DataFrame:
     """Users and events per day and traffic source."""
     per_user = events.groupBy(F.to_date(ts).alias("day"), F.coalesce(source, F.lit("direct")).alias("source"), user).agg(

@@ -13,6 +13,7 @@ from touchline.operators import features as X
 from touchline.operators import models as M
 from touchline.operators import tuning as U
 from touchline.operators.audiences import high_propensity, score_table
+from touchline.operators.boosting import PenalisedTrees, few_partitions
 from touchline.sources.models import ModelStore
 from touchline.sources.tables import staged, write_table
 
@@ -26,19 +27,30 @@ def train_and_register(
     categorical: Sequence[str] = tuple(X.CATEGORICAL),
     continuous: Sequence[str] = tuple(X.CONTINUOUS),
     settings: list[dict] | None = None,
+    evaluations: int = 20,
+    trials: U.TrialLog | None = None,
     train_percent: int = 67,
     k: int = 50,
     weight: float | None = None,
 ) -> int:
-    """Split, prepare, search, evaluate on held-out rows, log, register and promote."""
+    """Split, prepare, search, evaluate on held-out rows, log, register and promote.
+
+    The search is sequential, over the whole space with leaf penalties, and goes
+    on with what ``trials`` holds of it. ``settings`` for Spark's own boosted trees
+    are tried instead where they are given.
+    """
     train, test = X.hash_split(gold, key, train_percent)
     train = X.with_class_weight(train, label, weight)
     features = M.featurizer(categorical, continuous, k).fit(train)
     validation = X.hash_percent(F.col(key), "validation") >= train_percent
-    prepared = X.materialised(features.transform(train).select(label, "features", "weight", validation.alias("validation")))
+    vectors = staged(features.transform(train).select(label, "features", "weight", validation.alias("validation")), "vectors")
+    prepared = X.materialised(few_partitions(vectors))
     bins = max(32, k + 3)
-    classifier = M.boosted_trees(label, weightCol="weight", maxBins=bins)
-    found = U.random_search(classifier, prepared, U.f_measure(label), settings or U.draw_settings(20, seed=55))
+    if settings:
+        found = U.random_search(M.boosted_trees(label, weightCol="weight", maxBins=bins), prepared, U.f_measure(label), settings)
+    else:
+        trees = PenalisedTrees(labelCol=label, weightCol="weight", maxBins=bins)
+        found = U.sequential_search(trees, prepared, U.f_measure(label), U.PENALISED_SPACE, evaluations, log=trials, search=name)
     prepared.unpersist()
     model = PipelineModel(stages=[*features.stages, found.model])
     held_out = staged(M.score(model, test, [label]), "held_out")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.times import MICROS
+from touchline.operators import sketches
 from touchline.operators.models import score
 
+
 def stream_sessions(stream: DataFrame, user: str, gap_s: int, event_time: str = "event_time", delay: str = "1 hour") -> DataFrame:
     """Closed sessions: emitted once the watermark is past their end plus the gap.
 
@@ -56,6 +60,20 @@ def stream_approximate_activity(stream: DataFrame, user: str, event_time: str =
     return counted.select(F.date_from_unix_date(number).alias("day"), "users", "events")
 
 
+def stream_user_sketches(
+    stream: DataFrame, user: str, by: Sequence[str] = (), event_time: str = "event_time", delay: str = "1 hour"
+) -> DataFrame:
+    """Stored sketches of closed days, as ``sketches.daily_user_sketches`` makes them in batch; the state is one sketch per day and group."""
+    grouped = stream.withWatermark(event_time, delay).groupBy(F.window(event_time, "1 day").alias("_day"), *by)
+    made = grouped.agg(
+        F.count(F.lit(1)).alias("events"),
+        F.theta_sketch_agg(F.col(user), F.lit(sketches.THETA_LOG2)).alias("theta"),
+        F.hll_sketch_agg(F.col(user), F.lit(sketches.HLL_LOG2)).alias("hll"),
+    )
+    number = F.floor(F.unix_seconds("_day.start") / 86400).cast("int")
+    return made.select(F.date_from_unix_date(number).alias("day"), *by, "events", "theta", "hll")
+
+
 def stream_scores(stream: DataFrame, model: PipelineModel, keep: list[str]) -> DataFrame:
     """Scores of users as they arrive, from the same fitted pipeline as in batch."""
     return score(model, stream, keep)

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["storage", "relational", "silver", "cleaning", "activation", "evaluation", "modelling", "streams"]
+MODULES = ["storage", "relational", "silver", "cleaning", "activation", "evaluation", "modelling", "streams", "sketching"]
 
 
 def load_all() -> None:

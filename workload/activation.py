@@ -148,6 +148,36 @@ def campaign_performance(spark, sf):
     return compared.withColumns({"rate": F.round("rate", 9), "lift": F.round("lift", 9)})
 
 
+_POISSON_SQL = "CASE " + " ".join(f"WHEN u < {c!r} THEN {i}" for i, c in enumerate(A._POISSON)) + f" ELSE {len(A._POISSON)} END"
+
+
+@query(
+    "WITH m AS (SELECT c_custkey AS user_id, CASE WHEN c_acctbal > 5000 THEN 'model' ELSE 'rule' END AS arm FROM customer), "
+    "hit AS (SELECT DISTINCT o_custkey AS user_id, 1 AS hit FROM orders WHERE o_totalprice > 400000), "
+    "d AS (SELECT arm, coalesce(hit, 0) AS hit, r, CAST(CAST(('0x' || substr(md5('lift' || CAST(user_id AS VARCHAR) || ':' || CAST(r AS VARCHAR)), 1, 8)) AS BIGINT) AS DOUBLE) "
+    "/ 4294967296.0 AS u FROM m LEFT JOIN hit USING (user_id), unnest(generate_series(0, 200)) t(r)), "
+    f"w AS (SELECT arm, r, hit, CASE WHEN r = 0 THEN 1 ELSE {_POISSON_SQL} END AS copies FROM d), "
+    "c AS (SELECT arm, r, sum(copies)::BIGINT AS members, sum(copies * hit)::BIGINT AS conversions FROM w GROUP BY 1, 2), "
+    "q AS (SELECT *, CASE WHEN members > 0 THEN conversions::DOUBLE / members::DOUBLE END AS rate FROM c), "
+    "l AS (SELECT q.*, CASE WHEN b.rate > 0 THEN q.rate / b.rate END AS lift FROM q LEFT JOIN q b ON b.r = q.r AND b.arm = 'rule') "
+    "SELECT arm, max(members) FILTER (r = 0) AS members, max(conversions) FILTER (r = 0) AS conversions, "
+    + ", ".join(
+        f"round(max({n}) FILTER (r = 0), 9) AS {n}, round(quantile_cont({n}, 0.025) FILTER (r > 0), 9) AS {n}_low, "
+        f"round(quantile_cont({n}, 0.975) FILTER (r > 0), 9) AS {n}_high"
+        for n in ("rate", "lift")
+    )
+    + " FROM l GROUP BY arm"
+)
+def campaign_intervals(spark, sf):
+    """Whether one arm's rate is above the other's by more than chance."""
+    members = inputs.read(spark, sf, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.when(F.col("c_acctbal") > 5000, "model").otherwise("rule").alias("arm")
+    )
+    outcomes = inputs.read(spark, sf, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("user_id"))
+    found = A.campaign_intervals(members, outcomes, "user_id", "arm", "rule", salt="lift")
+    return found.withColumns({c: F.round(c, 9) for c in found.columns if c.startswith(("rate", "lift"))})
+
+
 @query(
     f"WITH {ctes.WIDE_CTE} SELECT CAST(collector_tstamp AS DATE) AS day, coalesce(mkt_source, 'direct') AS source, "
     "count(DISTINCT domain_userid) AS users, count(*) AS events FROM wide GROUP BY 1, 2"

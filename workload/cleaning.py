@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions import privacy, web
-from touchline.operators import identity, incremental, quality
+from touchline.operators import drift, identity, incremental, quality
 from touchline.operators import sessions as S
 from touchline.plans import bindings as B
 from touchline.sources.tables import staged
@@ -47,6 +47,64 @@ def events_that_do_not_fit(spark, sf):
     return quality.split_by_schema(_payloads(spark, sf), "payload", _SCHEMA, ["k"])[1]
 
 
+# From one day on k is a text, from another there is a new field, and some payloads are no objects.
+_DRIFT_SQL = (
+    "d AS (SELECT event_id, CAST(ts AS DATE) AS day, k, CASE WHEN k % 50 = 49 THEN '[1]' WHEN k % 50 = 48 THEN 'not json' "
+    "WHEN ts >= TIMESTAMP '2024-01-20' THEN '{\"k\": \"' || k || '\", \"source\": {\"app\": ' || (k % 3) || '}}' "
+    "WHEN ts >= TIMESTAMP '2024-01-10' THEN '{\"k\": ' || k || ', \"share\": 0.5}' ELSE props END AS payload FROM raw)"
+)
+
+
+def _drifting(spark, sf):
+    k = F.get_json_object("props", "$.k").cast("int")
+    text = k.cast("string")
+    payload = (
+        F.when(k % 50 == 49, "[1]")
+        .when(k % 50 == 48, "not json")
+        .when(F.col("ts") >= F.expr("timestamp_ntz'2024-01-20'"), F.concat(F.lit('{"k": "'), text, F.lit('", "source": {"app": '), (k % 3).cast("string"), F.lit("}}")))
+        .when(F.col("ts") >= F.expr("timestamp_ntz'2024-01-10'"), F.concat(F.lit('{"k": '), text, F.lit(', "share": 0.5}')))
+        .otherwise(F.col("props"))
+    )
+    rows = inputs.read(spark, sf, "events").select("event_id", F.to_date("ts").alias("day"), payload.alias("payload"))
+    return drift.with_variant(rows, "payload", "v")
+
+
+@query(
+    f"WITH {ctes.RAW}, {_DRIFT_SQL}, o AS (SELECT day, payload FROM d WHERE json_valid(payload) AND json_type(payload) = 'OBJECT'), "
+    "t AS (SELECT day, field, CASE json_type(payload, '$.' || field) WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT' "
+    "WHEN 'DOUBLE' THEN 'DECIMAL(1,1)' ELSE 'OBJECT<app: BIGINT>' END AS type FROM (SELECT day, payload, unnest(json_keys(payload)) AS field FROM o) "
+    "UNION ALL SELECT day, '(payload)', CASE WHEN json_valid(payload) THEN 'ARRAY<BIGINT>' ELSE 'VOID' END FROM d "
+    "WHERE NOT json_valid(payload) OR json_type(payload) <> 'OBJECT'), "
+    "c AS (SELECT day, field, type, count(*) AS rows FROM t GROUP BY 1, 2, 3), "
+    "f AS (SELECT *, min(day) OVER (PARTITION BY field) AS fs, min(day) OVER (PARTITION BY field, type) AS ts, min(day) OVER () AS start FROM c) "
+    "SELECT day, field, type, rows, CASE WHEN day = fs THEN 'new' ELSE 'retyped' END AS change FROM f WHERE day > start AND day IN (fs, ts)"
+)
+def payload_fields_that_changed(spark, sf):
+    """Fields that are new on a day, and known ones that have a type for the first time."""
+    return drift.changes(drift.field_types(_drifting(spark, sf), "day", "v"))
+
+
+@query(
+    f"WITH {ctes.RAW}, {_DRIFT_SQL} SELECT event_id, CASE WHEN k % 50 < 48 THEN k END AS k, "
+    "CASE WHEN k % 50 < 48 AND day >= DATE '2024-01-20' THEN k % 3 END AS app FROM d"
+)
+def read_fields_of_any_shape(spark, sf):
+    """One expression per field reads rows of all days."""
+    rows = _drifting(spark, sf)
+    return rows.select("event_id", drift.read_field("v", "$.k", ["int", "string"]).alias("k"), drift.read_field("v", "$.source.app", ["int"]).alias("app"))
+
+
+@query(f"WITH {ctes.RAW}, {_DRIFT_SQL} SELECT DISTINCT day, true AS covers FROM d")
+def daily_payload_schema(spark, sf):
+    """One schema per day that covers its payloads: where a field has several types or payloads are no objects, it is VARIANT."""
+    rows = _drifting(spark, sf).where("v IS NOT NULL AND schema_of_variant(v) LIKE 'OBJECT%'")
+    schemas = drift.daily_schema(rows, "day", "v")
+    wanted = F.when(F.col("day") >= F.lit("2024-01-20").cast("date"), "OBJECT<k: STRING, source: OBJECT<app: BIGINT>>").when(
+        F.col("day") >= F.lit("2024-01-10").cast("date"), "OBJECT<k: BIGINT, share: DECIMAL(1,1)>"
+    ).otherwise("OBJECT<k: BIGINT>")
+    return schemas.select("day", (F.col("schema") == wanted).alias("covers"))
+
+
 @query("SELECT event_id, ts, user_id, event_type FROM events")
 def deduplicate_events(spark, sf):
     events = inputs.read(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")

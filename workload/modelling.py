@@ -9,14 +9,17 @@ that models learn.
 
 from __future__ import annotations
 
+import itertools
 import json
+import math
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from touchline.operators import aggregates
+from touchline.operators import aggregates, boosting
 from touchline.operators import evaluate as V
 from touchline.operators import features as X
 from touchline.operators import models as M
@@ -32,12 +35,10 @@ LABEL = "converted_user"
 CATEGORICAL = ["refr_medium", "mkt_medium", "mkt_source", "device_family", "os_family", "geo_region"]
 CONTINUOUS = [*X.ENGAGEMENT, "page_views"]
 
-#: Trees of the propensity model, and of each trial of the search, whose space reaches from 50 to 200.
-#: The search is narrowed here, before anything is drawn.
+#: Trees of the propensity model, evaluations of a search, rounds of the grid, of the ranker and of the quantile model.
 TREES = 100
-SEARCH_SPACE = tuning.SPACE | {"maxIter": tuning.whole_step(5, 20)}
 TRIALS, ROUNDS = 20, 5
-RANKING_TREES = 50
+RANKING_ROUNDS, QUANTILE_ROUNDS = 200, 100
 
 _TEST = f"{ctes.HASH_PERCENT.format('domain_userid')} >= 67"
 
@@ -125,30 +126,82 @@ def dummy_feature_model(spark, sf):
 
 
 def _prepared(spark, sf):
-    """Training rows as vectors, with hash-marked folds and validation rows."""
+    """Training rows as vectors, with hash-marked folds and validation rows, in as few partitions as their number asks for."""
     train, _ = _parts(spark, sf)
     marked = tuning.with_fold(train, "domain_userid", 5).withColumn("validation", X.hash_percent(F.col("domain_userid"), "validation") >= 67)
     vectors = M.featurizer(CATEGORICAL, CONTINUOUS).fit(train).transform(marked)
-    return X.materialised(vectors.select(LABEL, "weight", "features", "fold", "validation"))
+    return X.materialised(boosting.few_partitions(staged(vectors.select(LABEL, "weight", "features", "fold", "validation"), "vectors")))
 
 
-def _in_space(s):
-    whole = 2 <= s["maxDepth"] <= 8 and 5 <= s["maxIter"] <= 20 and 1 <= s["minInstancesPerNode"] <= 20
-    return whole and 0.049 <= s["stepSize"] <= 1.0 and 0.0 <= s["gamma"] <= 5.0
+def _within(setting, space):
+    """Whether a setting has a value for each range of the space, inside it; whole ones may be cut to the least that is allowed."""
+    return set(setting) == set(space) and all(
+        abs(r.outer(r.inner(v)) - v) < 1e-9 or (isinstance(v, int) and r.outer(r.low) - 1 <= v <= r.outer(r.high)) for (k, r) in space.items() for v in [setting[k]]
+    )
 
 
 @query(
     f"SELECT CAST(r AS INTEGER) AS trial, true AS in_space, true AS is_share, true AS differs, true AS best_is_best FROM range({TRIALS}) t(r)"
 )
 def random_hyperparameter_search(spark, sf):
-    settings = tuning.draw_settings(TRIALS, seed=55, space=SEARCH_SPACE)
+    settings = tuning.draw_settings(TRIALS, seed=55)
     trees = M.boosted_trees(LABEL, weightCol="weight", maxBins=64)
     found = tuning.random_search(trees, _prepared(spark, sf), V.AveragePrecision(labelCol=LABEL), settings)
     best = found.metric == max(m for _, m in found.trials)
-    rows = [(i, _in_space(s), 0.0 <= m <= 1.0, settings.count(s) == 1, best) for i, (s, m) in enumerate(found.trials)]
+    rows = [(i, _within(s, tuning.SPACE), 0.0 <= m <= 1.0, settings.count(s) == 1, best) for i, (s, m) in enumerate(found.trials)]
     return spark.createDataFrame(rows, "trial int, in_space boolean, is_share boolean, differs boolean, best_is_best boolean")
 
 
+@query(
+    f"SELECT CAST(r AS INTEGER) AS trial, true AS in_space, true AS is_logged, true AS resumes, true AS best_is_best FROM range({TRIALS}) t(r)"
+)
+def sequential_hyperparameter_search(spark, sf):
+    """Twenty trials over the whole space with leaf penalties, four at a time, each batch proposed from those before; logged, and gone on with."""
+    prepared = _prepared(spark, sf)
+    log = tuning.TrialLog(spark, work_path(spark, "trials"))
+    trees = boosting.PenalisedTrees(labelCol=LABEL, weightCol="weight", maxBins=64)
+    found = tuning.sequential_search(trees, prepared, V.AveragePrecision(labelCol=LABEL), tuning.PENALISED_SPACE, TRIALS, log=log, search="propensity")
+    logged = log.read("propensity")
+    judged = []  # a search that was finished judges nothing anew
+    again = tuning.sequence(lambda s: judged.append(s) or 0.0, tuning.PENALISED_SPACE, TRIALS, log=log, search="propensity")
+    best = found.metric == max(m for _, m in found.trials)
+    rows = [
+        (i, _within(s, tuning.PENALISED_SPACE), logged.get(i) == (s, m), again[i] == (s, m) and not judged, best)
+        for i, (s, m) in enumerate(found.trials)
+    ]
+    return spark.createDataFrame(rows, "trial int, in_space boolean, is_logged boolean, resumes boolean, best_is_best boolean")
+
+
+def _newton_leaves(model, rows, penalty):
+    """Whether the first tree's leaves are what the rows in them ask for, computed anew from the rows."""
+    # One row per leaf.
+    leaf = vector_to_array(F.col("_leaves"))[0].cast("int").alias("leaf")
+    half = F.col(LABEL).cast("double") - 0.5  # the first round starts at a score of 0
+    sums = model.setLeafCol("_leaves").transform(rows).groupBy(leaf).agg(F.sum(-half * F.col("weight")).alias("g"), F.sum(0.25 * F.col("weight")).alias("h"))
+    wanted = {r["leaf"]: 0.3 * penalty.value(r["g"], r["h"]) for r in sums.collect()}
+    values = boosting.leaf_values(model)[0]
+    return set(wanted) == set(range(len(values))) and all(abs(values[i] - v) < 1e-6 * max(1.0, abs(v)) for i, v in wanted.items())
+
+
+@query(
+    f"WITH {ctes.GOLD_CTE} SELECT domain_userid, converted_user, true AS is_probability, true AS is_decided, "
+    f"true AS plain_leaves_fit, true AS penalised_leaves_fit, true AS penalties_shrink FROM gold WHERE {_TEST}"
+)
+def penalised_tree_scores(spark, sf):
+    """Scores of boosted trees with leaf penalties; their leaves, and those without penalties, against sums over the rows."""
+    train, test = _parts(spark, sf)
+    features = M.featurizer(CATEGORICAL, CONTINUOUS).fit(train)
+    rows = X.materialised(features.transform(train).select(LABEL, "weight", "features"))
+    make = lambda **penalties: boosting.PenalisedTrees(labelCol=LABEL, weightCol="weight", maxIter=TREES, **penalties).fit(rows)
+    plain, shrunk = make(), make(alpha=0.3, lambda_=5.0)
+    fits = _newton_leaves(plain, rows, boosting.Penalty()), _newton_leaves(shrunk, rows, boosting.Penalty(0.3, 5.0))
+    most = [max(abs(v) for v in boosting.leaf_values(m)[0]) for m in (plain, shrunk)]
+    scored = _checked(M.score(PipelineModel(stages=[*features.stages, shrunk]), test, ["domain_userid", LABEL]))
+    return scored.withColumns(
+        {"plain_leaves_fit": F.lit(fits[0]), "penalised_leaves_fit": F.lit(fits[1]), "penalties_shrink": F.lit(most[1] < most[0])}
+    )
+
+
 @query(
     "SELECT CAST(d AS DOUBLE) AS max_depth, CAST(s AS DOUBLE) AS step_size, true AS is_share "
     "FROM (VALUES (2), (4), (8)) a(d), (VALUES (0.1), (0.01), (0.001)) b(s)"
@@ -167,8 +220,7 @@ def grid_search_cross_validated(spark, sf):
 def train_register_and_score(spark, sf):
     store = ModelStore(spark, work_path(spark, "store"))
     table = prospects(spark, sf)
-    settings = tuning.draw_settings(4, seed=7, space=SEARCH_SPACE)
-    training.train_and_register(table, store, "propensity", categorical=CATEGORICAL, continuous=CONTINUOUS, settings=settings)
+    training.train_and_register(table, store, "propensity", categorical=CATEGORICAL, continuous=CONTINUOUS, evaluations=4)
     scored = training.score_and_label(table, store, "propensity")
     wanted = F.when(F.col("propensity_decile") <= 7, "Low").when(F.col("propensity_decile") <= 8, "Medium").otherwise("High")
     return scored.select(
@@ -262,42 +314,86 @@ def class_sizes_after_oversampling(spark, sf):
 
 
 @query(
-    f"SELECT l_orderkey, l_linenumber, true AS is_seen_price FROM lineitem WHERE {ctes.HASH_PERCENT.format('l_orderkey')} >= 85"
+    "SELECT l_orderkey, l_linenumber, true AS covers_a_fifth, true AS beats_one_tree "
+    f"FROM lineitem WHERE {ctes.HASH_PERCENT.format('l_orderkey')} >= 85"
 )
 def quantile_regression(spark, sf):
-    lines = inputs.read(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_discount", "l_tax"
-    )
-    train, test = X.hash_split(lines, "l_orderkey", 85)
-    model = M.fit_quantile(train, "l_extendedprice", ["l_quantity", "l_discount", "l_tax"], alpha=0.2)
-    low, high = train.agg(F.min("l_extendedprice"), F.max("l_extendedprice")).first()
-    return model.transform(test).select("l_orderkey", "l_linenumber", F.col("prediction").between(low, high).alias("is_seen_price"))
+    """The lower fifth of a planted value: a sum of three columns and a lopsided noise. Held-out rows say how well it is met."""
+    inputs_ = ["l_quantity", "l_discount", "l_tax"]
+    noise = -F.log(1 - (X.hash_percent(F.concat_ws(":", "l_orderkey", "l_linenumber"), "noise") + 0.5) / 100)
+    value = 2.0 * F.col("l_quantity") + 400.0 * F.col("l_discount") + 400.0 * F.col("l_tax") + 5.0 * noise
+    lines = inputs.read(spark, sf, "lineitem").withColumns({c: F.col(c).cast("double") for c in inputs_}).withColumn("value", value)
+    lines = staged(lines.select("l_orderkey", "l_linenumber", *inputs_, "value"), "lines")
+    train, test = X.hash_split(VectorAssembler(inputCols=inputs_, outputCol="features").transform(lines), "l_orderkey", 85)
+    boosted = boosting.fit_quantile_trees(train, "value", alpha=0.2, rounds=QUANTILE_ROUNDS)
+    single = M.fit_quantile(train.drop("features"), "value", inputs_, alpha=0.2)
+    met = V.pinball_loss(boosted.transform(test), "value", "prediction", 0.2).first()
+    plain = V.pinball_loss(single.transform(test.drop("features")), "value", "prediction", 0.2).first()
+    covers = abs(met["coverage"] - 0.2) < 0.02 + 0.8 / math.sqrt(max(test.count(), 1))  # two standard errors of a share beside the 0.02
+    better = met["pinball_loss"] < 0.9 * plain["pinball_loss"]
+    return test.select("l_orderkey", "l_linenumber", F.lit(covers).alias("covers_a_fifth"), F.lit(better).alias("beats_one_tree"))
 
 
 def _graded(spark, sf):
-    grade = F.when(F.col("l_returnflag") == "R", 2).when(F.col("l_returnflag") == "A", 1).otherwise(0)
-    lines = inputs.read(spark, sf, "lineitem").withColumn("labels", grade.cast("double"))
-    assembler = VectorAssembler(inputCols=["l_quantity", "l_extendedprice", "l_discount", "l_tax"], outputCol="features")
-    return assembler.transform(lines).select("l_orderkey", "l_linenumber", "labels", "features")
+    """Lines with a planted grade: orders differ more than their lines do, and within an order the lower ``level`` is the better one.
+
+    Across orders the level rises with the grade, so a model of single rows learns the wrong order.
+    """
+    order = X.hash_percent(F.col("l_orderkey"), "order") * 3 / 100.0
+    line = X.hash_percent(F.concat_ws(":", "l_orderkey", "l_linenumber"), "line") / 100.0
+    columns = ["level", "l_quantity", "l_discount", "l_tax"]
+    lines = inputs.read(spark, sf, "lineitem").withColumns(
+        {"level": order + line, "labels": (F.floor(order) + (line < 0.5).cast("int")).cast("double"), **{c: F.col(c).cast("double") for c in columns[1:]}}
+    )
+    return staged(VectorAssembler(inputCols=columns, outputCol="features").transform(lines).select("l_orderkey", "l_linenumber", "labels", "features"), "graded")
+
+
+_rankers: dict[tuple[str, str], tuple] = {}
+
+
+def _ranker(spark, sf):
+    """(graded lines, the ranker fitted on four fifths of the orders), fitted once per session and scale."""
+    graded = _graded(spark, sf)
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _rankers:
+        train, _ = X.hash_split(graded, "l_orderkey", 80)
+        _rankers[key] = boosting.fit_listwise_ranker(train, "l_orderkey", "labels", "l_linenumber", rounds=RANKING_ROUNDS)
+    return graded, _rankers[key]
 
 
 @query(
     f"WITH t AS (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE {ctes.HASH_PERCENT.format('l_orderkey')} >= 80 GROUP BY 1) "
-    "SELECT l_orderkey, CAST(r AS INTEGER) AS rank, true AS is_ordered FROM t, unnest(generate_series(1, least(n, 5))) u(r)"
+    "SELECT l_orderkey, CAST(r AS INTEGER) AS rank, true AS is_ordered, true AS above_pointwise_at_1, true AS above_pointwise_at_3, "
+    "true AS above_pointwise_at_5 FROM t, unnest(generate_series(1, least(n, 5))) u(r)"
 )
 def rank_within_queries(spark, sf):
-    train, test = X.hash_split(_graded(spark, sf), "l_orderkey", 80)
-    ranker = M.fit_ranker(X.materialised(train), "labels", maxIter=RANKING_TREES, maxDepth=5)
-    scored = ranker.transform(test).select("l_orderkey", "l_linenumber", "labels", "preds")
+    """The best five lines of each held-out order, and whether the mean NDCG there is above that of a model of single rows."""
+    graded, ranker = _ranker(spark, sf)
+    train, test = X.hash_split(graded, "l_orderkey", 80)
+    scored = staged(ranker.setPredictionCol("preds").transform(test).select("l_orderkey", "l_linenumber", "labels", "preds"), "ranked")
+    single = M.fit_ranker(X.materialised(boosting.few_partitions(train)), "labels", maxIter=RANKING_ROUNDS, maxDepth=5)
+    mine = V.ndcg(scored, "l_orderkey", "labels", "preds", "l_linenumber").first()
+    other = V.ndcg(single.transform(test), "l_orderkey", "labels", "preds", "l_linenumber").first()
+    above = {f"above_pointwise_at_{k}": F.lit(mine[f"ndcg_at_{k}"] > other[f"ndcg_at_{k}"] + 0.05) for k in (1, 3, 5)}
     best = M.best_per_query(scored, "l_orderkey", "preds", "l_linenumber", 5)
     before = F.lag("preds").over(Window.partitionBy("l_orderkey").orderBy("rank"))
-    return best.select("l_orderkey", "rank", F.coalesce(before >= F.col("preds"), F.lit(True)).alias("is_ordered"))
+    return best.select("l_orderkey", "rank", F.coalesce(before >= F.col("preds"), F.lit(True)).alias("is_ordered")).withColumns(above)
 
 
-@query(f"SELECT l_orderkey, l_linenumber, CAST({RANKING_TREES} AS INTEGER) AS trees, true AS are_leaves FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, true AS one_leaf_a_tree, true AS leaves_give_the_score FROM lineitem")
 def leaf_indexes(spark, sf):
-    graded = _graded(spark, sf)
-    ranker = M.fit_ranker(X.materialised(graded), "labels", maxIter=RANKING_TREES, maxDepth=5)
-    leaves = vector_to_array(F.col("leaf_preds"))
-    numbers = F.forall(leaves, lambda x: (x >= 0) & (x < 64))
-    return ranker.transform(graded).select("l_orderkey", "l_linenumber", F.size(leaves).alias("trees"), numbers.alias("are_leaves"))
+    """The ranker's leaf of each tree; the values of these leaves add up to the score."""
+    graded, ranker = _ranker(spark, sf)
+    values = boosting.leaf_values(ranker)
+    start = [0, *itertools.accumulate(len(v) for v in values)]
+    flat, first = F.array(*[F.lit(x) for v in values for x in v]), F.array(*[F.lit(i) for i in start[:-1]])
+    found = ranker.setPredictionCol("preds").setLeafCol("leaf_preds").transform(graded).withColumn("leaves", vector_to_array(F.col("leaf_preds")))
+    numbers = F.transform("leaves", lambda x, i: F.get(F.col("_first"), i) + x.cast("int"))
+    total = F.aggregate(numbers, F.lit(0.0), lambda a, i: a + F.get(F.col("_values"), i))
+    # The table of leaf values is one row: trees times leaves.
+    table = spark.range(1).select(flat.alias("_values"), first.alias("_first"))
+    fits = F.size("leaves") == len(values)
+    for_all = found.withColumn("_one", F.lit(0)).join(F.broadcast(table.withColumn("_one", F.lit(0))), "_one")
+    return for_all.select(
+        "l_orderkey", "l_linenumber", fits.alias("one_leaf_a_tree"), (F.abs(total - F.col("preds")) < 1e-6).alias("leaves_give_the_score")
+    )

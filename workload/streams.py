@@ -11,6 +11,7 @@ from touchline.operators import sessions as S
 from touchline.plans import bindings as B
 from touchline.session import work_path
 from touchline.sources.tables import staged
+from touchline.streaming import closing as K
 from touchline.streaming import events as E
 from touchline.streaming import metrics as R
 from touchline.streaming.upsert import Upsert
@@ -49,6 +50,32 @@ def stream_closed_sessions(spark, sf):
     )
 
 
+_WATERMARK = "(SELECT (epoch_us(max(ts)) // 1000 - 3600000) * 1000 FROM events)"
+
+
+@query(
+    "WITH c AS (SELECT user_id, epoch_us(ts) // 1000000 AS cell, min(epoch_us(ts)) AS first, max(epoch_us(ts)) AS last, count(*) AS events, "
+    f"max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS closes FROM events GROUP BY 1, 2), "
+    "g AS (SELECT *, lag(last) OVER w AS before, lag(closes) OVER w AS ended FROM c WINDOW w AS (PARTITION BY user_id ORDER BY cell)), "
+    f"n AS (SELECT *, sum(CASE WHEN first - before < {B.SESSION_GAP_S * 1000000} AND ended = 0 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY cell) AS idx FROM g), "
+    "s AS (SELECT CAST(user_id AS VARCHAR) AS user, min(first) AS start_us, max(last) AS end_us, CAST(sum(events) AS BIGINT) AS events, "
+    "max(closes) = 1 AS closed_by_event, max(cell) AS last_cell FROM n GROUP BY user_id, idx) "
+    "SELECT user, start_us, end_us, events, closed_by_event FROM s WHERE CASE WHEN closed_by_event THEN (last_cell + 1) * 1000000 "
+    f"ELSE end_us + {B.SESSION_GAP_S * 1000000} END <= {_WATERMARK}"
+)
+def stream_sessions_closed_by_purchase(spark, sf):
+    """Sessions that end with a purchase or with silence, from a stream with state and timers of its own."""
+    before = {k: spark.conf.get(k, None) for k in K.STATE_STORE}
+    for name, value in K.STATE_STORE.items():
+        spark.conf.set(name, value)
+    try:
+        closed = K.stream_closing_sessions(event_stream(spark, sf), "user_id", B.SESSION_GAP_S, "event_type = 'purchase'")
+        return E.run_to_table(closed, "closing")
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 @query(
     "SELECT CAST(ts AS DATE) AS day, count(DISTINCT user_id) AS users, count(*) AS events FROM events GROUP BY 1 "
     "HAVING epoch_us(CAST(ts AS DATE) + INTERVAL 1 DAY) <= (SELECT (epoch_us(max(ts)) // 1000 - 3600000) * 1000 FROM events)"
