@@ -1,5 +1,7 @@
+import random
 from collections import Counter
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -56,3 +58,43 @@ def test_score_table(spark):
     scored = spark.range(100).select(F.col("id").cast("string").alias("domain_userid"), (F.col("id") / 100).alias("propensity_score"))
     counts = dict(rows(A.score_table(scored).groupBy("propensity_label").count()))
     assert counts == {"Low": 80, "Medium": 10, "High": 10}
+
+
+# ---- intervals ----------------------------------------------------------------
+
+
+def arms(spark, n, rates, salt):
+    """Members of two arms with outcomes drawn at the planted rates."""
+    rng = random.Random(salt)
+    members = [(f"{arm}{i}", arm) for arm in rates for i in range(n)]
+    hits = [(m,) for m, arm in members if rng.random() < rates[arm]]
+    return spark.createDataFrame(members, "id string, arm string"), spark.createDataFrame(hits + hits[:3], "id string")
+
+
+def test_intervals_cover_the_planted_rates(spark):
+    covered = {"rate": 0, "lift": 0}
+    for salt in range(6):
+        members, outcomes = arms(spark, 1500, {"model": 0.12, "rule": 0.08}, salt)
+        found = {r.arm: r for r in A.campaign_intervals(members, outcomes, "id", "arm", "rule", replicates=100, salt=str(salt)).collect()}
+        model = found["model"]
+        covered["rate"] += model.rate_low <= 0.12 <= model.rate_high
+        covered["lift"] += model.lift_low <= 1.5 <= model.lift_high
+        assert model.rate_low < model.rate < model.rate_high and 0.02 < model.rate_high - model.rate_low < 0.05
+        assert found["rule"].lift == found["rule"].lift_low == found["rule"].lift_high == 1.0
+    assert covered["rate"] >= 4 and covered["lift"] >= 4
+
+
+def test_intervals_are_the_same_in_every_run(spark):
+    members, outcomes = arms(spark, 300, {"model": 0.2, "rule": 0.1}, 1)
+    one = rows(A.campaign_intervals(members, outcomes, "id", "arm", "rule", replicates=50), "arm")
+    two = rows(A.campaign_intervals(members.repartition(7), outcomes.repartition(3), "id", "arm", "rule", replicates=50), "arm")
+    assert one == two
+    plain = {r.arm: r for r in A.campaign_performance(members, outcomes, "id", "arm", "rule").collect()}
+    for arm, size, hits, rate, _, _, lift, _, _ in one:
+        assert (size, hits, rate) == (plain[arm].members, plain[arm].conversions, plain[arm].rate) and lift == pytest.approx(plain[arm].lift)
+
+
+def test_no_conversions_no_lift(spark):
+    members = spark.createDataFrame([("a", "model"), ("b", "rule")], "id string, arm string")
+    found = rows(A.campaign_intervals(members, spark.createDataFrame([], "id string"), "id", "arm", "rule", replicates=5), "arm")
+    assert [r[3] for r in found] == [0.0, 0.0] and [r[6:] for r in found] == [(None, None, None)] * 2

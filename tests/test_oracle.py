@@ -4,7 +4,8 @@ import pytest
 from check_oracle import compare, connect
 
 import __spark_entry__ as entry
-from workload import load_all
+from touchline.operators import tuning
+from workload import load_all, modelling
 from workload.registry import ORACLES
 
 load_all()
@@ -16,6 +17,16 @@ def con():
     return connect(SF)
 
 
+@pytest.fixture(autouse=True)
+def fewer_rounds(monkeypatch):
+    """The queries run their whole number of rounds where they are compared at a larger scale; here the facts are wanted, not the time."""
+    monkeypatch.setattr(modelling, "RANKING_ROUNDS", 25)
+    monkeypatch.setattr(modelling, "QUANTILE_ROUNDS", 40)
+    monkeypatch.setattr(modelling, "TREES", 8)
+    for space in (tuning.SPACE, tuning.PENALISED_SPACE):
+        monkeypatch.setitem(space, "maxIter", tuning.whole_step(1, 4))
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_as_sql(spark, con, name):
     result = entry.queries()[name](spark, SF)

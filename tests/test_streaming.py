@@ -1,10 +1,14 @@
+import random
 from datetime import datetime, timedelta
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from touchline.operators import sessions as S
+from touchline.operators import sketches as K
 from touchline.session import releasing, remove, shared_folder, work_path
+from touchline.streaming import closing as C
 from touchline.streaming import events as E
 from touchline.streaming import metrics as R
 from touchline.streaming.upsert import Upsert
@@ -133,3 +137,80 @@ def test_a_run_leaves_nothing(spark):
         assert replace_table_and_schema(spark, "/root/testdata/sf0.001").count() > 0
         assert listed() > folders and names() > tables
     assert listed() == folders and names() == tables
+
+
+# ---- sessions that close on an event --------------------------------------------
+
+
+CLOSING = "event_id int, user string, ts timestamp_ntz, kind string"
+
+
+def write_kinds(spark, folder, entries):
+    made = [(i, u, START + timedelta(seconds=s), k) for i, (u, s, k) in enumerate(entries)]
+    spark.createDataFrame(made, CLOSING).coalesce(1).write.mode("append").parquet(folder)
+
+
+def by_rule(entries, gap, until):
+    """Sessions by the rule, over cells of one second: (user, start, end, events, closed by an event) that are over by ``until``."""
+    found = []
+    for user in sorted({u for u, *_ in entries}):
+        held = None
+        own = sorted((s, k) for u, s, k in entries if u == user)
+        for cell in sorted({int(s) for s, _ in own}):
+            inside = [(s, k) for s, k in own if int(s) == cell]
+            if held and inside[0][0] - held[1] >= gap:
+                found.append((user, *held, False))
+                held = None
+            held = (held[0] if held else inside[0][0], inside[-1][0], (held[2] if held else 0) + len(inside))
+            if any(k == "buy" for _, k in inside):
+                if cell + 1 <= until:
+                    found.append((user, *held, True))
+                held = None
+        if held and held[1] + gap <= until:
+            found.append((user, *held, False))
+    return sorted(found)
+
+
+def test_sessions_close_on_events_and_silence_with_late_events_and_a_restart(spark):
+    rng = random.Random(5)
+    entries = [(rng.choice("abc"), rng.randrange(40_000) / 2, rng.choice(["view", "view", "view", "buy"])) for _ in range(300)]
+    entries.sort(key=lambda e: e[1])
+    parts = [entries[:100], entries[100:220], entries[220:]]
+    # Late rows, still ahead of the watermark: they come a batch later than their time.
+    late = [e for e in parts[0] if e[1] > parts[0][-1][1] - 1500][::3]
+    parts[0] = [e for e in parts[0] if e not in late]
+    parts[1] = late + parts[1]
+    parts.append([("end", 100_000, "view")])
+    source, target, state = (work_path(spark, n) for n in ("in", "out", "state"))
+    for name, value in C.STATE_STORE.items():
+        spark.conf.set(name, value)
+    try:
+        for part in parts:  # the stream stops and starts again from its checkpoint for each part
+            write_kinds(spark, source, part)
+            schema = spark.createDataFrame([], CLOSING).schema
+            stream = E.with_event_time(E.read_stream(spark, source, schema), "ts")
+            E.write_stream(C.stream_closing_sessions(stream, "user", 900, "kind = 'buy'", delay="30 minutes"), target, state)
+    finally:
+        for name in C.STATE_STORE:
+            spark.conf.unset(name)
+    us = int((START - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+    got = [((r.user, (r.start_us - us) / 1e6, (r.end_us - us) / 1e6, r.events, r.closed_by_event)) for r in spark.read.parquet(target).collect()]
+    assert sorted(got) == by_rule([e for p in parts for e in p], 900, 100_000 - 1800)
+    assert {c for *_, c in got} == {True, False} and len(late) > 2
+
+
+def test_a_cell_is_no_wider_than_the_gap(spark):
+    source = work_path(spark, "in")
+    write_kinds(spark, source, [("a", 1, "view")])
+    stream = E.with_event_time(E.read_stream(spark, source, spark.createDataFrame([], CLOSING).schema), "ts")
+    with pytest.raises(ValueError):
+        C.stream_closing_sessions(stream, "user", 1, "kind = 'buy'", cell_us=2_000_000)
+
+
+def test_sketches_of_closed_days(spark):
+    source = work_path(spark, "in")
+    write(spark, source, (1, "a", 0), (2, "a", 50), (3, "b", 60), (4, "a", 90_000), (5, None, 90_001), (6, "z", 400_000))
+    daily = E.run_to_table(R.stream_user_sketches(stream_of(spark, source), "user"), "sketches")
+    found = daily.select(F.col("day").cast("string").alias("day"), "events", F.theta_sketch_estimate("theta"), F.hll_sketch_estimate("hll"))
+    assert rows(found, "day") == [("2024-01-01", 3, 2, 2), ("2024-01-02", 2, 1, 1)]
+    assert rows(K.merged_users(daily, F.lit("all"))) == [("all", 5, 2, 2)]

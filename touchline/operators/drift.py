@@ -61,9 +61,9 @@ def changes(types: DataFrame) -> DataFrame:
     """
     by_field = Window.partitionBy("field")
     by_type = Window.partitionBy("field", "type")
-    # The first day is one number for the whole table: a constant column, not a window over all rows.
-    first_day = types.agg(F.min("day").alias("_start"))
-    seen = types.withColumns({"_field_since": F.min("day").over(by_field), "_type_since": F.min("day").over(by_type)})
-    started = seen.withColumn("_one", F.lit(0)).join(F.broadcast(first_day.withColumn("_one", F.lit(0))), "_one")
+    # Days times fields times types are few rows: one small window for the first day of all.
+    seen = types.withColumns(
+        {"_field_since": F.min("day").over(by_field), "_type_since": F.min("day").over(by_type), "_start": F.min("day").over(Window.partitionBy(F.lit(1)))}
+    )
     change = F.when(F.col("day") == F.col("_start"), None).when(F.col("day") == F.col("_field_since"), "new").when(F.col("day") == F.col("_type_since"), "retyped")
-    return started.select("day", "field", "type", "rows", change.alias("change")).where("change IS NOT NULL")
+    return seen.select("day", "field", "type", "rows", change.alias("change")).where("change IS NOT NULL")

@@ -385,15 +385,15 @@ def leaf_indexes(spark, sf):
     """The ranker's leaf of each tree; the values of these leaves add up to the score."""
     graded, ranker = _ranker(spark, sf)
     values = boosting.leaf_values(ranker)
-    start = [0, *itertools.accumulate(len(v) for v in values)]
-    flat, first = F.array(*[F.lit(x) for v in values for x in v]), F.array(*[F.lit(i) for i in start[:-1]])
+    # Trees times leaves numbers, as constants.
+    first = F.lit([0, *itertools.accumulate(len(v) for v in values)]).cast("array<int>")
+    flat = F.lit([x for v in values for x in v]).cast("array<double>")
     found = ranker.setPredictionCol("preds").setLeafCol("leaf_preds").transform(graded).withColumn("leaves", vector_to_array(F.col("leaf_preds")))
-    numbers = F.transform("leaves", lambda x, i: F.get(F.col("_first"), i) + x.cast("int"))
-    total = F.aggregate(numbers, F.lit(0.0), lambda a, i: a + F.get(F.col("_values"), i))
-    # The table of leaf values is one row: trees times leaves.
-    table = spark.range(1).select(flat.alias("_values"), first.alias("_first"))
-    fits = F.size("leaves") == len(values)
-    for_all = found.withColumn("_one", F.lit(0)).join(F.broadcast(table.withColumn("_one", F.lit(0))), "_one")
-    return for_all.select(
-        "l_orderkey", "l_linenumber", fits.alias("one_leaf_a_tree"), (F.abs(total - F.col("preds")) < 1e-6).alias("leaves_give_the_score")
+    numbers = F.transform("leaves", lambda x, i: F.get(first, i) + x.cast("int"))
+    total = F.aggregate(numbers, F.lit(0.0), lambda a, i: a + F.get(flat, i))
+    return found.select(
+        "l_orderkey",
+        "l_linenumber",
+        (F.size("leaves") == len(values)).alias("one_leaf_a_tree"),
+        (F.abs(total - F.col("preds")) < 1e-6).alias("leaves_give_the_score"),
     )
