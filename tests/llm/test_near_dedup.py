@@ -89,3 +89,27 @@ def test_components_of_a_chain_and_a_star(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(31)} | {100 + i: 100 for i in range(20)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_per_node_do_not_grow_with_a_family(spark, monkeypatch):
+    """Rows in buckets, for families of 300 and 1200 near copies."""
+    sizes = {}
+    real = module._buckets
+
+    def counted(own, m):
+        found = real(own, m)
+        sizes[len(sizes)] = (found.count(), m, found)
+        return found
+
+    monkeypatch.setattr(module, "_buckets", counted)
+    for n in (300, 1200):
+        near_dedup(frame(spark, family(9, n)), percent=85).collect()
+    (few, m, _), (many, _, _) = sizes[0], sizes[1]
+    assert many <= 4.4 * few and many <= m * 1200
+
+
+def test_a_common_first_half_key(spark, monkeypatch):
+    monkeypatch.setattr(module, "FIRST_GROUP", 8)
+    monkeypatch.setattr(module, "GROUP", 6)
+    rows = family(6, 70) + [(500 + i, t) for i, t in family(8, 30)]
+    assert found(near_dedup(frame(spark, rows), percent=80)) == brute(rows, 80)

@@ -8,10 +8,13 @@ probability ``(1 - (1 - s ** rows) ** m) ** 2``; m is chosen so that a pair at
 the threshold is missed with probability ``miss`` at most.
 
 A half key that no other text has cannot meet anything, so table keys are only
-formed from shared half keys.
+formed from shared half keys. Rows are keyed by the half keys of the first
+collection alone, ``m`` a node, and carry those of the second: the pairs that are
+table keys are formed in the task that holds a first half key. Only where a
+first half key is very common do its rows go by table key.
 
-Equal shingle sets are one node. In each table bucket all nodes are compared
-with one leader. Nodes that resemble a leader at all (CLUSTER) join the
+Equal shingle sets are one node. For each first half key a node is compared
+with the smallest node that it shares a table key with there, its leader. Nodes that resemble a leader at all (CLUSTER) join the
 cluster of the leader that most nodes resemble, and a cluster is compared
 within tasks, which give no more links than it has members. A large group of
 near copies, many of which are too unlike each other to be linked, so costs
@@ -35,8 +38,10 @@ from touchline.llm.shipping import ship
 from touchline.llm.text import carried_columns, mix, pieces, shingles, words_of
 from touchline.sources.tables import staged
 
-#: Members of a bucket or cluster that are compared in one task; larger ones are dealt to several.
+#: Members of a table bucket or cluster that are compared in one task; larger ones are dealt to several.
 GROUP = 2000
+#: Nodes with one first half key that meet in one task; with more of them they meet by table key.
+FIRST_GROUP = 16_384
 #: Similarity to a leader, in percent, from which a node may join its cluster. It decides where nodes are compared, not whether.
 CLUSTER = 40
 
@@ -188,54 +193,94 @@ def _cluster_links(members: DataFrame, percent: int) -> DataFrame:
     return spread.select("cluster", "p", "q", "node", "items").groupBy("cluster", "p", "q").applyInArrow(run, "a long, b long")
 
 
+def _leads(table: pa.Table) -> pa.Table:
+    """Nodes with one first half key: each that shares a table key with another, and the smallest node that it shares one with."""
+    node = np.array(table.column("node"), dtype=np.int64)
+    lists = table.column("seconds").combine_chunks()
+    owner = np.repeat(np.arange(len(node)), np.diff(np.array(lists.offsets)))
+    _, key, often = np.unique(np.array(lists.flatten()), return_inverse=True, return_counts=True)
+    owner, key = owner[often[key] > 1], key[often[key] > 1]
+    top = np.iinfo(np.int64).max
+    smallest = np.full(len(often), top)
+    np.minimum.at(smallest, key, node[owner])
+    lead = np.full(len(node), top)
+    np.minimum.at(lead, owner, smallest[key])
+    met = lead < top
+    fixed = {n: pa.array(np.array(table.column(n))[met]) for n in ("tk", "first")}
+    second = pa.array(np.full(int(met.sum()), -1, dtype=np.int32))
+    return pa.table(fixed | {"second": second, "node": pa.array(node[met]), "lead": pa.array(lead[met])})
+
+
+def _buckets(own: DataFrame, m: int) -> DataFrame:
+    """(tk, first, second, node, lead): the nodes that share table keys, by first half key (``second`` is -1), or by table key where that is very common."""
+    first = F.filter("own", lambda x: x["slot"] < m)
+    second = F.transform(F.filter("own", lambda x: x["slot"] >= m), lambda x: F.xxhash64(x["slot"], x["half"]))
+    slots = F.transform(F.filter("own", lambda x: x["slot"] >= m), lambda x: x["slot"])
+    rows = own.select("node", F.explode(first).alias("i"), second.alias("seconds"), slots.alias("slots")).where(F.size("seconds") > 0)
+    keyed = rows.select(F.xxhash64("i.slot", "i.half").alias("tk"), F.col("i.slot").alias("first"), "node", "seconds", "slots")
+    sizes = keyed.groupBy("tk").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    sized = staged(keyed.join(sizes, "tk"), "first_keys")
+    usual = sized.where(F.col("members") <= FIRST_GROUP).select("tk", "first", "node", "seconds")
+    usual = usual.groupBy("tk").applyInArrow(_leads, "tk long, first int, second int, node long, lead long")
+    common = sized.where(F.col("members") > FIRST_GROUP)
+    common = common.select("tk", "first", "node", F.explode(F.arrays_zip("seconds", "slots")).alias("j"))
+    tables = common.select(F.xxhash64("tk", "j.seconds").alias("tk"), "first", F.col("j.slots").alias("second"), "node")
+    leaders = tables.groupBy("tk").agg(F.min("node").alias("lead"), F.max("node").alias("hi")).where("lead < hi")
+    return usual.unionByName(tables.join(leaders.select("tk", "lead"), "tk"))
+
+
 def _bucket_pairs(members: DataFrame, mins: DataFrame, percent: int, m: int, rows: int) -> DataFrame:
     """Pairs of nodes of different clusters in one bucket whose sizes and minhashes allow the threshold.
 
-    Sizes of a linked pair lie within the threshold's ratio, so a bucket falls
-    into size bands and only neighbouring bands meet; what meets no other
-    cluster there is left out before its minhashes join in. A band with more than
-    GROUP members is dealt into parts; each two parts meet in a task of their
-    own. Nothing but surviving pairs leaves a task, and each of them once: from
-    the bucket of the first half keys of either collection that both share.
+    Members of the bucket's largest cluster do not meet each other. A table
+    bucket with more than GROUP members is dealt into parts; each two parts meet
+    in a task of their own. Nothing but surviving pairs leaves a task, and each
+    of them once: from the first half key, and table key, that both share first.
     """
     need = least_matches(percent / 100, 2 * m * rows)
-    step = -math.log(percent / 100)
-    band = F.floor(F.log(F.col("n").cast("double")) / step)
-    banded = members.withColumn("band", F.explode(F.array(band, band + 1))).withColumn("low", F.col("band") > band)
-    sizes = banded.groupBy("tk", "band").agg(
-        F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"), F.min("cluster").alias("lo"), F.max("cluster").alias("hi")
+    sizes = members.groupBy("tk").agg(
+        F.when(F.max("second") < 0, 1).otherwise(F.ceil(F.count(F.lit(1)) / GROUP)).cast("long").alias("parts"),
+        F.min("cluster").alias("lo"),
+        F.max("cluster").alias("hi"),
     )
-    meeting = banded.join(sizes.where("lo < hi").select("tk", "band", "parts"), ["tk", "band"])
+    meeting = members.join(sizes.where("lo < hi").select("tk", "parts"), "tk")
     dealt = meeting.join(mins, "node").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
     spread = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     spread = spread.withColumn("p", F.least("part", "with")).withColumn("q", F.greatest("part", "with"))
 
     def run(table: pa.Table) -> pa.Table:
         node, n, cluster, part = (np.array(table.column(c), dtype=np.int64) for c in ("node", "n", "cluster", "part"))
-        low = np.array(table.column("low"), dtype=bool)
         mins = np.frombuffer(b"".join(table.column("mins").to_pylist()), dtype="<u4").reshape(len(node), -1)
         first, second = table.column("first")[0].as_py(), table.column("second")[0].as_py() - m
         apart = len(set(part.tolist())) > 1
+        # The largest cluster last: its members have nobody after them to meet.
+        _, number, often = np.unique(cluster, return_inverse=True, return_counts=True)
+        largest = number == int(np.argmax(often))
+        order = np.argsort(largest, kind="stable")
+        node, n, cluster, part, mins = node[order], n[order], cluster[order], part[order], mins[order]
         a, b = [], []
-        for i in range(len(node) - 1):
+        for i in range(len(node) - int(largest.sum())):
             rest = slice(i + 1, None)
-            # Two members of the same neighbouring band meet in that band's own group.
-            near = (cluster[rest] != cluster[i]) & ~(low[rest] & low[i])
+            near = cluster[rest] != cluster[i]
             near &= 100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])
             if apart:
                 near &= part[rest] != part[i]
             at = np.flatnonzero(near) + i + 1
             equal = mins[at] == mins[i]
+            enough = equal.sum(axis=1) >= need
+            at, equal = at[enough], equal[enough]
             shared = equal.reshape(len(at), 2 * m, rows).all(axis=2)
-            here = (shared[:, :m].argmax(axis=1) == first) & (shared[:, m:].argmax(axis=1) == second)
-            at = at[(equal.sum(axis=1) >= need) & here]
+            here = (shared[:, :m].argmax(axis=1) == first) & shared[:, m:].any(axis=1)
+            if second >= 0:
+                here &= shared[:, m:].argmax(axis=1) == second
+            at = at[here]
             a.append(np.minimum(node[at], node[i]))
             b.append(np.maximum(node[at], node[i]))
         empty = np.zeros(0, dtype=np.int64)
         return pa.table({"a": pa.array(np.concatenate([empty, *a])), "b": pa.array(np.concatenate([empty, *b]))})
 
-    columns = ["tk", "first", "second", "band", "p", "q", "node", "n", "cluster", "mins", "part", "low"]
-    return spread.select(*columns).groupBy("tk", "band", "p", "q").applyInArrow(run, "a long, b long").distinct()
+    columns = ["tk", "first", "second", "p", "q", "node", "n", "cluster", "mins", "part"]
+    return spread.select(*columns).groupBy("tk", "p", "q").applyInArrow(run, "a long, b long").distinct()
 
 
 def near_dedup(
@@ -284,13 +329,7 @@ def near_dedup(
     shared = halves.groupBy("slot", "half").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     own = halves.join(shared.select("slot", "half"), ["slot", "half"]).groupBy("node")
     own = own.agg(F.collect_list(F.struct("slot", "half")).alias("own"))
-    first = F.filter("own", lambda x: x["slot"] < m)
-    second = F.filter("own", lambda x: x["slot"] >= m)
-    paired = own.select("node", F.explode(first).alias("i"), second.alias("js")).select("node", "i", F.explode("js").alias("j"))
-    key = F.xxhash64("i.slot", "i.half", "j.slot", "j.half").alias("tk")
-    tables = paired.select(key, F.col("i.slot").alias("first"), F.col("j.slot").alias("second"), "node")
-    leaders = tables.groupBy("tk").agg(F.min("node").alias("lead"), F.max("node").alias("hi")).where("lead < hi")
-    buckets = staged(tables.join(leaders.select("tk", "lead"), "tk"), "buckets")
+    buckets = staged(_buckets(own, m), "buckets")
 
     sources = docs.select(F.coalesce(F.col(doc_id).cast("long"), last).alias("id"), F.col(text).alias("text"))
     sets = staged(_fetched(sources, nodes, buckets.select("node").distinct(), size), "sets")
