@@ -16,9 +16,9 @@ Such notices are also searched word by word: around each place that names the
 licence, in a window of the notice's length, ``contained`` of its words must lie.
 
 Most documents hold no notice. Before any shingle is made, documents are kept
-that contain one of a few words of the notices. The words are chosen so that
-text without them cannot contain enough of any notice. Documents with fewer
-shingles than are enough of a long text are left out for that text.
+that contain one of a few words of a notice. The words are chosen so that
+text without them cannot contain enough of it. Each length of windows is
+made only for the documents that passed the gate of a notice of that length.
 """
 
 from __future__ import annotations
@@ -78,9 +78,12 @@ TELLING = {
     "bsd-3-clause-terms": ["neither the name of the"],
 }
 
-#: Notices of fewer words form one group with gate words of its own; each longer text has its own.
+#: Notices of fewer words are also searched word by word.
 FEW_WORDS = 40
 
+#: Gate words have this many characters where such words suffice.
+LONG_WORD = 7
+
 
 def license_texts() -> list[tuple[str, str, list[str]]]:
     """(SPDX id, text, telling shingles) of the terms and headers."""
@@ -132,17 +135,22 @@ def bands_needed(length: int, contained: float, miss: float) -> int:
 def gate_words(notices: list[list[str]], contained: float) -> list[str]:
     """Words such that ``contained`` of any notice's shingles cannot be present without one of them.
 
-    From each notice, the longest words, until the shingles that hold none of
-    them are too few to be enough.
+    From each notice, the word that is in most of the shingles left, until those
+    left are too few to be enough: long words first, as they are rare elsewhere,
+    and short ones only where these do not reach.
     """
     chosen: set[str] = set()
     for words in notices:
-        shingles = [words[i : i + SIZE] for i in range(max(1, len(words) - SIZE + 1))]
-        for word in sorted(set(words), key=lambda w: (-len(w), w)):
-            free = sum(not chosen.intersection(s) for s in shingles)
-            if free < contained * len(shingles):
-                break
-            chosen.add(word)
+        shingles = [set(words[i : i + SIZE]) for i in range(max(1, len(words) - SIZE + 1))]
+        enough = contained * len(shingles)
+        free = [s for s in shingles if not chosen & s]
+        for least in (LONG_WORD, 1):
+            left = {w for s in free for w in s if len(w) >= least}
+            while len(free) >= enough and left:
+                word = max(left, key=lambda w: (sum(w in s for s in free), len(w), w))  # noqa: B023
+                chosen.add(word)
+                free = [s for s in free if word not in s]
+                left = {w for s in free for w in s if len(w) >= least}
     # A word that holds another one adds nothing.
     return sorted(w for w in chosen if not any(o != w and o in w for o in chosen))
 
@@ -230,19 +238,24 @@ def license_scan(
         "notice int, license_id string, own array<bigint>, length int",
     )
 
-    lower = F.lower(F.col(text))
-    short = [r for r in listed if len(r["words"]) < FEW_WORDS]
-    gates = [lower.contains(w) for w in gate_words([r["words"] for r in short], contained)]
+    # The text in lower case is made once for all gates, and so is the list of the length classes that a document may hold a notice of.
+    lower = _as_column(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), F.lower("text"), "lower")
+    by_class: dict[int, Column] = {}
     for r in listed:
-        if len(r["words"]) >= FEW_WORDS:
-            # Each word has a letter and is followed by another character.
-            enough = F.length(text) >= 2 * _enough(r, contained)
-            gates.append(enough & reduce(Column.__or__, [lower.contains(w) for w in gate_words([r["words"]], contained)]))
+        length = _length_class(len(r["own"]))
+        # Each word has a letter and is followed by another character.
+        held = reduce(Column.__or__, [F.col("lower").contains(w) for w in gate_words([r["words"]], contained)])
+        held &= F.length("text") >= 2 * _enough(r, contained) - 1
+        by_class[length] = by_class[length] | held if length in by_class else held
+    short = [r for r in listed if len(r["words"]) < FEW_WORDS]
     edits = [(r, names[r["license_id"]]) for r in short if r["notice"] < len(listed_notices) and r["license_id"] in (names or {})]
-    gates += [_says(lower, phrase) for phrase in dict.fromkeys(name[0] for _, name in edits)]
-    kept = docs.where(reduce(Column.__or__, gates)).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    phrases = list(dict.fromkeys(name[0] for _, name in edits))
+    # Classes by their length, phrases by numbers below 0.
+    gates = by_class | {-1 - i: _says(F.col("lower"), p) for i, p in enumerate(phrases)}
+    passed = F.array_compact(F.array(*[F.when(held, F.lit(k)) for k, held in gates.items()]))
+    kept = _as_column(lower, passed, "passed").where(F.size("passed") > 0).select("doc_id", "text", "passed")
     # The row's number is written with it, so it stays the same for all readers.
-    columns = ["doc_id", "h", *(["w"] if edits else [])]
+    columns = ["doc_id", "passed", "h", *(["w"] if edits else [])]
     rows = staged(_shingled(kept, "text").select(F.monotonically_increasing_id().alias("row"), *columns), "shingles")
 
     found = []
@@ -252,7 +265,7 @@ def license_scan(
         last = F.greatest(F.lit(1), F.size("p") - (length - 1))
         starts = F.array_union(F.sequence(F.lit(1), last, F.lit(step)), F.array(last))
         enough = min(_enough(r, contained) for r in listed if _length_class(len(r["own"])) == length)
-        windows = rows.where(F.size("h") >= enough).select("row", permuted)
+        windows = rows.where(F.array_contains("passed", length) & (F.size("h") >= enough)).select("row", permuted)
         windows = windows.select("row", "band", F.explode(F.arrays_zip(starts.alias("s"), _least("p", starts, length).alias("least"))).alias("x"))
         marks = own.where(F.col("length") == length).select("notice", F.explode("own").alias("x"))
         marks = marks.select("notice", F.posexplode(F.array(*[_permutation(b)(F.col("x")) for b in range(bands)])).alias("band", "v"))
@@ -273,7 +286,8 @@ def license_scan(
             hits = hits.where((F.col("notice") != notice) | there)
     if edits:
         columns = ["row", "notice", "containment", "s", "doc_id", "license_id"]
-        around = reduce(DataFrame.unionByName, [_edited(rows, r["notice"], r["words"], name, contained) for r, name in edits])
+        said = {p: rows.where(F.array_contains("passed", -1 - i)) for i, p in enumerate(phrases)}
+        around = reduce(DataFrame.unionByName, [_edited(said[name[0]], r["notice"], r["words"], name, contained) for r, name in edits])
         around = around.join(rows.select("row", "doc_id"), "row").join(F.broadcast(own.select("notice", "license_id")), "notice")
         hits = hits.select(*columns).unionByName(around.select(*columns))
     return (
