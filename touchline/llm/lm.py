@@ -485,8 +485,8 @@ def score_documents(
     text: str = "text",
     held_out: int = 1,
     modulus: int = 5,
-    least_context: int = 16,
-    least_seen: int = 2,
+    least_context: int = 1,
+    least_seen: int = 1,
 ) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
 
@@ -494,8 +494,10 @@ def score_documents(
     ``held_out`` and scores all. Tokens are the words with A-Z in lower case,
     and an end for each document. ``base_score`` is that of single words with
     half a count added to each and to one unknown word. ``least_seen`` and
-    ``least_context`` (1 or more) leave rarer contexts to lower orders; the
-    query op3 asks for every context that was seen.
+    ``least_context`` (1 or more) leave rarer contexts to lower orders; as it
+    is, every context that was seen counts. Words are told apart by hashes, of 24 bits
+    among the successors of one context: two of n successors that collide
+    share a count, which happens to one of them in 2 ** 24 / n.
 
     Null and empty texts are one end. Equal rows count as often as they occur
     and get equal scores. A null id counts as the empty text. Without training
