@@ -161,3 +161,15 @@ def test_typical_beginnings():
     usual = [p.decode() for p, _ in Counter(parts).most_common(len(INSULTS))]
     assert all(any(i.startswith(p) for i in INSULTS) for p in usual) and b"idiot" in parts
     assert len(unlike([plain[0], plain[0] + " more", plain[1]])) == 2
+
+
+def test_short_texts_and_texts_without_spaces_train_their_language():
+    rng = random.Random(3)
+    kana, latin = "あいうえおかきくけこさしすせそ", ["mora", "tildo", "venka", "sult", "brimo", "gasta", "pello"]
+    texts = lambda n: [("".join(rng.choice(kana) for _ in range(20)), "kana") for _ in range(n)] + [(" ".join(rng.sample(latin, 3)), "few") for _ in range(n)]
+    model = langid.fit(texts(60))
+    fresh = texts(20)
+    names, score = model.predict(pa.array([t for t, _ in fresh]))
+    assert names == [y for _, y in fresh] and min(score) > 0.5
+    one = langid.fit([("solo", "x"), ("くけこ", "y")])
+    assert one.predict(pa.array(["solo", "くけこ"]))[0] == ["x", "y"]

@@ -158,16 +158,24 @@ def words_with_letters(column: pa.Array) -> Words:
 
 
 def _switching(words: list[np.ndarray], labels: Sequence[int], length: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Training chains of ``length`` words, put together from stretches of random documents."""
+    """Training chains of ``length`` words, put together from stretches of random documents.
+
+    All words of all documents are in some stretch: a last or only one that is
+    too short goes on with its document's words from the start, again and again.
+    """
     stretch = 8
     need = length // stretch
     pieces_, marks = [], []
     for at, label in zip(words, labels):
-        for a in range(0, len(at) - stretch + 1, stretch):
-            pieces_.append(at[a : a + stretch])
+        for a in range(0, len(at), stretch):
+            part = at[a : a + stretch]
+            pieces_.append(part if len(part) == stretch else np.resize(np.concatenate([part, at]), stretch))
             marks.append(label)
-    if len(pieces_) < need:
+    if not pieces_:
         return np.zeros((0, length), dtype=np.int64), np.zeros((0, length), dtype=np.int64)
+    # A sample of too few stretches for one chain is taken several times over.
+    times = -(-need // len(pieces_))
+    pieces_, marks = pieces_ * times, marks * times
     order = rng.permutation(len(pieces_))
     # Every other chain keeps to one language, so that staying is learned as well.
     marks = np.array(marks)
@@ -178,14 +186,12 @@ def _switching(words: list[np.ndarray], labels: Sequence[int], length: int, rng:
     return stacked[both].reshape(len(both), -1), np.repeat(marks[both], stretch, axis=1)
 
 
-def fit(
-    sample: list[tuple[str, str]], length: int = 32, epochs: int = 3, rate: float = 0.2, ridge: float = 1e-6, most_chains: int = 6_000
-) -> LanguageModel:
+def fit(sample: list[tuple[str, str]], length: int = 32, epochs: int = 1, rate: float = 0.2, ridge: float = 1e-6) -> LanguageModel:
     """Weights that make the languages of the sample's words likely: stochastic gradient steps over chains.
 
     Documents name the language of all their words. Half of the chains mix
     stretches of different documents, so that transitions between languages
-    are seen as well.
+    are seen as well. All chains are learned from, ``epochs`` times.
     """
     languages = sorted({y for _, y in sample})
     k = len(languages)
@@ -215,7 +221,6 @@ def fit(
     rng = np.random.default_rng(1)
     parts = [back[a:b] for a, b in zip(words.offsets, words.offsets[1:])]
     chains, marks = _switching(parts, labels, length, rng)
-    chains, marks = chains[:most_chains], marks[:most_chains]
     squares = [np.full_like(weights, 1e-8), np.full((k, k), 1e-8), np.full((k, k), 1e-8), np.full(k, 1e-8)]
     batch = 64
     for _ in range(epochs):
