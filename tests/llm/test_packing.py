@@ -18,7 +18,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def plain_ids(text):
     model = tokenizers.Tokenizer.from_file(PATH)
-    model.encode_special_tokens = True
     return [*model.encode(text or "", add_special_tokens=False).ids, 1]
 
 
@@ -31,7 +30,7 @@ def check(rows, got, limit):
         ids, at = np.array(plain_ids(text), dtype="<u4"), 0
         for r in sorted(of[i], key=lambda r: r.start):
             assert (r.start, r.doc_tokens) == (at, len(ids)) and r.length > 0
-            assert r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            assert bytes(r.ids) == ids[at : at + r.length].tobytes()
             at += r.length
         assert at == len(ids)
     padding = tokens = 0
@@ -68,6 +67,28 @@ def test_edges(spark):
     assert pack(spark.createDataFrame([], SCHEMA), PATH).count() == 0
 
 
+def test_added_tokens_and_forms_of_ids(spark):
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>"), (3, "x" * 50 + "<|endoftext|><|endoftext|> y " * 400), (4, "plain")]
+    check(rows, pack(frame(spark, rows), PATH).collect(), 2048)
+    assert plain_ids(rows[0][1]) == [64, 220, 50256, 275, 1]
+    wide, short, sums = (sorted(pack(frame(spark, rows), PATH, **k).collect()) for k in ({}, {"narrow": True}, {"with_ids": False}))
+    for a, b, c in zip(wide, short, sums, strict=True):
+        assert a[:6] == b[:6] == c[:6] and np.frombuffer(a.ids, "<u4").tolist() == np.frombuffer(b.ids, "<u2").tolist()
+        assert c.ids_crc32 == zlib.crc32(a.ids)
+
+
+def test_parts_beyond_the_cache_and_between_unusual_spaces():
+    rng = random.Random(5)
+    spaces = [" ", "  ", "\n ", "\u00a0", "\u00a0 ", "\u3000 ", "\u2009 ", "\x1c ", "\x85 ", " \t", "\u2019 ", "é "]
+    texts = ["".join(f"{rng.choice(['ab', 'Cé', '中', '1', '’'])}{rng.choice(spaces)}" for _ in range(rng.randrange(40))) for _ in range(300)]
+    few = Encoder(PATH, cached=20)
+    model = tokenizers.Tokenizer.from_file(PATH)
+    want = [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
+    for a in range(0, 300, 50):
+        assert [g.tolist() for g in few.encode(texts[a : a + 50])] == want[a : a + 50]
+    assert few.encode([]) == [] and [len(g) for g in few.encode(["", "", "a"])] == [0, 0, 1]
+
+
 def test_cuts_are_optimal():
     rng = np.random.default_rng(1)
     for limit in (8, 6):
@@ -100,5 +121,4 @@ def test_encoder_like_the_library():
     for text, ids in zip(texts, got):
         assert [*ids.tolist(), 1] == plain_ids(text) if len(text) < 4 else True
     model = tokenizers.Tokenizer.from_file(PATH)
-    model.encode_special_tokens = True
     assert [g.tolist() for g in got] == [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]

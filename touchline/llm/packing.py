@@ -16,9 +16,7 @@ gives at once. Windows of a power of two are tried beside it.
 from __future__ import annotations
 
 import os
-import re
 import zlib
-from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,13 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from touchline.llm.ordered import LAST, in_order
+from touchline.llm.text import BYTE_HASH, pieces, prefix, stretch, text_bytes
 
 END = 1
 SENTENCE_PRICE = 2.0
 INSIDE_PRICE = 24.0
 _TOGETHER = 400
-_DOUBLE_SPACE = re.compile(r"\s\s")
-_BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 
 
 class Encoder:
@@ -41,7 +38,11 @@ class Encoder:
 
     Byte-level BPE never joins characters across the border before a space
     that follows a non-space, so texts are split there and the ids of the
-    parts put end to end.
+    parts put end to end. Parts are told apart by 64-bit hashes, and looked up
+    and put together as arrays.
+
+    Strings of the file's added tokens in a text become these tokens, as the
+    library has it; such a text is encoded as a whole.
     """
 
     def __init__(self, path: str, cached: int = 100_000):
@@ -49,9 +50,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
-        #: Ids of the first ``cached`` different words; others are encoded again in each batch.
-        self.known: dict[str, bytes] = {}
+        self.added = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        #: The first ``cached`` different parts: hashes in order, and where their ids lie. Others are encoded again in each call.
+        self.hashes, self.starts, self.ends = (np.zeros(0, dtype) for dtype in (np.uint64, np.int64, np.int64))
+        self.ids = np.zeros(0, dtype="<u4")
         self.cached = cached
         size = self.model.get_vocab_size()
         last = [(self.model.id_to_token(i) or " ")[-1] for i in range(size)]
@@ -61,41 +63,79 @@ class Encoder:
         self.spaced = np.array([(self.model.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [self._split(t) for t in texts]
-        wanted = set().union(*parts) if parts else set()
-        found = self._encoded([w for w in wanted if w not in self.known])
-        if len(self.known) < self.cached:
-            self.known |= found
-            found = self.known
-        else:
-            found |= {w: self.known[w] for w in wanted if w in self.known}
-        get = found.__getitem__
-        return [np.frombuffer(b"".join(map(get, p)), dtype="<u4") for p in parts]
-
-    def _encoded(self, words: list[str]) -> dict[str, bytes]:
-        """Words after one space are encoded many at a time: each starts at a token that starts with a space."""
-        plain = [w for w in words if w[0] == " " and w.split() == [w[1:]]]
-        out: dict[str, bytes] = {}
+        whole = {i: t for i, t in enumerate(texts) if any(a in t for a in self.added)}
+        data, offsets = text_bytes(pa.array(["" if i in whole else t for i, t in enumerate(texts)], pa.large_string()))
+        ids, cuts = self._ids(data, offsets)
+        out = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+        for i, found in zip(whole, self.model.encode_batch_fast(list(whole.values()), add_special_tokens=False)):
+            out[i] = np.array(found.ids, dtype="<u4")
+        return out
+
+    def _ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and n + 1 offsets."""
+        starts = part_starts(data, offsets)
+        ends = np.append(starts[1:], len(data))
+        hashes = np.empty(len(starts), dtype=np.uint64)
+        for a in range(0, len(starts), 1 << 16):
+            lo, hi = starts[a : a + (1 << 16)], ends[a : a + (1 << 16)]
+            hashes[a : a + len(lo)] = stretch(prefix(BYTE_HASH[data[lo[0] : hi[-1]]]), lo - lo[0], hi - lo[0])
+        unique, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, unique)
+        known = at < len(self.hashes)
+        known[known] = self.hashes[at[known]] == unique[known]
+        lo, hi = np.zeros(len(unique), np.int64), np.zeros(len(unique), np.int64)
+        lo[known], hi[known] = self.starts[at[known]], self.ends[at[known]]
+        fresh = np.flatnonzero(~known)
+        text = data.tobytes()
+        made = self._encoded([text[a:b].decode() for a, b in zip(starts[first[fresh]].tolist(), ends[first[fresh]].tolist())])
+        sizes = np.array([len(m) // 4 for m in made], dtype=np.int64)
+        table = np.concatenate([self.ids, np.frombuffer(b"".join(made), dtype="<u4")])
+        hi[fresh] = len(self.ids) + np.cumsum(sizes)
+        lo[fresh] = hi[fresh] - sizes
+        if len(self.hashes) < self.cached:
+            place = at[fresh]
+            self.hashes = np.insert(self.hashes, place, unique[fresh])
+            self.starts, self.ends = np.insert(self.starts, place, lo[fresh]), np.insert(self.ends, place, hi[fresh])
+            self.ids = table
+        counts = (hi - lo)[back]
+        ids = table[np.arange(counts.sum()) + np.repeat(lo[back] - (np.cumsum(counts) - counts), counts)]
+        return ids, np.append(0, np.cumsum(counts))[np.searchsorted(starts, offsets)]
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """The ids of each part. Words after one space are encoded many at a time: each starts at a token that starts with a space."""
+        plain = [i for i, w in enumerate(words) if w[0] == " " and w.split() == [w[1:]]]
+        out: list[bytes | None] = [None] * len(words)
         groups = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
-        for group, found in zip(groups, self.model.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
+        for group, found in zip(groups, self.model.encode_batch_fast(["".join(words[i] for i in g) for g in groups], add_special_tokens=False)):
             ids = np.array(found.ids, dtype="<u4")
             cuts = np.flatnonzero(self.spaced[ids])
             if len(cuts) == len(group):
                 raw, at = ids.tobytes(), (4 * np.append(cuts, len(ids))).tolist()
-                out |= {w: raw[a:b] for w, a, b in zip(group, at, at[1:])}
-        rest = [w for w in words if w not in out]
-        for word, found in zip(rest, self.model.encode_batch_fast(rest, add_special_tokens=False)):
-            out[word] = np.array(found.ids, dtype="<u4").tobytes()
+                for i, a, b in zip(group, at, at[1:]):
+                    out[i] = raw[a:b]
+        rest = [i for i, found in enumerate(out) if found is None]
+        for i, found in zip(rest, self.model.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
+            out[i] = np.array(found.ids, dtype="<u4").tobytes()
         return out
 
-    @staticmethod
-    def _split(text: str) -> list[str]:
-        if not text:
-            return []
-        if _DOUBLE_SPACE.search(text):
-            return _BEFORE_SPACE.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]] if first else [" " + w for w in rest]
+
+def part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the parts of texts start that may be encoded on their own: at their first byte, and at spaces after what is no space.
+
+    A byte of a longer character counts as white space if the character may be
+    such; a place that is left out only makes a part longer.
+    """
+    if not len(data):
+        return np.zeros(0, dtype=np.int64)
+    at = np.flatnonzero(data == 32)
+    at = at[at > 0]
+    before = data[at - 1]
+    wide = before >= 128
+    third, second = data[np.maximum(at - 3, 0)], data[np.maximum(at - 2, 0)]
+    blank = wide & (((second == 0xC2) & ((before == 0x85) | (before == 0xA0))) | ((third >= 0xE1) & (third <= 0xE3) & np.isin(second, (0x9A, 0x80, 0x81))))
+    solid = ~blank & (before != 32) & ~((before >= 9) & (before <= 13)) & ~((before >= 28) & (before <= 31))
+    first = offsets[:-1][np.diff(offsets) > 0]
+    return np.union1d(at[solid], first)
 
 
 @lru_cache(maxsize=2)
@@ -139,25 +179,30 @@ def best_cuts(place: np.ndarray, price: np.ndarray, limit: int) -> np.ndarray:
             size &= size - 1
     where, cost = place.tolist(), price.tolist()
     best, came = [0.0] * m, [0] * m
-    key = [float(where[0])] * m  # best + place
-    queue: deque[int] = deque([0])
+    # The monotone queue as arrays: places with rising keys (best + place), of which those before ``head`` are too far back.
+    keys, queue = [0.0] * m, [0] * m
+    keys[0] = float(where[0])
+    head, tail = 0, 1
+    near = exact.get
     for j in range(1, m):
         here = where[j]
-        while where[queue[0]] < here - limit:
-            queue.popleft()
-        i = queue[0]
-        value = key[i] + limit - here
-        if j in exact:
-            for k in exact[j]:
+        oldest = here - limit
+        while where[queue[head]] < oldest:
+            head += 1
+        i = queue[head]
+        value = keys[head] - oldest
+        same = near(j)
+        if same is not None:
+            for k in same:
                 if best[k] < value:
                     value, i = best[k], k
         value += cost[j]
         best[j], came[j] = value, i
         value += here
-        key[j] = value
-        while queue and key[queue[-1]] >= value:
-            queue.pop()
-        queue.append(j)
+        while tail > head and keys[tail - 1] >= value:
+            tail -= 1
+        keys[tail], queue[tail] = value, j
+        tail += 1
     cuts = [m - 1]
     while cuts[-1]:
         cuts.append(came[cuts[-1]])
@@ -172,19 +217,21 @@ def pack(
     limit: int = 2048,
     stretch_tokens: int = 1_000_000,
     with_ids: bool = True,
-    cached_words: int = 1_000_000,
+    narrow: bool = False,
+    cached_words: int = 3_000_000,
 ) -> DataFrame:
-    """One row per piece of a document: doc_id, start, length, ids_crc32, ids, doc_tokens, sequence_id, offset.
+    """One row per piece of a document: doc_id, start, length, doc_tokens, sequence_id, offset, and ids or ids_crc32.
 
-    ``ids`` holds the piece's tokens as little-endian numbers of two bytes, or
-    four for vocabularies beyond that; ``with_ids=False`` leaves it out.
+    ``ids`` holds the piece's tokens as little-endian numbers of four bytes, or
+    of two with ``narrow``, which takes a vocabulary of 65,536 at most. With
+    ``with_ids=False`` their checksum ``ids_crc32`` is given instead.
 
     A document is its token ids and the end mark 1; ``start`` counts its ids
     before the piece, ``offset`` the ids before it in its sequence. Documents
     are laid in id order, in parts of even length that are packed on their own;
     a part is packed in stretches of about ``stretch_tokens``, which bounds
     memory. ``tokenizer`` is a path that every executor can read. A worker keeps
-    the ids of ``cached_words`` words, about 200 bytes each.
+    the ids of ``cached_words`` words, about 40 bytes each.
 
     Null and empty texts are the end mark alone. Very long documents run over
     several sequences. Rows with equal ids, or equal rows, are packed as
@@ -218,32 +265,31 @@ def pack(
                 "doc_id": pa.array(owner, pa.int64(), mask=owner == LAST),
                 "start": pa.array(lo - begin[document], pa.int64()),
                 "length": pa.array(hi - lo, pa.int64()),
-                "ids_crc32": pa.array([zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(lo, hi)], pa.int64()),
                 "doc_tokens": pa.array((ends - begin)[document], pa.int64()),
                 "sequence_id": pa.array((part << 40) + number + sequence, pa.int64()),
                 "offset": pa.array(lo - cuts[sequence], pa.int64()),
             }
             if with_ids:
-                narrow = ids.astype("<u2") if len(bpe.sentence) <= 1 << 16 else ids
-                columns["ids"] = pa.array([narrow[a:b].tobytes() for a, b in zip(lo, hi)], pa.binary())
+                # The pieces follow each other, so the bytes of all of them are one buffer.
+                raw = (ids.astype("<u2") if narrow else ids).tobytes()
+                bounds = np.append(lo, hi[-1:]).astype(np.int64) * (2 if narrow else 4)
+                columns["ids"] = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lo), [None, pa.py_buffer(bounds), pa.py_buffer(raw)]).cast(pa.binary())
+            else:
+                columns["ids_crc32"] = pa.array([zlib.crc32(ids[a:b].tobytes()) for a, b in zip(lo.tolist(), hi.tolist())], pa.int64())
             yield pa.RecordBatch.from_pydict(columns)
             number += len(cuts) - 1
             held, tokens = [], 0
 
-        for batch in batches:
-            parts = batch.column("part").to_pylist()
-            ids = batch.column("id").to_pylist()
-            column = batch.column("text")
-            for a in range(0, batch.num_rows, 256):
-                found = bpe.encode(column.slice(a, 256).to_pylist())
-                for p, d, t in zip(parts[a : a + 256], ids[a : a + 256], found):
-                    if p != part or tokens > stretch_tokens:
-                        yield from packed()
-                    if p != part:
-                        part, number = p, 0
-                    held.append((d, np.append(t, np.uint32(END)).astype("<u4")))
-                    tokens += len(t) + 1
+        for batch in pieces(batches, "text"):
+            found = bpe.encode(batch.column("text").to_pylist())
+            for p, d, t in zip(batch.column("part").to_pylist(), batch.column("id").to_pylist(), found):
+                if p != part or tokens > stretch_tokens:
+                    yield from packed()
+                if p != part:
+                    part, number = p, 0
+                held.append((d, np.append(t, np.uint32(END)).astype("<u4")))
+                tokens += len(t) + 1
         yield from packed()
 
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return laid.mapInArrow(run, schema + (", ids binary" if with_ids else ""))
+    schema = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
+    return laid.mapInArrow(run, schema + ("ids binary" if with_ids else "ids_crc32 long"))
