@@ -56,7 +56,11 @@ def with_flag(parent: DataFrame, flags: DataFrame, key: str, name: str) -> DataF
 
 
 def who_did(parent: DataFrame, events: DataFrame, key: str) -> DataFrame:
-    """Parent rows with at least one event. Events are cut to one row per key first."""
+    """Parent rows with at least one event.
+
+    Events are cut to one row per key on the map side, so a key that holds most of
+    them is small; the shuffle of that step is the one that the join needs.
+    """
     return parent.join(events.select(key).distinct(), key, "left_semi")
 
 

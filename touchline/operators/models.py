@@ -13,6 +13,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.operators.boosting import few_partitions
 from touchline.operators.features import CastToDouble, DummyColumns, FillCategories, TopKCategories
 
 SEED = 55
@@ -83,12 +84,22 @@ def propensity_model(
     classifier,
     k: int = 50,
 ) -> PipelineModel:
-    """Featurizer and classifier fitted on the training rows alone."""
+    """Featurizer and classifier fitted on the training rows alone.
+
+    The vectors are kept while the classifier is fitted, as it reads them very
+    often, in as few partitions as their number asks for.
+    """
     for name in (*categorical, *continuous):
         if name == label:
             raise ValueError("the label must not be a feature")
-    prepared = featurizer(categorical, continuous, k)
-    return Pipeline(stages=[*prepared.getStages(), classifier]).fit(train)
+    prepared = featurizer(categorical, continuous, k).fit(train)
+    others = [c for c in train.columns if c not in (*categorical, *continuous)]
+    made = prepared.transform(train).select(*others, "features").persist()
+    vectors = few_partitions(made).persist()
+    model = classifier.fit(vectors)
+    vectors.unpersist()
+    made.unpersist()
+    return PipelineModel(stages=[*prepared.stages, model])
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:

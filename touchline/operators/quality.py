@@ -13,8 +13,6 @@ from touchline.functions import web
 # The accepted lawful bases for processing.
 LAWFUL_BASES = ["consent", "contract", "legalObligation", "vitalInterests", "publicTask", "legitimateInterests"]
 
-# Lists of bots or hosts up to this length are broadcast.
-
 _CORRUPT = "_corrupt_record"
 
 

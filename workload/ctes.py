@@ -1,7 +1,6 @@
 """Checking SQL shared by several queries, as WITH clauses for DuckDB."""
 
 from touchline.plans.bindings import CITY, PURCHASES_TO_CONVERT, SESSION_GAP_S, TARGET_URL, wide_columns
-from touchline.plans.gold import FIRST_VIEW_COLUMNS, GOLD_COLUMNS
 
 _WIDE_COLUMNS = ",\n    ".join(f"{text} AS {name}" for name, text in wide_columns("duckdb").items())
 
@@ -81,27 +80,46 @@ user_first AS (
   FROM views QUALIFY row_number() OVER (PARTITION BY domain_userid ORDER BY start_tstamp, page_view_id) = 1),
 user_table AS (SELECT * FROM user_sum JOIN user_first USING (domain_userid))"""
 
-_NUMBERS = ("engaged_time_in_s", "sessions", "page_views", "absolute_time_in_s", "vertical_percentage_scrolled")
-
-
-def _gold_list(raw: bool) -> str:
-    """The select list of the gold table from the names of its columns; ``raw`` leaves values as they came."""
-    out = []
-    for name in GOLD_COLUMNS:
-        source = f"opening.{name}" if name in FIRST_VIEW_COLUMNS else f"visitor.{name}"
-        if name == "converted_user":
-            found = "domain_userid IN (SELECT domain_userid FROM buyers)"
-            source = found if raw else f"CAST({found} AS INTEGER)"
-        elif raw and name in ("sessions", "page_views"):
-            continue
-        elif not raw and name in _NUMBERS:
-            source = f"coalesce({source}, 0)"
-        elif not raw and name in ("refr_medium", "mkt_medium"):
-            source = f"lower({source})"
-        elif name == "domain_userid":
-            source = name
-        out.append(f"{source} AS {name}")
-    return ", ".join(out)
+# The columns of the gold table and of its raw variant, written out so that they do not depend on the code under test.
+_GOLD_LIST = """
+  domain_userid AS domain_userid,
+  visitor.first_page_title AS first_page_title,
+  visitor.refr_urlhost AS refr_urlhost,
+  lower(visitor.refr_medium) AS refr_medium,
+  lower(visitor.mkt_medium) AS mkt_medium,
+  visitor.mkt_source AS mkt_source,
+  visitor.mkt_term AS mkt_term,
+  visitor.mkt_campaign AS mkt_campaign,
+  coalesce(visitor.engaged_time_in_s, 0) AS engaged_time_in_s,
+  coalesce(visitor.sessions, 0) AS sessions,
+  coalesce(visitor.page_views, 0) AS page_views,
+  coalesce(opening.absolute_time_in_s, 0) AS absolute_time_in_s,
+  coalesce(opening.vertical_percentage_scrolled, 0) AS vertical_percentage_scrolled,
+  opening.geo_country AS geo_country,
+  opening.geo_region AS geo_region,
+  opening.br_lang AS br_lang,
+  opening.device_family AS device_family,
+  opening.os_family AS os_family,
+  CAST(domain_userid IN (SELECT domain_userid FROM buyers) AS INTEGER) AS converted_user"""
+
+_RAW_GOLD_LIST = """
+  domain_userid AS domain_userid,
+  visitor.first_page_title AS first_page_title,
+  visitor.refr_urlhost AS refr_urlhost,
+  visitor.refr_medium AS refr_medium,
+  visitor.mkt_medium AS mkt_medium,
+  visitor.mkt_source AS mkt_source,
+  visitor.mkt_term AS mkt_term,
+  visitor.mkt_campaign AS mkt_campaign,
+  visitor.engaged_time_in_s AS engaged_time_in_s,
+  opening.absolute_time_in_s AS absolute_time_in_s,
+  opening.vertical_percentage_scrolled AS vertical_percentage_scrolled,
+  opening.geo_country AS geo_country,
+  opening.geo_region AS geo_region,
+  opening.br_lang AS br_lang,
+  opening.device_family AS device_family,
+  opening.os_family AS os_family,
+  domain_userid IN (SELECT domain_userid FROM buyers) AS converted_user"""
 
 
 # The first view is the one that no other opening view of the user precedes.
@@ -116,9 +134,9 @@ opening AS (
 visitor AS (SELECT * FROM user_table)"""
 
 GOLD_CTE = f"""{_GOLD_PARTS},
-gold AS (SELECT {_gold_list(raw=False)} FROM visitor JOIN opening USING (domain_userid))"""
+gold AS (SELECT {_GOLD_LIST} FROM visitor JOIN opening USING (domain_userid))"""
 
 RAW_GOLD_CTE = f"""{_GOLD_PARTS},
-gold AS (SELECT {_gold_list(raw=True)} FROM visitor JOIN opening USING (domain_userid))"""
+gold AS (SELECT {_RAW_GOLD_LIST} FROM visitor JOIN opening USING (domain_userid))"""
 
 HASH_PERCENT = "CAST(('0x' || substr(md5(CAST({0} AS VARCHAR)), 1, 8)) AS BIGINT) % 100"
