@@ -205,6 +205,17 @@ def test_recall_of_neighbours_over_many_groups(spark, categories):
     assert len(got) == n * k and (got.distance.to_numpy() <= edge[at] + 1e-9).mean() >= 0.9
 
 
+def test_groups_beyond_the_cuts_are_counted_off(spark, monkeypatch):
+    """Two cuts for ten groups a table."""
+    monkeypatch.setattr(neighbours, "MOST_CUTS", 3)
+    n, k, penalty = 3000, 5, 1.3
+    points, cont, cat = cloud(spark, n)
+    got = neighbours.k_nearest(points, k, penalty, group_rows=300).toPandas()
+    edge = np.sort(distances(cont, cat, penalty), axis=1)[:, k - 1]
+    at = got.point_id.str[1:].astype(int).to_numpy()
+    assert len(got) == n * k and (got.distance.to_numpy() <= edge[at] + 1e-9).mean() >= 0.9
+
+
 def test_work_per_point_does_not_grow(spark):
     """Rows that go into groups, per point, at two sizes."""
     for n in (400, 1600):

@@ -25,12 +25,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.operators.ordering import MOST_SLICES
-
 # The functions below travel to the executors as they are: nothing has to be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TABLES = 12
+#: Cuts of a table that come to the driver; groups beyond that number are counted off within a slice.
+MOST_CUTS = 4_096
 _PAIR = "point_id string, distance double, near_id string, near_cont array<double>, near_cat array<string>, near_copies bigint"
 
 
@@ -104,8 +104,6 @@ def k_nearest(points: DataFrame, k: int, penalty: float, group_rows: int = 2000,
     """
     shape = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("cont")).alias("cont"), F.max(F.size("cat")).alias("cat")).first()
     n, groups = shape["n"], max(1, -(-shape["n"] // group_rows))
-    if groups > MOST_SLICES:
-        raise ValueError(f"{groups} groups are more cuts than a driver should hold; use larger groups")
     if groups == 1:
         tables = 1
     axes = range(shape["cont"] or 0)
@@ -113,22 +111,30 @@ def k_nearest(points: DataFrame, k: int, penalty: float, group_rows: int = 2000,
     keys = [f"_key{t}" for t in range(tables)]
     spread = [float(w) or 1.0 for w in widths]
     keyed = points.select("point_id", "cont", "cat", "copies", *[table_key(t, spread, shape["cat"] or 0).alias(c) for t, c in enumerate(keys)])
-    # groups - 1 cuts per table come to the driver; they steer the work only.
-    probs = [i / groups for i in range(1, groups)]
-    cuts = keyed.agg(*[F.percentile_approx(c, probs, 20 * groups).alias(c) for c in keys]).first() if probs else {c: [] for c in keys}
+    # Coarse cuts come to the driver, at most MOST_CUTS per table; they steer the work only.
+    slices = min(groups, MOST_CUTS)
+    probs = [i / slices for i in range(1, slices)]
+    cuts = keyed.agg(*[F.percentile_approx(c, probs, 20 * slices).alias(c) for c in keys]).first() if probs else {c: [] for c in keys}
     cutter = Bucketizer(
         inputCols=keys,
         outputCols=[f"_group{t}" for t in range(tables)],
         splitsArray=[[float("-inf"), *(sorted(set(cuts[c])) or [0.0]), float("inf")] for c in keys],
     )
     dealt = cutter.transform(keyed) if probs else keyed.withColumn("_group0", F.lit(0.0))
-    seats = F.array(*[F.struct(F.lit(t).alias("table"), F.col(f"_group{t}").cast("int").alias("group")) for t in range(tables)])
-    seated = dealt.select("point_id", "cont", "cat", "copies", F.explode(seats).alias("seat")).select("*", "seat.*").drop("seat")
+    seats = [F.struct(F.lit(t).alias("table"), F.col(f"_group{t}").cast("int").alias("slice"), F.col(c).alias("at")) for t, c in enumerate(keys)]
+    seated = dealt.select("point_id", "cont", "cat", "copies", F.explode(F.array(*seats)).alias("seat")).select("*", "seat.*").drop("seat")
+    if groups > slices:
+        # Fine groups follow the order within a slice, which one task can hold: a few thousandths of the points.
+        place = F.row_number().over(Window.partitionBy("table", "slice").orderBy("at", "point_id"))
+        seated = seated.withColumn("group", F.floor((place - 1) / group_rows).cast("int"))
+    else:
+        seated = seated.withColumn("group", F.lit(0))
+    seated = seated.drop("at")
 
     def inside(pdf: pd.DataFrame) -> pd.DataFrame:
         return nearest(pdf, pdf, k, penalty)
 
-    found = seated.groupBy("table", "group").applyInPandas(inside, _PAIR)
+    found = seated.groupBy("table", "slice", "group").applyInPandas(inside, _PAIR)
     once = found.dropDuplicates(["point_id", "near_id"])
     order = Window.partitionBy("point_id").orderBy("distance", "near_id")
     return once.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k).drop("_rank")
