@@ -51,8 +51,8 @@ def test_gold_joins_without_further_shuffles(spark):
     views = staged(inputs.views(spark, SF))
     converted = spark.range(3).select(F.col("id").cast("string").alias("domain_userid"), F.lit(True).alias("converted"))
     text = plan(first_touch(S.users(views), views, staged(converted)))
-    # Views to sessions, sessions to users, first views, conversions; the joins add none.
-    assert text.count("Exchange") == 4 and text.count("SortMergeJoin") == 2
+    # Views to users, first views, conversions; the joins add none.
+    assert text.count("Exchange") == 3 and text.count("SortMergeJoin") == 2
 
 
 def test_filters_and_columns_reach_the_scan(spark):

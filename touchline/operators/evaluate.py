@@ -16,14 +16,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.operators.ordering import running_totals, value_summary
+from touchline.sources.tables import staged
 
 
 def _score_counts(df: DataFrame, label: str, score: str, slices: int | None) -> DataFrame:
-    """Per distinct score, from the highest: rows, positives, and both up to there. Null and NaN scores are left out."""
+    """Per distinct score, from the highest: rows, positives, and both up to there. Null and NaN scores are left out.
+
+    The scores are read once: what follows works on their counts, which are written.
+    """
     pairs = df.select(F.col(score).cast("double").alias("_score"), (F.col(label) == 1).cast("bigint").alias("_pos"))
     pairs = pairs.where("_score IS NOT NULL AND NOT isnan(_score) AND _pos IS NOT NULL")
-    _, bounds = value_summary(pairs, "_score", slices)
-    counted = pairs.groupBy("_score").agg(F.sum("_pos").alias("pos"), F.count(F.lit(1)).alias("n"))
+    counted = staged(pairs.groupBy("_score").agg(F.sum("_pos").alias("pos"), F.count(F.lit(1)).alias("n")), "score_counts")
+    _, bounds = value_summary(counted, "_score", slices)
     return running_totals(counted, "_score", ["pos", "n"], bounds, descending=True)
 
 

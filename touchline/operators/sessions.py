@@ -155,9 +155,28 @@ USER_FIRST = ["refr_urlhost", "refr_medium", "mkt_source", "mkt_medium", "mkt_ca
 
 
 def users(views: DataFrame, carried: Sequence[str] | None = None) -> DataFrame:
-    """One row per user from sessionized page views, with first-touch source columns."""
+    """One row per user from sessionized page views, with first-touch source columns.
+
+    One aggregate, combined on the map side: of a user with very many views each
+    task sends one row. It gives what ``users_of_sessions`` gives for the sessions.
+    """
     carried = carried or USER_FIRST
-    return users_of_sessions(sessions(views, carried), carried)
+    order = ["start_tstamp", "page_view_id"]
+    rolled = views.groupBy("domain_userid").agg(
+        F.min("start_tstamp").alias("start_tstamp"),
+        F.max("end_tstamp").alias("end_tstamp"),
+        F.sum("engaged_time_in_s").alias("engaged_time_in_s"),
+        F.count(F.lit(1)).alias("page_views"),
+        F.max("domain_sessionidx").alias("sessions"),
+        first_of(order, ["page_title", *carried]).alias("_first"),
+        last_of(order, ["page_title"]).alias("_last"),
+    )
+    return rolled.select(
+        "domain_userid", "start_tstamp", "end_tstamp", "engaged_time_in_s", "page_views", "sessions",
+        F.col("_first.page_title").alias("first_page_title"),
+        F.col("_last.page_title").alias("last_page_title"),
+        *[F.col(f"_first.{c}").alias(c) for c in carried],
+    )
 
 
 def users_of_sessions(table: DataFrame, carried: Sequence[str] | None = None) -> DataFrame:
