@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus import SCHEMA, frame, lower, prose, words
 
@@ -14,6 +15,7 @@ from touchline.llm import blocks
 from touchline.llm.lm import _SHARES, EliasFano, Level, code_of, planes, score_documents
 from touchline.llm.lm import _Reader as Reader
 from touchline.llm.queries import QUERIES
+from touchline.llm.text import mix, words_of
 
 
 def tokens(text):
@@ -104,6 +106,24 @@ def test_query_counts_rare_contexts(spark, monkeypatch, tmp_path, block_mb):
         assert abs(g.score - w[4]) <= 0.02 * g.n_tokens
 
 
+@pytest.mark.parametrize("block_mb", [12.0, 0.01])
+def test_a_pair_that_only_seems_seen_falls_back(spark, monkeypatch, block_mb):
+    """Two words with the same 24 bits as successors: one is seen after "a", the other only in a held-out document."""
+    of = blocks.Layout.of.__func__
+    monkeypatch.setattr(blocks.Layout, "of", classmethod(lambda cls, size, mb=4.0: of(cls, size, block_mb)))
+    names = [f"n{i}" for i in range(20_000)]
+    hashes = words_of(pa.chunked_array([pa.array([" ".join(names)])]), lower=True).hashes
+    bits = (mix(hashes ^ np.uint64(3)) & np.uint64((1 << 24) - 1)).tolist()
+    first = {}
+    one, other = next((names[first[b]], n) for n, b in zip(names, bits) if first.setdefault(b, names.index(n)) != names.index(n))
+    held = {i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1}
+    rng = random.Random(7)
+    rows = [(i, " ".join(prose(rng, 40, 60) + ["a", other if i in held else one, "b"])) for i in range(400)]
+    got = sorted(score_documents(frame(spark, rows)).collect(), key=lambda r: r.doc_id)
+    # Taking the pair for one that was seen raises a score; frequencies are kept to about four hundredths.
+    assert all(math.isfinite(g.score) and g.score >= w[4] - 0.02 * g.n_tokens for g, w in zip(got, exact(rows), strict=True))
+
+
 def test_learns_from_repeats(spark):
     rng = random.Random(4)
     common = prose(rng, 60)

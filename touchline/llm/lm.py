@@ -461,11 +461,16 @@ class Tokens:
         chance = np.where(pair, (self.pair_share * seen + self.pair_kinds * base) / np.maximum(seen + self.pair_kinds, 1), base)
         if len(self.asked3):
             share, kinds3 = self.triple.read(mail, TRIPLES)
-            at, seen = self.asked3, self.context_count[self.asked3].astype(float)
-            chance[at] = (share * seen + kinds3 * chance[at]) / np.maximum(seen + kinds3, 1)
+            # A pair that was never seen may share the hash of one that was; as a context it has no successors, and falls back.
+            there = kinds3 > 0
+            at, share, kinds3 = self.asked3[there], share[there], kinds3[there]
+            seen = self.context_count[at].astype(float)
+            chance[at] = (share * seen + kinds3 * chance[at]) / (seen + kinds3)
         if len(self.own3):
             count, kinds3, seen = self.own_triples()
-            chance[self.own3] = (count + kinds3 * chance[self.own3]) / (seen + kinds3)
+            there = kinds3 > 0
+            at, count, kinds3, seen = self.own3[there], count[there], kinds3[there], seen[there]
+            chance[at] = (count + kinds3 * chance[at]) / (seen + kinds3)
         begin = self.ends - self.size
         total = lambda x: np.add.reduceat(x, begin)
         return {
@@ -497,7 +502,8 @@ def score_documents(
     ``least_context`` (1 or more) leave rarer contexts to lower orders; as it
     is, every context that was seen counts. Words are told apart by hashes, of 24 bits
     among the successors of one context: two of n successors that collide
-    share a count, which happens to one of them in 2 ** 24 / n.
+    share a count, which happens to one of them in 2 ** 24 / n. A context that
+    only seems to be seen by such a collision falls back to the lower order.
 
     Null and empty texts are one end. Equal rows count as often as they occur
     and get equal scores. A null id counts as the empty text. Without training
