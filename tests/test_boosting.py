@@ -239,3 +239,39 @@ def test_sequential_search_fits_the_best(labelled):
     space = U.PENALISED_SPACE | {"maxIter": U.whole_step(1, 3), "maxDepth": U.whole_step(2, 3)}
     found = U.sequential_search(B.PenalisedTrees(weightCol="weight"), marked, V.AveragePrecision(labelCol="label"), space, evaluations=4, seed=random.Random(1).randrange(99))
     assert found.metric == max(m for _, m in found.trials) and found.best in [s for s, _ in found.trials] and found.metric > 0.6
+
+
+# ---- trees on packed partitions -------------------------------------------------
+
+
+def test_partitions_grow_the_trees_of_one(spark, monkeypatch):
+    """Dealt to several partitions, with categories and a weight, the same trees up to rounding; and no learner run per round."""
+    from touchline.operators import grown as G
+
+    rng = np.random.default_rng(8)
+    n = 900
+    pdf = pd.DataFrame({"a": rng.normal(size=n).round(2), "kind": rng.choice(list("pqrs"), n), "weight": 1.0 + rng.integers(0, 2, n)})
+    pdf["label"] = ((pdf["a"] > 0) ^ pdf["kind"].isin(["q", "s"])).astype(int)
+    data = spark.createDataFrame(pdf)
+    data = staged(M.featurizer(["kind"], ["a"]).fit(data).transform(data), "kinds")
+    assert 4 <= max(G.nominal(data, "features").values()) <= 5
+    monkeypatch.setattr(B, "boost", None)
+    fit = lambda: B.PenalisedTrees(weightCol="weight", maxIter=12, maxDepth=3, lambda_=1.0).fit(data)
+    one = fit()
+    monkeypatch.setattr(G, "LEAST_ROWS", 300)
+    several = fit()
+    assert [pytest.approx(v, abs=1e-9) for v in B.leaf_values(several)] == B.leaf_values(one)
+    right = one.transform(data).where("prediction = label").count()
+    assert right > 0.95 * n
+
+
+def test_leaf_quantiles_are_exact():
+    from touchline.operators import grown as G
+
+    rng = np.random.default_rng(9)
+    parts = [(rng.choice([rng.exponential(), 5.0, -1e6, rng.normal()], k) + rng.normal(size=k).round(3), rng.integers(0, 6, k)) for k in (4000, 700, 0)]
+    value, leaf = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    for alpha in (0.01, 0.2, 0.5, 0.99):
+        got = G.quantiles(lambda look: [look(*p) for p in parts], 7, alpha)
+        want = [np.sort(value[leaf == i])[math.ceil(alpha * (leaf == i).sum()) - 1] for i in range(6)]
+        assert got.tolist() == [*want, 0.0]
