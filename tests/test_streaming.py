@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -199,6 +200,93 @@ def test_sessions_close_on_events_and_silence_with_late_events_and_a_restart(spa
     assert {c for *_, c in got} == {True, False} and len(late) > 2
 
 
+class CountedState:
+    """State variables and timers of one key in memory; calls are counted."""
+
+    def __init__(self):
+        self.calls, self.timers = 0, set()
+
+    def getListState(self, name, schema):  # noqa: N802
+        return CountedVariable(self, list)
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return CountedVariable(self, lambda _: None)
+
+    def registerTimer(self, at):  # noqa: N802
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.calls += 1
+        self.timers.remove(at)
+
+
+class CountedVariable:
+    def __init__(self, handle, empty):
+        self.handle, self.empty, self.held = handle, empty, empty(())
+
+    def __getattribute__(self, name):
+        if name in ("get", "put", "appendList", "update", "clear"):
+            self.handle.calls += 1
+        return object.__getattribute__(self, name)
+
+    def get(self):
+        return self.held
+
+    def put(self, held):
+        self.held = held
+
+    update = put
+
+    def appendList(self, entries):  # noqa: N802
+        self.held = self.held + entries
+
+    def clear(self):
+        self.held = self.empty(())
+
+
+class At:
+    def __init__(self, us):
+        self.ms = us // 1000
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs  # noqa: N815
+
+
+def closing_state(entries, gap_s):
+    """A group's state with the events (user, second, whether it closes) in it."""
+    handle, processor = CountedState(), C.ClosingSessions(gap_s * 1_000_000, 1_000_000)
+    processor.init(handle)
+    made = pd.DataFrame([(u, int(s), round(s * 1e6), round(s * 1e6), 1, int(closes)) for u, s, closes in entries], columns=["user", "cell", "first", "last", "events", "closes"])
+    assert list(processor.handleInputRows((0,), iter([made]), At(0))) == []
+    return handle, processor
+
+
+def gone_off(processor, us):
+    found = [tuple(r) for part in processor.handleExpiredTimer((0,), At(us), At(us)) for r in part.itertuples(index=False)]
+    return [(u, start / 1e6, end / 1e6, n, closed) for u, start, end, n, closed in found]
+
+
+def test_state_calls_do_not_grow_with_users_and_events():
+    entries = [(f"u{i % 50:02}", 4000.0 * i, False) for i in range(5000)]
+    few, many = [closing_state(e, 1800) for e in (entries[:50], entries)]
+    for handle, processor in (few, many):
+        assert len(gone_off(processor, 10**14)) == (5000 if handle is many[0] else 50)
+        assert handle.calls < 20 and not processor.cells.held and not processor.open.held
+    assert few[0].calls == many[0].calls
+
+
+def test_silence_waits_for_a_cell_that_is_not_complete():
+    handle, processor = closing_state([("a", 0.3, False), ("a", 900.1, False), ("b", 0.2, True), ("b", 0.1, False), ("b", 900.4, False)], 900)
+    # The watermark lies in the cell of events that came in time: a's second is less than the gap after its first.
+    assert gone_off(processor, 900_500_000) == [("b", 0.1, 0.2, 2, True)]
+    assert handle.timers == {901_000}
+    assert gone_off(processor, 901_000_000) == []
+    assert gone_off(processor, 10**10) == [("a", 0.3, 900.1, 2, False), ("b", 900.4, 900.4, 1, False)]
+
+
 def test_a_cell_is_no_wider_than_the_gap(spark):
     source = work_path(spark, "in")
     write_kinds(spark, source, [("a", 1, "view")])
