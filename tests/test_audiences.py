@@ -94,6 +94,16 @@ def test_intervals_are_the_same_in_every_run(spark):
         assert (size, hits, rate) == (plain[arm].members, plain[arm].conversions, plain[arm].rate) and lift == pytest.approx(plain[arm].lift)
 
 
+def test_replicates_are_drawn_in_tasks_that_follow_the_members(spark, monkeypatch):
+    monkeypatch.setattr(A, "_DRAWN", 40)
+    members = spark.range(400).select("id", F.when(F.col("id") % 2 == 0, "model").otherwise("rule").alias("arm")).coalesce(1)
+    hits = spark.range(0, 400, 3).select("id")
+    found = A.campaign_intervals(members, hits, "id", "arm", "rule", replicates=20)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    counts = [tuple(r)[:3] for r in found.orderBy("arm").collect()]
+    assert "Repartition 11, true" in plan and counts == [("model", 200, 67), ("rule", 200, 67)]
+
+
 def test_no_conversions_no_lift(spark):
     members = spark.createDataFrame([("a", "model"), ("b", "rule")], "id string, arm string")
     found = rows(A.campaign_intervals(members, spark.createDataFrame([], "id string"), "id", "arm", "rule", replicates=5), "arm")

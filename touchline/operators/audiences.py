@@ -98,10 +98,16 @@ def campaign_performance(members: DataFrame, outcomes: DataFrame, key: str, arm:
 _POISSON = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(10)]
 
 
-def _copies(key: Column, replicate: Column, salt: str) -> Column:
-    """How often a key counts in a replicate: Poisson(1), from a hash of both."""
-    share = hash_fraction(F.concat_ws(":", key.cast("string"), replicate.cast("string")), salt)
-    return F.size(F.filter(F.lit(_POISSON).cast("array<double>"), lambda c: c <= share))
+#: Members that one task draws all replicates of.
+_DRAWN = 20_000
+
+
+def _copies(share: Column) -> Column:
+    """Poisson(1) from a number in [0, 1)."""
+    found = F.when(share < _POISSON[0], 0)
+    for i, c in enumerate(_POISSON[1:], 1):
+        found = found.when(share < c, i)
+    return found.otherwise(len(_POISSON))
 
 
 def campaign_intervals(
@@ -117,9 +123,12 @@ def campaign_intervals(
     """
     happened = outcomes.select(key).distinct().withColumn("_hit", F.lit(1))
     joined = members.join(happened, key, "left").withColumn("_hit", F.coalesce("_hit", F.lit(0)))
+    # Few bytes may mean very many draws: tasks follow the number of members.
+    spread = joined.repartition(1 + members.count() // _DRAWN)
     # Replicate 0 counts every member once.
-    drawn = joined.withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(replicates))))
-    copies = F.when(F.col("_r") == 0, 1).otherwise(_copies(F.col(key), F.col("_r"), salt))
+    drawn = spread.withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(replicates))))
+    drawn = drawn.withColumn("_share", hash_fraction(F.concat_ws(":", F.col(key).cast("string"), F.col("_r").cast("string")), salt))
+    copies = F.when(F.col("_r") == 0, 1).otherwise(_copies(F.col("_share")))
     counted = drawn.select(arm, "_r", "_hit", copies.alias("_copies")).groupBy(arm, "_r").agg(
         F.sum("_copies").alias("_members"), F.sum(F.col("_copies") * F.col("_hit")).alias("_conversions")
     )
