@@ -113,3 +113,25 @@ def test_a_common_first_half_key(spark, monkeypatch):
     monkeypatch.setattr(module, "GROUP", 6)
     rows = family(6, 70) + [(500 + i, t) for i, t in family(8, 30)]
     assert found(near_dedup(frame(spark, rows), percent=80)) == brute(rows, 80)
+
+
+def test_rows_across_clusters_do_not_grow_with_pairs(spark, monkeypatch):
+    """Rows of every intermediate table, for families of 100 and 400 near copies of which each is its own cluster."""
+    monkeypatch.setattr(module, "CLUSTER", 100)
+    real, links, sizes = module.staged, module._cluster_links, []
+
+    def counted(df, label):
+        found = real(df, label)
+        sizes[-1][label] = found.count()
+        return found
+
+    monkeypatch.setattr(module, "staged", counted)
+    monkeypatch.setattr(module, "_cluster_links", lambda members, percent: counted(links(members, percent), f"links{len(sizes[-1])}"))
+    for n in (100, 400):
+        sizes.append({})
+        rows = family(9, n)
+        assert found(near_dedup(frame(spark, rows), percent=80)) == brute(rows, 80)
+    for table in sizes:  # the links across clusters come last: fewer than there are nodes in the places where they are found
+        label = list(table)[-1]
+        assert label.startswith("links") and table.pop(label) < table["candidates"]
+    assert not {label: few for label, few in sizes[0].items() if sizes[1][label] > 5 * max(few, 20)}

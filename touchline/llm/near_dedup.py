@@ -20,7 +20,7 @@ within tasks, which give no more links than it has members. A large group of
 near copies, many of which are too unlike each other to be linked, so costs
 rows in proportion to its size. Nodes of different clusters that share a
 bucket are compared by sizes and minhashes first, and what may be similar by
-full sets. Every link is confirmed on full sets.
+full sets, in a cluster of its own. Every link is confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -229,13 +229,14 @@ def _buckets(own: DataFrame, m: int) -> DataFrame:
     return usual.unionByName(tables.join(leaders.select("tk", "lead"), "tk"))
 
 
-def _bucket_pairs(members: DataFrame, mins: DataFrame, percent: int, m: int, rows: int) -> DataFrame:
-    """Pairs of nodes of different clusters in one bucket whose sizes and minhashes allow the threshold.
+def _bucket_candidates(members: DataFrame, mins: DataFrame, percent: int, m: int, rows: int) -> DataFrame:
+    """(cluster, node): the nodes of a bucket with a node of another cluster there, such that sizes and minhashes allow the threshold.
 
     Members of the bucket's largest cluster do not meet each other. A table
     bucket with more than GROUP members is dealt into parts; each two parts meet
-    in a task of their own. Nothing but surviving pairs leaves a task, and each
-    of them once: from the first half key, and table key, that both share first.
+    in a task of their own. A pair counts in one place: at the first half key, and
+    table key, that both share first. What leaves a task is at most one row for each
+    node in it, under a cluster of their own, in which full sets are compared.
     """
     need = least_matches(percent / 100, 2 * m * rows)
     sizes = members.groupBy("tk").agg(
@@ -258,7 +259,7 @@ def _bucket_pairs(members: DataFrame, mins: DataFrame, percent: int, m: int, row
         largest = number == int(np.argmax(often))
         order = np.argsort(largest, kind="stable")
         node, n, cluster, part, mins = node[order], n[order], cluster[order], part[order], mins[order]
-        a, b = [], []
+        met = np.zeros(len(node), dtype=bool)
         for i in range(len(node) - int(largest.sum())):
             rest = slice(i + 1, None)
             near = cluster[rest] != cluster[i]
@@ -273,14 +274,14 @@ def _bucket_pairs(members: DataFrame, mins: DataFrame, percent: int, m: int, row
             here = (shared[:, :m].argmax(axis=1) == first) & shared[:, m:].any(axis=1)
             if second >= 0:
                 here &= shared[:, m:].argmax(axis=1) == second
-            at = at[here]
-            a.append(np.minimum(node[at], node[i]))
-            b.append(np.maximum(node[at], node[i]))
-        empty = np.zeros(0, dtype=np.int64)
-        return pa.table({"a": pa.array(np.concatenate([empty, *a])), "b": pa.array(np.concatenate([empty, *b]))})
+            met[at[here]] = True
+            met[i] |= bool(here.any())
+        place = (table.column("place")[0].as_py(),) * int(met.sum())
+        return pa.table({"cluster": pa.array(place, pa.int64()), "node": pa.array(node[met])})
 
-    columns = ["tk", "first", "second", "p", "q", "node", "n", "cluster", "mins", "part"]
-    return spread.select(*columns).groupBy("tk", "p", "q").applyInArrow(run, "a long, b long").distinct()
+    columns = ["tk", "first", "second", "p", "q", "place", "node", "n", "cluster", "mins", "part"]
+    placed = spread.withColumn("place", F.xxhash64("tk", "p", "q")).select(*columns)
+    return placed.groupBy("tk", "p", "q").applyInArrow(run, "cluster long, node long")
 
 
 def near_dedup(
@@ -351,8 +352,8 @@ def near_dedup(
     placed = buckets.drop("lead").join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
     mixed = placed.groupBy("tk").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo < hi")
     members = placed.join(mixed.select("tk"), "tk").join(nodes.select("node", "n"), "node")
-    pairs = staged(_bucket_pairs(members, nodes.select("node", "mins"), percent, m, rows), "pairs")
-    across = _measured(sets, pairs).where(100 * F.col("common") >= percent * F.col("united")).select("a", "b")
+    candidates = _bucket_candidates(members, nodes.select("node", "mins"), percent, m, rows)
+    across = _cluster_links(staged(candidates, "candidates").join(sets, "node").select("cluster", "node", "items"), percent)
 
     joined = components(links.unionByName(within).unionByName(across))
     named = nodes.select("node", "min_id").join(joined, "node", "left")
