@@ -179,6 +179,35 @@ def users(views: DataFrame, carried: Sequence[str] | None = None) -> DataFrame:
     )
 
 
+def users_with_opening(
+    views: DataFrame, opening: Sequence[str], gap_s: int = 1800, cell_s: int | None = None, carried: Sequence[str] | None = None
+) -> DataFrame:
+    """What ``users`` gives, from page views that are not in sessions yet, and the ``opening`` columns of the user's first view.
+
+    The first view in time opens the first session, and the number of sessions
+    follows from the time cells, so views are not numbered, and move as one row
+    per user and task. Rows of users without any dated view have no session and
+    are left out, and so is the row of views without a user. ``views`` is read twice.
+    """
+    carried = carried or USER_FIRST
+    order = ["start_tstamp", "page_view_id"]
+    dated = F.when(F.col("start_tstamp").isNotNull(), F.struct(*order))
+    rolled = views.where(F.col("domain_userid").isNotNull()).groupBy("domain_userid").agg(
+        F.sum("engaged_time_in_s").alias("engaged_time_in_s"),
+        F.count(F.lit(1)).alias("page_views"),
+        first_of(order, ["page_title", *carried]).alias("_first"),
+        F.min_by(F.struct(*opening), dated).alias("_opening"),
+    )
+    _, cells = session_cells(views.select("domain_userid", "start_tstamp"), "domain_userid", "start_tstamp", gap_s, cell_s)
+    counted = cells.groupBy(F.col("_user").alias("domain_userid")).agg(F.sum("_opens").alias("sessions"))
+    return rolled.join(counted, "domain_userid").select(
+        "domain_userid", "engaged_time_in_s", "page_views", "sessions",
+        F.col("_first.page_title").alias("first_page_title"),
+        *[F.col(f"_first.{c}").alias(c) for c in carried],
+        *[F.col(f"_opening.{c}").alias(c) for c in opening],
+    )
+
+
 def users_of_sessions(table: DataFrame, carried: Sequence[str] | None = None) -> DataFrame:
     """One row per user from sessions that carry the given columns: what opened the first one and closed the last one."""
     carried = carried or USER_FIRST

@@ -45,9 +45,13 @@ def first_touch(users: DataFrame, views: DataFrame, converted: DataFrame) -> Dat
 
     Users without a session-opening view are left out; numeric gaps become 0.
     """
+    return first_touch_of_users(users.join(first_views(views), "domain_userid"), converted)
+
+
+def first_touch_of_users(users: DataFrame, converted: DataFrame) -> DataFrame:
+    """The same for users that have the columns of their first view already."""
     joined = (
-        users.join(first_views(views), "domain_userid")
-        .join(conversions(converted), "domain_userid", "left")
+        users.join(conversions(converted), "domain_userid", "left")
         .withColumn("refr_medium", F.lower("refr_medium"))
         .withColumn("mkt_medium", F.lower("mkt_medium"))
         .withColumn("converted_user", flag(F.col("converted")))
