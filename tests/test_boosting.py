@@ -275,3 +275,36 @@ def test_leaf_quantiles_are_exact():
         got = G.quantiles(lambda look: [look(*p) for p in parts], 7, alpha)
         want = [np.sort(value[leaf == i])[math.ceil(alpha * (leaf == i).sum()) - 1] for i in range(6)]
         assert got.tolist() == [*want, 0.0]
+
+
+def test_random_search_over_the_space_grows_on_packed_rows(spark, labelled):
+    """All settings of the space without a job for each level; a node has the rows that the setting asks for."""
+    marked = staged(labelled.withColumn("validation", F.col("c") > 0.4), "marked")
+    settings = [s | {"maxIter": 4} for s in U.draw_settings(3, 7)] + [{"maxDepth": 4, "stepSize": 0.3, "gamma": 0.0, "minInstancesPerNode": 300, "maxIter": 2}]
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("packed", "packed")
+    trees = B.PenalisedTrees(weightCol="weight")
+    params = {trees.getParam(k): v for k, v in settings[-1].items()}
+    model = trees.fit(labelled, params)
+    few = len(jobs.getJobIdsForGroup("packed"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < few < 10
+    held = model.setLeafCol("leaves").transform(labelled).select(vector_to_array("leaves")[0].alias("leaf")).groupBy("leaf").count().collect()
+    assert len(held) > 1 and min(r["count"] for r in held) >= 300
+    same = lambda m: m.transform(labelled).select("a", "b", vector_to_array("probability")[1].alias("p"), "prediction").orderBy("a", "b").collect()
+    for mine, theirs in zip(same(trees.fit_for_trial(labelled, params)), same(model)):
+        assert mine.p == pytest.approx(theirs.p, abs=1e-12) and mine.prediction == theirs.prediction
+    found = U.random_search(trees, marked, V.AveragePrecision(labelCol="label"), settings)
+    assert [s for s, _ in found.trials] == settings and found.metric == max(m for _, m in found.trials) > 0.6
+
+
+def test_fits_at_the_same_time_keep_caches_of_their_own(spark, labelled, monkeypatch):
+    from touchline.operators import grown as G
+
+    kept = []
+    grow = G.sampled_edges
+    monkeypatch.setattr(G, "sampled_edges", lambda arrays, *more: kept.append(arrays) or grow(arrays, *more))
+    one = staged(labelled, "one")
+    for _ in range(2):
+        B.PenalisedTrees(maxIter=1, maxDepth=1).fit_for_trial(one)
+    assert not kept[0].sameSemantics(kept[1])

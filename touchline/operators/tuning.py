@@ -57,9 +57,9 @@ def log_even(low: float, high: float) -> Range:
     return Range(low, high, log=True)
 
 
-# The search space of the propensity model, in terms of GBTClassifier.
-# Leaf penalties have no counterpart there and are left out. "gamma" is the least
-# loss reduction of a split, summed over all rows; see ``as_params``.
+# The search space of the propensity model, in terms that GBTClassifier and
+# PenalisedTrees share. Leaf penalties have no counterpart in the former and are left out.
+# "gamma" is the least loss reduction of a split, summed over all rows; see ``as_params``.
 SPACE: dict[str, Draw] = {
     "maxDepth": whole_step(2, 8),
     "stepSize": log_even(-3, 0),
@@ -128,15 +128,19 @@ def random_search(
     evaluator: Evaluator,
     settings: list[dict[str, float | int]],
     validation: str = "validation",
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> SearchResult:
     """Fit one model per setting on the same rows, keep the best, refit it on all rows.
 
+    The settings do not depend on each other: as many are tried at a time as there are
+    cores, unless ``parallelism`` says otherwise. A fit of few rows keeps one core busy.
+
     ``validation`` is a boolean column that marks the rows to judge on.
     ``prepared`` is read once per tree level and model: pass it cached.
     """
     judge = _judge(classifier, prepared, evaluator, validation)
-    with ThreadPoolExecutor(parallelism) as pool:
+    cores = prepared.sparkSession.sparkContext.defaultParallelism
+    with ThreadPoolExecutor(parallelism or max(1, min(cores, len(settings)))) as pool:
         metrics = list(pool.map(judge, settings))
     return _best(classifier, prepared, evaluator, list(zip(settings, metrics)))
 
@@ -146,10 +150,11 @@ def _judge(classifier: Estimator, prepared: DataFrame, evaluator: Evaluator, val
     marked = F.col(validation)
     fit_on, judge_on = prepared.where(~marked), prepared.where(marked)
     rows = fit_on.count()
+    fit = getattr(classifier, "fit_for_trial", classifier.fit)
 
     def judge(setting: dict[str, float | int]) -> float:
         params = {classifier.getParam(k): v for k, v in as_params(setting, rows, classifier).items()}
-        return evaluator.evaluate(classifier.fit(fit_on, params).transform(judge_on))
+        return evaluator.evaluate(fit(fit_on, params).transform(judge_on))
 
     return judge
 
