@@ -163,3 +163,18 @@ def test_codes_and_planes():
     assert np.abs(np.log10(_SHARES[code_of(share)]) - np.log10(share)).max() <= 9 / 254 / 2 + 1e-9
     values = np.array([0, 1, 255, 256, 1 << 39], dtype=np.uint64)
     assert (Reader(planes(values, 5)).planes(5, 5) == values).all()
+
+
+def test_answers_about_pairs_are_dealt_once(spark, monkeypatch):
+    """They wait at their blocks for the last pass: no shuffle by block lies above the union of both kinds of answers."""
+    from touchline.llm import blocks, lm
+
+    layout = blocks.Layout.of
+    monkeypatch.setattr(blocks.Layout, "of", classmethod(lambda cls, size, mb: layout(max(size, int(40e6)), mb)))
+    docs = spark.createDataFrame([(i, f"a b c {i % 7} d e {i % 3}") for i in range(60)], "doc_id long, text string")
+    plan = lm.score_documents(docs)._jdf.queryExecution().executedPlan().toString()
+    union = next(i for i, line in enumerate(plan.splitlines()) if "Union" in line)
+    above = "\n".join(plan.splitlines()[:union])
+    assert above.count("Exchange") == 1  # that of the texts
+    scores = {r["doc_id"] % 21: r["score"] for r in lm.score_documents(docs).collect()}
+    assert len(scores) == 21 and all(s < 0 for s in scores.values())

@@ -543,12 +543,10 @@ def score_documents(
         t.pairs(least_seen)
         t.read_pairs(mail)
         t.triples(least_context)
-        # Answers about pairs go on to the last pass as they are.
-        kept = [(m[0], m[1], PAIRS, m[3]) for m in mail if m[2] == PAIRS]
-        return [*t.triple.mail(block, TRIPLES), *kept, state(block, t)]
+        return t.triple.mail(block, TRIPLES)
 
     def triple_answers(shard: int, mail: list[Mail]) -> list[Mail]:
-        return [*_level_answers(mail, TRIPLES), *[m for m in mail if m[2] in (PAIRS, STATE)]]
+        return _level_answers(mail, TRIPLES)
 
     def last(table: pa.Table, mail: list[Mail]) -> pa.Table:
         t = load(table)
@@ -562,5 +560,7 @@ def score_documents(
     scores = [StructField(n, DoubleType()) for n in ("base_score", "score")]
     schema = StructType([StructField("doc_id", LongType()), StructField("held_out", BooleanType()), *counts, *scores])
     asked = reply(blocks, answer(send(blocks, first), _word_answers), second)
-    asked = reply(blocks, answer(asked, pair_answers), third)
-    return finish(blocks, answer(asked, triple_answers), last, schema)
+    # Answers about pairs serve two passes. They are dealt to blocks once, and wait there for those about triples.
+    pairs = answer(asked, pair_answers).repartition("block")
+    triples = answer(reply(blocks, pairs, third), triple_answers).repartition("block")
+    return finish(blocks, pairs.unionByName(triples), last, schema)
