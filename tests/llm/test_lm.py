@@ -178,3 +178,53 @@ def test_answers_about_pairs_are_dealt_once(spark, monkeypatch):
     assert above.count("Exchange") == 1  # that of the texts
     scores = {r["doc_id"] % 21: r["score"] for r in lm.score_documents(docs).collect()}
     assert len(scores) == 21 and all(s < 0 for s in scores.values())
+
+
+def test_a_pair_that_many_blocks_ask_for_is_searched_once(monkeypatch):
+    """And what blocks send of ascending keys is below its bytes: steps are smaller, and each plane is compressed by itself."""
+    from touchline.llm import lm
+
+    rng = np.random.default_rng(1)
+    names = np.unique(rng.integers(0, 1 << 63, 3000).astype(np.uint64))
+    context, following = (a.ravel() for a in np.meshgrid(np.arange(2000), np.arange(3), indexing="ij"))
+    seen = np.full(len(names), 3)
+    grams = lm.Grams.of(context, mix(names), seen, following, mix(names + np.uint64(1)), np.ones(len(context)), 10**9, 1)
+    mail = [m for block in range(5) for m in grams.mail(block, lm.PAIRS)]
+    assert all(len(m[3]) < 2000 * 4 + 6000 * 3.1 for m in mail)
+    searched, search = [], Level.search
+    monkeypatch.setattr(Level, "search", lambda self, at, after: searched.append(len(at)) or search(self, at, after))
+    answers = lm._level_answers(mail, lm.PAIRS)
+    assert sum(searched) == len(context) and len(answers) == 5
+    for m in answers:
+        share, kinds = grams.read([m], lm.PAIRS)
+        # Each of the five blocks saw each pair once, and each context three times.
+        assert np.abs(share - _SHARES[code_of(np.array([1.0]))]).max() == 0 and (kinds == 3).all()
+        assert not grams.alone([m], lm.PAIRS).any()
+
+
+def test_squeezed_steps():
+    rng = np.random.default_rng(2)
+    begin = np.array([0, 1, 700])
+    parts = [np.sort(rng.integers(0, 1 << 40, n).astype(np.uint64)) for n in (1, 699, 300)]
+    values = np.concatenate(parts)
+    from touchline.llm.lm import climbed, squeezed, steps
+
+    packed = squeezed(steps(values, begin), 5)
+    assert len(packed) < 4.5 * len(values)
+    assert (climbed(Reader(packed).squeezed(len(values), 5), begin) == values).all()
+    nothing = np.zeros(0, dtype=np.uint64)
+    assert len(Reader(squeezed(nothing, 5)).squeezed(0, 5)) == 0
+    assert len(climbed(steps(nothing, begin[:0]), begin[:0])) == 0
+
+
+def test_numbers_with_the_same_high_bits():
+    rng = np.random.default_rng(3)
+    for n, top in ((0, 1), (1, 5), (10, 3), (1000, 100), (5000, 1 << 40), (300, 1 << 20)):
+        values = np.sort(rng.integers(0, top, n).astype(np.uint64))
+        sequence = EliasFano.of(values)
+        high = (values >> np.uint64(sequence.bits)).astype(np.int64)
+        asked = rng.integers(0, (int(high.max()) if n else 0) + 100, 400)
+        start, end = sequence.alike(asked)
+        there = np.isin(asked, high)
+        assert (start[there] == np.searchsorted(high, asked[there])).all() and (end[there] == np.searchsorted(high, asked[there], side="right")).all()
+        assert (start[~there] == end[~there]).all()

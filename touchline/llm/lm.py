@@ -34,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
@@ -54,8 +55,34 @@ def planes(values: np.ndarray, width: int) -> bytes:
     return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
+def squeezed(values: np.ndarray, width: int) -> bytes:
+    """As ``planes``, each plane compressed by itself: beside planes of random bytes in one frame those of small numbers hardly shrink."""
+    pack, whole = zstd.ZstdCompressor(level=1).compress, planes(values, width)
+    parts = []
+    for k in range(width):
+        plane = whole[k * len(values) : (k + 1) * len(values)]
+        small = pack(plane) if any(plane) else b""
+        parts.append(small if len(small) < len(plane) else plane)
+    return np.array([len(p) for p in parts], dtype="<u4").tobytes() + b"".join(parts)
+
+
+def steps(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Numbers that ascend in stretches, which start at ``begin``, as the first of each stretch and the steps from there."""
+    out = values.copy()
+    out[1:] -= values[:-1]
+    out[begin] = values[begin]
+    return out
+
+
+def climbed(out: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The numbers that ``steps`` was given."""
+    sums = np.cumsum(out, dtype=np.uint64)
+    before = sums[begin] - out[begin]
+    return sums - np.repeat(before, np.diff(np.append(begin, len(out))))
+
+
 class _Reader:
-    """Reads what ``planes`` wrote, one after the other."""
+    """Reads what ``planes`` and ``squeezed`` wrote, one after the other."""
 
     def __init__(self, payload: bytes):
         self.payload, self.at = payload, 0
@@ -72,6 +99,18 @@ class _Reader:
         out[:, :width] = raw.T
         return out.reshape(-1).view("<u8").astype(np.uint64)
 
+    def squeezed(self, n: int, width: int) -> np.ndarray:
+        sizes = np.frombuffer(self.payload, "<u4", width, self.at)
+        self.at += 4 * width
+        out = np.zeros((n, 8), dtype=np.uint8)
+        unpack = zstd.ZstdDecompressor().decompress
+        for k, size in enumerate(sizes.tolist()):
+            if size:
+                plane = self.payload[self.at : self.at + size]
+                out[:, k] = np.frombuffer(plane if size == n else unpack(plane), np.uint8)
+                self.at += size
+        return out.reshape(-1).view("<u8").astype(np.uint64)
+
 
 def code_of(share: np.ndarray) -> np.ndarray:
     """One byte for each relative frequency above 0."""
@@ -81,6 +120,22 @@ def code_of(share: np.ndarray) -> np.ndarray:
 _SHARES = np.append(0.0, 10 ** (-np.arange(255) * _DECADES / 254))
 
 
+def _nth_bit(words: np.ndarray, before: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """The place of each set bit with the given number; ``before`` counts those before each word."""
+    word = np.searchsorted(before, index, side="right") - 1
+    left = (index - before[word]).astype(np.uint8)
+    rest = words[word]
+    place = word * 64
+    for width in (32, 16, 8, 4, 2, 1):
+        part = np.bitwise_count(rest & np.uint64((1 << width) - 1))
+        past = left >= part
+        left -= part * past
+        shift = past * np.uint8(width)
+        place += shift
+        rest >>= shift
+    return place
+
+
 class EliasFano:
     """An ascending sequence of whole numbers: low bits packed, high bits as a bit for each number and each step."""
 
@@ -105,23 +160,28 @@ class EliasFano:
 
     def at(self, index: np.ndarray) -> np.ndarray:
         """The numbers at the given places."""
-        word = np.searchsorted(self.ranks, index, side="right") - 1
-        left = index - self.ranks[word]
-        bitsof = self.high[word]
-        place = np.zeros(len(index), dtype=np.uint64)
-        for width in (32, 16, 8, 4, 2, 1):
-            part = np.bitwise_count((bitsof >> place) & np.uint64((1 << width) - 1))
-            past = left >= part
-            left = left - np.where(past, part, 0)
-            place = place + np.where(past, np.uint64(width), np.uint64(0))
-        steps = word * 64 + place.astype(np.int64) - index
+        steps = _nth_bit(self.high, self.ranks.astype(np.int64), index) - index
+        return (steps.astype(np.uint64) << np.uint64(self.bits)) | self.low_bits(index)
+
+    def alike(self, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the numbers with these high bits start and end."""
+        # The bit that is the step from some high bits to the next comes after all numbers that have these or less.
+        gaps, others = 64 * np.arange(len(self.ranks)) - self.ranks, ~self.high
+
+        def upto(last: np.ndarray) -> np.ndarray:
+            there = (last >= 0) & (last < gaps[-1])
+            found = _nth_bit(others, gaps, np.where(there, last, 0)) - last
+            return np.where(there, found, np.where(last < 0, 0, self.size))
+
+        return upto(steps - 1), upto(steps)
+
+    def low_bits(self, index: np.ndarray) -> np.ndarray:
         offset = index * self.bits
         byte = offset >> 3
         raw = np.zeros(len(index), dtype=np.uint64)
         for k in range((self.bits + 14) // 8):
             raw |= self.low[byte + k].astype(np.uint64) << np.uint64(8 * k)
-        low = (raw >> (offset & 7).astype(np.uint64)) & np.uint64((1 << self.bits) - 1)
-        return (steps.astype(np.uint64) << np.uint64(self.bits)) | low
+        return (raw >> (offset & 7).astype(np.uint64)) & np.uint64((1 << self.bits) - 1)
 
 
 class Level:
@@ -142,7 +202,8 @@ class Level:
                 out.write(np.ascontiguousarray(part).tobytes())
             self.bytes = out.tell()
         mapped = [
-            np.memmap(self.path, dtype=p.dtype, mode="r", offset=at, shape=p.shape) if p.size else p for p, at in zip(parts, places)
+            np.asarray(np.memmap(self.path, dtype=p.dtype, mode="r", offset=at, shape=p.shape)) if p.size else p
+            for p, at in zip(parts, places)
         ]
         self.contexts, self.pointers, self.successors = (
             EliasFano(*mapped[3 * i : 3 * i + 3], s.bits, s.size) for i, s in enumerate(sequences)
@@ -157,19 +218,23 @@ class Level:
 
     def search(self, context: np.ndarray, following: np.ndarray) -> np.ndarray:
         """The code of each (context number, successor), 0 where it is not in the level."""
-        lo = self.pointers.at(context).astype(np.int64)
-        end = self.pointers.at(context + 1).astype(np.int64)
-        hi, wanted = end.copy(), (context.astype(np.uint64) << np.uint64(_NEXT_BITS)) | following
+        bounds = self.pointers.at(np.arange(self.pointers.size)).astype(np.int64)
+        wanted = (context.astype(np.uint64) << np.uint64(_NEXT_BITS)) | following
+        # Between the pointers, only successors with the same high bits are looked at, by their low bits.
+        bits = np.uint64(self.successors.bits)
+        lo, end = self.successors.alike((wanted >> bits).astype(np.int64))
+        lo, end = np.maximum(lo, bounds[context]), np.minimum(end, bounds[context + 1])
+        hi, wanted = end.copy(), wanted & ((np.uint64(1) << bits) - np.uint64(1))
         active = np.flatnonzero(lo < hi)
         while len(active):
             middle = (lo[active] + hi[active]) >> 1
-            less = self.successors.at(middle) < wanted[active]
+            less = self.successors.low_bits(middle) < wanted[active]
             lo[active[less]] = middle[less] + 1
             hi[active[~less]] = middle[~less]
             active = active[lo[active] < hi[active]]
         out = np.zeros(len(context), dtype=np.uint8)
         there = np.flatnonzero(lo < end)
-        there = there[self.successors.at(lo[there]) == wanted[there]]
+        there = there[self.successors.low_bits(lo[there]) == wanted[there]]
         out[there] = self.codes[lo[there]]
         return out
 
@@ -180,6 +245,14 @@ def _sorted_sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
     return unique, np.bincount(back, weights=counts, minlength=len(unique)).astype(np.int64), back
 
 
+def _numbered(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers without gaps for keys below ``size``, in their order, and an item of each."""
+    one = np.full(size, -1)
+    one[keys] = np.arange(len(keys))
+    used = one >= 0
+    return (np.cumsum(used) - 1)[keys], one[used]
+
+
 @dataclass
 class Grams:
     """Different (context, successor) pairs of one block, in shard order, and how to read the answers."""
@@ -192,6 +265,8 @@ class Grams:
     row_bounds: np.ndarray  # context rows of each shard
     row_key: np.ndarray  # number of each row's context
     row_count: np.ndarray  # how often the context was seen
+    number: np.ndarray  # of each item's pair, those with equal hashes told apart
+    pairs: int  # how many numbers there are
 
     @classmethod
     def of(
@@ -215,7 +290,7 @@ class Grams:
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else order
         item = np.empty(len(order), dtype=np.int64)
         item[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
-        stands = order[first]
+        stands, number, pairs = order[first], item, len(first)
         of_entry, after = context[stands], word_hash[following[stands]]
         heads, seen_entry = context_hash[of_entry], seen[of_entry]
         # A context with a large share of all words is dealt to several shards by its successors.
@@ -241,11 +316,12 @@ class Grams:
         row = (entry_shard.astype(np.uint64) << bits) | short
         begin = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else stands
         sizes, row_count, row = np.diff(np.append(begin, len(row))), seen_entry[begin], row[begin]
-        used = np.unique(context)
-        hot = used[spread[used] > 1]
-        number = spread[hot]
-        lead = np.repeat(hot, number)
-        step = np.arange(len(lead)) - np.repeat(np.cumsum(number) - number, number)
+        used = np.zeros(len(seen), dtype=bool)
+        used[context] = True
+        hot = np.flatnonzero(used & (spread > 1))
+        parts = spread[hot]
+        lead = np.repeat(hot, parts)
+        step = np.arange(len(lead)) - np.repeat(np.cumsum(parts) - parts, parts)
         extra = ((context_hash[lead] >> np.uint64(44)) + step.astype(np.uint64)) % np.uint64(shards)
         extra = (extra << bits) | (context_hash[lead] & np.uint64((1 << 8 * _CONTEXT_BYTES) - 1))
         extra, at = np.unique(extra, return_index=True)
@@ -264,6 +340,8 @@ class Grams:
             by_shard((row >> bits).astype(np.int64), shards),
             row & ((np.uint64(1) << bits) - np.uint64(1)),
             row_count,
+            number,
+            pairs,
         )
 
     def mail(self, block: int, kind: int) -> list[Mail]:
@@ -273,8 +351,10 @@ class Grams:
             if x < y:
                 head = np.array([y - x, b - a], dtype=np.int64).tobytes()
                 sizes = np.diff(self.context_bounds[x : y + 1])
-                body = planes(self.row_key[x:y], _CONTEXT_BYTES) + planes(self.row_count[x:y], 8) + planes(sizes, 4)
-                out.append((k, block, kind, head + body + planes(self.following[a:b], _NEXT_BYTES) + planes(self.counts[a:b], 4)))
+                keys = steps(self.row_key[x:y], np.zeros(1, dtype=np.int64))
+                body = squeezed(keys, _CONTEXT_BYTES) + squeezed(self.row_count[x:y], 8) + squeezed(sizes, 4)
+                following = steps(self.following[a:b], self.context_bounds[x:y][sizes > 0] - a)
+                out.append((k, block, kind, head + body + squeezed(following, _NEXT_BYTES) + squeezed(self.counts[a:b], 4)))
         return out
 
     def read(self, mail: list[Mail], kind: int) -> tuple[np.ndarray, np.ndarray]:
@@ -285,8 +365,8 @@ class Grams:
             if what == kind:
                 a, b, x, y = self.bounds[k], self.bounds[k + 1], self.row_bounds[k], self.row_bounds[k + 1]
                 reader = _Reader(payload)
-                kinds[x:y] = reader.planes(y - x, 4)
-                share[a:b] = _SHARES[np.frombuffer(payload, np.uint8, b - a, reader.at)]
+                kinds[x:y] = reader.squeezed(y - x, 4)
+                share[a:b] = _SHARES[reader.squeezed(b - a, 1)]
         # Shards hold different successors of a context, so their numbers add up.
         _, summed, back = _sorted_sums(self.row_key, kinds)
         row = np.repeat(np.arange(len(self.row_key)), np.diff(self.context_bounds))
@@ -298,7 +378,7 @@ class Grams:
         for k, _, what, payload in mail:
             if what == kind:
                 a, b, x, y = self.bounds[k], self.bounds[k + 1], self.row_bounds[k], self.row_bounds[k + 1]
-                flags = np.frombuffer(payload, np.uint8, offset=4 * (y - x) + b - a)
+                flags = np.frombuffer(payload, np.uint8, offset=len(payload) - (b - a + 7) // 8)
                 out[a:b] = np.unpackbits(flags, count=b - a).astype(bool)
         return out[self.item]
 
@@ -312,10 +392,13 @@ def _level_answers(mail: list[Mail], kind: int) -> list[Mail]:
     for m in mail:
         reader = _Reader(m[3])
         rows, entries = (int(v) for v in reader.numbers(2))
-        keys, seen, sizes = reader.planes(rows, _CONTEXT_BYTES), reader.planes(rows, 8), reader.planes(rows, 4).astype(np.int64)
-        read.append((keys, seen, sizes, reader.planes(entries, _NEXT_BYTES), reader.planes(entries, 4)))
+        keys, seen, sizes = reader.squeezed(rows, _CONTEXT_BYTES), reader.squeezed(rows, 8), reader.squeezed(rows, 4).astype(np.int64)
+        following = climbed(reader.squeezed(entries, _NEXT_BYTES), (np.cumsum(sizes) - sizes)[sizes > 0])
+        read.append((np.cumsum(keys, dtype=np.uint64), seen, sizes, following, reader.squeezed(entries, 4)))
     keys, seen = np.concatenate([r[0] for r in read]), np.concatenate([r[1] for r in read])
-    unique, first, back = np.unique(keys, return_index=True, return_inverse=True)
+    unique, back = np.unique(keys, return_inverse=True)
+    first = np.empty(len(unique), dtype=np.int64)
+    first[back[::-1]] = np.arange(len(back))[::-1]
     seen = seen[first]
     context = np.repeat(back, np.concatenate([r[2] for r in read]))
     following = np.concatenate([r[3] for r in read])
@@ -323,18 +406,19 @@ def _level_answers(mail: list[Mail], kind: int) -> list[Mail]:
     grams, counts, gram = _sorted_sums(value, np.concatenate([r[4] for r in read]).astype(np.int64))
     # A block names each pair once, so this is the number of blocks that hold it.
     alone = (np.bincount(gram, minlength=len(grams)) == 1)[gram]
-    grams, counts = grams[counts > 0], counts[counts > 0]
+    asked, grams, counts = grams, grams[counts > 0], counts[counts > 0]
     owner = (grams >> np.uint64(_NEXT_BITS)).astype(np.int64)
     number = np.bincount(owner, minlength=len(unique))
     codes = code_of(np.minimum(1.0, counts / np.maximum(1, seen[owner].astype(np.int64))))
     out, row, entry = [], 0, 0
+    # Many blocks ask for the same; each pair is searched once, in order.
     with Level(unique, number, grams, codes) as level:
-        for m, r in zip(mail, read):
-            mine = back[row : row + len(r[0])]
-            found = level.search(context[entry : entry + len(r[3])], r[3])
-            flags = np.packbits(alone[entry : entry + len(r[3])]).tobytes() if kind == PAIRS else b""
-            out.append((m[0], m[1], kind, planes(number[mine], 4) + found.tobytes() + flags))
-            row, entry = row + len(r[0]), entry + len(r[3])
+        found = level.search((asked >> np.uint64(_NEXT_BITS)).astype(np.int64), asked & np.uint64((1 << _NEXT_BITS) - 1))[gram]
+    for m, r in zip(mail, read):
+        rows, mine = back[row : row + len(r[0])], slice(entry, entry + len(r[3]))
+        flags = np.packbits(alone[mine]).tobytes() if kind == PAIRS else b""
+        out.append((m[0], m[1], kind, squeezed(number[rows], 4) + squeezed(found[mine], 1) + flags))
+        row, entry = row + len(r[0]), entry + len(r[3])
     return out
 
 
@@ -344,13 +428,13 @@ def _word_answers(shard: int, mail: list[Mail]) -> list[Mail]:
     for m in mail:
         reader = _Reader(m[3])
         n = int(reader.numbers(1)[0])
-        read.append((reader.planes(n, _WORD_BYTES), reader.planes(n, 8)))
+        read.append((np.cumsum(reader.squeezed(n, _WORD_BYTES), dtype=np.uint64), reader.squeezed(n, 8)))
     keys = np.concatenate([r[0] for r in read])
     words, counts, back = _sorted_sums(keys, np.concatenate([r[1] for r in read]).astype(np.int64))
     real = words != (START & np.uint64((1 << 8 * _WORD_BYTES) - 1))
     totals = np.array([counts[real].sum(), (counts[real] > 0).sum()], dtype=np.int64).tobytes()
     cuts = np.cumsum([len(r[0]) for r in read])[:-1]
-    return [(m[0], m[1], WORDS, totals + planes(c, 8)) for m, c in zip(mail, np.split(counts[back], cuts))]
+    return [(m[0], m[1], WORDS, totals + squeezed(c, 8)) for m, c in zip(mail, np.split(counts[back], cuts))]
 
 
 class Tokens:
@@ -374,19 +458,23 @@ class Tokens:
         counts = np.bincount(self.word, weights=self.train, minlength=len(self.words)).astype(np.int64)
         counts[back[-1]] = (~self.held_out).sum()
         self.start = back[-1]
-        shard = ((self.words >> np.uint64(50)) % np.uint64(shards)).astype(np.int64)
-        self.order = np.argsort(shard, kind="stable")
-        self.bounds = by_shard(shard[self.order], shards)
+        shard = ((self.words >> np.uint64(50)) % np.uint64(shards)).astype(np.uint16)
+        # Within a shard in the order of what is sent of a word, so that steps are small.
+        self.sent = self.words & np.uint64((1 << 8 * _WORD_BYTES) - 1)
+        order = np.argsort(self.sent)
+        self.order = order[np.argsort(shard[order], kind="stable")]
+        self.bounds = by_shard(shard[self.order].astype(np.int64), shards)
         self.counts = counts
 
     def ask_words(self, block: int) -> list[Mail]:
-        words, counts = self.words[self.order], self.counts[self.order]
-        spans = [(k, self.bounds[k], self.bounds[k + 1]) for k in range(self.shards)]
+        words, counts = self.sent[self.order], self.counts[self.order]
+        out = []
         # Every shard is asked, if only for its totals.
-        return [
-            (k, block, WORDS, np.array([b - a], dtype=np.int64).tobytes() + planes(words[a:b], _WORD_BYTES) + planes(counts[a:b], 8))
-            for k, a, b in spans
-        ]
+        for k, a, b in zip(range(self.shards), self.bounds, self.bounds[1:]):
+            keys = steps(words[a:b], np.zeros(min(1, b - a), dtype=np.int64))
+            head = np.array([b - a], dtype=np.int64).tobytes()
+            out.append((k, block, WORDS, head + squeezed(keys, _WORD_BYTES) + squeezed(counts[a:b], 8)))
+        return out
 
     def read_words(self, mail: list[Mail]) -> None:
         self.seen = np.zeros(len(self.words), dtype=np.int64)
@@ -397,7 +485,7 @@ class Tokens:
                 reader = _Reader(payload)
                 total, different = reader.numbers(2)
                 self.total, self.different = self.total + int(total), self.different + int(different)
-                self.seen[self.order[a:b]] = reader.planes(b - a, 8)
+                self.seen[self.order[a:b]] = reader.squeezed(b - a, 8)
 
     def pairs(self, least_seen: int) -> None:
         """The previous word of each token, and the pairs to ask for."""
@@ -417,6 +505,8 @@ class Tokens:
     def read_pairs(self, mail: list[Mail]) -> None:
         self.pair_share, self.pair_kinds = np.zeros(len(self.tokens)), np.zeros(len(self.tokens))
         self.pair_alone = np.zeros(len(self.tokens), dtype=bool)
+        self.pair_number = np.zeros(len(self.tokens), dtype=np.int64)
+        self.pair_number[self.asked] = self.pair.number
         if len(self.asked):
             self.pair_share[self.asked], self.pair_kinds[self.asked] = self.pair.read(mail, PAIRS)
             self.pair_alone[self.asked] = self.pair.alone(mail, PAIRS)
@@ -429,8 +519,7 @@ class Tokens:
         alone = np.append(False, self.pair_alone[:-1])
         self.own3, self.asked3 = np.flatnonzero(enough & alone), np.flatnonzero(enough & ~alone)
         at = self.asked3
-        both = self.before[at - 1] * len(self.words) + self.before[at]
-        _, lead, context = np.unique(both, return_index=True, return_inverse=True)
+        context, lead = _numbered(self.pair_number[at - 1], self.pair.pairs)
         first, second = self.words[self.before[at[lead] - 1]], self.words[self.before[at[lead]]]
         self.triple = Grams.of(
             context,
@@ -446,7 +535,7 @@ class Tokens:
     def own_triples(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(count, successors and count of its context) of each triple whose context only this block holds."""
         at = self.own3
-        _, context = np.unique(self.before[at - 1] * len(self.words) + self.before[at], return_inverse=True)
+        context, _ = _numbered(self.pair_number[at - 1], self.pair.pairs)
         grams, counts, item = _sorted_sums(context * len(self.words) + self.word[at], self.train[at])
         owner = grams // len(self.words)
         kinds, seen = np.bincount(owner, weights=counts > 0), np.bincount(owner, weights=counts)
@@ -518,12 +607,12 @@ def score_documents(
 
     def state(block: int, t: Tokens) -> Mail:
         head = np.array([t.total, t.different], dtype=np.int64).tobytes()
-        return (block % shards, block, STATE, head + planes(t.seen, 8))
+        return (block % shards, block, STATE, head + squeezed(t.seen, 8))
 
     def restore(t: Tokens, mail: list[Mail]) -> None:
         reader = _Reader(next(m[3] for m in mail if m[2] == STATE))
         t.total, t.different = (int(v) for v in reader.numbers(2))
-        t.seen = reader.planes(len(t.words), 8).astype(np.int64)
+        t.seen = reader.squeezed(len(t.words), 8).astype(np.int64)
 
     def first(block: int, table: pa.Table) -> list[Mail]:
         return load(table).ask_words(block)
