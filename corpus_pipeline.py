@@ -74,8 +74,8 @@ def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences of at most 2048 tokens, as pieces of documents with their token ids."""
-    # The workers live on from earlier stages: they get less memory for words than for packing alone.
-    return pack(docs, tokenizer_path("byte_bpe_50k.json"), narrow=True, cached_words=1_000_000)
+    # The workers live on from stage to stage: they get less memory for words than for packing alone, and none after their task.
+    return pack(docs, tokenizer_path("byte_bpe_50k.json"), narrow=True, cached_words=1_000_000, lasting=False)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus import SCHEMA, frame, planted
 
@@ -122,3 +123,23 @@ def test_encoder_like_the_library():
         assert [*ids.tolist(), 1] == plain_ids(text) if len(text) < 4 else True
     model = tokenizers.Tokenizer.from_file(PATH)
     assert [g.tolist() for g in got] == [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_a_task_of_the_pipeline_leaves_no_words_in_its_worker(spark, monkeypatch):
+    """Workers live on into other steps, whose memory the words would take; packed rows are the same."""
+    import corpus_pipeline
+    from touchline.llm.packing import encoder
+
+    docs = spark.createDataFrame([(i, f"some words {i} in a row") for i in range(40)], "doc_id long, text string")
+    asked = []
+    monkeypatch.setattr(corpus_pipeline, "pack", lambda docs, path, **how: asked.append(how) or docs)
+    corpus_pipeline.packed(spark, docs, "")
+    how = asked[0] | {"cached_words": 777_777}  # an encoder that no other test has filled
+
+    def held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(encoder(PATH, 777_777).hashes)], pa.int64())})
+
+    rows = pack(docs, PATH, **how).collect()
+    assert max(r.n for r in spark.range(64).repartition(64).mapInArrow(held, "n long").collect()) == 0
+    assert {tuple(r) for r in rows} == {tuple(r) for r in pack(docs, PATH, narrow=True).collect()}

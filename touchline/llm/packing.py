@@ -52,9 +52,8 @@ class Encoder:
         self.model = Tokenizer.from_file(path)
         self.added = [t.content for t in self.model.get_added_tokens_decoder().values()]
         #: The first ``cached`` different parts: hashes in order, and where their ids lie. Others are encoded again in each call.
-        self.hashes, self.starts, self.ends = (np.zeros(0, dtype) for dtype in (np.uint64, np.int64, np.int64))
-        self.ids = np.zeros(0, dtype="<u4")
         self.cached = cached
+        self.forget()
         size = self.model.get_vocab_size()
         last = [(self.model.id_to_token(i) or " ")[-1] for i in range(size)]
         #: Tokens that end a sentence; the byte-level alphabet writes a line feed as Ċ.
@@ -62,6 +61,11 @@ class Encoder:
         #: Tokens that start with a space, which that alphabet writes as Ġ.
         self.spaced = np.array([(self.model.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
 
+    def forget(self) -> None:
+        """Drops the ids of all words."""
+        self.hashes, self.starts, self.ends = (np.zeros(0, dtype) for dtype in (np.uint64, np.int64, np.int64))
+        self.ids = np.zeros(0, dtype="<u4")
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         whole = {i: t for i, t in enumerate(texts) if any(a in t for a in self.added)}
         data, offsets = text_bytes(pa.array(["" if i in whole else t for i, t in enumerate(texts)], pa.large_string()))
@@ -140,7 +144,7 @@ def part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=2)
 def encoder(path: str, cached: int) -> Encoder:
-    """The worker's encoder for a file; its words last from task to task."""
+    """The worker's encoder for a file; its words last from task to task unless the task drops them."""
     return Encoder(path, cached)
 
 
@@ -219,6 +223,7 @@ def pack(
     with_ids: bool = True,
     narrow: bool = False,
     cached_words: int = 3_000_000,
+    lasting: bool = True,
 ) -> DataFrame:
     """One row per piece of a document: doc_id, start, length, doc_tokens, sequence_id, offset, and ids or ids_crc32.
 
@@ -231,7 +236,9 @@ def pack(
     are laid in id order, in parts of even length that are packed on their own;
     a part is packed in stretches of about ``stretch_tokens``, which bounds
     memory. ``tokenizer`` is a path that every executor can read. A worker keeps
-    the ids of ``cached_words`` words, about 40 bytes each.
+    the ids of ``cached_words`` words, about 40 bytes each, from task to task;
+    with ``lasting=False`` until its task ends, so that workers that live on have
+    their memory for other steps.
 
     Null and empty texts are the end mark alone. Very long documents run over
     several sequences. Rows with equal ids, or equal rows, are packed as
@@ -290,6 +297,8 @@ def pack(
                 held.append((d, np.append(t, np.uint32(END)).astype("<u4")))
                 tokens += len(t) + 1
         yield from packed()
+        if not lasting:
+            bpe.forget()
 
     schema = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
     return laid.mapInArrow(run, schema + ("ids binary" if with_ids else "ids_crc32 long"))
