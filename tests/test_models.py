@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from touchline.operators import boosting
 from touchline.operators import evaluate as V
 from touchline.operators import features as X
 from touchline.operators import models as M
@@ -116,6 +117,27 @@ def test_class_weight_is_learned_on_training_rows(people, spark, tmp_path):
     assert scores[0] == scores[1]
 
 
+def test_the_query_goes_beyond_random_settings(spark, monkeypatch, tmp_path):
+    """The search of the query proposes settings from trials before it: as many as the whole search asks for."""
+    from workload import modelling
+
+    made = pd.DataFrame({"domain_userid": [f"u{i:03d}" for i in range(300)], "converted_user": [int(i % 7 == 0) for i in range(300)]})
+    table = spark.createDataFrame(made)
+    for i, c in enumerate(modelling.CATEGORICAL):
+        table = table.withColumn(c, F.concat(F.lit("v"), (F.xxhash64("domain_userid", F.lit(i)) % 3).cast("string")))
+    for i, c in enumerate(modelling.CONTINUOUS):
+        table = table.withColumn(c, (F.xxhash64("domain_userid", F.lit(-i)) % 100).cast("double"))
+    monkeypatch.setattr(modelling, "prospects", lambda *_: staged(table, "few"))
+    proposed, judged = [], []
+    propose, fit = tuning.propose, boosting.PenalisedTrees.fit_for_trial
+    monkeypatch.setattr(tuning, "propose", lambda *a, **k: proposed.append(1) or propose(*a, **k))
+    short = lambda self, rows, params: judged.append(1) or fit(self.copy(params).copy({self.maxIter: 1}), rows)
+    monkeypatch.setattr(boosting.PenalisedTrees, "fit_for_trial", short)
+    found = modelling.train_register_and_score(spark, "")
+    assert found.where("is_probability AND label_fits").count() == found.count() == 300
+    assert (len(judged), len(proposed)) == (20, 12)
+
+
 def test_store_versions_stages_and_scoring(spark, people, tmp_path):
     store = ModelStore(spark, str(tmp_path / "store"))
     settings = [{"maxIter": 2, "maxDepth": 2, "stepSize": 0.3}]
