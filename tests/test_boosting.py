@@ -308,3 +308,58 @@ def test_fits_at_the_same_time_keep_caches_of_their_own(spark, labelled, monkeyp
     for _ in range(2):
         B.PenalisedTrees(maxIter=1, maxDepth=1).fit_for_trial(one)
     assert not kept[0].sameSemantics(kept[1])
+
+
+def test_rows_of_a_cell_grow_the_trees_of_their_rows(spark, monkeypatch):
+    """Cells, partitions and the one task of few rows: the same trees for ranks, quantiles and squares; a round asks for no row more than once."""
+    from touchline.operators import grown as G
+
+    rng = np.random.default_rng(11)
+    n = 1200
+    sizes = np.append(rng.integers(1, 9, 400).clip(1), [40, 35])
+    q = np.arange(len(sizes)).repeat(sizes)[:n]
+    pdf = pd.DataFrame({"q": q, "id": np.arange(len(q)), "x": rng.integers(0, 9, len(q)) / 4.0, "z": rng.integers(0, 5, len(q)) * 1.0})
+    pdf["labels"] = np.floor(pdf["x"] + rng.random(len(q)))
+    pdf["y"] = pdf["x"] * 3 + pdf["z"] + rng.exponential(size=len(q)).round(2)
+    data = vectors(spark, pdf, ["x", "z"])
+
+    def fits():
+        ranker = B.fit_listwise_ranker(data, "q", "labels", "id", rounds=4, depth=3, min_rows=5)
+        return [B.leaf_values(m) for m in (ranker, B.fit_quantile_trees(data, "y", 0.3, rounds=4, depth=3), B.fit_squared_trees(data, "labels", rounds=4, depth=3))]
+
+    near = lambda models: [[pytest.approx(v, abs=1e-9) for v in m] for m in models]
+    one = fits()
+    monkeypatch.setattr(G, "LEAST_ROWS", 300)
+    levels = []
+    histogram = G._rounds
+    monkeypatch.setattr(G, "_rounds", lambda *a: levels.append(1) or histogram(*a))
+    assert near(fits()) == one and not levels
+    monkeypatch.setattr(G, "MOST_CELLS", 3)
+    assert near(fits()) == one and len(levels) == 3
+
+
+def test_squares_are_those_of_sparks_learner(spark):
+    from pyspark.ml.regression import GBTRegressor
+
+    rng = np.random.default_rng(12)
+    pdf = pd.DataFrame({"x": rng.integers(0, 12, 900) * 1.0, "z": rng.integers(0, 7, 900) * 1.0})
+    pdf["y"] = np.sin(pdf["x"]) + pdf["z"] ** 2 / 9 + rng.normal(size=900)
+    data = vectors(spark, pdf, ["x", "z"])
+    wanted = GBTRegressor(labelCol="y", maxIter=7, maxDepth=4, seed=1).fit(data).transform(data)
+    found = M.fit_ranker(data, "y", maxIter=7, maxDepth=4).transform(wanted.withColumnRenamed("prediction", "wanted"))
+    assert found.agg(F.max(F.abs(F.col("preds") - F.col("wanted")))).first()[0] < 1e-9
+    with pytest.raises(Exception, match="null"):
+        M.fit_ranker(data.withColumn("y", F.when(F.col("x") > 0, F.col("y"))), "y", maxIter=1)
+
+
+def test_tables_have_the_slopes_of_all_pairs():
+    rng = np.random.default_rng(13)
+    label, score = rng.integers(0, 4, (7, 30)).astype(float), np.round(rng.normal(size=(7, 30)), 1)
+    query = np.arange(30).repeat(7).astype(float)
+    order, columns = B.by_size(3)({"query": query, "label": label.T.ravel()})
+    g, h = B.listwise_steps(3)(columns, score.T.ravel()[order])
+    assert (order.reshape(7, 30).T.ravel() == np.arange(210)).all()
+    for i in range(30):
+        first = np.sort(label[:, i])[::-1][:3]
+        wg, wh = brute_slopes(label[:, i], score[:, i], sum((2**v - 1) / math.log2(r + 2) for r, v in enumerate(first)), 3)
+        assert np.allclose(g.reshape(7, 30)[:, i], wg) and np.allclose(h.reshape(7, 30)[:, i], wh)
